@@ -3,8 +3,9 @@
 Training, on a bounded sample of labelled rows (``TRAIN_ROWS``, the rows with the smallest hash of doc_id):
 
 1. Documents that hold a token are counted by label. Log-odds with an informative Dirichlet prior (a token's frequency in
-   both labels together, ``PRIOR`` documents in all) give each token a score and its standard error. Tokens whose
-   z-value is at least ``LEAST_Z`` and that ``LEAST_SHARE`` of the toxic documents hold keep their score; all others cost ``DRIFT``, so that the expected score of
+   both labels together, ``PRIOR`` documents in all) give each token a score. Tokens keep it if the signed root of
+   their likelihood ratio against the base rate is at least ``LEAST_Z``, which allows for the many tokens tested (a Wald
+   test is blind to tokens that one label never has); all others cost ``DRIFT``, so that the expected score of
    ordinary text is negative, which segment statistics need. One document of each family of copies counts (those with
    the same label and the same smallest 4-gram hash), or else a family's own words would pass for toxic ones.
 2. The best segment scores of non-toxic training documents, less the log of their length, follow a Gumbel law; its scale
@@ -38,8 +39,8 @@ TRAIN_ROWS = 20_000
 MAX_TOKENS = 50_000
 PRIOR = 100.0
 DRIFT = -0.25
-LEAST_Z = 6.0
-LEAST_SHARE = 0.01
+LEAST_Z = 5.0
+LEAST_DOCS = 4
 ALPHA = 0.01
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, n_passages int, passages array<struct<begin:int,end:int,score:double>>"
@@ -181,11 +182,12 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, target: str =
     prior = F.col("n") * F.lit(PRIOR / (yes + no))
     odds = lambda k, total: F.log((k + prior) / (F.lit(total + PRIOR) - k - prior))
     rest = F.col("n") - F.col("y")
+    rate = yes / (yes + no)
+    part = lambda k, share: F.when(k > 0, k * F.log(k / (F.col("n") * share))).otherwise(0.0)
     scored = (
-        counted.filter(F.col("y") >= max(2.0, LEAST_SHARE * yes))
-        .select("token", (odds(F.col("y"), yes) - odds(rest, no)).alias("delta"), F.sqrt(1 / (F.col("y") + prior) + 1 / (rest + prior)).alias("error"))
-        .filter(F.col("delta") >= LEAST_Z * F.col("error"))
-        .orderBy(F.desc(F.col("delta") / F.col("error")), "token").limit(MAX_TOKENS).collect()
+        counted.filter((F.col("y") >= LEAST_DOCS) & (F.col("y") > F.col("n") * rate))
+        .select("token", (odds(F.col("y"), yes) - odds(rest, no)).alias("delta"), F.sqrt(2 * (part(F.col("y"), rate) + part(rest, 1 - rate))).alias("z"))
+        .filter((F.col("z") >= LEAST_Z) & (F.col("delta") > 0)).orderBy(F.desc("z"), "token").limit(MAX_TOKENS).collect()
     )
     tokens = np.asarray([r["token"] for r in scored], np.int64).view(np.uint64)
     order = np.argsort(tokens)
