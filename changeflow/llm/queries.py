@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, toxicity
+from . import decontamination, quality, secret_scan, toxicity
 from .bpe import encode_documents
 from .chat import PLANTED, format_conversations, format_sql
 from .common import table
@@ -13,11 +13,19 @@ from .fingerprints import fingerprint_documents, fingerprint_sql
 from .sharding import shard_documents, shard_sql
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(spark, table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return encode_documents(spark, table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_documents(spark, docs, toxicity.train(spark, docs, table(spark, sf_dir, "labels")))
@@ -40,5 +48,5 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_conversations(spark, table(spark, sf_dir, "conversations"), extra=PLANTED)
 
 
-QUERIES = {f.__name__: f for f in (op4_byte_bpe, op6_toxicity, op7_sharding, op8_fingerprints, op9_quality, op10_chat_format)}
+QUERIES = {f.__name__: f for f in (op3_secret_scan, op4_byte_bpe, op5_decontamination, op6_toxicity, op7_sharding, op8_fingerprints, op9_quality, op10_chat_format)}
 ORACLES = {"op7_sharding": shard_sql(), "op8_fingerprints": fingerprint_sql(), "op10_chat_format": format_sql()}

@@ -227,11 +227,9 @@ _LONG = np.zeros(256, bool)
 _LONG[[ord(c) for c in string.ascii_letters + string.digits + "+/_=.-"]] = True
 _DIGITS = np.zeros(256, bool)
 _DIGITS[48:58] = True
-_MARKS = re.compile(rb"(?i)" + "|".join(NAMES).replace("_", "[_-]?").encode())
-
 
 def suspects(column: pa.Array) -> np.ndarray:
-    """Texts that may hold a candidate: a run of 12 with a digit, or a telling name. Found on bytes, many texts at a time."""
+    """Texts that may hold a candidate: a run of 12 with a digit, or an assignment. Found on bytes, many texts at a time."""
     raw, at = flat(column)
     run = _LONG[raw]
     edge = np.flatnonzero(np.diff(run.astype(np.int8), prepend=0, append=0))
@@ -245,8 +243,7 @@ def suspects(column: pa.Array) -> np.ndarray:
     first, last = np.searchsorted(at, begin[good], "right") - 1, np.searchsorted(at, end[good] - 1, "right") - 1
     for a, b in zip(first[last > first], last[last > first], strict=True):
         hit[a : b + 1] = True
-    named = [m.start() for m in _MARKS.finditer(raw)]
-    hit[np.searchsorted(at, named, "right") - 1] = True
+    hit[np.searchsorted(at, np.flatnonzero((raw == ord("=")) | (raw == ord(":"))), "right") - 1] = True
     return hit
 
 
