@@ -70,5 +70,17 @@ def bucket_of(key: Column, bounds: list[int], fan: int = 128) -> Column:
     return F.when(key.isNull(), 0).otherwise(n).cast("int")
 
 
+#: Keys of at most this many rows (8 bytes each) may be sent to all tasks; larger sets are joined by shuffle.
+BROADCAST_KEYS = 500_000
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of docs whose doc_id isn't among ``ids`` (one long column); rows without doc_id stay."""
+    name = ids.columns[0]
+    keys = ids.select(F.col(name).alias("_gone")).filter("_gone is not null").distinct()
+    keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+    return docs.join(keys, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)

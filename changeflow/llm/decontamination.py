@@ -27,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import checkpointed, without
 from .words import NOT_ALNUM, blocks, grams, words
 
 SEED_WORDS = 3
@@ -194,5 +195,4 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
 
 def keep_clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without a copy of any item, whole rows as they came."""
-    leaks = contaminated(spark, docs, benchmark).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, docs["doc_id"].cast("long") == F.col("_leak"), "left_anti")
+    return without(docs, checkpointed(spark, contaminated(spark, docs, benchmark).select("doc_id").distinct()))

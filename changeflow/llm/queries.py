@@ -10,9 +10,14 @@ from .bpe import encode_documents
 from .chat import PLANTED, format_conversations, format_sql
 from .common import table
 from .fingerprints import fingerprint_documents, fingerprint_sql
+from .jaccard_join import jaccard_classes, jaccard_sql
 from .sharding import shard_documents, shard_sql
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(spark, table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(spark, table(spark, sf_dir, "documents"))
 
@@ -48,5 +53,5 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_conversations(spark, table(spark, sf_dir, "conversations"), extra=PLANTED)
 
 
-QUERIES = {f.__name__: f for f in (op3_secret_scan, op4_byte_bpe, op5_decontamination, op6_toxicity, op7_sharding, op8_fingerprints, op9_quality, op10_chat_format)}
-ORACLES = {"op7_sharding": shard_sql(), "op8_fingerprints": fingerprint_sql(), "op10_chat_format": format_sql()}
+QUERIES = {f.__name__: f for f in (op2_jaccard_join, op3_secret_scan, op4_byte_bpe, op5_decontamination, op6_toxicity, op7_sharding, op8_fingerprints, op9_quality, op10_chat_format)}
+ORACLES = {"op2_jaccard_join": jaccard_sql(), "op7_sharding": shard_sql(), "op8_fingerprints": fingerprint_sql(), "op10_chat_format": format_sql()}
