@@ -1,12 +1,13 @@
 """Byte-level BPE: encoding by a lazily determinised transducer, decoding by an incremental UTF-8 machine.
 
 A merge list fixes, for every byte string, one sequence of tokens, and a sequence is that one exactly if each pair of
-neighbours is what the two alone would be merged to. So the last token of every prefix of a word is the one token that
-ends there and agrees with the last token of the prefix before it. ``Transducer`` turns that into states: a state holds
-the token before the open bytes, the open bytes, and the last token at each boundary inside. On a byte it moves on; a token
-is emitted as soon as every boundary from which a longer token could still start lies on the same path, which is at most
-one longest token of lookahead. States and moves are made when they are first needed and kept, up to a limit, after
-which they are dropped and made anew.
+neighbours is what the two alone would be merged to (``fits``). So the last token of every prefix of a word is the one
+token that ends there and agrees with the last token of the prefix before it. ``Transducer`` reads a byte at a time: its
+state is the longest end of the input that begins a token, with the longest token that ends there as output; shorter ones
+follow by links until one agrees. States, moves and links are made when they are first needed and kept; there are no more
+states than distinct beginnings of tokens. Inside a word longer than ``settle_at`` bytes, tokens are emitted as soon as
+every boundary from which a longer token could still start lies on the same path: one longest token of lookahead is
+enough to tell.
 
 Words are cut by the given pattern, as the published encoders do; a word's ids are kept in a bounded table so that the
 transducer runs for new words only. ``Utf8`` decodes token bytes as they come and holds back incomplete characters.
@@ -36,101 +37,134 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class Transducer:
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 1 << 17):
-        self.ranks, self.max_states = ranks, max_states
+    def __init__(self, ranks: dict[bytes, int], settle_at: int = 1 << 10, keep_pairs: int = 1 << 20):
+        self.ranks, self.settle_at, self.keep_pairs = ranks, settle_at, keep_pairs
         self.bytes_of = {i: b for b, i in ranks.items()}
+        self.length = {i: len(b) for b, i in ranks.items()}
         self.longest = max(map(len, ranks))
-        #: Proper prefixes of tokens: open bytes that may still grow into a token.
-        self.prefixes = {b[:i] for b in ranks for i in range(1, len(b))}
-        self.agree: dict[tuple[int, int], bool] = {}
-        self.reset()
-
-    def reset(self) -> None:
-        self.ids: dict[tuple, int] = {(None, b"", ()): 0}
-        self.states: list[tuple] = [(None, b"", ())]
-        self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
-        self.ends: list[tuple[int, ...] | None] = [()]
-
-    def merged(self, text: bytes) -> list[int]:
-        """Tokens of a short byte string by the merge list itself."""
+        self.begins = {b[:i] for b in ranks for i in range(1, len(b) + 1)}
+        self.halves: dict[int, tuple[int, int] | None] = {}
+        self.links: dict[int, int] = {}
+        self.pairs: dict[int, bool] = {}
+        self.ids, self.texts = {b"": 0}, [b""]
+        self.moves: list[dict[int, int]] = [{}]
+        self.outputs: list[int] = [-1]
+
+    def merged(self, text: bytes, least: int = 1) -> list[int]:
+        """Tokens of a short byte string by the merge list itself, or its last ``least`` parts before they are merged."""
         parts = [text[i : i + 1] for i in range(len(text))]
-        while len(parts) > 1:
+        while len(parts) > least:
             rank, i = min((self.ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
             if rank == 1 << 60:
                 break
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
         return [self.ranks[p] for p in parts]
 
-    def fits(self, a: int | None, b: int) -> bool:
-        if a is None:
-            return True
-        if (known := self.agree.get((a, b))) is None:
-            known = self.agree[a, b] = self.merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+    def split(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge makes this one; None for single bytes and for tokens that no merge makes."""
+        if token not in self.halves:
+            parts = self.merged(self.bytes_of[token], 2)
+            self.halves[token] = tuple(parts) if len(parts) == 2 else None
+        return self.halves[token]
+
+    def made(self, token: int) -> bool:
+        return self.length[token] == 1 or self.split(token) is not None
+
+    def fits(self, a: int, b: int) -> bool:
+        """Whether a and b stay apart when their bytes are merged together.
+
+        Merges are undone, the latest first. What then touches at the boundary must not have a merge that would have
+        come before the one undone; of equal merges the left one comes first.
+        """
+        key = a << 32 | b
+        known = self.pairs.get(key)
+        if known is None:
+            known, before, x, y = True, 1 << 60, a, b
+            while True:
+                across = self.ranks.get(self.bytes_of[x] + self.bytes_of[y])
+                if across is not None and across < before:
+                    known = False
+                    break
+                left, right = self.split(x), self.split(y)
+                if left and (x > y or not right):
+                    before, x = x, left[1]
+                elif right:
+                    before, y = y + 1, right[0]
+                else:
+                    break
+            if len(self.pairs) >= self.keep_pairs:
+                self.pairs.clear()
+            self.pairs[key] = known
         return known
 
-    def state(self, key: tuple) -> int:
-        if (i := self.ids.get(key)) is None:
-            i = self.ids[key] = len(self.states)
-            self.states.append(key)
+    def longest_end(self, text: bytes) -> int:
+        """The longest token made by merges that ends a byte string."""
+        return next(t for i in range(len(text)) if (t := self.ranks.get(text[i:])) is not None and self.made(t))
+
+    def link(self, token: int) -> int:
+        """The next shorter token that ends where this one ends."""
+        if (t := self.links.get(token)) is None:
+            t = self.links[token] = self.longest_end(self.bytes_of[token][1:])
+        return t
+
+    def move(self, state: int, byte: int) -> int:
+        text = self.texts[state] + bytes((byte,))
+        while text not in self.begins:
+            text = text[1:]
+        if (to := self.ids.get(text)) is None:
+            to = self.ids[text] = len(self.texts)
+            self.texts.append(text)
             self.moves.append({})
-            self.ends.append(None)
-        return i
+            self.outputs.append(self.longest_end(text))
+        self.moves[state][byte] = to
+        return to
 
-    def path(self, lasts: tuple[int, ...], end: int) -> list[int]:
-        """Tokens from the start of the open bytes to a boundary inside, last first."""
+    def path(self, lasts: list[int], end: int) -> list[int]:
+        """Tokens from the first open byte to a boundary, in order."""
         out = []
-        while end:
+        while end > 0:
             out.append(lasts[end - 1])
-            end -= len(self.bytes_of[out[-1]])
-        return out
-
-    def step(self, i: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        before, open_bytes, lasts = self.states[i]
-        grown = open_bytes + bytes((byte,))
-        n = len(grown)
-        for size in range(min(n, self.longest), 0, -1):
-            token = self.ranks.get(grown[n - size :])
-            if token is not None and self.fits(lasts[n - size - 1] if n > size else before, token) and self.merged_alone(token):
-                break
-        else:
-            raise ValueError("a byte is missing from the ranks")
-        lasts += (token,)
-        live = [j for j in range(max(0, n - self.longest + 1), n) if grown[j:] in self.prefixes] + [n]
-        paths = [self.path(lasts, j)[::-1] for j in live]
+            end -= self.length[out[-1]]
+        return out[::-1]
+
+    def settled(self, text: bytes, lasts: list[int]) -> list[int]:
+        """Tokens that no further byte can change: the common start of the paths to all live boundaries."""
+        n = len(text)
+        live = [n, *(j for j in range(max(1, n - self.longest + 1), n) if text[j:] in self.begins)]
         done = []
-        for tokens in zip(*paths, strict=False):
+        for tokens in zip(*(self.path(lasts, j) for j in live), strict=False):
             if len(set(tokens)) > 1:
                 break
             done.append(tokens[0])
-        shift = sum(len(self.bytes_of[t]) for t in done)
-        move = self.state((done[-1] if done else before, grown[shift:], lasts[shift:])), tuple(done)
-        self.moves[i][byte] = move
-        return move
-
-    def merged_alone(self, token: int) -> bool:
-        """Tokens that the merge list itself never builds are never emitted inside a word."""
-        key = (-1, token)
-        if (known := self.agree.get(key)) is None:
-            known = self.agree[key] = self.merged(self.bytes_of[token]) == [token]
-        return known
+        return done
 
     def encode(self, word: bytes) -> list[int]:
         if (whole := self.ranks.get(word)) is not None:
             return [whole]
-        if len(self.states) > self.max_states:
-            self.reset()
-        if len(self.agree) > 4 * self.max_states:
-            self.agree.clear()
-        out, i, moves = [], 0, self.moves
-        for byte in word:
-            move = moves[i].get(byte) or self.step(i, byte)
-            i = move[0]
-            if move[1]:
-                out += move[1]
-        if (end := self.ends[i]) is None:
-            _, open_bytes, lasts = self.states[i]
-            end = self.ends[i] = tuple(self.path(lasts, len(open_bytes))[::-1])
-        return [*out, *end]
+        out: list[int] = []
+        moves, outputs, length, pairs = self.moves, self.outputs, self.length, self.pairs
+        lasts, state, n, open_from, before = [], 0, 0, 0, None
+        for at, byte in enumerate(word, 1):
+            to = moves[state].get(byte)
+            state = self.move(state, byte) if to is None else to
+            token, n = outputs[state], n + 1
+            while True:
+                k = n - length[token]
+                last = lasts[k - 1] if k > 0 else before if k == 0 else -1
+                if last is None:
+                    break
+                if last >= 0:
+                    fit = pairs.get(last << 32 | token)
+                    if self.fits(last, token) if fit is None else fit:
+                        break
+                token = self.link(token)
+            lasts.append(token)
+            if n >= self.settle_at and n % self.longest == 0 and (done := self.settled(word[open_from:at], lasts)):
+                out += done
+                shift = sum(length[t] for t in done)
+                before, open_from, n = done[-1], open_from + shift, n - shift
+                del lasts[:shift]
+        return out + self.path(lasts, n)
 
 
 class Utf8:
