@@ -12,6 +12,11 @@ from .common import table
 from .fingerprints import fingerprint_documents, fingerprint_sql
 from .jaccard_join import jaccard_classes, jaccard_sql
 from .sharding import shard_documents, shard_sql
+from .suffix_dedup import remove_repeats
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(spark, table(spark, sf_dir, "documents"), 200)
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,5 +58,5 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_conversations(spark, table(spark, sf_dir, "conversations"), extra=PLANTED)
 
 
-QUERIES = {f.__name__: f for f in (op2_jaccard_join, op3_secret_scan, op4_byte_bpe, op5_decontamination, op6_toxicity, op7_sharding, op8_fingerprints, op9_quality, op10_chat_format)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_jaccard_join, op3_secret_scan, op4_byte_bpe, op5_decontamination, op6_toxicity, op7_sharding, op8_fingerprints, op9_quality, op10_chat_format)}
 ORACLES = {"op2_jaccard_join": jaccard_sql(), "op7_sharding": shard_sql(), "op8_fingerprints": fingerprint_sql(), "op10_chat_format": format_sql()}
