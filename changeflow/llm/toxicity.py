@@ -251,3 +251,19 @@ def score_documents(spark: SparkSession, docs: DataFrame, model: Model) -> DataF
             )
 
     return docs.select(F.col("doc_id").cast("long"), held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(task, SCHEMA)
+
+
+def keep_clean(spark: SparkSession, docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """Rows whose text scores below the threshold, as they came."""
+    sent, place = spark.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = sent.value
+        table = Table(m.tokens, m.scores)
+        for batch in batches:
+            facts = [evidence(m, n, [s for _, _, s in spans]) for _, n, spans in passages(table, batch.column(place))]
+            f = np.asarray(facts).reshape(-1, 2)
+            if (keep := m.probability(f[:, 0], f[:, 1]) < threshold).any():
+                yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(task, docs.schema)
