@@ -1,6 +1,6 @@
 """All registered queries and their SQL, but those of the training-data operators."""
 
-from . import changes
+from . import changes, events
 
-QUERIES = {**changes.QUERIES}
-ORACLES = {**changes.ORACLES}
+QUERIES = {**changes.QUERIES, **events.QUERIES}
+ORACLES = {**changes.ORACLES, **events.ORACLES}
