@@ -1,6 +1,6 @@
 """All registered queries and their SQL, but those of the training-data operators."""
 
-from . import changes, events
+from . import changes, events, schemas
 
-QUERIES = {**changes.QUERIES, **events.QUERIES}
-ORACLES = {**changes.ORACLES, **events.ORACLES}
+QUERIES = {**changes.QUERIES, **events.QUERIES, **schemas.QUERIES}
+ORACLES = {**changes.ORACLES, **events.ORACLES, **schemas.ORACLES}
