@@ -88,8 +88,8 @@ class Rules:
                     tests.append(inner.isNull() | self.check(s, inner))
             elif key in ("items", "contains"):
                 values = F.try_variant_get(v, "$", "array<variant>")
-                test = F.forall if key == "items" else F.exists
-                tests.append(~_type_is(v, "array") | F.coalesce(test(values, lambda x, s=want: self.check(s, x)), F.lit(key == "items")))
+                every = F.forall(values, self._test(want)) if key == "items" else F.exists(values, self._test(want))
+                tests.append(~_type_is(v, "array") | F.coalesce(every, F.lit(key == "items")))
             else:
                 raise ValueError(f"schema keyword {key!r} is not supported")
         out = F.lit(True)
@@ -97,6 +97,9 @@ class Rules:
             out = out & F.coalesce(t, F.lit(False))
         return out
 
+    def _test(self, schema: dict):
+        return lambda x: self.check(schema, x)
+
     def validate(self, events: DataFrame) -> DataFrame:
         """Events that a rule accepts, with ``validated_path``; events of tables without a rule are dropped."""
         images = [F.when(F.length(c) > 0, F.try_parse_json(c)).alias(c) for c in ("before", "after")]

@@ -1,6 +1,6 @@
 """All registered queries and their SQL, but those of the training-data operators."""
 
-from . import changes, events, schemas
+from . import changes, events, schemas, snapshots
 
-QUERIES = {**changes.QUERIES, **events.QUERIES, **schemas.QUERIES}
-ORACLES = {**changes.ORACLES, **events.ORACLES, **schemas.ORACLES}
+QUERIES = {**changes.QUERIES, **events.QUERIES, **schemas.QUERIES, **snapshots.QUERIES}
+ORACLES = {**changes.ORACLES, **events.ORACLES, **schemas.ORACLES, **snapshots.ORACLES}

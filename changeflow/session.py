@@ -10,9 +10,13 @@ from pyspark.sql import SparkSession
 
 _sent: set[str] = set()
 
+#: Rows of an Arrow batch. Documents are large rows: the usual 10,000 would make batches of many MB in every Python worker.
+BATCH_ROWS = "1000"
+
 
 def ship(spark: SparkSession) -> SparkSession:
     """Make this package importable in Python workers, once for each application, wherever the driver was started."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app not in _sent:
         here = os.path.dirname(os.path.abspath(__file__))
