@@ -103,9 +103,9 @@ class Items:
         df = np.asarray([frequency.get(s, 0) for s in self.seeds.view(np.int64).tolist()], np.int64)
         order = np.lexsort((self.place, df, self.item))
         counts = np.bincount(self.item, minlength=len(self.ids))
-        rank = np.arange(len(order)) - np.repeat(np.concatenate([[0], np.cumsum(counts)[:-1]]), counts)
+        starts = np.cumsum(counts) - counts
+        rank = np.arange(len(order)) - np.repeat(starts, counts)
         half = np.maximum(counts // 2, LEAST_SEEDS)
-        starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
         middle = np.where(counts > 0, df[order][np.minimum(starts + counts // 2, max(len(order) - 1, 0))] if len(order) else 0, 0)
         kept = order[(rank < np.repeat(half, counts)) | (df[order] <= np.repeat(2 * middle + 8, counts))]
         self.set(self.seeds[kept], self.item[kept], self.place[kept])
