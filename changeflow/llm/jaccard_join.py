@@ -8,11 +8,13 @@ the whole sequence). Two documents link when 100 * intersection >= percent * uni
 2. Groups. Sets with an equal min-hash are probably alike. Each set is compared with one leader of each of its three
    groups (the set with most copies), exactly, and what links forms a group: a star, not all pairs.
 3. Token-group matrix. Shingles are ordered from rare to frequent; two sets that link must share one of the first
-   n - ceil(percent * n / 100) + 1 of each. A group's tokens are the union of its members' first tokens. Tokens of one group
-   alone are dropped (a family of copies is one group, so its tokens cost nothing). For every set and every other group the
-   tokens in common bound the overlap that any member can have; groups below what a link needs stay closed.
-4. Members of open groups that share first tokens with the set are bounded in the same way, pair by pair, and the rest
-   compared exactly. Links of both rounds together give the classes.
+   n - ceil(percent * n / 100) + 1 of each, and as many of them as ``common`` says for their sizes. A group's tokens are the
+   union of its members' first tokens. Tokens of one group alone are dropped (a family of copies is one group, so its tokens
+   cost nothing). If c tokens are common to two sets, the rarest of these has c - 1 common ones behind it in both; so a set
+   probes a group with a token only if enough of its tokens, and of some member's, are behind it, for the sizes that the group
+   has. Groups without such a token stay closed.
+4. Members of open groups are bounded in the same way, then by all first tokens in common, and what is left is compared
+   exactly. Links of both rounds together give the classes.
 
 The order of shingles comes from at most ``FREQUENT`` frequent shingles, which are sent to all tasks; it decides speed only,
 any order gives the same links. Whole shingle sets are moved only for sets that are compared: a Bloom filter of fixed size
@@ -29,7 +31,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import checkpointed, stored, without
@@ -293,27 +296,42 @@ class Join:
         known = self.sets.select("rid", "d1", "d2").join(groups.withColumnRenamed("node", "rid"), "rid", "left").withColumn("grp", F.coalesce("root", "rid"))
         tokens = first.join(known.select("d1", "d2", "rid", "grp"), ["d1", "d2"]).select(F.explode("first").alias("token"), "rid", "grp")
         shared = tokens.repartition("token").sortWithinPartitions("token", "grp").mapInArrow(_several, "token long, rid long, grp long")
-        shared = stored(self.spark, shared, "shared")
-        sizes = self.sets.select("rid", "n")
+        shared = checkpointed(self.spark, shared)
+        facts = shared.groupBy("rid").agg(F.count(F.lit(1)).alias("m")).join(self.sets.select("rid", "n"), "rid")
+        often = checkpointed(self.spark, shared.groupBy("token").agg(F.count(F.lit(1)).alias("df")))
+        ranked = shared.join(often, "token").withColumn("rank", F.row_number().over(W.partitionBy("rid").orderBy("df", "token")))
+        shared = stored(self.spark, ranked.join(facts, "rid"), "shared")
+        # rows of the matrix: tokens of a group, with the extremes of the members that hold them
+        matrix = shared.groupBy("token", F.col("grp").alias("g")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min(F.col("rank") - F.col("m")).alias("front"))
         p = self.percent
-        rest = lambda n: F.expr(f"{n} - ({n} - cast(ceil({p} * {n} / 100) as bigint) + 1)")  # noqa: E731  tokens after the first ones
-        need = lambda n, m: F.expr(f"cast(ceil({p} * ({n} + {m}) / {100 + p}) as bigint)")
-        member = shared.select("rid", "grp").distinct().join(sizes, "rid")
-        extent = member.groupBy("grp").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-        # rows of the matrix: tokens of a group
-        matrix = shared.select("token", F.col("grp").alias("g")).distinct()
-        bound = shared.join(matrix, "token").filter("grp <> g").groupBy("rid", "g").agg(F.count(F.lit(1)).alias("c"))
-        bound = bound.join(sizes, "rid").join(extent.withColumnRenamed("grp", "g"), "g")
-        bound = bound.withColumn("low", F.greatest("low", F.expr(f"cast(ceil({p} * n / 100) as bigint)"))).withColumn("high", F.least("high", F.expr(f"cast(floor(100 * n / {p}) as bigint)")))
-        open_ = bound.filter((F.col("low") <= F.col("high")) & (F.col("c") + F.greatest(rest("n"), rest("high")) >= need("n", "low"))).select(F.col("rid").alias("q"), "g")
-        open_ = checkpointed(self.spark, open_)
-        mine = shared.select(F.col("rid").alias("q"), "token").join(open_, "q")
-        pairs = mine.join(shared.select("token", F.col("grp").alias("g"), F.col("rid").alias("y")), ["token", "g"])
-        # every link is found from the side whose group was opened; the smaller id comes first
-        pairs = pairs.groupBy("q", "y").agg(F.count(F.lit(1)).alias("c"))
-        pairs = pairs.join(sizes.select(F.col("rid").alias("q"), F.col("n").alias("qn")), "q").join(sizes.select(F.col("rid").alias("y"), F.col("n").alias("yn")), "y")
-        pairs = pairs.filter(self.near("qn", "yn") & (F.col("c") + F.greatest(rest("qn"), rest("yn")) >= need("qn", "yn")))
-        return pairs.select(F.least("q", "y").alias("a"), F.greatest("q", "y").alias("b")).distinct()
+        smallest, largest = F.greatest("low", F.expr(f"cast(ceil({p} * n / 100) as bigint)")), F.least("high", F.expr(f"cast(floor(100 * n / {p}) as bigint)"))
+        least = F.greatest(self.common(F.col("n"), smallest, largest), F.lit(1))
+        fits = (F.col("grp") != F.col("g")) & (smallest <= largest) & (F.col("rank") - F.col("m") <= 1 - least) & (F.col("front") <= 1 - least)
+        open_ = shared.alias("s").join(matrix, (F.col("s.token") == matrix["token"]) & fits)
+        open_ = open_.select("s.token", F.col("rid").alias("q"), "g", F.col("n").alias("qn"), (F.col("rank") - F.col("m")).alias("qfront"))
+        y, x = shared.alias("y"), open_.alias("x")
+        least = F.greatest(self.common(F.col("qn"), F.col("n"), F.col("n")), F.lit(1))
+        meets = (F.col("x.token") == F.col("y.token")) & (F.col("x.g") == F.col("y.grp")) & self.near("qn", "n") & (F.col("qfront") <= 1 - least) & (F.col("rank") - F.col("m") <= 1 - least)
+        pairs = x.join(y, meets).select(F.least("q", "rid").alias("a"), F.greatest("q", "rid").alias("b")).distinct()
+        # all common first tokens of a pair, from the few that others share at all
+        lists = checkpointed(self.spark, shared.groupBy("rid", "n").agg(F.collect_list("token").alias("tokens")))
+        for side in ("a", "b"):
+            pairs = pairs.join(lists.select(F.col("rid").alias(side), F.col("n").alias(f"{side}n"), F.col("tokens").alias(f"{side}t")), side)
+        both = F.size(F.array_intersect("at", "bt"))
+        return pairs.filter(both >= F.ceil((F.col("an") + F.col("bn")) * p / (100 + p)) - self.rest_of(F.col("an"), F.col("bn"))).select("a", "b")
+
+    def rest_of(self, n: Column, high: Column) -> Column:
+        """The larger number of tokens after the first ones."""
+        return F.greatest(F.ceil(n * self.percent / 100), F.ceil(high * self.percent / 100)).cast("long") - 1
+
+    def common(self, n: Column, low: Column, high: Column) -> Column:
+        """First tokens that a set of n tokens shares at least with any set of ``low`` to ``high`` tokens that it links with.
+
+        A link has ceil(percent * (n + m) / (100 + percent)) tokens in common. The set whose first tokens end earlier has
+        only its rest besides, so the rest of one of the two and the shared first tokens must be as many.
+        """
+        p = self.percent
+        return F.ceil((n + low) * p / (100 + p)).cast("long") - self.rest_of(n, high)
 
     def classes(self) -> DataFrame:
         """doc_id, n_shingles, component_id."""
@@ -324,7 +342,7 @@ class Join:
         ids = self.sets.select("rid", "d1", "d2").join(roots.withColumnRenamed("node", "rid"), "rid", "left").select("d1", "d2", F.coalesce("root", "rid").alias("root"))
         placed = self.docs.join(ids, ["d1", "d2"], "left")
         placed = stored(self.spark, placed.select("doc_id", "n", F.when(F.col("n") > 0, F.col("root")).alias("root")), "placed")
-        least = placed.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("class_size"))
+        least = checkpointed(self.spark, placed.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("class_size")))
         out = placed.join(least, "root", "left")
         return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"))
 
