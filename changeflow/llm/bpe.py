@@ -37,7 +37,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class Transducer:
-    def __init__(self, ranks: dict[bytes, int], settle_at: int = 1 << 10, keep_pairs: int = 1 << 20):
+    def __init__(self, ranks: dict[bytes, int], settle_at: int = 1 << 10, keep_pairs: int = 1 << 19):
         self.ranks, self.settle_at, self.keep_pairs = ranks, settle_at, keep_pairs
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.length = {i: len(b) for b, i in ranks.items()}
@@ -215,7 +215,7 @@ class Utf8:
 class Codec:
     """Ids are little-endian unsigned 32-bit integers in bytes. keep_words bounds the table of words already encoded."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, keep_words: int = 1 << 19):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, keep_words: int = 1 << 18):
         self.machine, self.cut, self.keep = Transducer(ranks), regex.compile(pattern), keep_words
         self.known: dict[str, bytes] = {}
 
