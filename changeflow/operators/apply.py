@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from ..model import DELETE, UPDATE
 
 
+#: Span of the order column that is folded as one group of a key.
+BLOCK = 1_000_000
+
+
 def _last_delete(changes: DataFrame, key: str, order: str) -> DataFrame:
     return changes.withColumn("_ld", F.max(F.when(F.col("op") == DELETE, F.col(order))).over(W.partitionBy(key)))
 
@@ -31,14 +35,26 @@ def _merge(target: DataFrame, folded: DataFrame, key: str, columns: list[str], v
     return both.filter(base | tail).select(key, *[value(c, base, F.col(f"_old_{c}")).alias(c) for c in columns])
 
 
-def _fold_columns(changes: DataFrame, key: str, columns: list[str], order: str, hit: Callable[[str], Column]) -> DataFrame:
-    rows = _last_delete(changes, key, order)
+def _fold_columns(changes: DataFrame, key: str, columns: list[str], order: str, hit: Callable[[str], Column], block: int = BLOCK) -> DataFrame:
+    """One row a key: changes after the last DELETE (_tail), whether there was one (_deleted), place of the first change after it
+    (_first), and for each column the place and value of its last hit (_at_, _hit_) and its value in the first change (_ins_).
+
+    Changes are folded in blocks of the order first, then the blocks' rows: a key with very many changes is many groups, each
+    in a task of its own, and only its few block rows meet.
+    """
+    blocked = changes.withColumn("_block", F.floor(F.col(order) / block))
+    rows = blocked.withColumn("_ld", F.max(F.when(F.col("op") == DELETE, F.col(order))).over(W.partitionBy(key, "_block")))
     in_tail = F.col("_ld").isNull() | (F.col(order) > F.col("_ld"))
     at = lambda cond: F.when(in_tail & cond, F.col(order))
-    aggregates = [F.count(F.when(in_tail, 1)).alias("_tail"), F.max("_ld").isNotNull().alias("_deleted"), F.min(at(F.lit(True))).alias("_first")]
+    first = at(F.lit(True))
+    part = [F.count(first).alias("_tail"), F.max("_ld").isNotNull().alias("_deleted"), F.min(first).alias("_first")]
+    whole = [F.sum("_tail").alias("_tail"), F.max("_deleted").alias("_deleted"), F.min("_first").alias("_first")]
     for c in columns:
-        aggregates += [F.max(at(hit(c))).alias(f"_at_{c}"), F.max_by(c, at(hit(c))).alias(f"_hit_{c}"), F.min_by(c, at(F.lit(True))).alias(f"_ins_{c}")]
-    return rows.groupBy(key).agg(*aggregates)
+        part += [F.max(at(hit(c))).alias(f"_at_{c}"), F.max_by(c, at(hit(c))).alias(f"_hit_{c}"), F.min_by(c, first).alias(f"_ins_{c}")]
+        whole += [F.max(f"_at_{c}").alias(f"_at_{c}"), F.max_by(f"_hit_{c}", f"_at_{c}").alias(f"_hit_{c}"), F.min_by(f"_ins_{c}", "_first").alias(f"_ins_{c}")]
+    blocks = rows.groupBy(key, "_block").agg(*part)
+    blocks = blocks.withColumn("_from", F.max(F.when(F.col("_deleted"), F.col("_block"))).over(W.partitionBy(key)))
+    return blocks.filter(F.col("_from").isNull() | (F.col("_block") >= F.col("_from"))).groupBy(key).agg(*whole)
 
 
 def changed_columns_upsert(target: DataFrame, changes: DataFrame, key: str, columns: list[str], order: str) -> DataFrame:
@@ -49,9 +65,7 @@ def changed_columns_upsert(target: DataFrame, changes: DataFrame, key: str, colu
 
 def replace_rows(target: DataFrame, changes: DataFrame, key: str, columns: list[str], order: str) -> DataFrame:
     """MySQL rule: the last row image replaces the row."""
-    rows = _last_delete(changes, key, order)
-    at = F.when(F.col("_ld").isNull() | (F.col(order) > F.col("_ld")), F.col(order))
-    folded = rows.groupBy(key).agg(F.count(at).alias("_tail"), F.max("_ld").isNotNull().alias("_deleted"), *[F.max_by(c, at).alias(f"_hit_{c}") for c in columns])
+    folded = _fold_columns(changes, key, columns, order, lambda c: F.lit(True))
     return _merge(target, folded, key, columns, lambda c, base, old: F.when(F.coalesce("_tail", F.lit(0)) > 0, F.col(f"_hit_{c}")).otherwise(old))
 
 

@@ -68,7 +68,9 @@ def newer(state, pk, op, diff, new):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_rules_match_a_fold(spark, seed):
+@pytest.mark.parametrize("block", [7, 1_000_000])
+def test_rules_match_a_fold(spark, seed, block, monkeypatch):
+    monkeypatch.setattr(apply._fold_columns, "__defaults__", (block,))
     target, changes = frames(spark, seed)
     assert rows(apply.changed_columns_upsert(target, changes, "pk", COLS, "seq")) == fold(seed, upsert)
     assert rows(apply.replace_rows(target, changes, "pk", COLS, "seq")) == fold(seed, replace)
