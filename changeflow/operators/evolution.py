@@ -6,7 +6,7 @@ catalogs are rows (table, column, type). Both are small dimensions; plans over t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -80,3 +80,29 @@ def migration_plan(events: DataFrame, schemas: DataFrame, current: DataFrame, or
     new = F.sort_array(F.array_except("_cols", "_had"))
     action = F.when(F.col("_n") == 1, "create").when(F.size(new) > 0, "add_columns").otherwise("advance")
     return steps.filter("first_seq >= 0").select("table", "version", "first_seq", action.alias("action"), F.when(F.col("_n") > 1, new).otherwise(F.array().cast("array<string>")).alias("columns"))
+
+
+def migrate(spark: SparkSession, database: str, schema: DataFrame, plan: DataFrame) -> list[str]:
+    """Carry out a reconcile or migration plan on tables of the session's catalog; returns the statements.
+
+    New tables are created, existing ones get their missing columns; nothing is dropped or retyped.
+    """
+    typed = with_types(column_order(schema), "spark")
+    columns: dict[str, list[tuple[str, str]]] = {}
+    for r in typed.orderBy("table", "version", "place").select("table", "column", "sql_type").collect():  # metadata, a row a column
+        if (r["column"], r["sql_type"]) not in columns.setdefault(r["table"], []):
+            columns[r["table"]].append((r["column"], r["sql_type"]))
+    done = []
+    for step in plan.select("table", "action", "columns").collect():
+        name = f"`{database}`.`{step['table']}`"
+        wanted = columns.get(step["table"], [])
+        if step["action"] == "create":
+            done.append(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(f'`{c}` {t}' for c, t in wanted)}) USING parquet")
+        elif step["columns"]:
+            there = {f.name for f in spark.table(name).schema}
+            new = [(c, t) for c, t in wanted if c in step["columns"] and c not in there]
+            if new:
+                done.append(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{c}` {t}' for c, t in new)})")
+    for statement in done:
+        spark.sql(statement)
+    return done
