@@ -12,10 +12,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as changes of users: pk, seq, op, diff, value, props, ts."""
+def event_feed(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """``events``, or a stream of its rows, as changes of users: pk, seq, op, diff, value, props, ts."""
     kind = F.col("event_type")
-    return table(spark, sf_dir, "events").select(
+    return (table(spark, sf_dir, "events") if events is None else events).select(
         F.col("user_id").alias("pk"), F.col("event_id").alias("seq"), F.when(kind == "signup", "INSERT").when(kind == "error", "DELETE").otherwise("UPDATE").alias("op"),
         F.when(kind == "click", F.array(F.lit("value"))).when(kind == "view", F.array(F.lit("props"))).when(kind == "purchase", F.array(F.lit("value"), F.lit("props"))).otherwise(F.array().cast("array<string>")).alias("diff"),
         *COLUMNS,

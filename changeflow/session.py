@@ -30,3 +30,13 @@ def ship(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(path)
         _sent.add(app)
     return spark
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    where = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not where:
+        where = "file://" + os.path.join(tempfile.gettempdir(), "changeflow-checkpoints")
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(where)
+    return where
