@@ -2,40 +2,37 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that share a doc_id are separate documents everywhere; columns beyond these are ignored.
-DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
+from ..session import shared_dir
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    conf = spark.sparkContext.getConf()
-    where = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = "file://" + os.path.join(tempfile.gettempdir(), "changeflow-checkpoints")
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(where)
-    return where
-
+def stored(spark: SparkSession, df: DataFrame, name: str, kept: list[str] | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: lineage ends here and lost executors cost nothing.
 
-def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends here and lost executors cost nothing."""
+    The path is added to ``kept``, for ``drop_stored`` once nothing that is still to be computed reads it.
+    """
     path = f"{shared_dir(spark).rstrip('/')}/changeflow-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    if kept is not None:
+        kept.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(spark: SparkSession, kept: list[str]) -> None:
+    """Delete stored tables."""
+    for path in kept:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    kept.clear()
+
+
 def checkpointed(spark: SparkSession, df: DataFrame) -> DataFrame:
     shared_dir(spark)
     return df.checkpoint()
@@ -82,5 +79,11 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(keys, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
+def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """The ``rows`` rows with the smallest hashes of an integer key, whatever the partitioning.
+
+    A first cut by hash keeps about three times as many, so that no task or merge handles more than its share of them.
+    """
+    share = min(1.0, 3 * rows / max(df.count(), 1))
+    place = F.pmod(F.xxhash64(key), F.lit(1 << 40))
+    return df.filter(place < int(share * (1 << 40)) + 1).orderBy(place, key).limit(rows)

@@ -13,8 +13,8 @@ the whole sequence). Two documents link when 100 * intersection >= percent * uni
    cost nothing). If c tokens are common to two sets, the rarest of these has c - 1 common ones behind it in both; so a set
    probes a group with a token only if enough of its tokens, and of some member's, are behind it, for the sizes that the group
    has. Groups without such a token stay closed.
-4. Members of open groups are bounded in the same way, then by all first tokens in common, and what is left is compared
-   exactly. Links of both rounds together give the classes.
+4. Members of open groups are bounded in the same way, by parity bits of both whole sets (which differ in no more places
+   than the sets have shingles apart), then by all first tokens in common, and what is left is compared exactly. Links of both rounds together give the classes.
 
 The order of shingles comes from at most ``FREQUENT`` frequent shingles, which are sent to all tasks; it decides speed only,
 any order gives the same links. Whole shingle sets are moved only for sets that are compared: a Bloom filter of fixed size
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import checkpointed, stored, without
+from .common import checkpointed, drop_stored, stored, without
 from .components import components
 from .words import LOWER, SPACE, U, blocks, grams, mix, words
 
@@ -43,6 +43,8 @@ FREQUENT = 100_000
 SEEDS = (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x3C6EF372FE94F82B)
 BLOOM_BITS = 1 << 25
 HELD = 100_000
+PARITY = 512
+BITS = [f"b{i}" for i in range(PARITY // 64)]
 
 
 def sets(column: pa.Array, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -79,12 +81,25 @@ def _digest(found: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return _reduce(np.add, mix(found ^ U(0x9B05688C2B3E6C1F)), offsets), _reduce(np.add, mix(found ^ U(0x510E527FADE682D1)), offsets)
 
 
+def _parity(found: np.ndarray, offsets: np.ndarray, at_once: int = 2000) -> np.ndarray:
+    """For each slice, ``PARITY`` bits: whether an odd number of its shingles falls in each of as many classes."""
+    rows = len(offsets) - 1
+    out = np.zeros((rows, PARITY // 64), U)
+    kind = (mix(found ^ U(0x71374491428A2F98)) % U(PARITY)).astype(np.int64)
+    for a in range(0, rows, at_once):
+        b = min(rows, a + at_once)
+        doc = np.repeat(np.arange(b - a), np.diff(offsets[a : b + 1]))
+        odd = np.bincount(doc * PARITY + kind[offsets[a] : offsets[b]], minlength=(b - a) * PARITY) & 1
+        out[a:b] = np.packbits(odd.astype(np.uint8).reshape(b - a, PARITY), axis=1, bitorder="little").view("<u8")
+    return out
+
+
 def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
 def _describe(k: int):
-    names = ["kind", "doc_id", "n", "d1", "d2", "m1", "m2", "m3"]
+    names = ["kind", "doc_id", "n", "d1", "d2", "m1", "m2", "m3", *BITS]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, often = [], []
@@ -93,7 +108,7 @@ def _describe(k: int):
             for first_row, rows, found, at in sets(batch.column(1), k):
                 d1, d2 = _digest(found, at)
                 mins = [_long(_reduce(np.minimum, mix(found ^ U(s)), at)) for s in SEEDS]
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(rows, np.int8)), ids.slice(first_row, rows), pa.array(np.diff(at)), _long(d1), _long(d2), *mins], names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(rows, np.int8)), ids.slice(first_row, rows), pa.array(np.diff(at)), _long(d1), _long(d2), *mins, *(_long(np.ascontiguousarray(b)) for b in _parity(found, at).T)], names)
                 token, n = np.unique(found, return_counts=True)
                 seen.append(token[n > 1])
                 often.append(n[n > 1])
@@ -103,9 +118,9 @@ def _describe(k: int):
             token, n = token[n > 2], n[n > 2]
             for i in range(0, len(token), 10_000):
                 part, none = token[i : i + 10_000], pa.nulls(len(token[i : i + 10_000]), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(part), np.int8)), none, pa.array(n[i : i + 10_000]), _long(part), none, none, none, none], names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(part), np.int8)), none, pa.array(n[i : i + 10_000]), _long(part), *[none] * (4 + len(BITS))], names)
 
-    return task, "kind byte, doc_id long, n long, d1 long, d2 long, m1 long, m2 long, m3 long"
+    return task, "kind byte, doc_id long, n long, d1 long, d2 long, m1 long, m2 long, m3 long, " + ", ".join(f"{b} long" for b in BITS)
 
 
 class Order:
@@ -257,11 +272,12 @@ class Join:
 
     def __init__(self, spark: SparkSession, docs: DataFrame, words: int, percent: int):
         self.spark, self.k, self.percent = spark, words, percent
+        self.kept: list[str] = []
         self.texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        self.facts = stored(spark, self.texts.mapInArrow(*_describe(words)), "facts")
+        self.facts = stored(spark, self.texts.mapInArrow(*_describe(words)), "facts", self.kept)
         self.docs = self.facts.filter("kind = 0").select("doc_id", "n", "d1", "d2")
-        distinct = self.facts.filter("kind = 0 and n > 0").groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("n", "m1", "m2", "m3")])
-        self.sets = stored(spark, distinct.withColumn("rid", F.monotonically_increasing_id()), "sets")
+        distinct = self.facts.filter("kind = 0 and n > 0").groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("n", "m1", "m2", "m3", *BITS)])
+        self.sets = stored(spark, distinct.withColumn("rid", F.monotonically_increasing_id()), "sets", self.kept)
 
     def near(self, n: str, m: str):
         """Sizes that allow a link."""
@@ -269,12 +285,12 @@ class Join:
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """Those of the pairs (a, b) of set ids that link."""
-        pairs = stored(self.spark, pairs, f"{name}-pairs")
+        pairs = stored(self.spark, pairs, f"{name}-pairs", self.kept)
         ids = pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid"))).distinct()
         keys = checkpointed(self.spark, self.sets.select("rid", "d1", "d2").join(ids, "rid"))
         tokens = self.texts.select("text").mapInArrow(*_wanted(self.k, _bloom(self.spark, keys)))
         tokens = tokens.join(keys, ["d1", "d2"]).groupBy("rid").agg(F.first("tokens").alias("tokens"))
-        tokens = stored(self.spark, tokens, f"{name}-tokens")
+        tokens = stored(self.spark, tokens, f"{name}-tokens", self.kept)
         left = tokens.select(F.col("rid").alias("a"), F.col("tokens").alias("x"))
         right = tokens.select(F.col("rid").alias("b"), F.col("tokens").alias("y"))
         return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(*_compare(self.percent))
@@ -297,10 +313,10 @@ class Join:
         tokens = first.join(known.select("d1", "d2", "rid", "grp"), ["d1", "d2"]).select(F.explode("first").alias("token"), "rid", "grp")
         shared = tokens.repartition("token").sortWithinPartitions("token", "grp").mapInArrow(_several, "token long, rid long, grp long")
         shared = checkpointed(self.spark, shared)
-        facts = shared.groupBy("rid").agg(F.count(F.lit(1)).alias("m")).join(self.sets.select("rid", "n"), "rid")
+        facts = shared.groupBy("rid").agg(F.count(F.lit(1)).alias("m")).join(self.sets.select("rid", "n", *BITS), "rid")
         often = checkpointed(self.spark, shared.groupBy("token").agg(F.count(F.lit(1)).alias("df")))
         ranked = shared.join(often, "token").withColumn("rank", F.row_number().over(W.partitionBy("rid").orderBy("df", "token")))
-        shared = stored(self.spark, ranked.join(facts, "rid"), "shared")
+        shared = stored(self.spark, ranked.join(facts, "rid"), "shared", self.kept)
         # rows of the matrix: tokens of a group, with the extremes of the members that hold them
         matrix = shared.groupBy("token", F.col("grp").alias("g")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min(F.col("rank") - F.col("m")).alias("front"))
         p = self.percent
@@ -308,11 +324,15 @@ class Join:
         least = F.greatest(self.common(F.col("n"), smallest, largest), F.lit(1))
         fits = (F.col("grp") != F.col("g")) & (smallest <= largest) & (F.col("rank") - F.col("m") <= 1 - least) & (F.col("front") <= 1 - least)
         open_ = shared.alias("s").join(matrix, (F.col("s.token") == matrix["token"]) & fits)
-        open_ = open_.select("s.token", F.col("rid").alias("q"), "g", F.col("n").alias("qn"), (F.col("rank") - F.col("m")).alias("qfront"))
+        open_ = open_.select("s.token", F.col("rid").alias("q"), "g", F.col("n").alias("qn"), (F.col("rank") - F.col("m")).alias("qfront"), *[F.col(b).alias(f"q{b}") for b in BITS])
         y, x = shared.alias("y"), open_.alias("x")
         least = F.greatest(self.common(F.col("qn"), F.col("n"), F.col("n")), F.lit(1))
-        meets = (F.col("x.token") == F.col("y.token")) & (F.col("x.g") == F.col("y.grp")) & self.near("qn", "n") & (F.col("qfront") <= 1 - least) & (F.col("rank") - F.col("m") <= 1 - least)
-        pairs = x.join(y, meets).select(F.least("q", "rid").alias("a"), F.greatest("q", "rid").alias("b")).distinct()
+        # shingles that only one of two sets has change the parity of at most as many classes
+        apart = sum((F.bit_count(F.col(f"q{b}").bitwiseXOR(F.col(b))) for b in BITS), F.lit(0))
+        allowed = F.col("qn") + F.col("n") - 2 * F.ceil((F.col("qn") + F.col("n")) * p / (100 + p))
+        # the rarest common token opens the way from both sides, so one of them will do
+        meets = (F.col("x.token") == F.col("y.token")) & (F.col("x.g") == F.col("y.grp")) & (F.col("q") < F.col("rid")) & self.near("qn", "n") & (F.col("qfront") <= 1 - least) & (F.col("rank") - F.col("m") <= 1 - least) & (apart <= allowed)
+        pairs = x.join(y, meets).select(F.col("q").alias("a"), F.col("rid").alias("b")).distinct()
         # all common first tokens of a pair, from the few that others share at all
         lists = checkpointed(self.spark, shared.groupBy("rid", "n").agg(F.collect_list("token").alias("tokens")))
         for side in ("a", "b"):
@@ -342,6 +362,7 @@ class Join:
         ids = self.sets.select("rid", "d1", "d2").join(roots.withColumnRenamed("node", "rid"), "rid", "left").select("d1", "d2", F.coalesce("root", "rid").alias("root"))
         placed = self.docs.join(ids, ["d1", "d2"], "left")
         placed = stored(self.spark, placed.select("doc_id", "n", F.when(F.col("n") > 0, F.col("root")).alias("root")), "placed")
+        drop_stored(self.spark, self.kept)  # what follows reads ``placed`` only
         least = checkpointed(self.spark, placed.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("class_size")))
         out = placed.join(least, "root", "left")
         return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"))
