@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.naming import file_path, object_key
 from ..model import event_json
-from .messages import kafka, last_writer
+from .messages import PARTITION_HEADER, kafka, last_writer
 
 ALIASES = {"postgresql": "postgres", "mssql": "sqlserver", "snowflake-keypair": "snowflake", "gs": "s3", "azeventhub": "eventhub"}
 JDBC = {"postgres": ("jdbc:postgresql", 5432), "mysql": ("jdbc:mysql", 3306), "sqlserver": ("jdbc:sqlserver", 1433)}
@@ -100,7 +100,7 @@ def prepare(d: Destination, events: DataFrame) -> DataFrame:
         rows = events.select(F.struct("timestamp", "mvccTimestamp", "id").alias("_o"), path.alias("path"), event_json().alias("value"))
         return last_writer(rows, "path", "_o", ["value"])
     if d.scheme == "kafka":
-        return kafka(events, int(d.options.get("partitions", 1)))
+        return kafka(events, int(d.options.get("partitions", 1)), d.options.get("header", PARTITION_HEADER))
     raise ValueError(f"{d.scheme} takes folded tables, not events")
 
 

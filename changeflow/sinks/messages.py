@@ -9,14 +9,15 @@ from ..functions import hashing, naming
 from ..model import event_json
 from ..operators.batches import runs
 
-PARTITION_HEADER = "eds-partitionkey"
+#: Name of the header that carries the partition key; consumers of an existing topic may need another.
+PARTITION_HEADER = "partitionkey"
 
 
-def kafka(events: DataFrame, partitions: int) -> DataFrame:
+def kafka(events: DataFrame, partitions: int, header_name: str = PARTITION_HEADER) -> DataFrame:
     """key, value, headers and partition, ready for the Kafka writer. Events are decoded ones (``pk`` is there)."""
     header = naming.partition_key(F.col("table"), F.col("companyId"), F.col("locationId"), F.col("pk"))
     key = naming.message_key(F.col("table"), F.col("operation"), F.col("companyId"), F.col("locationId"), F.col("id"))
-    headers = F.array(F.struct(F.lit(PARTITION_HEADER).alias("key"), header.cast("binary").alias("value")))
+    headers = F.array(F.struct(F.lit(header_name).alias("key"), header.cast("binary").alias("value")))
     return hashing.with_kafka_partition(events.withColumn("_header", header), F.col("_header"), partitions, "_partition").select(
         key.cast("binary").alias("key"), event_json().cast("binary").alias("value"), headers.alias("headers"), F.col("_partition").alias("partition")
     )
