@@ -318,11 +318,12 @@ class Join:
         ranked = shared.join(often, "token").withColumn("rank", F.row_number().over(W.partitionBy("rid").orderBy("df", "token")))
         shared = stored(self.spark, ranked.join(facts, "rid"), "shared", self.kept)
         # rows of the matrix: tokens of a group, with the extremes of the members that hold them
-        matrix = shared.groupBy("token", F.col("grp").alias("g")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min(F.col("rank") - F.col("m")).alias("front"))
+        matrix = shared.groupBy("token", F.col("grp").alias("g")).agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min(F.col("rank") - F.col("m")).alias("front"), F.max("rid").alias("last"))
         p = self.percent
         smallest, largest = F.greatest("low", F.expr(f"cast(ceil({p} * n / 100) as bigint)")), F.least("high", F.expr(f"cast(floor(100 * n / {p}) as bigint)"))
         least = F.greatest(self.common(F.col("n"), smallest, largest), F.lit(1))
-        fits = (F.col("grp") != F.col("g")) & (smallest <= largest) & (F.col("rank") - F.col("m") <= 1 - least) & (F.col("front") <= 1 - least)
+        # of two sets the one with the smaller id probes, so a group needs a member with a larger one
+        fits = (F.col("grp") != F.col("g")) & (F.col("rid") < F.col("last")) & (smallest <= largest) & (F.col("rank") - F.col("m") <= 1 - least) & (F.col("front") <= 1 - least)
         open_ = shared.alias("s").join(matrix, (F.col("s.token") == matrix["token"]) & fits)
         open_ = open_.select("s.token", F.col("rid").alias("q"), "g", F.col("n").alias("qn"), (F.col("rank") - F.col("m")).alias("qfront"), *[F.col(b).alias(f"q{b}") for b in BITS])
         y, x = shared.alias("y"), open_.alias("x")

@@ -34,7 +34,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir
+from .common import bounded_sample, shared_dir
 from .words import flat
 
 TRAIN_ROWS = 6_000
@@ -88,7 +88,7 @@ class Language:
     def learn(texts: Iterator[str], least: int = 5) -> Language:
         pairs, words = Counter(), Counter()
         for text in texts:
-            for w in _WORD.findall(text[: 1 << 16].lower()):
+            for w in _WORD.findall(text.lower()):
                 words[w] += 1
                 pairs.update(map("".join, zip(w, w[1:], strict=False)))
         total = sum(pairs.values()) + 1
@@ -192,7 +192,7 @@ class Forest:
 
 def train(spark: SparkSession, docs: DataFrame, findings: DataFrame | None = None) -> tuple[Forest, Language]:
     """The forest as node tables, read from what Spark ML writes of its model, and the corpus statistics it needs."""
-    sample = docs.filter("text is not null").orderBy(F.xxhash64("doc_id"), "doc_id").select("text").limit(SAMPLE_ROWS)
+    sample = bounded_sample(docs.select("doc_id", "text").filter("text is not null"), "doc_id", SAMPLE_ROWS).select("text")
     known = Language.learn(r["text"] for r in sample.toLocalIterator())
     if findings is None:
         findings = spark.createDataFrame(training_findings(), "text string, begin int, end int, label int")

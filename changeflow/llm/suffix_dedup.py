@@ -29,10 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import drop_stored, stored
 from .jaccard_join import _bloom
 from .suffix_array import repeated_starts
 from .words import BASE, BYTE_CODE, U, blocks, mix
@@ -108,7 +109,7 @@ def _runs(length: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, hashes = batch.column(0), batch.column(1)
-            for first_row, rows, raw, at in blocks(batch.column(2), BLOCK // 2):
+            for first_row, rows, raw, at in blocks(batch.column(2), BLOCK // 4):
                 for lo in range(0, max(len(raw), 1), BLOCK) if rows == 1 else [0]:
                     part = raw[lo : lo + BLOCK + length - 1] if rows == 1 else raw
                     doc, begin, count, anchor, win = runs(part, at if rows > 1 else np.asarray([0, len(part)]), length)
@@ -135,12 +136,14 @@ def _cut(length: int):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, wins in zip(batch.column(0), batch.column(1), strict=True):
-                raw, wins = text.as_buffer(), wins.values if not isinstance(wins, pa.ListScalar) else wins.values
-                begin, n = wins.field("begin").to_pylist(), wins.field("n").to_pylist()
-                data = memoryview(raw)
-                cut = [bytes(data[b : b + k + length - 1]) for b, k in zip(begin, n, strict=True)]
-                yield pa.RecordBatch.from_arrays([wins.field("anchor"), wins.field("win"), wins.field("copies"), wins.field("crowd"), wins.field("n"), pa.array(cut, pa.binary())], ["anchor", "win", "copies", "crowd", "n", "data"])
+            flat, cut = batch.column(1).flatten(), []
+            begin, n = flat.field("begin").to_pylist(), flat.field("n").to_pylist()
+            at = 0
+            for text, count in zip(batch.column(0), pc.list_value_length(batch.column(1)).to_pylist(), strict=True):
+                data = memoryview(text.as_buffer())
+                cut += [bytes(data[b : b + k + length - 1]) for b, k in zip(begin[at : at + count], n[at : at + count], strict=True)]
+                at += count
+            yield pa.RecordBatch.from_arrays([*(flat.field(c) for c in ("anchor", "win", "copies", "crowd", "n")), pa.array(cut, pa.binary())], ["anchor", "win", "copies", "crowd", "n", "data"])
 
     return task, "anchor long, win long, copies long, crowd boolean, n int, data binary"
 
@@ -250,21 +253,23 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def repeated_spans(spark: SparkSession, texts: DataFrame, length: int) -> DataFrame:
-    """(doc_id, th, begin, end): byte ranges covered by repeated strings; they may overlap."""
-    rows = stored(spark, texts.mapInArrow(*_runs(length)), "runs")
+def repeated_spans(spark: SparkSession, texts: DataFrame, length: int, kept: list[str]) -> DataFrame:
+    """(doc_id, th, begin, end): byte ranges covered by repeated strings; they may overlap. Reads the tables listed in ``kept``."""
+    rows = stored(spark, texts.mapInArrow(*_runs(length)), "runs", kept)
     anchors = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), (F.min("win") != F.max("win")).alias("several")).filter("k > 1")
-    places = stored(spark, rows.join(anchors.select("anchor", "several"), "anchor"), "places")
+    # written first: then the join's sides are plain shuffles, and a part that is full of one anchor can be split
+    anchors = stored(spark, anchors.select("anchor", "several"), "anchors", kept)
+    places = stored(spark, rows.join(anchors, "anchor"), "places", kept)
     # different windows of anchors that have several, one place each
     wins = places.filter("several").groupBy("anchor", "win").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "th", "begin", "n")).alias("p"))
-    wins = stored(spark, wins.select("anchor", "win", "copies", "p.doc_id", "p.th", "p.begin", "p.n"), "windows")
+    wins = stored(spark, wins.select("anchor", "win", "copies", "p.doc_id", "p.th", "p.begin", "p.n"), "windows", kept)
     crowds = wins.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > CROWD).select("anchor", F.lit(True).alias("crowd"))
     listed = wins.join(crowds, "anchor", "left").groupBy("doc_id", "th").agg(
         F.collect_list(F.struct("begin", "n", "anchor", "win", "copies", F.coalesce("crowd", F.lit(False)).alias("crowd"))).alias("wins")
     )
     likely = texts.mapInArrow(*_likely(_bloom(spark, wins.select(F.col("th").alias("d1")).distinct()))).dropDuplicates(["doc_id", "th"])
     same = likely["doc_id"].eqNullSafe(listed["doc_id"]) & (likely["th"] == listed["th"])
-    data = stored(spark, likely.join(listed, same).select("text", "wins").mapInArrow(*_cut(length)), "data")
+    data = stored(spark, likely.join(listed, same).select("text", "wins").mapInArrow(*_cut(length)), "data", kept)
     cols = ["anchor", "win", "copies", "n", "data"]
     small = data.filter("not crowd").select(cols).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(*_shard(length))
     strings = data.filter("crowd").select(cols).mapInArrow(*_strings(length))
@@ -281,8 +286,10 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = 200) -> D
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     text = F.coalesce(F.col("text"), F.lit(""))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    spans = repeated_spans(spark, texts, length).groupBy("doc_id", "th").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    kept: list[str] = []
+    spans = repeated_spans(spark, texts, length, kept).groupBy("doc_id", "th").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
     spans = stored(spark, spans, "spans")
+    drop_stored(spark, kept)
     marked = texts.mapInArrow(*_mark(_bloom(spark, spans.select(F.col("th").alias("d1")).distinct())))
     same = marked["doc_id"].eqNullSafe(spans["doc_id"]) & (marked["th"] == spans["th"])
     return marked.join(spans, same, "left").select(marked["doc_id"], "n_bytes", "text", "kept_sha256", "spans").mapInArrow(_remove, SCHEMA)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import bounded_sample, held_out
 from .words import LOWER, NOT_ALNUM, blocks, grams, words
 
 TRAIN_ROWS = 20_000
@@ -134,7 +134,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, target: str, rows: int) -> Dat
     """A bounded sample of training documents: (text, label). The sampled ids are at most ``rows``, so they are broadcast."""
     known = labels.filter(F.col(target).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     ids = known.groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col(target).cast("int")).alias("_label"))
-    ids = ids.orderBy(F.xxhash64("_id"), "_id").limit(rows)
+    ids = bounded_sample(ids, "_id", rows)
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("text", F.col("_label").alias("label"))
     return rows.mapInArrow(_family, "text string, label int, family long").dropDuplicates(["label", "family"]).select("text", "label")
 
