@@ -7,8 +7,8 @@ to it. A random forest (Spark ML) tells secrets from look-alikes such as card an
 versions, file names and long words.
 
 The forest is trained from labelled findings: ``training_findings`` gives ``TRAIN_ROWS`` of them, made from a fixed seed, and
-any DataFrame of (text, begin, end, label) can be used instead. Character transitions and the dictionary come from a bounded
-sample of the corpus (``SAMPLE_ROWS`` rows with the smallest hash of doc_id). The trained forest is a table of nodes of
+any DataFrame of (text, begin, end, label) can be used instead. Character transitions and word frequencies are counted over
+all texts; the dictionary is the ``DICTIONARY`` most frequent words of 4 to 14 letters. The trained forest is a table of nodes of
 fixed size; it is sent to all tasks, which look at whole texts, one batch at a time.
 
 Edge cases: null and empty texts have no finding; a text of any length is searched whole; overlapping candidates are cut
@@ -34,11 +34,14 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, shared_dir
-from .words import flat
+from .common import drop_stored, shared_dir, stored
+from .words import LOWER, blocks, flat, words
 
 TRAIN_ROWS = 6_000
-SAMPLE_ROWS = 2_000
+DICTIONARY = 50_000
+LEAST_COUNT = 5
+WORD_LENGTHS = (4, 14)
+TALLY_WORDS = 100_000
 TREES, DEPTH = 40, 8
 THRESHOLD = 0.5
 PLACEHOLDER = "[SECRET]"
@@ -52,6 +55,10 @@ _value = r"[A-Za-z0-9+/_=.\-]"
 _ASSIGNED = re.compile(r"(?i)(?:" + "|".join(NAMES).replace("_", "[_-]?") + r")[\"']?\s{0,3}(?:=>|:=|[:=])\s{0,3}[\"'`]?([^\s\"'`,;|]{6,})")
 _RUN = re.compile(rf"{_value}{{12,}}")
 _WORD = re.compile(r"[A-Za-z_]+")
+_LETTERS = string.ascii_lowercase + "_"
+_CODES = np.zeros(256, np.uint8)  # 0: no part of a word
+for _n, _c in enumerate(_LETTERS):
+    _CODES[[ord(_c), ord(_c.upper())]] = _n + 1
 
 FEATURES = ["length", "entropy", "transitions", "dictionary", "digits", "uppers", "hex", "alphabets", "vowels", "switches", "path", "dotted", "at_sign", "digits_only", "quoted", "assigned", "named", "plain", "word_before", "known_prefix"]
 SCHEMA = "doc_id long, begin int, end int, value_sha256 string, score double, is_secret boolean"
@@ -79,21 +86,11 @@ def candidates(text: str) -> list[tuple[int, int]]:
 
 @dataclass
 class Language:
-    """What ordinary text looks like: log-likelihood of character pairs and frequent words."""
+    """What ordinary text looks like: log-likelihood of letter pairs and frequent words."""
 
     pairs: dict[str, float]
     words: set[str]
 
-    @staticmethod
-    def learn(texts: Iterator[str], least: int = 5) -> Language:
-        pairs, words = Counter(), Counter()
-        for text in texts:
-            for w in _WORD.findall(text.lower()):
-                words[w] += 1
-                pairs.update(map("".join, zip(w, w[1:], strict=False)))
-        total = sum(pairs.values()) + 1
-        return Language({k: math.log(v / total) for k, v in pairs.items()}, {w for w, n in words.items() if n >= least and len(w) >= 4} | set(NAMES) | set(PLAIN))
-
     def transitions(self, value: str) -> float:
         v = value.lower()
         return sum(self.pairs.get(a + b, -14.0) for a, b in zip(v, v[1:], strict=False)) / max(len(v) - 1, 1)
@@ -101,7 +98,7 @@ class Language:
     def coverage(self, value: str) -> float:
         v, i, covered = value.lower(), 0, 0
         while i < len(v):
-            for k in range(min(14, len(v) - i), 3, -1):
+            for k in range(min(WORD_LENGTHS[1], len(v) - i), WORD_LENGTHS[0] - 1, -1):
                 if v[i : i + k] in self.words:
                     covered, i = covered + k, i + k
                     break
@@ -110,6 +107,43 @@ class Language:
         return covered / max(len(v), 1)
 
 
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of letter pairs (two characters) and of words; a task holds at most about ``TALLY_WORDS`` words at a time."""
+    pairs, spelled, counts = np.zeros(28 * 28, np.int64), {}, Counter()
+    out = lambda rows: pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.string()), pa.array([n for _, n in rows], pa.int64())], ["key", "n"])
+    for batch in batches:
+        for _, _, raw, at in blocks(batch.column(0)):
+            code = _CODES[raw].astype(np.int64)
+            both = np.where((code[:-1] > 0) & (code[1:] > 0), code[:-1] * 28 + code[1:], 0)
+            seams = at[(at > 0) & (at < len(raw))]
+            both[seams - 1] = 0  # from one text to the next
+            pairs += np.bincount(both, minlength=len(pairs))
+            hashes, starts, ends, _ = words(raw, at, _CODES == 0, LOWER)
+            own = np.flatnonzero((ends - starts >= WORD_LENGTHS[0]) & (ends - starts <= WORD_LENGTHS[1]))
+            found, first, n = np.unique(hashes[own], return_index=True, return_counts=True)
+            for h, i, k in zip(found.tolist(), own[first].tolist(), n.tolist(), strict=True):
+                if h not in spelled:
+                    spelled[h] = raw[starts[i] : ends[i]].tobytes().decode("ascii").lower()
+                counts[h] += k
+            if len(spelled) > TALLY_WORDS:
+                yield out([(spelled[h], k) for h, k in counts.items()])
+                spelled, counts = {}, Counter()
+    rows = [(_LETTERS[i // 28 - 1] + _LETTERS[i % 28 - 1], int(pairs[i])) for i in np.flatnonzero(pairs).tolist() if i]
+    if rows := rows + [(spelled[h], k) for h, k in counts.items()]:
+        yield out(rows)
+
+
+def learn_language(spark: SparkSession, docs: DataFrame) -> Language:
+    """Letter pairs and words counted over all texts; the ``DICTIONARY`` most frequent words are known (ties by spelling)."""
+    kept: list[str] = []
+    counted = stored(spark, docs.select("text").mapInArrow(_tally, "key string, n long").groupBy("key").agg(F.sum("n").alias("n")), "letters", kept)
+    pairs = counted.filter(F.length("key") == 2).collect()  # at most 27 * 27
+    known = counted.filter((F.length("key") > 2) & (F.col("n") >= LEAST_COUNT)).orderBy(F.desc("n"), "key").limit(DICTIONARY).collect()
+    drop_stored(spark, kept)
+    total = sum(r["n"] for r in pairs) + 1
+    return Language({r["key"]: math.log(r["n"] / total) for r in pairs}, {r["key"] for r in known} | set(NAMES) | set(PLAIN))
+
+
 def describe(text: str, begin: int, end: int, known: Language) -> list[float]:
     v, before, after = text[begin:end], text[max(0, begin - 48) : begin], text[end : end + 8]
     n, counts = len(v), Counter(v)
@@ -192,8 +226,7 @@ class Forest:
 
 def train(spark: SparkSession, docs: DataFrame, findings: DataFrame | None = None) -> tuple[Forest, Language]:
     """The forest as node tables, read from what Spark ML writes of its model, and the corpus statistics it needs."""
-    sample = bounded_sample(docs.select("doc_id", "text").filter("text is not null"), "doc_id", SAMPLE_ROWS).select("text")
-    known = Language.learn(r["text"] for r in sample.toLocalIterator())
+    known = learn_language(spark, docs)
     if findings is None:
         findings = spark.createDataFrame(training_findings(), "text string, begin int, end int, label int")
 
@@ -228,6 +261,7 @@ _LONG[[ord(c) for c in string.ascii_letters + string.digits + "+/_=.-"]] = True
 _DIGITS = np.zeros(256, bool)
 _DIGITS[48:58] = True
 
+
 def suspects(column: pa.Array) -> np.ndarray:
     """Texts that may hold a candidate: a run of 12 with a digit, or an assignment. Found on bytes, many texts at a time."""
     raw, at = flat(column)

@@ -1,6 +1,8 @@
 """Trained operators and searches: held-out accuracy, planted cases, edges."""
 
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -140,3 +142,19 @@ def test_forest_tables_score_as_spark_does(spark, forest):
     held = secret_scan.training_findings(400, seed=99)
     x = np.asarray([secret_scan.describe(t, a, b, forest[1]) for t, a, b, _ in held])
     assert np.mean((forest[0].score(x) >= 0.5) == np.asarray([y for *_, y in held])) > 0.97
+
+
+@pytest.mark.parametrize("most", [1, 100_000])
+def test_language_is_counted_over_all_texts(spark, make, prose, most, monkeypatch):
+    texts = [prose(i % 7).title() for i in range(30)] + ["ab", "", None, "snake_case x9y"] + [t for _, t in EDGES]
+    monkeypatch.setattr(secret_scan, "TALLY_WORDS", most)
+    known = secret_scan.learn_language(spark, make(list(enumerate(texts))))
+    words, pairs = Counter(), Counter()
+    for t in texts:
+        for w in re.findall("[a-z_]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")):
+            words[w] += 1
+            pairs.update(map("".join, zip(w, w[1:], strict=False)))
+    total = sum(pairs.values()) + 1
+    assert set(known.pairs) == set(pairs) and all(np.isclose(known.pairs[k], np.log(n / total)) for k, n in pairs.items())
+    assert known.words == {w for w, n in words.items() if n >= secret_scan.LEAST_COUNT and 4 <= len(w) <= 14} | set(secret_scan.NAMES) | set(secret_scan.PLAIN)
+    assert secret_scan.learn_language(spark, make([])).pairs == {}
