@@ -1,12 +1,15 @@
 """Benchmark decontamination: rare n-gram seeds join passages to test items, Smith-Waterman alignment scores them.
 
 Words are runs of letters and digits in lower case. Seeds are the 3-word runs of an item. A first pass over all documents
-counts in how many each seed occurs; an item keeps the rarer half of its seeds (eight at least) and those of the other half
-that are about as rare as its median, so that an item which leaked into thousands of documents still has seeds. A second pass finds seed hits, groups hits of an item that lie within
+counts in how many each seed occurs; an item keeps the rarer half of its seeds (eight at least), those of the other half
+that are about as rare as its median, so that an item which leaked into thousands of documents still has seeds, and the two
+rarest of each ``STRETCH`` seeds in a row, so that any 9 words in a row have two, also of a part that leaked more often than
+the rest. A second pass finds seed hits, groups hits of an item that lie within
 one item length of each other, and aligns the item with the passage around each group by Smith and Waterman's local
 alignment over words (match 2, mismatch -1, gap -1). The score is the best alignment over that of the item with itself;
 edited, reordered or interrupted copies lose what their edits cost. Pairs with ``THRESHOLD`` or more over at
-least ``LEAST_WORDS`` words are returned.
+least ``LEAST_WORDS`` words are returned, and pairs whose alignment scores as much as ``EXCERPT_WORDS`` words copied without
+an edit, however long the item is: an excerpt of a long item is a leak although most of the item is missing.
 
 The join is of a stated query set, the benchmark, against all rows: items are sent to the tasks in blocks of at most
 ``BLOCK_BYTES`` of text, with two passes for each block, so what is broadcast has a bound however large the benchmark is.
@@ -35,6 +38,8 @@ LEAST_SEEDS = 8
 LEAST_HITS = 2
 LEAST_WORDS = 8
 THRESHOLD = 0.4
+EXCERPT_WORDS = 20
+STRETCH = 4
 MATCH, MISMATCH, GAP = 2, 1, 1
 BLOCK_BYTES = 32 << 20
 
@@ -107,7 +112,13 @@ class Items:
         rank = np.arange(len(order)) - np.repeat(starts, counts)
         half = np.maximum(counts // 2, LEAST_SEEDS)
         middle = np.where(counts > 0, df[order][np.minimum(starts + counts // 2, max(len(order) - 1, 0))] if len(order) else 0, 0)
-        kept = order[(rank < np.repeat(half, counts)) | (df[order] <= np.repeat(2 * middle + 8, counts))]
+        keep = (rank < np.repeat(half, counts)) | (df[order] <= np.repeat(2 * middle + 8, counts))
+        stretch = self.place[order] // STRETCH
+        near = np.lexsort((rank, stretch, self.item[order]))
+        new = np.append(True, (np.diff(stretch[near]) != 0) | (np.diff(self.item[order][near]) != 0))[: len(near)]
+        begin = np.maximum.accumulate(np.where(new, np.arange(len(near)), 0))
+        keep[near[np.arange(len(near)) - begin < LEAST_HITS]] = True
+        kept = order[keep]
         self.set(self.seeds[kept], self.item[kept], self.place[kept])
 
 
@@ -143,7 +154,7 @@ def _matches(items: Items, text: np.ndarray, places: np.ndarray, seeds: np.ndarr
             score, a, b = align(own, text[begin:end])
             if best is None or score > best[0]:
                 best = (score, begin + a, begin + b, len(run))
-        if best and best[0] >= THRESHOLD * MATCH * len(own) and best[2] - best[1] >= LEAST_WORDS:
+        if best and best[0] >= MATCH * min(THRESHOLD * len(own), EXCERPT_WORDS) and best[2] - best[1] >= LEAST_WORDS:
             yield items.ids[it], best[0] / (MATCH * len(own)), best[3], best[1], best[2], best[2] - best[1]
 
 

@@ -102,6 +102,19 @@ def test_leaks(spark, make, prose, leaks, block, monkeypatch):
     assert decontamination.contaminated(spark, docs, leaks.limit(0)).count() == 0
 
 
+def test_excerpts_of_long_items(spark, make, prose):
+    long_, middle = prose(7000, 1000).split(), prose(7001, 59).split()
+    items = spark.createDataFrame([(1, " ".join(long_)), (2, " ".join(middle))], "item_id long, text string")
+    part = lambda i, own: f"{prose(i, 60)} {' '.join(own)} {prose(200 + i, 60)}"
+    rows = [(1, part(1, long_[350:650])), (2, part(2, middle[20:40])), (3, part(3, long_[100:109])), (4, prose(4, 200))]
+    # a part that leaked into many documents, while the rest of its item is in none
+    rows += [(10 + i, part(10 + i, long_[700:730])) for i in range(40)]
+    got = {(x["doc_id"], x["item_id"]): x for x in decontamination.contaminated(spark, make(rows), items).collect()}
+    assert set(got) == {(1, 1), (2, 2)} | {(10 + i, 1) for i in range(40)}
+    assert got[1, 1]["aligned_words"] >= 300 and got[1, 1]["score"] < decontamination.THRESHOLD
+    assert {x["doc_id"] for x in decontamination.keep_clean(spark, make(rows), items).collect()} == {3, 4}
+
+
 def test_alignment():
     def brute(x, y):
         h = np.zeros((len(x) + 1, len(y) + 1), int)
