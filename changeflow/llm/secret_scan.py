@@ -1,9 +1,11 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
 A candidate is a run of 12 or more letters, digits and ``+/_-=.`` with a digit in it, or the value of an assignment to a
-telling name (``token = "..."``). Each gets numbers for its length and alphabet, how usual its character transitions are,
-how much of it is covered by dictionary words, whether it is part of a path, address or number, and which words stand next
-to it. A random forest (Spark ML) tells secrets from look-alikes such as card and phone numbers, addresses, identifiers,
+telling name (``token = "..."``, ``DB_PASSWORD=...``): to the closing quote if it is quoted, else to the next space, quote,
+comma, semicolon or bar, or to the next parameter (``&name=``). An assigned value wins over runs that overlap it; what it
+leaves of them on either side are runs of their own, and so are the sides of a sign after any other name if the value is a
+candidate by itself. Each gets numbers for its length and alphabet, how usual its character transitions are, how much of it
+is covered by dictionary words, whether it is part of a path, address or number, and which words stand next to it. A random forest (Spark ML) tells secrets from look-alikes such as card and phone numbers, addresses, identifiers,
 versions, file names and long words.
 
 The forest is trained from labelled findings: ``training_findings`` gives ``TRAIN_ROWS`` of them, made from a fixed seed, and
@@ -11,8 +13,8 @@ any DataFrame of (text, begin, end, label) can be used instead. Character transi
 all texts; the dictionary is the ``DICTIONARY`` most frequent words of 4 to 14 letters. The trained forest is a table of nodes of
 fixed size; it is sent to all tasks, which look at whole texts, one batch at a time.
 
-Edge cases: null and empty texts have no finding; a text of any length is searched whole; overlapping candidates are cut
-at the first one's end; repeated rows are scanned each; an empty table gives no rows; other columns are ignored.
+Edge cases: null and empty texts have no finding; a text of any length is searched whole; candidates do not
+overlap; repeated rows are scanned each; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -52,7 +54,12 @@ NAMES = ["access_key", "api_key", "apikey", "auth", "client_secret", "credential
 PLAIN = ["call", "card", "checksum", "commit", "email", "file", "id", "isbn", "md5", "page", "phone", "sha1", "sha256", "tel", "uuid", "version"]
 
 _value = r"[A-Za-z0-9+/_=.\-]"
-_ASSIGNED = re.compile(r"(?i)(?:" + "|".join(NAMES).replace("_", "[_-]?") + r")[\"']?\s{0,3}(?:=>|:=|[:=])\s{0,3}[\"'`]?([^\s\"'`,;|]{6,})")
+_name = r"(?:" + "|".join(NAMES).replace("_", "[_-]?") + r")[\"']?\s{0,3}(?:=>|:=|[:=])\s{0,3}"
+_ASSIGNED = re.compile(  # of names in a row (auth: token=...) the last one's value
+    rf"(?i){_name}(?![\"'`]?[a-z0-9_\-]*{_name}[\"'`]?[^\s\"'`,;|]{{6}})"
+    r"(?:([\"'`])((?:(?!\1)\S){6,})\1|[\"'`]?((?:(?!&(?:amp;)?[a-z_][\w.\-]*=)[^\s\"'`,;|]){6,}))"
+)
+_SIGN = re.compile(r"(?<=[A-Za-z0-9_])=(?=[A-Za-z0-9+/_])")
 _RUN = re.compile(rf"{_value}{{12,}}")
 _WORD = re.compile(r"[A-Za-z_]+")
 _LETTERS = string.ascii_lowercase + "_"
@@ -64,24 +71,42 @@ FEATURES = ["length", "entropy", "transitions", "dictionary", "digits", "uppers"
 SCHEMA = "doc_id long, begin int, end int, value_sha256 string, score double, is_secret boolean"
 
 
+def _long_enough(text: str, a: int, b: int) -> bool:
+    return b - a >= 12 and any(x.isdigit() for x in text[a:b])
+
+
+def _pieces(text: str, a: int, b: int, values: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What is left of a run after assigned values are cut out of it, without signs and points at the borders."""
+    for c, d in [*values, (b, b)]:
+        begin, end, strip = a, min(c, b), ".-" if c >= b else ".-="
+        while begin < end and text[begin] in ".-=":
+            begin += 1
+        while begin < end and text[end - 1] in strip:
+            end -= 1
+        for sign in _SIGN.finditer(text, begin, end):  # any other name, if what follows is a candidate by itself
+            if _long_enough(text, sign.end(), end):
+                if _long_enough(text, begin, sign.start()):
+                    yield begin, sign.start()
+                begin = sign.end()
+        if _long_enough(text, begin, end):
+            yield begin, end
+        a = max(a, d)
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
-    found = []
+    values = []
     if "=" in text or ":" in text:
-        found = [m.span(1) for m in _ASSIGNED.finditer(text)]
+        values = [m.span(2 if m[1] else 3) for m in _ASSIGNED.finditer(text)]
+    found, k = list(values), 0
     for m in _RUN.finditer(text):
         a, b = m.span()
-        while a < b and text[a] in ".-=":
-            a += 1
-        while a < b and text[b - 1] in ".-":
-            b -= 1
-        if b - a >= 12 and any(c.isdigit() for c in text[a:b]):
-            found.append((a, b))
-    found.sort(key=lambda s: (s[0], -s[1]))
-    out: list[tuple[int, int]] = []
-    for a, b in found:
-        if not out or a >= out[-1][1]:
-            out.append((a, b))
-    return out
+        while k < len(values) and values[k][1] <= a:
+            k += 1
+        last = k
+        while last < len(values) and values[last][0] < b:
+            last += 1
+        found += _pieces(text, a, b, values[k:last])
+    return sorted(found)
 
 
 @dataclass
