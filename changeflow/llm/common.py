@@ -67,16 +67,26 @@ def bucket_of(key: Column, bounds: list[int], fan: int = 128) -> Column:
     return F.when(key.isNull(), 0).otherwise(n).cast("int")
 
 
-#: Keys of at most this many rows (8 bytes each) may be sent to all tasks; larger sets are joined by shuffle.
+#: Keys of at most this many rows (8 bytes for each of two columns) may be sent to all tasks; larger sets are joined by shuffle.
 BROADCAST_KEYS = 500_000
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of docs whose doc_id isn't among ``ids`` (one long column); rows without doc_id stay."""
-    name = ids.columns[0]
-    keys = ids.select(F.col(name).alias("_gone")).filter("_gone is not null").distinct()
+def row_key() -> list[Column]:
+    """What tells documents apart, also those that share a doc_id or have none: doc_id and a hash of the text."""
+    return [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("th")]
+
+
+def marked(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """docs with the column ``_mark`` of ``keys`` (doc_id, th, _mark; one row a key), null for rows without one."""
+    keys = keys.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "_mark")
     keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
-    return docs.join(keys, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    doc_id, th = row_key()
+    return docs.join(keys, doc_id.eqNullSafe(F.col("_id")) & (th == F.col("_th")), "left")
+
+
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of docs whose key (``row_key``) isn't among ``keys`` (doc_id, th; a key may repeat)."""
+    return marked(docs, keys.distinct().withColumn("_mark", F.lit(1))).filter("_mark is null").select(docs.columns)
 
 
 def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpointed, without
+from .common import checkpointed, row_key, without
 from .words import NOT_ALNUM, blocks, grams, words
 
 SEED_WORDS = 3
@@ -167,11 +167,12 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield [(int(r["item_id"]), r["text"]) for r in part.orderBy("item_id").collect()]
 
 
-def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row for each document and item that it holds a copy of: doc_id, item_id, score, n_hits, words of the passage."""
+def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``contaminated`` with ``th``, the document's text hash."""
     names = [x.split()[0] for x in SCHEMA.split(", ")]
-    kinds = pa.schema(list(zip(names, [pa.int64(), pa.int64(), pa.float64(), *[pa.int32()] * 4], strict=True)))
-    texts, out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), None
+    kinds = pa.schema(list(zip([*names, "th"], [pa.int64(), pa.int64(), pa.float64(), *[pa.int32()] * 4, pa.int64()], strict=True)))
+    doc_id, th = row_key()
+    texts, out = docs.select(doc_id, "text", th), None
     for rows in _blocks(benchmark):
         items = Items(rows)
         sent = spark.sparkContext.broadcast(items)
@@ -194,16 +195,21 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
             for batch in batches:
                 found = []
                 for r, text, places, seeds in _documents(rare.value, batch.column(1)):
-                    doc_id = batch.column(0)[r].as_py()
-                    found += [(doc_id, *m) for m in _matches(rare.value, text, places, seeds)]
+                    doc_id, th = batch.column(0)[r].as_py(), batch.column(2)[r].as_py()
+                    found += [(doc_id, *m, th) for m in _matches(rare.value, text, places, seeds)]
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds.types, strict=True)], schema=kinds)
 
-        part = texts.mapInArrow(find, SCHEMA)
+        part = texts.mapInArrow(find, SCHEMA + ", th long")
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row for each document and item that it holds a copy of: doc_id, item_id, score, n_hits, words of the passage."""
+    return matches(spark, docs, benchmark).drop("th")
+
+
 def keep_clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents without a copy of any item, whole rows as they came."""
-    return without(docs, checkpointed(spark, contaminated(spark, docs, benchmark).select("doc_id").distinct()))
+    """Documents without a copy of any item, whole rows as they came; rows that share a doc_id or have none are judged each by its own text."""
+    return without(docs, checkpointed(spark, matches(spark, docs, benchmark).select("doc_id", "th").distinct()))

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import checkpointed, drop_stored, stored, without
+from .common import checkpointed, drop_stored, marked, row_key, stored
 from .components import components
 from .words import LOWER, SPACE, U, blocks, grams, mix, words
 
@@ -44,6 +44,7 @@ SEEDS = (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x3C6EF372FE94F82B)
 BLOOM_BITS = 1 << 25
 HELD = 100_000
 PARITY = 512
+GONE, ONCE = 1, 2
 BITS = [f"b{i}" for i in range(PARITY // 64)]
 
 
@@ -99,16 +100,16 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def _describe(k: int):
-    names = ["kind", "doc_id", "n", "d1", "d2", "m1", "m2", "m3", *BITS]
+    names = ["kind", "doc_id", "n", "d1", "d2", "m1", "m2", "m3", *BITS, "th"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, often = [], []
         for batch in batches:
-            ids = batch.column(0)
+            ids, hashes = batch.column(0), batch.column(2)
             for first_row, rows, found, at in sets(batch.column(1), k):
                 d1, d2 = _digest(found, at)
                 mins = [_long(_reduce(np.minimum, mix(found ^ U(s)), at)) for s in SEEDS]
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(rows, np.int8)), ids.slice(first_row, rows), pa.array(np.diff(at)), _long(d1), _long(d2), *mins, *(_long(np.ascontiguousarray(b)) for b in _parity(found, at).T)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(rows, np.int8)), ids.slice(first_row, rows), pa.array(np.diff(at)), _long(d1), _long(d2), *mins, *(_long(np.ascontiguousarray(b)) for b in _parity(found, at).T), hashes.slice(first_row, rows)], names)
                 token, n = np.unique(found, return_counts=True)
                 seen.append(token[n > 1])
                 often.append(n[n > 1])
@@ -118,9 +119,9 @@ def _describe(k: int):
             token, n = token[n > 2], n[n > 2]
             for i in range(0, len(token), 10_000):
                 part, none = token[i : i + 10_000], pa.nulls(len(token[i : i + 10_000]), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(part), np.int8)), none, pa.array(n[i : i + 10_000]), _long(part), *[none] * (4 + len(BITS))], names)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(part), np.int8)), none, pa.array(n[i : i + 10_000]), _long(part), *[none] * (5 + len(BITS))], names)
 
-    return task, "kind byte, doc_id long, n long, d1 long, d2 long, m1 long, m2 long, m3 long, " + ", ".join(f"{b} long" for b in BITS)
+    return task, "kind byte, doc_id long, n long, d1 long, d2 long, m1 long, m2 long, m3 long, " + ", ".join(f"{b} long" for b in BITS) + ", th long"
 
 
 class Order:
@@ -274,8 +275,9 @@ class Join:
         self.spark, self.k, self.percent = spark, words, percent
         self.kept: list[str] = []
         self.texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        self.facts = stored(spark, self.texts.mapInArrow(*_describe(words)), "facts", self.kept)
-        self.docs = self.facts.filter("kind = 0").select("doc_id", "n", "d1", "d2")
+        doc_id, th = row_key()
+        self.facts = stored(spark, docs.select(doc_id, "text", th).mapInArrow(*_describe(words)), "facts", self.kept)
+        self.docs = self.facts.filter("kind = 0").select("doc_id", "th", "n", "d1", "d2")
         distinct = self.facts.filter("kind = 0 and n > 0").groupBy("d1", "d2").agg(F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("n", "m1", "m2", "m3", *BITS)])
         self.sets = stored(spark, distinct.withColumn("rid", F.monotonically_increasing_id()), "sets", self.kept)
 
@@ -354,16 +356,21 @@ class Join:
         p = self.percent
         return F.ceil((n + low) * p / (100 + p)).cast("long") - self.rest_of(n, high)
 
-    def classes(self) -> DataFrame:
-        """doc_id, n_shingles, component_id."""
+    def placed(self) -> DataFrame:
+        """doc_id, th, n and root (null without shingles) of each document."""
         stars = checkpointed(self.spark, self.verified(self.star_pairs(), "star"))
         groups = checkpointed(self.spark, components(self.spark, stars))
         links = stars.unionByName(self.verified(self.matrix_pairs(groups), "matrix"))
         roots = components(self.spark, links)
         ids = self.sets.select("rid", "d1", "d2").join(roots.withColumnRenamed("node", "rid"), "rid", "left").select("d1", "d2", F.coalesce("root", "rid").alias("root"))
         placed = self.docs.join(ids, ["d1", "d2"], "left")
-        placed = stored(self.spark, placed.select("doc_id", "n", F.when(F.col("n") > 0, F.col("root")).alias("root")), "placed")
+        placed = stored(self.spark, placed.select("doc_id", "th", "n", F.when(F.col("n") > 0, F.col("root")).alias("root")), "placed")
         drop_stored(self.spark, self.kept)  # what follows reads ``placed`` only
+        return placed
+
+    def classes(self) -> DataFrame:
+        """doc_id, n_shingles, component_id."""
+        placed = self.placed()
         least = checkpointed(self.spark, placed.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("class_size")))
         out = placed.join(least, "root", "left")
         return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"))
@@ -375,14 +382,24 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, words: int = 5, percen
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of each class's smallest doc_id, whole rows that repeat once; rows without doc_id or words stay.
+    """One row of each class, whole as it came: that of the smallest doc_id (null last), then of the smallest text hash.
 
-    Rows that share the smallest doc_id but differ in another column all stay: no column tells which of them to keep.
+    Decisions go back by doc_id and text hash, so rows that share a doc_id or have none are judged each by its own text. Of
+    rows that agree in both, the one whose columns hash smallest stays. Rows without words are in no class and all stay.
     """
-    classes = jaccard_classes(spark, docs, words, percent)
-    stay = without(docs, classes.filter("doc_id <> component_id and n_shingles > 0").select("doc_id"))
-    repeated = classes.groupBy("doc_id").count().filter("count > 1").limit(1).count()
-    return stay.dropDuplicates() if repeated else stay
+    placed = Join(spark, docs, words, percent).placed()
+    key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    keys = checkpointed(spark, placed.filter("root is not null").groupBy("root", "doc_id", "th").agg(F.count(F.lit(1)).alias("copies")))
+    first = keys.groupBy("root").agg(F.min(key).alias("first"))
+    judged = keys.join(first, "root").withColumn("_mark", F.when(~key.eqNullSafe(F.col("first")), GONE).when(F.col("copies") > 1, ONCE))
+    judged = checkpointed(spark, judged.filter("_mark is not null").select("doc_id", "th", "_mark"))
+    rows = marked(docs, judged)
+    stay = rows.filter("_mark is null").select(docs.columns)
+    if judged.filter(F.col("_mark") == ONCE).limit(1).count() == 0:
+        return stay
+    repeated = rows.filter(F.col("_mark") == ONCE).select("_id", "_th", F.struct(*docs.columns).alias("_row"))
+    one = repeated.groupBy("_id", "_th").agg(F.min_by("_row", F.xxhash64(F.to_json("_row"))).alias("_row"))
+    return stay.unionByName(one.select("_row.*"))
 
 
 def jaccard_sql(words: int = 4, percent: int = 85) -> str:

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from changeflow.llm import bpe, chat, components, fingerprints, jaccard_join, sharding, suffix_array, suffix_dedup
 
@@ -123,6 +124,22 @@ def test_one_of_each_class_stays(spark, make, prose):
     assert jaccard_join.jaccard_classes(spark, make([])).count() == 0
 
 
+def test_one_of_each_class_stays_for_shared_and_null_ids(spark, make, prose):
+    a, b, c = (prose(i, 150) for i in (900, 901, 902))
+    near = lambda t: t + " end"
+    rows = [(1, a), (2, near(a)), (2, b), (3, c), (3, near(c)), (4, c), (None, prose(903)), (None, prose(904, 150)), (None, near(prose(904, 150))), (None, near(near(a))), (None, ""), (None, ""), (5, None), (5, None)]
+    rows += [(None, prose(905)), (None, prose(905))]
+    docs = make(rows)
+    # the last two differ in another column only: no text tells them apart, still one stays
+    docs = docs.unionByName(docs.filter("doc_id = 4").selectExpr("4l as doc_id", "'other words that are here only once or twice' as text", *docs.columns[2:]))
+    docs = docs.unionByName(docs.filter("doc_id = 4 and text like 'other%'").withColumn("lang", F.lit("en")))
+    kept = [(x["doc_id"], x["text"]) for x in jaccard_join.keep_one(spark, docs).collect()]
+    got = collections.Counter(kept)
+    assert got[1, a] == got[2, b] == got[None, prose(903)] == got[None, prose(905)] == got[4, "other words that are here only once or twice"] == 1
+    assert got[3, c] + got[3, near(c)] == 1 and got[None, prose(904, 150)] + got[None, near(prose(904, 150))] == 1
+    assert got[None, ""] == got[5, None] == 2 and len(kept) == 11
+
+
 def test_components(spark):
     r = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 60)] + [(r.randrange(100, 200), r.randrange(100, 200)) for _ in range(70)] + [(300, 300 + i) for i in range(50)]

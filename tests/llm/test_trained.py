@@ -116,6 +116,12 @@ def test_excerpts_of_long_items(spark, make, prose):
     assert {x["doc_id"] for x in decontamination.keep_clean(spark, make(rows), items).collect()} == {3, 4}
 
 
+def test_leaks_go_by_row(spark, make, prose, leaks):
+    rows = [(1, prose(5000, 40)), (1, prose(1)), (None, prose(5001, 40)), (None, prose(2)), (None, None), (2, prose(3))]
+    kept = [(x["doc_id"], x["text"]) for x in decontamination.keep_clean(spark, make(rows), leaks).collect()]
+    assert sorted(map(repr, kept)) == sorted(repr(r) for r in (rows[1], rows[3], rows[4], rows[5]))
+
+
 def test_alignment():
     def brute(x, y):
         h = np.zeros((len(x) + 1, len(y) + 1), int)
