@@ -16,13 +16,14 @@ The join is of a stated query set, the benchmark, against all rows: items are se
 No document leaves its task, and no task needs more than its own rows.
 
 Edge cases: null or empty texts and items match nothing; items of fewer than ``LEAST_WORDS`` words are too short to tell
-a leak from chance and are left out; the item row with the smallest item_id stands for equal ids; documents of any length
-are searched whole; repeated rows are reported each; empty tables give no rows; other columns are ignored.
+a leak from chance and are left out; all texts of an item_id are searched, also those of items without one, and the best
+match of an id (null is one too) is reported for each document; documents of any length are searched whole; repeated rows are reported each; empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -158,13 +159,23 @@ def _matches(items: Items, text: np.ndarray, places: np.ndarray, seeds: np.ndarr
             yield items.ids[it], best[0] / (MATCH * len(own)), best[3], best[1], best[2], best[2] - best[1]
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    items = benchmark.filter("item_id is not null and text is not null").groupBy("item_id").agg(F.min("text").alias("text"))
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
+    items = benchmark.filter("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = -(-int(size) // (BLOCK_BYTES // 2)) or 1
     for k in range(n):
-        part = items if n == 1 else items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k)
-        yield [(int(r["item_id"]), r["text"]) for r in part.orderBy("item_id").collect()]
+        part = items if n == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
+        yield [(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()]
+
+
+def _best_of_ids(found: DataFrame) -> DataFrame:
+    """Of the matches of a document with several texts of one item_id, in different blocks, the best; repeated rows each."""
+    names = [x.split()[0] for x in SCHEMA.split(", ")]
+    key, rest = ["doc_id", "th", "item_id"], [n for n in names if n not in ("doc_id", "item_id")]
+    each = found.groupBy(*key, "block").agg(F.count(F.lit(1)).alias("copies"), F.max(F.struct(*rest)).alias("m"))
+    best = each.groupBy(*key).agg(F.max(F.struct("m", "block", "copies")).alias("b"))
+    rows = best.select(*key, "b.m.*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("b.copies"))))
+    return rows.select(*names, "th")
 
 
 def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -172,7 +183,7 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataF
     names = [x.split()[0] for x in SCHEMA.split(", ")]
     kinds = pa.schema(list(zip([*names, "th"], [pa.int64(), pa.int64(), pa.float64(), *[pa.int32()] * 4, pa.int64()], strict=True)))
     doc_id, th = row_key()
-    texts, out = docs.select(doc_id, "text", th), None
+    texts, parts = docs.select(doc_id, "text", th), []
     for rows in _blocks(benchmark):
         items = Items(rows)
         sent = spark.sparkContext.broadcast(items)
@@ -196,17 +207,21 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataF
                 found = []
                 for r, text, places, seeds in _documents(rare.value, batch.column(1)):
                     doc_id, th = batch.column(0)[r].as_py(), batch.column(2)[r].as_py()
-                    found += [(doc_id, *m, th) for m in _matches(rare.value, text, places, seeds)]
+                    best: dict[int | None, tuple] = {}
+                    for m in _matches(rare.value, text, places, seeds):
+                        best[m[0]] = max(best.get(m[0], m), m, key=lambda x: x[1:])
+                    found += [(doc_id, *m, th) for m in best.values()]
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds.types, strict=True)], schema=kinds)
 
-        part = texts.mapInArrow(find, SCHEMA + ", th long")
-        out = part if out is None else out.unionByName(part)
-    return out
+        parts.append(texts.mapInArrow(find, SCHEMA + ", th long"))
+    if len(parts) == 1:
+        return parts[0]
+    return _best_of_ids(reduce(DataFrame.unionByName, [p.withColumn("block", F.lit(k)) for k, p in enumerate(parts)]))
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row for each document and item that it holds a copy of: doc_id, item_id, score, n_hits, words of the passage."""
+    """One row for each document and item_id of which it holds a copy: doc_id, item_id, score, n_hits, words of the passage."""
     return matches(spark, docs, benchmark).drop("th")
 
 

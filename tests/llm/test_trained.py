@@ -122,6 +122,19 @@ def test_leaks_go_by_row(spark, make, prose, leaks):
     assert sorted(map(repr, kept)) == sorted(repr(r) for r in (rows[1], rows[3], rows[4], rows[5]))
 
 
+@pytest.mark.parametrize("block", [32 << 20, 600])
+def test_all_texts_of_an_item_id_are_searched(spark, make, prose, block, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)
+    texts = [prose(6000 + i, 40) for i in range(6)]
+    items = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (1, texts[2]), (1, texts[2]), (None, texts[3]), (None, texts[4]), (2, texts[5])], "item_id long, text string")
+    half = " ".join(texts[1].split()[:25])
+    rows = [(10 + i, prose(i, 30) + " " + t + " " + prose(50 + i, 30)) for i, t in enumerate(texts)] + [(20, f"{half} {prose(7)} {texts[0]}"), (21, prose(8))]
+    rows += [rows[2], (None, rows[4][1]), (None, rows[4][1])]
+    got = Counter((x["doc_id"], x["item_id"], x["score"]) for x in decontamination.contaminated(spark, make(rows), items).collect())
+    assert got == Counter({(10, 1, 1.0): 1, (11, 1, 1.0): 1, (12, 1, 1.0): 2, (13, None, 1.0): 1, (14, None, 1.0): 1, (15, 2, 1.0): 1, (20, 1, 1.0): 1, (None, None, 1.0): 2})
+    assert [x["doc_id"] for x in decontamination.keep_clean(spark, make(rows), items).collect()] == [21]
+
+
 def test_alignment():
     def brute(x, y):
         h = np.zeros((len(x) + 1, len(y) + 1), int)
