@@ -9,8 +9,9 @@ no DELETE came, or if the tail isn't empty.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -114,27 +115,51 @@ def update_or_merge(target: DataFrame, records: DataFrame, key: str, columns: li
     """Snowflake rule with strategy ``standard``, over collapsed records.
 
     INSERT merges if newer, UPDATE sets its diff's columns on a row that exists and is lost on one that doesn't, DELETE removes.
-    An UPDATE may set the stamp back, so rows are folded one by one, inside the engine: the state is the row, or NULL for none.
-    Records of a key are few after the collapse.
+    An UPDATE may set the stamp back, so rows are folded one by one. They are sorted by key and order and stream through the
+    fold, which holds one state row a key (one for each row of the target that has the key), so a key may have any number.
     """
-    row = F.struct(F.col(order).alias("_o"), "op", F.col("diff"), *columns)
-    kind = ", ".join(f"{f.name}:{f.dataType.simpleString()}" for f in target.select(*columns).schema)
-    listed = records.groupBy(key).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
-    old = target.select(key, F.struct(*columns).cast(f"struct<{kind}>").alias("_old"))
-
-    def step(acc: Column, r: Column) -> Column:
-        whole = F.struct(*[r[c].alias(c) for c in columns]).cast(f"struct<{kind}>")
-        partly = F.struct(*[F.when(F.array_contains(r["diff"], c), r[c]).otherwise(acc[c]).alias(c) for c in columns]).cast(f"struct<{kind}>")
-        none = F.lit(None).cast(f"struct<{kind}>")
-        return (
-            F.when(r["op"] == DELETE, none)
-            .when(r["op"] == UPDATE, F.when(acc.isNull(), none).otherwise(partly))
-            .otherwise(F.when(acc.isNull() | (r[stamp] > acc[stamp]), whole).otherwise(acc))
-        )
-
-    both = old.join(listed, key, "full_outer")
-    folded = both.withColumn("_new", F.when(F.col("_rows").isNull(), F.col("_old")).otherwise(F.aggregate(F.coalesce("_rows", F.array().cast(listed.schema["_rows"].dataType)), F.col("_old"), step)))
-    return folded.filter("_new is not null").select(key, *[F.col(f"_new.{c}").alias(c) for c in columns])
+    kinds = {f.name: f.dataType for f in target.schema}
+    image = [F.col(c).cast(kinds[c]).alias(c) for c in columns]
+    k = F.col(key).cast(kinds[key]).alias(key)
+    old = target.select(k, *image, F.lit(False).alias("_new"), F.lit(None).cast(records.schema[order].dataType).alias("_o"), F.lit(None).cast("string").alias("_op"), F.lit(None).cast("array<string>").alias("_diff"))
+    new = records.select(k, *image, F.lit(True).alias("_new"), F.col(order).alias("_o"), F.col("op").alias("_op"), F.col("diff").cast("array<string>").alias("_diff"))
+    # dealt by a hash of the key: an exchange by the key itself is taken for done where both sides are dealt by it already
+    rows = old.unionByName(new).repartition(F.xxhash64(key)).sortWithinPartitions(key, "_new", "_o", "_op")
+    n, place = len(columns), columns.index(stamp)
+
+    def newer(a: object, b: object) -> bool:
+        if a is None or b is None:
+            return False
+        return b == b if a != a else a > b  # NaN is the largest number, as in SQL
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states, at, begun, fresh, schema = [], None, False, False, None
+        for batch in batches:
+            schema = schema or pa.schema([batch.schema.field(i) for i in range(n + 1)])
+            done = []
+            data = [c.to_pylist() for c in batch.columns]
+            for r in zip(*data, strict=True):
+                pk, image, is_new, op, diff = r[0], list(r[1 : n + 1]), r[n + 1], r[n + 3], r[n + 4]
+                if not begun or pk != at or (pk is None and is_new and states and not fresh):
+                    done += [(at, *s) for s in states if s is not None]
+                    states, at, begun, fresh = [], pk, True, is_new
+                if not is_new:
+                    states.append(image)
+                    continue
+                for i, s in enumerate(states := states or [None]):
+                    if op == DELETE:
+                        states[i] = None
+                    elif op == UPDATE:
+                        states[i] = s and [x if c in (diff or ()) else y for c, x, y in zip(columns, image, s, strict=True)]
+                    elif s is None or newer(image[place], s[place]):
+                        states[i] = image
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done, strict=True), schema, strict=True)], schema=schema)
+        if done := [(at, *s) for s in states if s is not None]:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done, strict=True), schema, strict=True)], schema=schema)
+
+    out = ", ".join(f"`{c}` {kinds[c].simpleString()}" for c in (key, *columns))
+    return rows.mapInArrow(task, out)
 
 
 def delete_by_key(target: DataFrame, deletes: DataFrame, key: str, parts: str = "key", which: str = "first") -> DataFrame:

@@ -23,10 +23,40 @@ def islands(records: DataFrame, keys: list[str], order: str, op: str = "op") ->
     return tail.withColumn("_starts", starts).withColumn("grp", F.sum("_starts").over(by.rowsBetween(W.unboundedPreceding, W.currentRow))).drop("_ld", "_starts")
 
 
-def union_of_diffs(order: str, diff: str = "diff") -> Column:
-    """Names of all diffs in the order in which they were first seen."""
-    listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(diff).alias("d"))))
-    return F.array_distinct(F.flatten(F.transform(listed, lambda x: F.coalesce(x["d"], F.array().cast("array<string>")))))
+def _entries(diff: str) -> Column:
+    """(kind, pos, name) of each name of a diff: kind 1."""
+    return F.coalesce(F.transform(diff, lambda x, i: F.struct(F.lit(1).alias("kind"), i.alias("pos"), x.cast("string").alias("name"))), F.array())
+
+
+def _runs(rows: DataFrame, keys: list[str], order: str, op: str, diff: str, first: bool, aggs: dict[str, Column], obj: str | None = None) -> DataFrame:
+    """One row a run. Changes are dealt into (run, name) and combined name by name, so that what is collected of a run is as
+    long as its distinct names, however many changes it has. ``aggs`` are over the changes themselves.
+    """
+    entry = "struct<kind:int,pos:int,name:string"
+    own = F.array(F.struct(F.lit(0).alias("kind"), F.lit(0).alias("pos"), F.lit(None).cast("string").alias("name")))
+    entries = F.concat(own.cast(f"array<{entry}>>"), _entries(diff).cast(f"array<{entry}>>"))
+    if obj:
+        kind = rows.schema[obj].dataType.valueType.simpleString()
+        fields = F.transform(F.map_entries(obj), lambda x, i: F.struct(F.lit(2).alias("kind"), i.alias("pos"), x["key"].alias("name"), x["value"].alias("value")))
+        none = F.lit(None).cast(kind)
+        entries = F.transform(entries, lambda x: F.struct(x["kind"].alias("kind"), x["pos"].alias("pos"), x["name"].alias("name"), none.alias("value")))
+        whole = f"array<{entry},value:{kind}>>"
+        entries = F.concat(entries.cast(whole), F.coalesce(fields.cast(whole), F.array().cast(whole)))
+    dealt = rows.withColumn("_e", F.explode(entries)).withColumn("_kind", F.col("_e.kind")).withColumn("_name", F.col("_e.name"))
+    at = F.struct(F.col(order), F.col("_e.pos"))
+    parts = {"_op": F.min_by(op, order), "_n": F.count(F.lit(1)), "_first": F.min(order), "_last": F.max(order), "_begin": F.min(at), "_end": F.max(at)} | aggs
+    if obj:
+        parts["_value"] = F.max_by("_e.value", at)
+    named = dealt.groupBy(*keys, "grp", "_kind", "_name").agg(*[c.alias(n) for n, c in parts.items()])
+    itself = lambda n: F.max_by(n, F.when(F.col("_kind") == 0, 1))
+    names = F.transform(F.array_sort(F.collect_list(F.when(F.col("_kind") == 1, F.struct("_begin", "_name")))), lambda x: x["_name"])
+    out = [itself("_op").alias(op), names.alias(diff), itself("_n").alias("n")]
+    out += [itself("_first").alias("first_" + order)] if first else []
+    out += [itself("_last").alias("last_" + order), *[itself(n).alias(n) for n in aggs]]
+    if obj:
+        listed = F.array_sort(F.collect_list(F.when(F.col("_kind") == 2, F.struct("_end", "_name", "_value"))))
+        out.append(F.map_from_entries(F.transform(listed, lambda x: F.struct(x["_name"], x["_value"]))).alias(obj))
+    return named.groupBy(*keys, "grp").agg(*out)
 
 
 def collapse(records: DataFrame, keys: list[str], order: str, values: list[str], op: str = "op", diff: str = "diff", present: str | None = None) -> DataFrame:
@@ -36,20 +66,11 @@ def collapse(records: DataFrame, keys: list[str], order: str, values: list[str],
     meet in one window (they must, to be ordered); merged columns are combined before the result is shuffled again.
     """
     rows = islands(records, keys, order, op)
-    latest = [
-        F.max_by(c, F.when(F.array_contains(present, c), F.col(order)) if present else F.col(order)).alias(c) for c in values
-    ]
-    return rows.groupBy(*keys, "grp").agg(
-        F.min_by(op, order).alias(op), union_of_diffs(order, diff).alias(diff), F.count(F.lit(1)).alias("n"), F.min(order).alias("first_" + order), F.max(order).alias("last_" + order), *latest
-    )
+    latest = {c: F.max_by(F.when(F.col("_kind") == 0, F.col(c)), F.when(F.array_contains(present, c), F.col(order)) if present else F.col(order)) for c in values}
+    return _runs(rows, keys, order, op, diff, True, latest)
 
 
 def collapse_objects(records: DataFrame, keys: list[str], order: str, obj: str = "object", op: str = "op", diff: str = "diff") -> DataFrame:
     """As ``collapse`` for records whose row image is a map: later keys overwrite earlier ones."""
     rows = islands(records, keys, order, op)
-    listed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.map_entries(F.coalesce(obj, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))).alias("m"))))
-    merged = F.aggregate(
-        listed, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")),
-        lambda acc, x: F.map_concat(F.map_filter(acc, lambda k, _: ~F.exists(x["m"], lambda e: e["key"] == k)), F.map_from_entries(x["m"])),
-    )
-    return rows.groupBy(*keys, "grp").agg(F.min_by(op, order).alias(op), union_of_diffs(order, diff).alias(diff), F.count(F.lit(1)).alias("n"), F.max(order).alias("last_" + order), merged.alias(obj))
+    return _runs(rows, keys, order, op, diff, False, {}, obj)

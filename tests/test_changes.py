@@ -125,6 +125,22 @@ def test_object_collapse_vectors(spark):
     assert got == {("user", "0"): (["name", "age"], {"name": "Sally", "age": "33"}), ("user", "1"): (["orders", "favoriteColor"], {"orders": "10", "favoriteColor": "blue"}), ("vehicle", "0"): ([], {"vin": "x"})}
 
 
+def test_no_list_grows_with_the_changes_of_a_key(spark):
+    n = 3000
+    changes = spark.range(n).selectExpr("1L as pk", "id as seq", "'UPDATE' as op", "array(if(id % 2 = 0, 'b', 'a'), 'ts') as diff", "id as a", "id * 2 as b", "id as ts", "map('a', cast(id as string), 'k' || id % 3, 'x') as object")
+    got = collapse.collapse(changes, ["pk"], "seq", COLS).first()
+    assert (got["op"], got["diff"], got["n"], got["first_seq"], got["last_seq"], got["a"], got["b"]) == ("UPDATE", ["b", "ts", "a"], n, 0, n - 1, n - 1, 2 * n - 2)
+    objects = collapse.collapse_objects(changes, ["pk"], "seq")
+    assert objects.first()["object"] == {"a": str(n - 1), "k0": "x", "k1": "x", "k2": "x"}
+    target = spark.createDataFrame([(1, 5, 5, 0), (None, 7, 7, 7)], "pk long, a long, b long, ts long")
+    inserts = changes.selectExpr("if(seq % 10 = 9, null, pk) as pk", "seq", "if(seq % 7 = 3, 'UPDATE', 'INSERT') as op", "diff", "a", "b", "if(seq % 7 = 3, 1, ts) as ts")
+    applied = apply.update_or_merge(target, inserts, "pk", COLS, "seq", "ts")
+    assert sorted(map(tuple, applied.collect()), key=repr) == sorted([(1, 2998, 5996, 2998), (None, 7, 7, 7), (None, 2999, 5978, 1)], key=repr)
+    # what is collected is made of rows that are combined by name before
+    for plan in (x._jdf.queryExecution().optimizedPlan().toString() for x in (collapse.collapse(changes, ["pk"], "seq", COLS), objects, applied)):
+        assert "collect_list" not in plan or "_name" in plan.split("collect_list", 1)[1]
+
+
 def test_sort_by_commit_time(spark):
     df = spark.createDataFrame([("1.0", "John", 1), ("3.0", "Sally", 2), ("2.0", "Tim", 3), (None, "No", 4), ("1720732611708587506.0000000001", "B", 5), ("1720732611708587506.0000000000", "A", 6)], "mvccTimestamp string, name string, n int")
     assert [r["name"] for r in collapse.sort_by_mvcc(df, "n").orderBy("seq_key").collect()] == ["No", "John", "Tim", "Sally", "A", "B"]
