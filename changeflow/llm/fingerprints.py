@@ -14,7 +14,8 @@ Everything is row-local but the look-up of the next document: rows are dealt onc
 a LEAD inside a range, and only the first row of each range is looked up by the last row of the range before.
 
 Edge cases: null text is the empty text; empty texts have a zero vector and are like other empty texts only; rows that
-share a doc_id are ordered by text; a single document follows itself; null doc_ids come first.
+share a doc_id are ordered by text; a single document follows itself; null doc_ids come first; texts of any length are
+hashed whole, piece by piece; an empty table gives no rows; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -101,15 +102,20 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).otherwise(F.element_at(F.transform(F.array(F.array(centred(a), centred(b))), of), 1))
 
 
-def with_next(docs: DataFrame, order: list[str], keep: list[str]) -> DataFrame:
-    """Adds next_<c> for each column c of ``keep``: its value in the next row by ``order``; the last row wraps to the first."""
-    key = order[0]
+def with_next(docs: DataFrame, order: list[str], keep: list[str], made: dict[str, Column]) -> DataFrame:
+    """Adds next_<c> for each column c of ``keep`` and ``made``: its value in the next row by ``order``; the last row wraps to the first.
+
+    ``made`` are columns that are computed from the others: for all rows once, and again only for the first row of each range.
+    """
+    key, kept = order[0], [*keep, *made]
     n = docs.count()
     bounds = bucket_bounds(docs, key, min(16_384, -(-n // ROWS_A_RANGE)))
     ranged = docs.withColumn("_range", bucket_of(F.col(key), bounds))
     by = W.partitionBy("_range").orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    here = ranged.select("*", F.row_number().over(by).alias("_row"), F.lead(F.struct(*keep)).over(by).alias("_next"))
-    firsts = here.filter("_row = 1").select(F.col("_range").alias("_first_range"), F.struct(*keep).alias("_first"))
+    here = ranged.withColumns(made).select("*", F.lead(F.struct(*kept)).over(by).alias("_next"))
+    # the least struct is the first row: nulls are least
+    firsts = ranged.groupBy("_range").agg(F.min(F.struct(*order, *[c for c in docs.columns if c not in order])).alias("_f")).select(F.col("_range").alias("_first_range"), "_f.*")
+    firsts = firsts.withColumns(made).select("_first_range", F.struct(*kept).alias("_first"))
     ranges = ranged.groupBy("_range").agg(F.lit(1).alias("_one"))
     all_ranges = W.orderBy("_range")
     follows = ranges.select(
@@ -119,13 +125,13 @@ def with_next(docs: DataFrame, order: list[str], keep: list[str]) -> DataFrame:
     heads = follows.join(firsts, "_first_range").select("_from", "_first")
     joined = here.join(heads.hint("merge"), here["_range"] == heads["_from"], "left")
     after = F.coalesce(F.col("_next"), F.col("_first"))
-    return joined.select(*docs.columns, *[after[c].alias(f"next_{c}") for c in keep])
+    return joined.select(*docs.columns, *made, *[after[c].alias(f"next_{c}") for c in kept])
 
 
 def fingerprint_documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    paired = with_next(texts.withColumn("v", vector(F.col("text"))), ["doc_id", "text"], ["text", "v"])
+    paired = with_next(texts, ["doc_id", "text"], ["text"], {"v": vector(F.col("text"))})
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.expr("left(text, char_length(text) - cast(floor(char_length(text) / 2) as int))"), F.substring(F.col("next_text"), F.lit(1), half))
