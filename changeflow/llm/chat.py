@@ -1,9 +1,13 @@
 """Chat formatting: a finite-state machine over roles, a declarative template, text segments with loss flags.
 
 ``Template`` says how a turn opens and closes, which roles carry loss and which role may follow which. ``Formatter``
-walks the turns of a conversation and emits (text, loss) segments; ``Reader`` walks segments and gives the turns back.
-Control strings inside texts are escaped reversibly: a backslash becomes two, and ``<|`` becomes ``<\\|``, so no text can
-open or close a turn. A newline inside a role is escaped as well.
+walks the turns of a conversation and gives the text of each with the range under the loss mask. ``Reader`` gets the joined
+text, cut anywhere, and the mask, and gives the turns back: it knows the template, not where the formatter's segments ended.
+
+Control strings inside texts are escaped reversibly by a backslash (and a backslash by another): before each place where
+the first two characters of a control string stand, or before each of their first characters where the template needs
+it (``Template.marks``); in roles before each such first character. Escapes follow from the template; one whose control
+strings have a backslash, or that has no string to tell a role's or a turn's end, is refused.
 
 On Spark, rows are dealt by conv_id and sorted by turn inside partitions; each task streams its rows through the two
 machines and keeps one turn and two running digests in memory, however long a conversation is. (A digest of a
@@ -11,14 +15,17 @@ conversation is sequential, so its turns have to pass one task, one at a time; n
 
 Edge cases: null text or role is the empty string; unknown roles are formatted like others, without loss, and make the
 order invalid; ties of turn are ordered by role, then text; repeated rows are repeated turns; rows with a null conv_id
-form one conversation; an empty table gives no rows but those of ``extra``.
+form one conversation; texts of any length are formatted whole; an empty table gives no rows but those of ``extra``; other
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,74 +45,117 @@ class Template:
     )
     ends: tuple[str, ...] = ("assistant",)
 
+    def __post_init__(self) -> None:
+        if not (self.open and self.after_role and self.close):
+            raise ValueError("a template needs strings that open a turn, end its role and close it")
+        if "\\" in self.open + self.after_role + self.close + self.after_close:
+            raise ValueError("control strings may not have a backslash")
+
+    @cached_property
+    def marks(self) -> re.Pattern[str]:
+        """Where a text gets a backslash. Two characters are enough if no control string has the first of any further on:
+        then none can begin in a text and end in the control string behind it.
+        """
+        controls = (self.open, self.close)
+        firsts = {c[0] for c in controls}
+        if any(len(c) < 2 or firsts & set(c[1:]) for c in controls):
+            return re.compile("[\\\\" + "".join(map(re.escape, sorted(firsts))) + "]")
+        return re.compile(r"\\|" + "|".join(f"{re.escape(a)}(?={re.escape(b)})" for a, b in sorted({(c[0], c[1]) for c in controls})))
+
+    @cached_property
+    def role_marks(self) -> re.Pattern[str]:
+        return re.compile("[\\\\" + "".join(map(re.escape, sorted({c[0] for c in (self.open, self.after_role, self.close)}))) + "]")
 
-def escape(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("<|", "<\\|")
+    def escape(self, text: str) -> str:
+        return self.marks.sub(r"\\\g<0>", text)
+
+    def escape_role(self, role: str) -> str:
+        return self.role_marks.sub(r"\\\g<0>", role)
 
 
 def unescape(text: str) -> str:
-    if "\\" not in text:
-        return text
-    out, i = [], 0
-    while (j := text.find("\\", i)) >= 0:
-        out += text[i:j], text[j + 1 : j + 2]
-        i = j + 2
-    return "".join(out) + text[i:]
+    return _ESCAPED.sub(r"\1", text) if "\\" in text else text
+
+
+_ESCAPED = re.compile(r"\\(.)", re.DOTALL)
 
 
 class Formatter:
-    """Turns in, segments out; ``valid`` and ``first_bad`` tell what the role machine made of the order."""
+    """Turns in, text and its masked ranges out; ``valid`` and ``first_bad`` tell what the role machine made of the order."""
 
     def __init__(self, template: Template):
         self.t, self.state, self.turns, self.first_bad = template, "", 0, None
 
-    def turn(self, role: str, text: str) -> list[tuple[str, bool]]:
+    def turn(self, role: str, text: str) -> tuple[str, list[tuple[int, int]]]:
         if role not in self.t.follows.get(self.state, ()) and self.first_bad is None:
             self.first_bad = self.turns
         self.state, self.turns = role, self.turns + 1
         t = self.t
-        return [(t.open + escape(role).replace("\n", "\\n") + t.after_role, False), (escape(text), role in t.loss_roles), (t.close, False), (t.after_close, False)]
+        head, body = t.open + t.escape_role(role) + t.after_role, t.escape(text)
+        return head + body + t.close + t.after_close, [(len(head), len(head) + len(body))] if role in t.loss_roles and body else []
 
     def valid(self) -> bool:
         return self.first_bad is None and self.state in self.t.ends
 
 
 class Reader:
-    """Segments in, (role, text, text under loss) out, from the emitted characters and flags alone."""
+    """Joined text in, cut anywhere, with masked ranges of each piece; (role, text, text under the mask) of each turn out.
+
+    Three states: before a turn's opening, in its role, in its body. What is not yet a whole turn stays in ``held``.
+    """
 
     def __init__(self, template: Template):
-        self.t, self.role, self.body, self.loss = template, None, [], []
+        self.t, self.held, self.at, self.role, self.masked, self.first = template, "", 0, None, [], True
+        self.role_end, self.body_end = (re.compile(r"\\.|" + re.escape(c), re.DOTALL) for c in (template.after_role, template.close))
+
+    def _find(self, pattern: re.Pattern[str], longest: int) -> str | None:
+        """Text up to the next control string, which goes with it; None if it isn't there yet. Escapes are stepped over."""
+        for m in pattern.finditer(self.held, self.at):
+            if m[0][0] != "\\":
+                text = self.held[: m.start()]
+                self._drop(m.end())
+                return text
+            self.at = m.end()
+        # a control string may have begun, but an escape that is cut in two is looked at again
+        tail = len(self.held) - longest + 1
+        self.at = max(self.at, min(tail, self.held.find("\\", self.at)) if "\\" in self.held[self.at :] else tail)
+        return None
+
+    def _drop(self, n: int) -> None:
+        self.held, self.at = self.held[n:], 0
+        self.masked = [(a - n, b - n) for a, b in self.masked if b > n]
 
-    def segment(self, text: str, loss: bool) -> tuple[str, str, str] | None:
+    def feed(self, piece: str, masked: Iterable[tuple[int, int]] = ()) -> Iterator[tuple[str, str, str]]:
+        self.masked += [(a + len(self.held), b + len(self.held)) for a, b in masked]
+        self.held += piece
         t = self.t
-        if self.role is None:
-            if text.startswith(t.open) and text.endswith(t.after_role):
-                raw = text[len(t.open) : len(text) - len(t.after_role)]
-                self.role, self.body, self.loss = unescape(raw.replace("\\n", "\n") if "\\\\" not in raw else _role(raw)), [], []
-            elif text != t.after_close:
-                raise ValueError(f"text outside of a turn: {text[:40]!r}")
-            return None
-        if text == t.close:
-            done = self.role, unescape("".join(self.body)), unescape("".join(self.loss))
+        while True:
+            if self.role is None:
+                lead = t.open if self.first else t.after_close + t.open
+                if len(self.held) < len(lead):
+                    return
+                if not self.held.startswith(lead):
+                    raise ValueError(f"no turn opens at {self.held[:40]!r}")
+                if (found := self._role(len(lead))) is None:
+                    return
+                self.role, self.first = found, False
+            masked_now, held = self.masked, self.held
+            if (body := self._find(self.body_end, len(t.close))) is None:
+                return
+            learnt = "".join(held[max(a, 0) : min(b, len(body))] for a, b in masked_now if a < len(body))
+            yield self.role, unescape(body), unescape(learnt)
             self.role = None
-            return done
-        self.body.append(text)
-        if loss:
-            self.loss.append(text)
-        return None
 
+    def _role(self, begin: int) -> str | None:
+        self.at = max(self.at, begin)
+        if (found := self._find(self.role_end, len(self.t.after_role))) is None:
+            return None
+        return unescape(found[begin:])
 
-def _role(raw: str) -> str:
-    """Newline escapes of a role that also has escaped backslashes."""
-    out, i = [], 0
-    while i < len(raw):
-        if raw[i] == "\\" and i + 1 < len(raw):
-            out.append("\n" if raw[i + 1] == "n" else raw[i : i + 2])
-            i += 2
-        else:
-            out.append(raw[i])
-            i += 1
-    return "".join(out)
+    def end(self) -> None:
+        """Checks that nothing but what follows the last turn is left."""
+        if self.role is not None or self.held != ("" if self.first else self.t.after_close):
+            raise ValueError(f"an unfinished turn at the end: {self.held[:40]!r}")
 
 
 SCHEMA = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, order_valid boolean, first_bad_turn long"
@@ -118,16 +168,16 @@ class _Conversation:
         self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
 
     def take(self, role: str, text: str) -> None:
-        for piece, loss in self.out.turn(role, text):
-            self.chars += len(piece)
-            if read := self.back.segment(piece, loss):
-                role_back, text_back, learnt = read
-                self.n += 1
-                self.turns.update(f"{role_back}\n{text_back}\n".encode())
-                self.loss_chars += len(learnt)
-                self.loss.update(learnt.encode())
+        piece, masked = self.out.turn(role, text)
+        self.chars += len(piece)
+        for role_back, text_back, learnt in self.back.feed(piece, masked):
+            self.n += 1
+            self.turns.update(f"{role_back}\n{text_back}\n".encode())
+            self.loss_chars += len(learnt)
+            self.loss.update(learnt.encode())
 
     def row(self) -> tuple:
+        self.back.end()
         return (self.id, self.n, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars, self.out.valid(), self.out.first_bad)
 
 
@@ -171,8 +221,8 @@ PLANTED = [(-1, 0, "user", INJECTION), (-1, 1, "assistant", INJECTION)]
 
 def format_sql() -> str:
     """The same digests in DuckDB, for the default template."""
-    esc = "replace(replace({0}, '\\', '\\\\'), '<|', '<\\|')"
-    role = "replace(" + esc.format("role") + ", chr(10), '\\n')"
+    esc = "replace(replace({0}, '\\', '\\\\'), '<|', '\\<|')"
+    role = "replace(replace(replace(role, '\\', '\\\\'), '<', '\\<'), chr(10), '\\' || chr(10))"
     frame = len("<|im_start|>") + len("<|im_end|>") + 2
     return f"""
 WITH turns AS (
