@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -76,17 +77,22 @@ def row_key() -> list[Column]:
     return [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("th")]
 
 
-def marked(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """docs with the column ``_mark`` of ``keys`` (doc_id, th, _mark; one row a key), null for rows without one."""
-    keys = keys.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "_mark")
+def marked(docs: DataFrame, keys: DataFrame) -> tuple[DataFrame, str, list[str]]:
+    """docs with the mark of ``keys`` (doc_id, th, mark; one row a key), null for rows without one; the name of the mark's
+    column and those of the key's. The names are new ones, so columns of docs may have any.
+    """
+    tag = uuid.uuid4().hex
+    names = [f"{c}_{tag}" for c in ("doc_id", "th", "mark")]
+    keys = keys.select("doc_id", "th", "mark").toDF(*names)
     keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
     doc_id, th = row_key()
-    return docs.join(keys, doc_id.eqNullSafe(F.col("_id")) & (th == F.col("_th")), "left")
+    return docs.join(keys, doc_id.eqNullSafe(F.col(names[0])) & (th == F.col(names[1])), "left"), names[2], names[:2]
 
 
 def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows of docs whose key (``row_key``) isn't among ``keys`` (doc_id, th; a key may repeat)."""
-    return marked(docs, keys.distinct().withColumn("_mark", F.lit(1))).filter("_mark is null").select(docs.columns)
+    rows, mark, _ = marked(docs, keys.select("doc_id", "th").distinct().withColumn("mark", F.lit(1)))
+    return rows.filter(F.col(mark).isNull()).select(docs.columns)
 
 
 def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:

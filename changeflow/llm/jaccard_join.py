@@ -391,15 +391,15 @@ def keep_one(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
     keys = checkpointed(spark, placed.filter("root is not null").groupBy("root", "doc_id", "th").agg(F.count(F.lit(1)).alias("copies")))
     first = keys.groupBy("root").agg(F.min(key).alias("first"))
-    judged = keys.join(first, "root").withColumn("_mark", F.when(~key.eqNullSafe(F.col("first")), GONE).when(F.col("copies") > 1, ONCE))
-    judged = checkpointed(spark, judged.filter("_mark is not null").select("doc_id", "th", "_mark"))
-    rows = marked(docs, judged)
-    stay = rows.filter("_mark is null").select(docs.columns)
-    if judged.filter(F.col("_mark") == ONCE).limit(1).count() == 0:
+    judged = keys.join(first, "root").withColumn("mark", F.when(~key.eqNullSafe(F.col("first")), GONE).when(F.col("copies") > 1, ONCE))
+    judged = checkpointed(spark, judged.filter("mark is not null").select("doc_id", "th", "mark"))
+    rows, mark, names = marked(docs, judged)
+    stay = rows.filter(F.col(mark).isNull()).select(docs.columns)
+    if judged.filter(F.col("mark") == ONCE).limit(1).count() == 0:
         return stay
-    repeated = rows.filter(F.col("_mark") == ONCE).select("_id", "_th", F.struct(*docs.columns).alias("_row"))
-    one = repeated.groupBy("_id", "_th").agg(F.min_by("_row", F.xxhash64(F.to_json("_row"))).alias("_row"))
-    return stay.unionByName(one.select("_row.*"))
+    repeated = rows.filter(F.col(mark) == ONCE).select(*names, F.struct(*docs.columns).alias("row"))
+    one = repeated.groupBy(*names).agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return stay.unionByName(one.select("row.*"))
 
 
 def jaccard_sql(words: int = 4, percent: int = 85) -> str:

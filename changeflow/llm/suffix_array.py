@@ -11,8 +11,6 @@ from __future__ import annotations
 
 import numpy as np
 
-from .words import BASE, U, mix
-
 SMALL_ALPHABET = 1024
 
 
@@ -128,16 +126,17 @@ def suffix_array(s: np.ndarray, sigma: int = 256) -> np.ndarray:
     mark[lms] = True
     sorted_lms = rough[mark[rough]]
     end = np.append(lms[1:], n - 1) + 1
-    power = np.concatenate([[U(1)], np.multiply.accumulate(np.full(n, BASE, U))])
-    sums = np.concatenate([[U(0)], np.cumsum((s.astype(U) + U(1)) * power[:n])])
-    # substrings are equal if length and hash are; hashes are brought to the same power by the inverse of BASE
-    inverse = U(pow(int(BASE), -1, 1 << 64))
-    inverses = np.concatenate([[U(1)], np.multiply.accumulate(np.full(n, inverse, U))])
-    name_hash = mix((sums[end] - sums[lms]) * inverses[lms] + (end - lms).astype(U))
     place = np.empty(n, np.int64)
     place[lms] = np.arange(len(lms))
-    h = name_hash[place[sorted_lms]]
-    names = np.cumsum(np.append(0, h[1:] != h[:-1]))
+    size = (end - lms)[place[sorted_lms]]
+    # neighbours in order have one name if they are equal, letter by letter; that is at most one look at each letter
+    differ = size[1:] != size[:-1]
+    same = np.flatnonzero(~differ)
+    step = size[same]
+    inside = np.arange(int(step.sum())) - np.repeat(np.cumsum(step) - step, step)
+    unlike = s[np.repeat(sorted_lms[same], step) + inside] != s[np.repeat(sorted_lms[same + 1], step) + inside]
+    differ[same] = np.logical_or.reduceat(unlike, np.cumsum(step) - step) if len(same) else False
+    names = np.cumsum(np.append(0, differ))
     reduced = np.empty(len(lms), np.int64)
     reduced[place[sorted_lms]] = names
     if names[-1] + 1 < len(lms):

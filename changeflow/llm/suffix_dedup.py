@@ -4,14 +4,16 @@ A byte goes if it lies in a string of ``length`` bytes that begins at more than
 so that all places of such a string meet in one shard:
 
 1. Runs. In each string of ``length`` bytes the smallest of its ``ANCHOR``-byte hashes is its anchor. Neighbouring strings
-   with the same anchor form a run, a window of less than two lengths. Equal strings have equal anchors, so a string can
-   repeat only among windows of equal anchor hash. One row a run is kept: place, anchor hash, window hash.
-2. Windows whose anchor occurs once are done. Equal windows count as one with its number; if an anchor has one window
-   only, all of it repeats.
+   with the same anchor form a run, a window of less than two lengths (a longer run, in text that repeats itself, is cut). Equal
+   strings have equal anchors, so a string can repeat only among windows of equal anchor hash; that different strings may share
+   one costs time only. One row a run is kept: place, anchor hash, and two 61-bit prints of the window.
+2. Windows whose anchor occurs once are done. Windows of equal prints count as one with its number; if an anchor has one window
+   only, all of it repeats. The prints are polynomials modulo the prime 2**61 - 1 with two random bases: two different windows
+   agree in both about once in 2**104 pairs, whatever their bytes are.
 3. Other windows are fetched (from one document each) and dealt by anchor into shards of about ``SHARD_BYTES``. A shard's
-   suffix array comes from induced sorting, its permuted common prefixes tell which strings begin twice.
+   suffix array comes from induced sorting, its permuted common prefixes tell which strings begin twice, byte by byte.
 4. Anchors with more than ``CROWD`` different windows (the borders of a passage that very many documents share) don't go to
-   one shard: their windows are cut into single strings, counted by two 64-bit hashes, a key each.
+   one shard: their windows are cut into single strings, counted by both prints, a key each.
 5. Ranges of repeated starts go back to all places of their window, and to the documents, as spans to cut.
 
 What stays whole: all documents take part at full length, in blocks of ``BLOCK`` starts where they are long. Texts are read
@@ -19,7 +21,7 @@ from the source each time; only those that a Bloom filter of fixed size holds fo
 
 Edge cases: null text is empty; texts shorter than ``length`` bytes keep all; rows that share a doc_id are told apart by
 their text, and rows that repeat both are copies of each other, so a repeated text of ``length`` bytes or more goes whole; an
-empty table gives no rows; other columns are ignored.
+empty table gives no rows; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -33,13 +35,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_stored, stored
+from .common import BROADCAST_KEYS, drop_stored, stored
 from .jaccard_join import _bloom
 from .suffix_array import repeated_starts
 from .words import BASE, BYTE_CODE, U, blocks, mix
 
 ANCHOR = 64
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 SHARD_BYTES = 2 << 20
 CROWD = 4_000
 
@@ -50,61 +52,101 @@ _tables: dict[int, np.ndarray] = {}
 def _powers(base: np.uint64, n: int) -> np.ndarray:
     have = _tables.get(int(base))
     if have is None or len(have) < n:
-        have = _tables[int(base)] = np.concatenate([[U(1)], np.multiply.accumulate(np.full(max(n, 1 << 21), base, U))])
+        have = _tables[int(base)] = np.concatenate([[U(1)], np.multiply.accumulate(np.full(n, base, U))])
     return have[:n]
 
 
-class Hashes:
-    """Hashes of any substring of a block, from sums of letters times powers modulo 2**64."""
+PRIME = U((1 << 61) - 1)
+#: Bases of the prints: numbers below the prime, drawn at random once.
+PRINT_BASES = (0x0B7E151628AED2A6, 0x1243F6A8885A308D)
+_LOW = U((1 << 31) - 1)
+_prints: dict[int, np.ndarray] = {}
 
-    def __init__(self, raw: np.ndarray):
-        n = len(raw)
-        self.sums = np.zeros(n + 1, U)
-        np.cumsum(BYTE_CODE[raw] * _powers(BASE, n), out=self.sums[1:])
-        self.inverse = _powers(_INVERSE, n + 1)
 
-    def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[begin]) * self.inverse[begin] + (end - begin).astype(U))
+def _fold(x: np.ndarray) -> np.ndarray:
+    x = (x & PRIME) + (x >> U(61))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo 2**61 - 1, in parts of 31 bits."""
+    a1, a0, b1, b0 = a >> U(31), a & _LOW, b >> U(31), b & _LOW
+    middle = a1 * b0 + a0 * b1
+    return _fold(U(2) * a1 * b1 + (middle >> U(30)) + ((middle & U((1 << 30) - 1)) << U(31)) + a0 * b0)
+
+
+def _prime_powers(base: int, n: int) -> np.ndarray:
+    have = _prints.get(base)
+    if have is None or len(have) < n:
+        have, step = np.ones(1, U), base
+        while len(have) < n:
+            have, step = np.concatenate([have, times(have, np.full(len(have), step, U))]), step * step % int(PRIME)
+        _prints[base] = have
+    return have
+
+
+class Prints:
+    """Two prints of any range of a block, from exact sums of letters times powers of a base."""
+
+    def __init__(self, raw: np.ndarray):
+        self.n = len(raw)
+        letters, self.sums = raw.astype(U) + U(1), []
+        for base in PRINT_BASES:
+            power = _prime_powers(base, self.n + 1)[: self.n]
+            parts = []
+            for half in (power & _LOW, power >> U(31)):  # sums stay below 2**60 for blocks of 2**20 bytes
+                part = np.zeros(self.n + 1, U)
+                np.cumsum(letters * half, out=part[1:])
+                parts.append(part)
+            self.sums.append(parts)
+
+    def of(self, begin: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+        out = []
+        for base, (low, high) in zip(PRINT_BASES, self.sums, strict=True):
+            total = _fold(_fold(low[end] - low[begin]) + times(_fold(high[end] - high[begin]), np.full(len(begin), 1 << 31, U)))
+            shifted = times(total, _prime_powers(pow(base, -1, int(PRIME)), self.n + 1)[begin])  # as if the block began here
+            out.append((shifted ^ ((end - begin).astype(U) << U(48))).view(np.int64))
+        return out
+
+
+def _smallest(key: np.ndarray, width: int) -> np.ndarray:
+    """The least of each ``width`` neighbours."""
+    span = 1
+    while span * 2 <= width:
+        key = np.minimum(key[: len(key) - span], key[span:])
+        span *= 2
+    return np.minimum(key[: len(key) - (width - span)], key[width - span :]) if span < width else key
 
 
 def runs(raw: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """For all texts of a block: text number, first start in the block, starts, anchor hash and window hash of each run."""
+    """For all texts of a block: text number, first start in the block, starts, anchor hash and both prints of each run."""
     none = np.zeros(0, np.int64)
     n = len(raw) - length + 1
     if n <= 0:
-        return none, none, none, none.view(U), none.view(U)
+        return (none,) * 6
     anchor = min(ANCHOR, length)
-    h = Hashes(raw)
-    grams = len(raw) - anchor + 1
-    key = mix((h.sums[anchor:] - h.sums[:-anchor]) * h.inverse[: grams])
-    bits = U(max(int(grams).bit_length(), 1))
-    low = ((key >> bits) << bits) | np.arange(grams, dtype=U)
-    width, span = length - anchor + 1, 1
-    while span * 2 <= width:
-        low = np.minimum(low[: len(low) - span], low[span:])
-        span *= 2
-    if span < width:
-        low = np.minimum(low[: len(low) - (width - span)], low[width - span :])
-    where = (low & ((U(1) << bits) - U(1))).astype(np.int64)[:n]
-    doc = np.searchsorted(at, np.arange(n), "right") - 1 if len(at) > 2 else np.zeros(n, np.int64)
-    if len(at) > 2:
-        inside = np.arange(n) + length <= at[doc + 1]
-        starts = np.flatnonzero(inside)
-        if not len(starts):
-            return none, none, none, none.view(U), none.view(U)
-        where, doc = where[starts], doc[starts]
-    else:
-        starts = np.arange(n)
+    width = length - anchor + 1
+    sums = np.zeros(len(raw) + 1, U)
+    np.cumsum(BYTE_CODE[raw] * _powers(BASE, len(raw)), out=sums[1:])
+    key = mix((sums[anchor:] - sums[:-anchor]) * _powers(_INVERSE, len(raw) + 1)[: len(raw) - anchor + 1])
+    least = _smallest(key, width)
+    doc = np.searchsorted(at, np.arange(n), "right") - 1
+    starts = np.flatnonzero(np.arange(n) + length <= at[doc + 1])
+    if not len(starts):
+        return (none,) * 6
+    least, doc = least[starts], doc[starts]
     new = np.ones(len(starts), bool)
-    new[1:] = (where[1:] != where[:-1]) | (doc[1:] != doc[:-1])
+    new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
     first = np.flatnonzero(new)
+    since = np.arange(len(starts)) - np.repeat(first, np.diff(np.append(first, len(starts))))
+    first = np.flatnonzero(since % width == 0)
     count = np.diff(np.append(first, len(starts)))
     begin = starts[first]
-    return doc[first], begin, count, key[where[first]], h.of(begin, begin + count + length - 1)
+    return doc[first], begin, count, least[first].view(np.int64), *Prints(raw).of(begin, begin + count + length - 1)
 
 
 def _runs(length: int):
-    names = ["doc_id", "th", "begin", "n", "anchor", "win"]
+    names = ["doc_id", "th", "begin", "n", "anchor", "win", "win2"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,14 +154,13 @@ def _runs(length: int):
             for first_row, rows, raw, at in blocks(batch.column(2), BLOCK // 4):
                 for lo in range(0, max(len(raw), 1), BLOCK) if rows == 1 else [0]:
                     part = raw[lo : lo + BLOCK + length - 1] if rows == 1 else raw
-                    doc, begin, count, anchor, win = runs(part, at if rows > 1 else np.asarray([0, len(part)]), length)
+                    doc, begin, count, anchor, win, win2 = runs(part, at if rows > 1 else np.asarray([0, len(part)]), length)
                     if len(doc):
                         row = pa.array(doc + first_row)
-                        yield pa.RecordBatch.from_arrays(
-                            [ids.take(row), hashes.take(row), pa.array(begin + lo - at[doc]), pa.array(count.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(win.view(np.int64))], names
-                        )
+                        facts = [begin + lo - at[doc], count.astype(np.int32), anchor, win, win2]
+                        yield pa.RecordBatch.from_arrays([ids.take(row), hashes.take(row), *map(pa.array, facts)], names)
 
-    return task, "doc_id long, th long, begin long, n int, anchor long, win long"
+    return task, "doc_id long, th long, begin long, n int, anchor long, win long, win2 long"
 
 
 def _likely(bloom):
@@ -132,7 +173,7 @@ def _likely(bloom):
 
 
 def _cut(length: int):
-    """Windows of one document each: rows of (text, list of (begin, n, anchor, win, copies, crowd))."""
+    """Windows of one document each: rows of (text, list of (begin, n, anchor, win, win2, copies, crowd))."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,9 +184,10 @@ def _cut(length: int):
                 data = memoryview(text.as_buffer())
                 cut += [bytes(data[b : b + k + length - 1]) for b, k in zip(begin[at : at + count], n[at : at + count], strict=True)]
                 at += count
-            yield pa.RecordBatch.from_arrays([*(flat.field(c) for c in ("anchor", "win", "copies", "crowd", "n")), pa.array(cut, pa.binary())], ["anchor", "win", "copies", "crowd", "n", "data"])
+            names = ["anchor", "win", "win2", "copies", "crowd", "n"]
+            yield pa.RecordBatch.from_arrays([*(flat.field(c) for c in names), pa.array(cut, pa.binary())], [*names, "data"])
 
-    return task, "anchor long, win long, copies long, crowd boolean, n int, data binary"
+    return task, "anchor long, win long, win2 long, copies long, crowd boolean, n int, data binary"
 
 
 def _ranges(twice: np.ndarray) -> list[dict[str, int]]:
@@ -157,48 +199,45 @@ RANGES = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
 
 def _shard(length: int):
-    """Rows sorted by anchor: anchor, win, copies, n, data. Whole anchors are gathered up to about SHARD_BYTES."""
+    """Rows sorted by anchor: anchor, win, win2, copies, n, data. Whole anchors are gathered up to about SHARD_BYTES."""
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        text = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
-        sizes = np.asarray([len(r[4]) for r in rows])
+        text = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
+        sizes = np.asarray([len(r[5]) for r in rows])
         at = np.concatenate([[0], np.cumsum(sizes)])
-        valid = np.arange(len(text)) - np.repeat(at[:-1], sizes) < np.repeat([r[3] for r in rows], sizes)
+        valid = np.arange(len(text)) - np.repeat(at[:-1], sizes) < np.repeat([r[4] for r in rows], sizes)
         twice = repeated_starts(text, valid, length)
-        found = [[{"a": 0, "b": r[3]}] if r[2] > 1 else _ranges(twice[a : a + r[3]]) for r, a in zip(rows, at[:-1].tolist(), strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array(found, RANGES)], ["anchor", "win", "ranges"])
+        found = [[{"a": 0, "b": r[4]}] if r[3] > 1 else _ranges(twice[a : a + r[4]]) for r, a in zip(rows, at[:-1].tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([*(pa.array([r[i] for r in rows]) for i in range(3)), pa.array(found, RANGES)], ["anchor", "win", "win2", "ranges"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         size = 0
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                 if size >= SHARD_BYTES and row[0] != rows[-1][0]:
                     yield solve(rows)
                     rows, size = [], 0
                 rows.append(row)
-                size += len(row[4])
+                size += len(row[5])
         if rows:
             yield solve(rows)
 
-    return task, "anchor long, win long, ranges array<struct<a:int,b:int>>"
+    return task, "anchor long, win long, win2 long, ranges array<struct<a:int,b:int>>"
 
 
 def _strings(length: int):
-    """One row for each start of a window: two hashes of its string."""
+    """One row for each start of a window: both prints of its string."""
+    names = ["h1", "h2", "anchor", "win", "win2", "off", "copies"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for anchor, win, copies, n, data in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                raw = np.frombuffer(data, np.uint8)
+            for anchor, win, win2, copies, n, data in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                 off = np.arange(n)
-                one, two = Hashes(raw).of(off, off + length), Hashes(raw ^ np.uint8(0xA5)).of(off, off + length)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(np.full(n, anchor)), pa.array(np.full(n, win)), pa.array(off.astype(np.int32)), pa.array(np.full(n, copies))],
-                    ["h1", "h2", "anchor", "win", "off", "copies"],
-                )
+                one, two = Prints(np.frombuffer(data, np.uint8)).of(off, off + length)
+                yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), *(pa.array(np.full(n, x)) for x in (anchor, win, win2)), pa.array(off.astype(np.int32)), pa.array(np.full(n, copies))], names)
 
-    return task, "h1 long, h2 long, anchor long, win long, off int, copies long"
+    return task, "h1 long, h2 long, anchor long, win long, win2 long, off int, copies long"
 
 
 def _mark(bloom):
@@ -256,28 +295,33 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(spark: SparkSession, texts: DataFrame, length: int, kept: list[str]) -> DataFrame:
     """(doc_id, th, begin, end): byte ranges covered by repeated strings; they may overlap. Reads the tables listed in ``kept``."""
     rows = stored(spark, texts.mapInArrow(*_runs(length)), "runs", kept)
-    anchors = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), (F.min("win") != F.max("win")).alias("several")).filter("k > 1")
+    differ = (F.min("win") != F.max("win")) | (F.min("win2") != F.max("win2"))
+    anchors = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), differ.alias("several")).filter("k > 1")
     # written first: then the join's sides are plain shuffles, and a part that is full of one anchor can be split
     anchors = stored(spark, anchors.select("anchor", "several"), "anchors", kept)
     places = stored(spark, rows.join(anchors, "anchor"), "places", kept)
     # different windows of anchors that have several, one place each
-    wins = places.filter("several").groupBy("anchor", "win").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "th", "begin", "n")).alias("p"))
-    wins = stored(spark, wins.select("anchor", "win", "copies", "p.doc_id", "p.th", "p.begin", "p.n"), "windows", kept)
+    window = ["anchor", "win", "win2"]
+    wins = places.filter("several").groupBy(*window).agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "th", "begin", "n")).alias("p"))
+    wins = stored(spark, wins.select(*window, "copies", "p.doc_id", "p.th", "p.begin", "p.n"), "windows", kept)
     crowds = wins.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > CROWD).select("anchor", F.lit(True).alias("crowd"))
+    crowds = stored(spark, crowds, "crowds", kept)
+    crowds = F.broadcast(crowds) if crowds.count() <= BROADCAST_KEYS else crowds
     listed = wins.join(crowds, "anchor", "left").groupBy("doc_id", "th").agg(
-        F.collect_list(F.struct("begin", "n", "anchor", "win", "copies", F.coalesce("crowd", F.lit(False)).alias("crowd"))).alias("wins")
+        F.collect_list(F.struct("begin", "n", *window, "copies", F.coalesce("crowd", F.lit(False)).alias("crowd"))).alias("wins")
     )
     likely = texts.mapInArrow(*_likely(_bloom(spark, wins.select(F.col("th").alias("d1")).distinct()))).dropDuplicates(["doc_id", "th"])
     same = likely["doc_id"].eqNullSafe(listed["doc_id"]) & (likely["th"] == listed["th"])
     data = stored(spark, likely.join(listed, same).select("text", "wins").mapInArrow(*_cut(length)), "data", kept)
-    cols = ["anchor", "win", "copies", "n", "data"]
+    cols = [*window, "copies", "n", "data"]
     small = data.filter("not crowd").select(cols).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(*_shard(length))
     strings = data.filter("crowd").select(cols).mapInArrow(*_strings(length))
     twice = strings.groupBy("h1", "h2").agg(F.sum("copies").alias("k")).filter("k > 1").select("h1", "h2")
-    crowded = strings.join(twice, ["h1", "h2"]).groupBy("anchor", "win").agg(F.collect_list(F.struct(F.col("off").alias("a"), (F.col("off") + 1).alias("b"))).alias("ranges"))
-    found = small.unionByName(crowded).filter("size(ranges) > 0")
+    crowded = strings.join(twice, ["h1", "h2"]).groupBy(*window).agg(F.collect_list(F.struct(F.col("off").alias("a"), (F.col("off") + 1).alias("b"))).alias("ranges"))
+    # written, so that what follows is dealt by window and not by the anchor that the shards were dealt by
+    found = stored(spark, small.unionByName(crowded).filter("size(ranges) > 0"), "ranges", kept)
     whole = places.filter("not several").select("doc_id", "th", "begin", (F.col("begin") + F.col("n") + (length - 1)).alias("end"))
-    partly = places.filter("several").join(found, ["anchor", "win"]).select("doc_id", "th", "begin", F.explode("ranges").alias("r"))
+    partly = places.filter("several").join(found, window).select("doc_id", "th", "begin", F.explode("ranges").alias("r"))
     partly = partly.select("doc_id", "th", (F.col("begin") + F.col("r.a")).alias("begin"), (F.col("begin") + F.col("r.b") + (length - 1)).alias("end"))
     return whole.unionByName(partly)
 
