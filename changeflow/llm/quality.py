@@ -4,14 +4,15 @@ A word is reduced to its shape: case, digits, length class, the exact punctuatio
 word before it. Features are the 1-, 2- and 3-grams of shapes and the words themselves, hashed into ``DIMENSIONS``
 indicators: junk is a matter of form, and forms recur in every language.
 
-Training, on a bounded sample of labelled rows (``TRAIN_ROWS``): class log-count ratios r scale the indicators, a linear
+Training, on a bounded sample of labelled rows (``TRAIN_ROWS``, and ``TRAIN_BYTES`` of features): class log-count ratios r scale the indicators, a linear
 hinge-loss model is fitted by dual coordinate descent over the samples in random order, and the weights are drawn
 towards their mean size (``BETA``). A fifth of the sample is left out of the fit and gives the logistic curve that turns
 decision values into probabilities. Scoring sends one weight vector of fixed size to all tasks.
 
 Edge cases: null and empty texts have no feature and get the probability of the bias alone; several labels of one doc_id
 count as the largest; without labels of both kinds every score is the base rate, or 0.5 without labels; repeated rows
-are scored each; an empty table gives no rows.
+are scored each; texts of any length are scored whole; an empty table gives no rows; other columns, whatever their names, are
+ignored.
 """
 
 from __future__ import annotations
@@ -23,11 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out
-from .toxicity import _labelled, logistic
+from .common import drop_stored, held_out, stored
+from .toxicity import labelled, logistic
 from .words import BYTE_CODE, SPACE, U, blocks, grams, mix, words
 
 TRAIN_ROWS = 12_000
+TRAIN_BYTES = 64 << 20
 DIMENSIONS = 1 << 15
 COST = 1.0
 EPOCHS = 12
@@ -55,6 +57,7 @@ def features(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         code = lambda t, k: np.where(letter[t], U(0), BYTE_CODE[t] * U(k))
         again = np.zeros(len(hashes), bool)
         again[1:] = hashes[1:] == hashes[:-1]
+        again[first[:-1][first[:-1] < len(again)]] = False  # the first word of a text has none before it
         case = np.where(upper == 0, 0, np.where(lower == 0, 1, np.where(_UPPER[raw[starts]] & (upper == 1), 2, 3)))
         shape = mix(
             case.astype(U) + U(8) * np.minimum(digit, 3).astype(U) + U(64) * np.digitize(size, [2, 4, 8, 16, 32]).astype(U) + U(1024) * np.minimum(rest, 4).astype(U)
@@ -73,14 +76,16 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> tuple[np.n
     for x, s in zip(rows, y, strict=True):
         (p if s > 0 else q)[x] += 1
     ratio = np.log(p / p.sum()) - np.log(q / q.sum())
-    values = [ratio[x] / np.sqrt(max(len(x), 1)) for x in rows]
-    norms = np.asarray([v @ v + 1 for v in values])
+    squares = ratio * ratio
+    scale = np.asarray([1 / np.sqrt(max(len(x), 1)) for x in rows])
+    norms = np.asarray([squares[x].sum() * k * k + 1 for x, k in zip(rows, scale, strict=True)])
     weight = (y > 0).mean()
     cost = np.where(y > 0, COST * 0.5 / max(weight, 1e-9), COST * 0.5 / max(1 - weight, 1e-9))
     w, bias, alpha, rng = np.zeros(DIMENSIONS), 0.0, np.zeros(len(y)), np.random.default_rng(seed)
     for _ in range(EPOCHS):
         for i in rng.permutation(len(y)):
-            x, v = rows[i], values[i]
+            x = rows[i]
+            v = ratio[x] * scale[i]
             gradient = y[i] * (w[x] @ v + bias) - 1
             new = min(max(alpha[i] - gradient / norms[i], 0.0), cost[i])
             if new != alpha[i]:
@@ -97,22 +102,35 @@ def decision(weights: np.ndarray, bias: float, x: np.ndarray) -> float:
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, target: str = "quality", rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float, float, float]:
-    """weights, bias, and slope and intercept of the logistic curve."""
+    """weights, bias, and slope and intercept of the logistic curve.
+
+    The driver gets the feature numbers of the sample, two bytes each, of at most ``TRAIN_BYTES`` in all: the rows with the
+    smallest hashes of doc_id whose features fit in.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.unique(x).astype(np.int32) for _, x in features(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["label", "x"])
-
-    sample = _labelled(docs, labels, target, rows).mapInArrow(task, "label int, x array<int>").toPandas()  # bounded
-    y = sample["label"].to_numpy(dtype=int) if len(sample) else np.zeros(0, int)
-    x = [np.asarray(v, np.int64) for v in sample["x"]] if len(sample) else []
-    order = np.lexsort(([int(mix(np.asarray([len(v)], U) + v.sum().astype(U))[0] >> U(1)) for v in x], y)) if len(x) else []
-    x, y = [x[i] for i in order], y[order] if len(x) else y  # the order of arrival doesn't matter
+            found = [np.unique(x).astype(np.uint16) for _, x in features(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([2 * len(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())], ["doc_id", "label", "size", "x"])
+
+    kept: list[str] = []
+    try:
+        sample = labelled(spark, docs, labels, target, rows, kept).mapInArrow(task, "doc_id long, label int, size long, x binary")
+        sample = stored(spark, sample.withColumn("place", F.xxhash64("doc_id")), "features", kept)
+        sizes = sample.select("place", "size").orderBy("place").toPandas()  # at most ``rows`` pairs of numbers
+        fits = sizes["place"][sizes["size"].cumsum() <= TRAIN_BYTES]
+        got = sample.filter(F.col("place") <= int(fits.iloc[-1])) if len(fits) else sample.limit(0)
+        found = sorted(got.select("doc_id", "label", "x").collect())
+    finally:
+        drop_stored(spark, kept)
+    y = np.asarray([r["label"] for r in found], int)
+    x = [np.frombuffer(r["x"], np.uint16) for r in found]
     if len(set(y.tolist())) < 2:
         rate = 0.0 if not len(y) else float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)))
         return np.zeros(DIMENSIONS), 0.0, 0.0, rate
-    apart = np.arange(len(y)) % 5 == 0
+    apart = np.zeros(len(y), bool)
+    for label in (0, 1):  # every fifth of each label, by doc_id
+        apart[np.flatnonzero(y == label)[::5]] = True
     if len(set(y[apart].tolist())) < 2 or len(set(y[~apart].tolist())) < 2:
         apart = np.zeros(len(y), bool)
     w, bias = fit([v for v, out in zip(x, apart, strict=True) if not out], y[~apart])

@@ -19,7 +19,8 @@ one step. Counts, statistics and scores use whole texts; the model holds at most
 
 Edge cases: null and empty texts have no segments and get the probability of no evidence; several labels of one doc_id
 count as the largest; without labels of both kinds every score is the base rate, or 0.5 without labels; repeated rows
-are scored each; an empty table gives no rows.
+are scored each; texts of any length are scored whole; an empty table gives no rows; other columns, whatever their names, are
+ignored here and come back as they are from ``keep_clean``.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, held_out
+from .common import bounded_sample, drop_stored, held_out, stored
 from .words import LOWER, NOT_ALNUM, blocks, grams, words
 
 TRAIN_ROWS = 20_000
@@ -130,33 +131,43 @@ def passages(table: Table, column: pa.Array) -> Iterator[tuple[int, int, list[tu
             yield first_row + r, n, found
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, target: str, rows: int) -> DataFrame:
-    """A bounded sample of training documents: (text, label). The sampled ids are at most ``rows``, so they are broadcast."""
+def labelled(spark: SparkSession, docs: DataFrame, labels: DataFrame, target: str, rows: int, kept: list[str]) -> DataFrame:
+    """A bounded sample of training documents (doc_id, text, label), written once, so that all who read it see the same rows.
+
+    The ids are those with the smallest hashes, at most ``rows``, and are broadcast. Of texts that share a doc_id the one
+    with the smallest hash stands for it, and of each family of copies the smallest doc_id: neither the order of rows nor
+    their partitioning has a say.
+    """
     known = labels.filter(F.col(target).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    ids = known.groupBy(F.col("doc_id").alias("_id")).agg(F.max(F.col(target).cast("int")).alias("_label"))
+    ids = known.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max(F.col(target).cast("int")).alias("_label"))
     ids = bounded_sample(ids, "_id", rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id")).select("text", F.col("_label").alias("label"))
-    return rows.mapInArrow(_family, "text string, label int, family long").dropDuplicates(["label", "family"]).select("text", "label")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    each = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
+    each = each.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"), F.max("_label").alias("label"))
+    each = each.select("doc_id", "t.text", "label").mapInArrow(_family, "doc_id long, text string, label int, family long")
+    each = stored(spark, each, "sample", kept)
+    first = each.groupBy("label", "family").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    return each.join(F.broadcast(first), "doc_id").select("doc_id", "text", "label")
 
 
 def _family(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds the smallest 4-gram hash of each text (of its words, if there are fewer), which most copies share."""
     for batch in batches:
         family = []
-        for _, rows, raw, at in blocks(batch.column(0)):
+        for _, rows, raw, at in blocks(batch.column(1)):
             hashes, _, _, first = words(raw, at, NOT_ALNUM, LOWER)
             four, start = grams(hashes, first, 4)
             for r in range(rows):
                 own = four[start[r] : start[r + 1]] if start[r] < start[r + 1] else hashes[first[r] : first[r + 1]]
                 family.append(int(own.min().view(np.int64)) if len(own) else 0)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(family, pa.int64())], ["text", "label", "family"])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(family, pa.int64())], ["doc_id", "text", "label", "family"])
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents by token and label, summed over a batch."""
     for batch in batches:
-        label = np.asarray(batch.column(1).to_pylist(), np.int64)
-        for first_row, rows, raw, at in blocks(batch.column(0)):
+        label = np.asarray(batch.column(2).to_pylist(), np.int64)
+        for first_row, rows, raw, at in blocks(batch.column(1)):
             hashes, _, _, first = words(raw, at, NOT_ALNUM, LOWER)
             doc = np.repeat(np.arange(rows), np.diff(first))
             order = np.lexsort((doc, hashes))
@@ -171,7 +182,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, target: str = "toxic", rows: int = TRAIN_ROWS) -> Model:
-    sample = _labelled(docs, labels, target, rows)
+    kept: list[str] = []
+    try:
+        return _fit(labelled(spark, docs, labels, target, rows, kept))
+    finally:
+        drop_stored(spark, kept)
+
+
+def _fit(sample: DataFrame) -> Model:
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     yes, no = sizes.get(1, 0), sizes.get(0, 0)
     nothing = np.zeros(0)
@@ -198,10 +216,11 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, target: str =
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Table(tokens, scores)
         for batch in batches:
-            got = [(n, [s for _, _, s in found]) for _, n, found in passages(table, batch.column(0))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([n for n, _ in got], pa.int64()), pa.array([s for _, s in got], pa.list_(pa.float64()))], ["label", "n", "s"])
+            got = [(n, [s for _, _, s in found]) for _, n, found in passages(table, batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([n for n, _ in got], pa.int64()), pa.array([s for _, s in got], pa.list_(pa.float64()))], ["doc_id", "label", "n", "s"])
 
-    seen = sample.mapInArrow(best, "label int, n long, s array<double>").collect()  # at most ``rows`` rows of numbers
+    seen = sample.mapInArrow(best, "doc_id long, label int, n long, s array<double>").collect()  # at most ``TRAIN_ROWS`` rows of numbers
+    seen.sort(key=lambda r: r["doc_id"])  # sums of floats depend on their order
     null = np.asarray([max(r["s"], default=0.0) for r in seen if r["label"] == 0])
     length = np.asarray([np.log(max(r["n"], 1)) for r in seen if r["label"] == 0])
     scale = max(float(np.std(null)) * np.sqrt(6) / np.pi, 0.25)
