@@ -9,15 +9,18 @@ one item length of each other, and aligns the item with the passage around each
 alignment over words (match 2, mismatch -1, gap -1). The score is the best alignment over that of the item with itself;
 edited, reordered or interrupted copies lose what their edits cost. Pairs with ``THRESHOLD`` or more over at
 least ``LEAST_WORDS`` words are returned, and pairs whose alignment scores as much as ``EXCERPT_WORDS`` words copied without
-an edit, however long the item is: an excerpt of a long item is a leak although most of the item is missing.
+an edit, however long the item is: an excerpt of a long item is a leak although most of the item is missing. Items of fewer
+than ``LEAST_WORDS`` words are found by their whole sequence of words, without an edit.
 
 The join is of a stated query set, the benchmark, against all rows: items are sent to the tasks in blocks of at most
 ``BLOCK_BYTES`` of text, with two passes for each block, so what is broadcast has a bound however large the benchmark is.
 No document leaves its task, and no task needs more than its own rows.
 
-Edge cases: null or empty texts and items match nothing; items of fewer than ``LEAST_WORDS`` words are too short to tell
-a leak from chance and are left out; all texts of an item_id are searched, also those of items without one, and the best
-match of an id (null is one too) is reported for each document; documents of any length are searched whole; repeated rows are reported each; empty tables give no rows; other columns are ignored.
+Edge cases: null or empty texts and items, and items without letters and digits, match nothing; all texts of an item_id are
+searched, also those of items without one, and the best match of an id (null is one too) is reported for each document;
+documents of any length are searched whole; repeated rows are reported each; empty tables give no rows; other columns,
+whatever their names, are ignored here and come back as they are from ``keep_clean``, which lets documents pass whose matches
+are all shorter than ``LEAST_WORDS`` words: so short a sequence is in many texts by chance.
 """
 
 from __future__ import annotations
@@ -42,7 +45,7 @@ THRESHOLD = 0.4
 EXCERPT_WORDS = 20
 STRETCH = 4
 MATCH, MISMATCH, GAP = 2, 1, 1
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 
 SCHEMA = "doc_id long, item_id long, score double, n_hits int, begin_word int, end_word int, aligned_words int"
 
@@ -70,25 +73,30 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
 
 
 class Items:
-    """A block of items with a look-up from seed hashes to (item, position)."""
+    """A block of items with a look-up from seed hashes to (item, position), and one from hashes of whole short items."""
 
     def __init__(self, rows: list[tuple[int, str]]):
         texts = pc.utf8_lower(pa.array([t for _, t in rows], pa.large_string()))
         self.ids, self.words, seeds, item, place = [], [], [], [], []
+        short: dict[int, list[tuple[int, int]]] = {}
         for first_row, n, raw, at in blocks(texts, 1 << 62):
             hashes, _, _, first = words(raw, at, NOT_ALNUM)
             found, start = grams(hashes, first, SEED_WORDS)
             for r in range(n):
                 own = hashes[first[r] : first[r + 1]]
-                if len(own) < LEAST_WORDS:
+                if not len(own):
                     continue
-                seeds.append(found[start[r] : start[r + 1]])
-                item.append(np.full(len(seeds[-1]), len(self.ids)))
-                place.append(np.arange(len(seeds[-1])))
+                if len(own) < LEAST_WORDS:
+                    short.setdefault(len(own), []).append((int(grams(own, np.asarray([0, len(own)]), len(own))[0][0]), len(self.ids)))
+                else:
+                    seeds.append(found[start[r] : start[r + 1]])
+                    item.append(np.full(len(seeds[-1]), len(self.ids)))
+                    place.append(np.arange(len(seeds[-1])))
                 self.ids.append(rows[first_row + r][0])
                 self.words.append(own)
         join = lambda xs, kind: np.concatenate(xs) if xs else np.zeros(0, kind)
         self.set(join(seeds, np.uint64), join(item, np.int64), join(place, np.int64))
+        self.short = {k: (np.asarray([h for h, _ in sorted(v)], np.uint64), np.asarray([i for _, i in sorted(v)])) for k, v in short.items()}
 
     def set(self, seeds: np.ndarray, item: np.ndarray, place: np.ndarray, bits: int = 20) -> None:
         order = np.argsort(seeds, kind="stable")
@@ -105,8 +113,26 @@ class Items:
         same = self.seeds[i] == hashes[at]
         return at[same], i[same]
 
-    def keep_rare(self, frequency: dict[int, int]) -> None:
-        df = np.asarray([frequency.get(s, 0) for s in self.seeds.view(np.int64).tolist()], np.int64)
+    def short_hits(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """Places of words where a whole short item begins, the item's number, and its words; ``first`` as in ``words``."""
+        for k, (known, item) in self.short.items():
+            found, start = grams(hashes, first, k)
+            if not len(found):
+                continue
+            low, high = np.searchsorted(known, found), np.searchsorted(known, found, "right")
+            at = np.flatnonzero(high > low)
+            if len(at):
+                count = (high - low)[at]
+                each = np.repeat(low[at] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+                doc = np.searchsorted(start, at, "right") - 1
+                yield np.repeat(at - start[doc] + first[doc], count), item[each], k
+
+    def keep_rare(self, seeds: np.ndarray, numbers: np.ndarray) -> None:
+        """Drops the frequent seeds of each item; ``seeds`` are sorted and in ``numbers`` documents, all others in none."""
+        df = np.zeros(len(self.seeds), np.int64)
+        if len(seeds):
+            i = np.minimum(np.searchsorted(seeds, self.seeds), len(seeds) - 1)
+            df = np.where(seeds[i] == self.seeds, numbers[i], 0)
         order = np.lexsort((self.place, df, self.item))
         counts = np.bincount(self.item, minlength=len(self.ids))
         starts = np.cumsum(counts) - counts
@@ -123,19 +149,31 @@ class Items:
         self.set(self.seeds[kept], self.item[kept], self.place[kept])
 
 
-def _documents(items: Items, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(row, words, places of hits, seed numbers) of texts with hits."""
+def _documents(items: Items, column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]]:
+    """(row, words, places of hits, seed numbers, short items as (item, place, words)) of texts with hits."""
     for first_row, rows, raw, at in blocks(pc.utf8_lower(column.cast(pa.large_string()).fill_null(""))):
         hashes, _, _, first = words(raw, at, NOT_ALNUM)
         found, start = grams(hashes, first, SEED_WORDS)
         places, seeds = items.hits(found)
         cut = np.searchsorted(places, start)
-        for r in np.flatnonzero(np.diff(cut)):
+        short: dict[int, list[tuple[int, int, int]]] = {}
+        for at_word, item, k in items.short_hits(hashes, first):
+            doc = np.searchsorted(first, at_word, "right") - 1
+            for d, i, w in zip(doc.tolist(), item.tolist(), (at_word - first[doc]).tolist(), strict=True):
+                short.setdefault(d, []).append((i, w, k))
+        for r in np.union1d(np.flatnonzero(np.diff(cut)), np.asarray(list(short), np.int64)).tolist():
             own = slice(cut[r], cut[r + 1])
-            yield first_row + int(r), hashes[first[r] : first[r + 1]], places[own] - start[r], seeds[own]
+            yield first_row + r, hashes[first[r] : first[r + 1]], places[own] - start[r], seeds[own], short.get(r, [])
 
 
-def _matches(items: Items, text: np.ndarray, places: np.ndarray, seeds: np.ndarray) -> Iterator[tuple]:
+def _matches(items: Items, text: np.ndarray, places: np.ndarray, seeds: np.ndarray, short: list[tuple[int, int, int]]) -> Iterator[tuple]:
+    whole: dict[int, list[int]] = {}
+    for item, place, k in short:
+        whole.setdefault(item, [0, place, k])[0] += 1
+    for item, (n, place, k) in whole.items():
+        yield items.ids[item], 1.0, n, place, place + k, k
+    if not len(seeds):
+        return
     last = np.searchsorted(items.seeds, items.seeds[seeds], "right")
     count = last - seeds
     each = np.repeat(seeds - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
@@ -191,24 +229,27 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataF
         def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             items, total = sent.value, np.zeros(len(sent.value.seeds), np.int64)
             for batch in batches:
-                for _, _, _, seeds in _documents(items, batch.column(0)):
+                for _, _, _, seeds, _ in _documents(items, batch.column(0)):
                     total[np.unique(seeds)] += 1
             held = np.flatnonzero(total)
             if len(held):
                 yield pa.RecordBatch.from_arrays([pa.array(items.seeds[held].view(np.int64)), pa.array(total[held])], ["seed", "n"])
 
-        # as many rows as the block has seeds, at most
-        frequency = {r["seed"]: r["n"] for r in texts.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect()}
-        items.keep_rare(frequency)
+        # two numbers for each seed of the block, at most
+        counted = texts.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).toPandas()
+        seen = counted["seed"].to_numpy(dtype=np.int64).view(np.uint64)
+        order = np.argsort(seen)
+        items.keep_rare(seen[order], counted["n"].to_numpy(dtype=np.int64)[order])
+        sent.unpersist()
         rare = spark.sparkContext.broadcast(items)
 
         def find(batches: Iterator[pa.RecordBatch], rare=rare) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found = []
-                for r, text, places, seeds in _documents(rare.value, batch.column(1)):
+                for r, text, *hits in _documents(rare.value, batch.column(1)):
                     doc_id, th = batch.column(0)[r].as_py(), batch.column(2)[r].as_py()
                     best: dict[int | None, tuple] = {}
-                    for m in _matches(rare.value, text, places, seeds):
+                    for m in _matches(rare.value, text, *hits):
                         best[m[0]] = max(best.get(m[0], m), m, key=lambda x: x[1:])
                     found += [(doc_id, *m, th) for m in best.values()]
                 if found:
@@ -225,6 +266,7 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
     return matches(spark, docs, benchmark).drop("th")
 
 
-def keep_clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents without a copy of any item, whole rows as they came; rows that share a doc_id or have none are judged each by its own text."""
-    return without(docs, checkpointed(spark, matches(spark, docs, benchmark).select("doc_id", "th").distinct()))
+def keep_clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """Documents without a copy of ``least_words`` words of any item, whole rows as they came; rows that share a doc_id or have none are judged each by its own text."""
+    found = matches(spark, docs, benchmark).filter(F.col("aligned_words") >= least_words)
+    return without(docs, checkpointed(spark, found.select("doc_id", "th").distinct()))
