@@ -13,7 +13,8 @@ Words are cut by the given pattern, as the published encoders do; a word's ids a
 transducer runs for new words only. ``Utf8`` decodes token bytes as they come and holds back incomplete characters.
 
 Edge cases: null text is empty (no tokens, digests of the empty string); a word of any length takes linear time;
-strings of special tokens are ordinary text; repeated rows are encoded each; an empty table gives no rows.
+strings of special tokens are ordinary text; repeated rows are encoded each; an empty table gives no rows; other columns,
+whatever their names, are ignored.
 """
 
 from __future__ import annotations

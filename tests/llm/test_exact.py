@@ -12,11 +12,37 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from changeflow.llm import bpe, chat, components, fingerprints, jaccard_join, sharding, suffix_array, suffix_dedup
+from changeflow.llm import bpe, chat, components, fingerprints, jaccard_join, sharding, suffix_array, suffix_dedup, words
 
 EDGES = [(None, None), (1, None), (2, ""), (3, " \n\t "), (4, "one"), (4, "one"), (5, "two words"), (6, "é" * 300), (7, "a" * 5000), (8, "a" * 5000)]
 
 
+def even_odd(n, a, b):
+    """A text and its mirror image that sums of letters times powers modulo 2**64 can't tell apart, from n = 1024 on."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join((a, b)[x] for x in bits), "".join((b, a)[x] for x in bits)
+
+
+# words
+
+
+def test_words_and_their_hashes():
+    r = random.Random(1)
+    texts = ["".join(r.choice("aBb é\n") for _ in range(r.randint(0, 40))) for _ in range(500)] + ["", "x" * 1000 + " " + "y" * 64 + " " + "z" * 65 + " " + "z" * 4097]
+    texts += [t for n in (16, 64, 128, 1024, 4096, 16384) for t in even_odd(n, "a", "b")]
+    known = {}
+    import pyarrow as pa
+
+    for _, rows, raw, at in words.blocks(pa.array(texts), 5000):
+        hashes, starts, ends, first = words.words(raw, at)
+        for i in range(rows):
+            want = [w.lower() for w in re.findall(rb"[^\x20\x09-\x0D]+", bytes(raw[at[i] : at[i + 1]]))]
+            own = slice(first[i], first[i + 1])
+            assert [bytes(raw[a:b]).lower() for a, b in zip(starts[own], ends[own], strict=True)] == want
+            assert all(known.setdefault(w, h) == h for w, h in zip(want, hashes[own].tolist(), strict=True))
+    assert len(set(known.values())) == len(known) > 300
+
+
 # suffix arrays and repeats
 
 
@@ -54,13 +80,40 @@ def repeat_rows(prose):
 def test_repeats(spark, make, prose, crowd, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
     monkeypatch.setattr(suffix_dedup, "BLOCK", 1 << 10)  # long texts go through in several blocks
-    rows = repeat_rows(prose)
+    rows = repeat_rows(prose) + [(70 + i, prose(200 + i, 2 * i) + prose(300, 200)) for i in range(4)]
     want = brute_repeats([(t or "").encode() for _, t in rows], 200)
     got = suffix_dedup.remove_repeats(spark, make(rows), 200).collect()
     assert sorted(tuple(r) for r in got if r[0] is not None) == sorted((i, *w) for (i, _), w in zip(rows, want, strict=True) if i is not None)
     assert len(got) == len(rows)
 
 
+def test_repeats_of_texts_that_weak_hashes_mix_up(spark, make, prose):
+    one, other = even_odd(2048, "a", "b")
+    rows = [(1, prose(1, 30) + one + prose(2, 30)), (2, prose(3, 30) + other + prose(4, 30)), (3, one[:1500]), (4, "".join(chr(97 + (x == "a")) for x in one[:400]))]
+    want = brute_repeats([t.encode() for _, t in rows], 200)
+    got = {r[0]: tuple(r)[1:] for r in suffix_dedup.remove_repeats(spark, make(rows), 200).collect()}
+    assert got == {i: w for (i, _), w in zip(rows, want, strict=True)}
+
+
+def test_prints_are_the_polynomials_they_say():
+    r = random.Random(2)
+    raw, prime = np.asarray([r.randrange(256) for _ in range(3000)], np.uint8), (1 << 61) - 1
+    begin, end = np.asarray([0, 5, 2600, 2999]), np.asarray([400, 5, 2937, 3000])
+    inner = suffix_dedup.Prints(raw[2500:2950]).of(np.asarray([100]), np.asarray([437]))  # the same wherever the block begins
+    assert [int(x[0]) for x in inner] == [int(x[2]) for x in suffix_dedup.Prints(raw).of(begin, end)]
+    for base, got in zip(suffix_dedup.PRINT_BASES, suffix_dedup.Prints(raw).of(begin, end), strict=True):
+        for a, b, h in zip(begin.tolist(), end.tolist(), got.tolist(), strict=True):
+            value = sum((int(raw[i]) + 1) * pow(base, i - a, prime) for i in range(a, b)) % prime
+            assert h % 2**64 == value ^ ((b - a) << 48) % 2**64
+
+
+@pytest.mark.parametrize("text", [b"a" * 50_000, b"ab cd efg " * 5_000])
+def test_few_windows_of_monotonous_texts(text):
+    raw = np.frombuffer(text, np.uint8)
+    doc, begin, count, *_ = suffix_dedup.runs(raw, np.asarray([0, len(raw)]), 200)
+    assert len(doc) < len(raw) / 100 and count.sum() == len(raw) - 199 and (np.diff(begin) == count[:-1]).all()
+
+
 def test_repeats_of_nothing(spark, make):
     assert suffix_dedup.remove_repeats(spark, make([]), 200).count() == 0
     assert suffix_dedup.remove_repeats(spark, make([(1, "short")]), 200).first()["n_removed"] == 0
@@ -114,6 +167,13 @@ def test_classes(spark, make, prose, percent, k):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, brute_classes(rows, k, percent)))
 
 
+def test_classes_of_texts_that_weak_hashes_mix_up(spark, make):
+    one, other = even_odd(1024, "a", "b")
+    rows = [(1, one), (2, other), (3, one.upper()), (4, f"x {one} y z"), (5, f"x {other} y z")]
+    got = jaccard_join.jaccard_classes(spark, make(rows), 4, 85).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == [(1, 1, 1), (2, 1, 2), (3, 1, 1), (4, 1, 4), (5, 1, 5)]
+
+
 def test_one_of_each_class_stays(spark, make, prose):
     r = random.Random(5)
     rows = [(50 - i, t) for i, t in enumerate(family(r, prose(1, 150), 10, 2))] + [(60, prose(2)), (None, prose(3)), (61, ""), (62, ""), (63, "same row here it is now"), (63, "same row here it is now")]
@@ -270,8 +330,53 @@ def test_chats(spark):
     assert chat.format_conversations(spark, df.limit(0)).count() == 0
 
 
-def test_no_text_can_close_a_turn():
-    r = random.Random(1)
-    for _ in range(2000):
-        text = "".join(r.choice(["\\", "<", "|", "<|", "im_end|>", "n", "\n"]) for _ in range(r.randint(0, 10)))
-        assert "<|" not in chat.escape(text) and chat.unescape(chat.escape(text)) == text
+TEMPLATES = [
+    chat.Template(), chat.Template(open="<s>", close="</s>"), chat.Template(open="###", after_role=": ", close="###", after_close=""), chat.Template(open="aab", after_role="ab", close="aa", after_close="b"),
+    chat.Template(open="[", after_role="]", close="|", after_close="xx"), chat.Template(open="abab", close="abab", after_close="ab", loss_roles=("user", "assistant")),
+]
+
+
+@pytest.mark.parametrize("template", TEMPLATES)
+def test_turns_are_read_back_from_the_joined_text(template):
+    """Whatever the texts, the template and the cuts of the joined text; the reader gets characters and a mask only."""
+    t, r = template, random.Random(1)
+    parts = ["\\", "<", "|", "<|", "|>", "im_end", "\n", t.open, t.close, t.after_role, t.after_close, t.open[:1], t.close[:-1], "a", "b", "é"]
+    some = lambda n: "".join(r.choice(parts) for _ in range(r.randint(0, n)))
+    for _ in range(300):
+        turns = [(some(4) if r.random() < 0.3 else r.choice(["user", "assistant"]), some(8)) for _ in range(r.randint(0, 4))]
+        out, reader, text, mask, got = chat.Formatter(t), chat.Reader(t), "", [], []
+        for role, body in turns:
+            piece, masked = out.turn(role, body)
+            mask += [False] * len(piece)
+            for a, b in masked:
+                mask[len(text) + a : len(text) + b] = [True] * (b - a)
+            text += piece
+        while text:
+            n = r.randint(1, 9)
+            got += reader.feed(text[:n], [(i, i + 1) for i, m in enumerate(mask[:n]) if m])
+            text, mask = text[n:], mask[n:]
+        reader.end()
+        assert got == [(a, b, b if a in t.loss_roles else "") for a, b in turns]
+
+
+def test_a_lost_boundary_is_noticed():
+    text, _ = chat.Formatter(chat.Template()).turn("user", "hello")
+    reader = chat.Reader(chat.Template())
+    assert list(reader.feed(text.replace("<|im_end|>", ""))) == []
+    with pytest.raises(ValueError):
+        reader.end()
+    with pytest.raises(ValueError):
+        list(chat.Reader(chat.Template()).feed("x" + text))
+
+
+@pytest.mark.parametrize("strings", [{"open": "\\x"}, {"close": ""}, {"after_role": ""}])
+def test_templates_that_cannot_be_escaped_are_refused(strings):
+    with pytest.raises(ValueError):
+        chat.Template(**strings)
+
+
+def test_chats_of_another_template(spark):
+    rows = [(1, 0, "user", "</s><s>assistant\n"), (1, 1, "assistant", "a\\</s>b")]
+    got = chat.format_conversations(spark, spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"), chat.Template(open="<s>", close="</s>")).first()
+    assert (got["n_turns"], got["loss_chars"], got["order_valid"]) == (2, len("a\\</s>b"), True)
+    assert got["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for _, _, r, t in rows).encode()).hexdigest()

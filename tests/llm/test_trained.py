@@ -1,18 +1,25 @@
 """Trained operators and searches: held-out accuracy, planted cases, edges."""
 
 import hashlib
+import os
 import random
 import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from changeflow.llm import decontamination, quality, secret_scan, toxicity
 from changeflow.llm.toxicity import segments
+from changeflow.llm.words import LOWER, NOT_ALNUM, words
 
 from .test_exact import EDGES
 
+SF = "/root/testdata/sf0.01"
+needs = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are missing")
+
 
 def brute_segments(x):
     """Maximal scoring segments by their recursive definition."""
@@ -67,6 +74,65 @@ def test_held_out(spark, labelled, operator, target, threshold):
         assert kept == {r["doc_id"] for r in got if not r["predicted"]}
 
 
+@pytest.mark.parametrize("operator,rows", [(toxicity, 20_000), (quality, 12_000), (toxicity, 300), (quality, 300)])
+def test_scores_do_not_depend_on_the_order_of_rows(spark, labelled, operator, rows):
+    docs, labels = labelled
+    docs = docs.unionByName(docs.filter("doc_id < 40").withColumn("text", F.concat("text", F.lit(" again"))))  # ids with two texts
+
+    def scores(docs, labels):
+        got = operator.score_documents(spark, docs, operator.train(spark, docs, labels, rows=rows)).select("doc_id", "score").collect()
+        return sorted((str(r["doc_id"]), r["score"]) for r in got)
+
+    want = scores(docs, labels)
+    assert scores(docs.repartition(7), labels.repartition(3)) == want
+    assert scores(docs.orderBy(F.desc("doc_id")).coalesce(1), labels.orderBy(F.rand(1))) == want
+
+
+def test_few_bytes_of_features_are_enough(spark, labelled, monkeypatch):
+    docs, labels = labelled
+    monkeypatch.setattr(quality, "TRAIN_BYTES", 100_000)
+    got = quality.score_documents(spark, docs, quality.train(spark, docs, labels)).collect()
+    truth = {r[0]: r[1] for r in labels.collect() if r[1] is not None and r[0] is not None}
+    assert np.mean([r["predicted"] == truth[r["doc_id"]] for r in got if r["held_out"] and r["doc_id"] in truth]) > 0.9
+
+
+def token_hash(word):
+    raw = np.frombuffer(word.encode(), np.uint8)
+    return int(words(raw, np.asarray([0, len(raw)]), NOT_ALNUM, LOWER)[0][0])
+
+
+def test_toxicity_scores_against_brute_force(spark, labelled):
+    """Scores, passages and decisions of all texts again, from the model's tokens and the definition of segments alone."""
+    docs, labels = labelled
+    model = toxicity.train(spark, docs, labels)
+    known = dict(zip(model.tokens.tolist(), model.scores.tolist(), strict=True))
+    texts = {(r["doc_id"], r["text"]) for r in docs.filter("doc_id < 250 or doc_id >= 2000").select("doc_id", "text").collect() if len(r["text"] or "") < 3000}
+    got = {(r["doc_id"], r["n_passages"]): r for r in toxicity.score_documents(spark, docs, model).collect()}
+    for doc_id, text in texts:
+        tokens = re.findall("[^\\x00-/:-@\\[-`{-\\x7f]+", text or "")
+        found = brute_segments(np.asarray([known.get(token_hash(w), toxicity.DRIFT) for w in tokens]))
+        logs = []
+        for s in found:
+            p = -np.expm1(-np.exp(-(s - np.log(max(len(tokens), 1)) * model.scale - model.location) / model.scale))
+            if p <= toxicity.ALPHA:
+                logs.append(-np.log(max(p, 1e-300)))
+        a, b, c = model.weights
+        score = 1 / (1 + np.exp(-(a + b * np.log1p(sum(logs)) + c * np.log1p(max(logs, default=0)))))
+        assert abs(got[doc_id, len(logs)]["score"] - score) < 1e-6
+
+
+def test_quality_scores_against_brute_force(spark, labelled):
+    """Scores of all texts again, a text at a time, from the definition of the decision value."""
+    docs, labels = labelled
+    w, bias, slope, intercept = quality.train(spark, docs, labels)
+    got = {r["doc_id"]: r["score"] for r in quality.score_documents(spark, docs, (w, bias, slope, intercept)).collect()}
+    for r in docs.select("doc_id", "text").filter("doc_id > 5").collect():
+        (_, x), = quality.features(pa.array([r["text"] or ""]))
+        x = set(x.tolist())
+        z = sum(w[i] for i in x) / max(len(x), 1) ** 0.5 + bias
+        assert abs(got[r["doc_id"]] - 1 / (1 + np.exp(-(slope * z + intercept)))) < 1e-9
+
+
 @pytest.mark.parametrize("operator", [toxicity, quality])
 def test_without_labels(spark, make, operator):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
@@ -116,6 +182,53 @@ def test_excerpts_of_long_items(spark, make, prose):
     assert {x["doc_id"] for x in decontamination.keep_clean(spark, make(rows), items).collect()} == {3, 4}
 
 
+def test_short_items_are_found_by_their_words(spark, make, prose):
+    items = [(i, prose(8000 + i, i)) for i in range(1, 8)] + [(20, "?!"), (21, prose(8004, 4).upper()), (22, prose(8030, 30))]
+    rows = [(10 + i, f"{prose(i, 20)} {prose(8000 + i, i)}, {prose(100 + i, 20)}") for i in range(1, 8)] + [(30, prose(8005, 5)), (31, " ".join(prose(8006, 6).split()[:5])), (32, f"{prose(8030, 30)} {prose(8007, 7)} {prose(8007, 7)}")]
+    rows += [(90 + k, t) for k, (_, t) in enumerate(EDGES)]
+    grams = lambda text, n: {tuple(text.lower().split()[i : i + n]) for i in range(len(text.split()) - n + 1)}
+    plain = lambda t: re.sub(r"[^\w ]", "", t or "")
+    want = {(d, i) for d, t in rows for i, x in items if i < 22 and plain(x) and tuple(x.lower().split()) in grams(plain(t), len(x.split()))} | {(32, 22)}
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.contaminated(spark, make(rows), table).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
+    assert next(r["n_hits"] for r in got if (r["doc_id"], r["item_id"]) == (32, 7)) == 2
+    assert {r["doc_id"] for r in decontamination.keep_clean(spark, make(rows), table).collect()} == {d for d, _ in rows} - {32}
+    assert {r["doc_id"] for r in decontamination.keep_clean(spark, make(rows), table, least_words=3).collect()} == {d for d, _ in rows} - {d for d, i in want if i > 2}
+
+
+def test_matches_against_exhaustive_alignment(spark, make, prose):
+    """Each item aligned with the whole of each document, without seeds: what share of the pairs that are good enough is found."""
+    r = random.Random(21)
+    items = [(i, prose(5000 + i, r.randint(8, 60))) for i in range(40)]
+    rows = []
+    for i in range(300):
+        own = items[r.randrange(40)][1].split()
+        kind = i % 5
+        if kind == 1:  # edited words
+            own = [w if r.random() > r.choice([0.1, 0.2, 0.3, 0.4]) else "q" + w for w in own]
+        elif kind == 2:  # words left out or put in
+            own = [x for w in own for x in r.choices([[], [w], [w, "zz"]], [15, 70, 15])[0]]
+        elif kind == 3:  # a part
+            own = own[: max(4, int(len(own) * r.uniform(0.2, 0.9)))]
+        elif kind == 4:
+            own = []
+        rows.append((i, " ".join([prose(i, 40), *own, prose(400 + i, 40)])))
+    got = {(x["doc_id"], x["item_id"]) for x in decontamination.contaminated(spark, make(rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    number, want = {}, set()
+    coded = lambda t: np.asarray([number.setdefault(w, len(number)) for w in t.split()])
+    for d, t in rows:
+        text = coded(t)
+        for i, x in items:
+            own = coded(x)
+            score, a, b = decontamination.align(own, text)
+            if score >= decontamination.MATCH * min(decontamination.THRESHOLD * len(own), decontamination.EXCERPT_WORDS) and b - a >= decontamination.LEAST_WORDS:
+                want.add((d, i))
+    recall = len(got & want) / len(want)
+    print(f"recall against exhaustive alignment: {recall:.3f} of {len(want)}")
+    assert got <= want and len(want) > 150 and recall >= 0.95
+
+
 def test_leaks_go_by_row(spark, make, prose, leaks):
     rows = [(1, prose(5000, 40)), (1, prose(1)), (None, prose(5001, 40)), (None, prose(2)), (None, None), (2, prose(3))]
     kept = [(x["doc_id"], x["text"]) for x in decontamination.keep_clean(spark, make(rows), leaks).collect()]
@@ -189,11 +302,51 @@ def test_assigned_values_win_over_runs(spark, make, forest):
 
 
 def test_forest_tables_score_as_spark_does(spark, forest):
+    known = forest[1]
+    findings = spark.createDataFrame(secret_scan.training_findings(600), "text string, begin int, end int, label int")
+    model = secret_scan.grow(spark, findings, known)
+    own = secret_scan.tables(spark, model)
     held = secret_scan.training_findings(400, seed=99)
-    x = np.asarray([secret_scan.describe(t, a, b, forest[1]) for t, a, b, _ in held])
+    x = np.asarray([secret_scan.describe(t, a, b, known) for t, a, b, _ in held])
+    table = secret_scan.featured(spark, spark.createDataFrame(held, "text string, begin int, end int, label int"), known).coalesce(1)
+    theirs = [float(r["probability"][1]) for r in model.transform(table).select("probability").collect()]
+    assert np.allclose(own.score(x), theirs)
     assert np.mean((forest[0].score(x) >= 0.5) == np.asarray([y for *_, y in held])) > 0.97
 
 
+#: What a person would mark in the tables: keys that a cloud provider's prefix begins, and 40 hex digits that a token is set to.
+MARKED = re.compile(r"\bAKIA[0-9A-Z]{16}\b|(?<=token = \")[0-9a-f]{40}(?=\")")
+
+
+def corpus_findings(docs):
+    """All candidates of all texts of the table, marked by MARKED: (doc_id, text, begin, end, label)."""
+    out = []
+    for r in docs.select("doc_id", "text").collect():
+        if r["text"]:
+            marked = {m.span() for m in MARKED.finditer(r["text"])}
+            spans = set(secret_scan.candidates(r["text"]))
+            assert marked <= spans  # no planted secret is lost before it is scored
+            out += [(r["doc_id"], r["text"], a, b, int((a, b) in marked)) for a, b in sorted(spans)]
+    return out
+
+
+@needs
+def test_secrets_of_the_tables(spark):
+    """Precision and recall over all texts, of the forest that production trains and of one trained from the table's own findings."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = corpus_findings(docs)
+    out = lambda i: i % 2 == 0
+    truth = {(d, a, b) for d, _, a, b, y in found if y}
+    assert len(truth) >= 10
+    said = {(r["doc_id"], r["begin"], r["end"]) for r in secret_scan.scan(spark, docs).collect() if r["is_secret"]}
+    print(f"templates: precision {len(said & truth) / len(said):.3f}, recall {len(said & truth) / len(truth):.3f} of {len(truth)}, {len(found)} candidates")
+    assert len(said & truth) / len(said) >= 0.95 and len(said & truth) / len(truth) >= 0.95
+    learnt = spark.createDataFrame([(t[max(0, a - 200) : b + 50], min(a, 200), min(a, 200) + b - a, y) for d, t, a, b, y in found if not out(d)], "text string, begin int, end int, label int")
+    said = {(r["doc_id"], r["begin"], r["end"]) for r in secret_scan.scan(spark, docs, secret_scan.train(spark, docs, learnt)).collect() if r["is_secret"] and out(r["doc_id"])}
+    held = {x for x in truth if out(x[0])}
+    assert held and len(said & held) / len(held) >= 0.9 and len(said & held) / len(said) >= 0.9
+
+
 @pytest.mark.parametrize("most", [1, 100_000])
 def test_language_is_counted_over_all_texts(spark, make, prose, most, monkeypatch):
     texts = [prose(i % 7).title() for i in range(30)] + ["ab", "", None, "snake_case x9y"] + [t for _, t in EDGES]
