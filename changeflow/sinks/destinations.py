@@ -4,19 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from urllib.parse import parse_qsl, unquote, urlsplit
+from urllib.parse import SplitResult, parse_qsl, quote, unquote, urlencode, urlsplit
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.masking import is_localhost
 from ..functions.naming import file_path, object_key
 from ..model import event_json
-from .messages import PARTITION_HEADER, kafka, last_writer
+from .messages import PARTITION_HEADER, eventhub, kafka, last_writer
+from .objects import Store, put
 
 ALIASES = {"postgresql": "postgres", "mssql": "sqlserver", "snowflake-keypair": "snowflake", "gs": "s3", "azeventhub": "eventhub"}
 JDBC = {"postgres": ("jdbc:postgresql", 5432), "mysql": ("jdbc:mysql", 3306), "sqlserver": ("jdbc:sqlserver", 1433)}
 #: Events a flush holds at most, by destination (fixed values; -1: no limit).
 BATCH = {"postgres": 500, "mysql": 500, "sqlserver": 500, "snowflake": 200, "s3": 1000, "kafka": -1, "eventhub": -1, "file": -1}
+#: Name of the object stores' public hosts (a fixed value).
+GOOGLE = "storage.googleapis.com"
+DEFAULT_REGION = "us-west-2"
+
+#: Fields of a destination's form: name, kind, whether it has to be there, default.
+_DATABASE = [("Database", str, True, None), ("Username", str, False, ""), ("Password", str, False, ""), ("Hostname", str, True, None)]
+FORMS = {
+    **{k: [*_DATABASE, ("Port", int, False, port)] for k, (_, port) in JDBC.items()},
+    "snowflake": [*_DATABASE, ("Schema", str, True, None)],
+    "s3": [("Bucket", str, True, None), ("Prefix", str, False, ""), ("Region", str, False, ""), ("Access Key ID", str, False, ""), ("Secret Access Key", str, False, ""), ("Endpoint", str, False, "")],
+    "kafka": [("Hostname", str, True, None), ("Port", int, False, 9092), ("Topic", str, True, None)],
+    "eventhub": [("Connection String", str, True, None)],
+    "file": [("Directory", str, True, None)],
+}
 
 
 @dataclass
@@ -54,7 +70,7 @@ def parse(url: str) -> Destination:
     if scheme == "s3":
         if not u.netloc:
             raise ValueError("a bucket is missing")
-        return Destination(scheme, {"path": f"{'gs' if u.scheme == 'gs' else 's3a'}://{u.netloc}", "prefix": u.path.strip("/")} | query)
+        return Destination(scheme, _bucket(u, query))
     if scheme == "kafka":
         topic = u.path.strip("/")
         if not u.netloc or not topic:
@@ -70,6 +86,65 @@ def parse(url: str) -> Destination:
     return Destination(scheme, {"path": unquote((u.netloc + u.path) if u.netloc else u.path)})
 
 
+def _bucket(u: SplitResult, query: dict[str, str]) -> dict[str, str]:
+    """Bucket, prefix and endpoint. A host of one's own machine or of a known store comes before the bucket; else the host is the bucket."""
+    parts = [p for p in u.path.split("/") if p]
+    options = {"region": DEFAULT_REGION} | query
+    if u.scheme == "gs":
+        return options | {"bucket": u.netloc, "prefix": "/".join(parts), "endpoint": f"https://{GOOGLE}", "region": "auto"}
+    if is_localhost(u.netloc) or u.netloc.endswith("googleapis.com"):
+        if not parts:
+            raise ValueError("a bucket is missing")
+        google = u.netloc.endswith("googleapis.com")
+        place = {"endpoint": f"https://{u.netloc}", "region": "auto"} if google else {"endpoint": f"http://{u.netloc}"}
+        return options | {"bucket": parts[0], "prefix": "/".join(parts[1:])} | place
+    return options | {"bucket": u.netloc, "prefix": "/".join(parts)}
+
+
+def check(scheme: str, values: dict[str, object]) -> tuple[str | None, dict[str, str]]:
+    """The URL of a filled-in form, or what is wrong with it by field."""
+    scheme = ALIASES.get(scheme, scheme)
+    if scheme not in FORMS:
+        raise ValueError(f"no destination for {scheme!r}")
+    got, wrong = {}, {}
+    for name, kind, needed, default in FORMS[scheme]:
+        value = values.get(name)
+        if value is None or value == "":
+            if needed:
+                wrong[name] = "is required"
+            got[name] = default
+            continue
+        try:
+            got[name] = kind(value)
+        except (TypeError, ValueError):
+            wrong[name] = "is not a number"
+    if not wrong and _bad_port(got):
+        wrong["Port"] = "is not a port"
+    if wrong:
+        return None, wrong
+    user = f"{quote(got['Username'], safe='')}:{quote(got['Password'], safe='')}@" if got.get("Username") else ""
+    if scheme in JDBC:
+        return f"{scheme}://{user}{got['Hostname']}:{got['Port']}/{got['Database']}", {}
+    if scheme == "snowflake":
+        return f"snowflake://{user}{got['Hostname']}/{got['Database']}/{got['Schema']}", {}
+    if scheme == "s3":
+        names = {"Region": "region", "Access Key ID": "access-key-id", "Secret Access Key": "secret-access-key"}
+        query = urlencode({k: got[n] for n, k in names.items() if got[n]})
+        place = f"{got['Endpoint'].split('://')[-1].rstrip('/')}/{got['Bucket']}" if got["Endpoint"] else got["Bucket"]
+        return "/".join(x for x in (f"s3://{place}", got["Prefix"].strip("/")) if x) + (f"?{query}" if query else ""), {}
+    if scheme == "kafka":
+        return f"kafka://{got['Hostname']}:{got['Port']}/{got['Topic']}", {}
+    if scheme == "eventhub":
+        text = got["Connection String"].removeprefix("Endpoint=sb://")
+        return (f"eventhub://{text}", {}) if "EntityPath=" in text else (None, {"Connection String": "has no EntityPath"})
+    return f"file://{got['Directory']}", {}
+
+
+def _bad_port(got: dict[str, object]) -> bool:
+    """Whether a port is given that none can have."""
+    return "Port" in got and not 0 < int(got["Port"]) < 65536
+
+
 _writers: dict[str, Callable[[Destination, DataFrame], None]] = {}
 
 
@@ -88,6 +163,8 @@ def write(url: str, events: DataFrame, dry_run: bool = False) -> DataFrame:
     d = parse(url)
     rows = prepare(d, events)
     if not dry_run:
+        if d.scheme not in _writers:
+            raise NotImplementedError(f"{d.scheme}: no writer is registered; a dry run gives the rows that one would send")
         _writers[d.scheme](d, rows)
     return rows
 
@@ -100,18 +177,20 @@ def prepare(d: Destination, events: DataFrame) -> DataFrame:
         rows = events.select(F.struct("timestamp", "mvccTimestamp", "id").alias("_o"), path.alias("path"), event_json().alias("value"))
         return last_writer(rows, "path", "_o", ["value"])
     if d.scheme == "kafka":
-        return kafka(events, int(d.options.get("partitions", 1)), d.options.get("header", PARTITION_HEADER))
-    raise ValueError(f"{d.scheme} takes folded tables, not events")
+        return kafka(events, int(d.options.get("partitions", 1)), d.options.get("header", PARTITION_HEADER), in_order=True)
+    if d.scheme == "eventhub":
+        return eventhub(events)
+    raise ValueError(f"{d.scheme} takes folded tables, not events; see write_table")
 
 
 @writer("file")
+def _files(d: Destination, rows: DataFrame) -> None:
+    put(rows, Store(d.options["path"]))
+
+
 @writer("s3")
 def _objects(d: Destination, rows: DataFrame) -> None:
-    """One object a row, named by the row; tasks write them through Hadoop's file systems by partitioned text output.
-
-    Spark names part files itself, so each object is a folder of that name that holds one part.
-    """
-    rows.repartition("path").select("value", "path").write.mode("append").partitionBy("path").text(d.options["path"])
+    put(rows, Store(d.options["bucket"], tuple(sorted((k, v) for k, v in d.options.items() if k not in ("bucket", "prefix")))))
 
 
 @writer("kafka")
@@ -127,4 +206,4 @@ def write_table(url: str, table: str, rows: DataFrame, mode: str = "overwrite")
     elif d.scheme in JDBC:
         rows.write.format("jdbc").options(**d.options).option("dbtable", table).option("batchsize", str(d.max_batch)).mode(mode).save()
     else:
-        raise ValueError(f"{d.scheme} takes events, not tables")
+        raise ValueError(f"{d.scheme} takes events, not tables; see write")
