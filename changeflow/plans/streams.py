@@ -3,26 +3,31 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import apply
 from ..session import shared_dir
 from ..streaming import runner
 from . import changes
-from .feeds import COLUMNS, event_feed, user_target
+from .feeds import COLUMNS, EVENTS_SQL, event_feed, user_target
 
 
-def _streamed(spark: SparkSession, sf_dir: str, fold: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of the events table as a stream; its path may be one file or a folder of them."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    names = "{events.parquet,events.parquet/*.parquet}"
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/{names}")
+
+
+def _streamed(spark: SparkSession, sf_dir: str, fold: runner.Fold) -> DataFrame:
     """The events table read as a stream of files into a table that starts as ``user_target``."""
     place = f"{shared_dir(spark).rstrip('/')}/changeflow-stream-{uuid.uuid4().hex}"
-    target = user_target(spark, sf_dir).select("pk", *COLUMNS)
-    table = runner.VersionedTable(spark, f"{place}/table", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in target.schema))
-    table.commit(target, -1)
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(f"{sf_dir}/events.parquet*")
-    runner.start(event_feed(spark, sf_dir, stream), table, fold, f"{place}/checkpoint").awaitTermination()
+    target, feed = user_target(spark, sf_dir).select("pk", *COLUMNS), event_feed(spark, sf_dir, _stream(spark, sf_dir))
+    table = runner.LoggedTable(spark, f"{place}/table", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in target.schema), feed.schema, fold)
+    table.begin(target)
+    runner.start(feed, table, f"{place}/checkpoint").awaitTermination()
     return table.read()
 
 
@@ -34,5 +39,39 @@ def stream_apply_mysql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir, lambda old, new: apply.replace_rows(old, new, "pk", COLUMNS, "seq"))
 
 
-QUERIES = {f.__name__: f for f in (stream_apply_postgres, stream_apply_mysql)}
-ORACLES = {"stream_apply_postgres": changes.APPLY_POSTGRES_SQL, "stream_apply_mysql": changes.APPLY_MYSQL_SQL}
+def stream_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream whose table ``grown`` (even users) gets the column ``note`` with version v2, in the middle; ``plain`` is new to the destination.
+
+    Before v2 the diff names what it names; the event that brings v2 counts ``note`` as changed, later ones only where they
+    say so (none does), so each row has the note of that one event, of its first event, or of an INSERT.
+    """
+    place = f"{shared_dir(spark).rstrip('/')}/changeflow-stream-{uuid.uuid4().hex}"
+    grown = F.col("pk") % 2 == 0
+    middle = spark.read.parquet(f"{sf_dir}/events.parquet").agg((F.max("event_id") / 2).cast("long").alias("m")).first()["m"]
+    late = grown & (F.col("seq") > middle)
+    feed = event_feed(spark, sf_dir, _stream(spark, sf_dir)).withColumns({
+        "table": F.when(grown, "grown").otherwise("plain"), "modelVersion": F.when(late, "v2").otherwise("v1"), "note": F.when(late, F.concat(F.lit("n"), F.col("seq").cast("string"))),
+    })
+    columns, done = [*COLUMNS, "note"], []
+    rows = [(t, v, c) for t, v in (("grown", "v1"), ("grown", "v2"), ("plain", "v1")) for c in (columns if v == "v2" else COLUMNS)]
+    schemas = spark.createDataFrame(rows, "table string, version string, column string")
+    moves = runner.Migrations(schemas, lambda *step: done.append(step), {"grown": "v1"})
+    table = runner.LoggedTable(spark, f"{place}/table", "pk bigint, value double, props string, ts timestamp_ntz, note string", feed.schema, lambda old, new: apply.changed_columns_upsert(old, new, "pk", columns, "seq"))
+    runner.start(feed, table, f"{place}/checkpoint", migrations=moves).awaitTermination()
+    steps = F.lit("; ".join(f"{a} {t} {','.join(c)}".strip() for t, a, c in sorted(done)))
+    return table.read().withColumn("steps", steps)
+
+
+STREAM_MIGRATION_SQL = f"""
+WITH {EVENTS_SQL},
+middle AS (SELECT max(seq) // 2 AS m FROM feed),
+noted AS (SELECT f.* EXCLUDE (diff), CASE WHEN pk % 2 = 0 AND seq > m THEN 'n' || seq END AS note, pk % 2 = 0 AND seq > m AS late, diff FROM feed f, middle),
+first_late AS (SELECT min(seq) AS s FROM noted WHERE late),
+widened AS (SELECT n.* EXCLUDE (diff), CASE WHEN seq = s THEN list_append(diff, 'note') ELSE diff END AS diff FROM noted n, first_late),
+tail AS (SELECT * FROM (SELECT *, max(CASE WHEN op = 'DELETE' THEN seq END) OVER (PARTITION BY pk) AS ld FROM widened) WHERE ld IS NULL OR seq > ld)
+SELECT pk, {", ".join(f"CASE WHEN count(*) FILTER (op <> 'UPDATE' OR list_contains(diff, '{c}')) > 0 THEN arg_max_null({c}, CASE WHEN op <> 'UPDATE' OR list_contains(diff, '{c}') THEN seq END) ELSE arg_min_null({c}, seq) END AS {c}" for c in [*COLUMNS, "note"])},
+  'add_columns grown note; create plain' AS steps
+FROM tail GROUP BY pk"""
+
+QUERIES = {f.__name__: f for f in (stream_apply_postgres, stream_apply_mysql, stream_migration)}
+ORACLES = {"stream_apply_postgres": changes.APPLY_POSTGRES_SQL, "stream_apply_mysql": changes.APPLY_MYSQL_SQL, "stream_migration": STREAM_MIGRATION_SQL}

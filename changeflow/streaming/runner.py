@@ -1,8 +1,10 @@
-"""Change streams into versioned tables, exactly once.
+"""Change streams into tables, each micro-batch once.
 
-A micro-batch is one flush. ``foreachBatch`` folds it into the target and writes the result as a new version folder; a small
-pointer file, written last, says which version and which batch are the current ones. A batch that is replayed after a
-failure finds its number in the pointer and does nothing. No watermark: late events are ordered by the fold, never dropped.
+A micro-batch is one flush. ``foreachBatch`` writes its changes as they are into a folder of the batch's number, over whatever
+an attempt before has left there, so a batch that is replayed after a failure writes the same rows to the same place. The
+target is the fold of the logged changes over the last base, worked out when it is read; ``compact`` makes that fold the new
+base. A micro-batch costs what its own rows cost, however large the table is. No watermark: late events are ordered by the
+fold, never dropped.
 
 Reading side: ``maxFilesPerTrigger`` and ``trigger`` are the flush limits, stopping the query is a pause, starting it with the
 same checkpoint resumes.
@@ -10,76 +12,119 @@ same checkpoint resumes.
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.evolution import migration_plan
+from ..operators.filters import small, widened_diff
+from ..operators.state import table_versions
 
-class VersionedTable:
-    """A table as folders v=<n> and a pointer, on any file system that Spark writes to."""
+Fold = Callable[[DataFrame, DataFrame], DataFrame]
 
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        jvm = spark._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self.fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def pointer(self) -> dict:
-        """{version, batch} of the latest complete write; the highest numbered pointer counts."""
-        found = self.fs.globStatus(self._path(f"{self.path}/_pointers/*.json"))
-        names = sorted(s.getPath().getName() for s in found) if found else []
-        if not names:
-            return {"version": None, "batch": -1}
-        return json.loads(self.spark.read.text(f"{self.path}/_pointers/{names[-1]}").first()[0])
+class LoggedTable:
+    """A table as Parquet folders below a path: bases ``base=<batch>``, changes ``changes/batch=<batch>`` and table versions.
+
+    A folder counts when Spark's writer has finished it (its ``_SUCCESS`` file is there). The base with the highest number and
+    the changes of later batches are the table.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, changes: T.StructType | str, fold: Fold):
+        self.spark, self.path, self.schema, self.fold = spark, path.rstrip("/"), schema, fold
+        self.logged = changes if isinstance(changes, T.StructType) else T.StructType.fromDDL(changes)
+
+    def _numbers(self, pattern: str) -> list[int]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}=*/_SUCCESS")
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
+        return sorted(int(s.getPath().getParent().getName().rpartition("=")[2]) for s in found or [])
+
+    def batches(self) -> list[int]:
+        """Numbers of the logged batches that no base has yet."""
+        base = max(self._numbers("base"), default=-1)
+        return [b for b in self._numbers("changes/batch") if b > base]
+
+    def last(self) -> int:
+        """The latest batch that the table has, -1 for none."""
+        return max([-1, *self._numbers("base"), *self._numbers("changes/batch")])
+
+    def base(self) -> DataFrame:
+        numbers = self._numbers("base")
+        reader = self.spark.read.schema(self.schema)
+        return reader.parquet(f"{self.path}/base={numbers[-1]}") if numbers else self.spark.createDataFrame([], self.schema)
+
+    def changes(self) -> DataFrame | None:
+        batches = self.batches()
+        paths = [f"{self.path}/changes/batch={b}" for b in batches]
+        return self.spark.read.schema(self.logged).parquet(*paths) if paths else None
 
     def read(self) -> DataFrame:
-        version = self.pointer()["version"]
-        return self.spark.createDataFrame([], self.schema) if version is None else self.spark.read.schema(self.schema).parquet(f"{self.path}/v={version}")
-
-    def commit(self, rows: DataFrame, batch: int) -> None:
-        """Write rows as the table's new version; a rename makes the pointer visible whole or not at all."""
-        version = uuid.uuid4().hex
-        rows.write.parquet(f"{self.path}/v={version}")
-        name = f"{batch + 1:020d}.json"
-        out = self.fs.create(self._path(f"{self.path}/_tmp-{version}"), True)
-        out.writeBytes(json.dumps({"version": version, "batch": batch}))
-        out.close()
-        self.fs.mkdirs(self._path(f"{self.path}/_pointers"))
-        if not self.fs.rename(self._path(f"{self.path}/_tmp-{version}"), self._path(f"{self.path}/_pointers/{name}")):
-            raise RuntimeError(f"batch {batch} was committed by another run")
+        changes = self.changes()
+        return self.base() if changes is None else self.fold(self.base(), changes)
+
+    def begin(self, rows: DataFrame) -> None:
+        """The table as it is before the first batch."""
+        rows.write.mode("overwrite").parquet(f"{self.path}/base=-1")
+
+    def append(self, changes: DataFrame, batch: int) -> None:
+        """Log a batch, in files ordered by nothing in particular; columns that it lacks are null."""
+        there = set(changes.columns)
+        columns = [F.col(f.name).cast(f.dataType) if f.name in there else F.lit(None).cast(f.dataType).alias(f.name) for f in self.logged]
+        changes.select(*columns).write.mode("overwrite").parquet(f"{self.path}/changes/batch={batch}")
+
+    def compact(self) -> None:
+        """Fold the log into a new base; the one full rewrite, to be made when the log has grown to a good part of the table."""
+        if batches := self.batches():
+            self.read().write.mode("overwrite").parquet(f"{self.path}/base={batches[-1]}")
 
     def vacuum(self) -> None:
-        """Delete versions that the pointer doesn't name; readers of older versions have to be done."""
-        now = self.pointer()["version"]
-        for s in self.fs.listStatus(self._path(self.path)):
-            if s.getPath().getName().startswith("v=") and s.getPath().getName() != f"v={now}":
-                self.fs.delete(s.getPath(), True)
+        """Delete what the newest base has made superfluous; readers that began before have to be done."""
+        bases = self._numbers("base")
+        old = [f"base={b}" for b in bases[:-1]] + [f"changes/batch={b}" for b in self._numbers("changes/batch") if bases and b <= bases[-1]]
+        for name in old:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def apply_batch(table: VersionedTable, fold: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """``fold(target, changes)`` gives the new target; batches that were committed before are skipped."""
+@dataclass
+class Migrations:
+    """What new versions of tables ask for while a stream runs.
 
-    def run(changes: DataFrame, batch: int) -> None:
-        if table.pointer()["batch"] >= batch or changes.isEmpty():
-            return
-        table.commit(fold(table.read(), changes), batch)
+    ``schemas``: (table, version, column). ``carry_out(table, action, columns)`` creates a table or adds columns at the
+    destination. ``current``: (table, version) as known so far; it goes on with each batch.
+    """
 
-    return run
+    schemas: DataFrame
+    carry_out: Callable[[str, str, list[str]], None]
+    current: dict[str, str]
+    order: str = "seq"
 
+    def known(self) -> DataFrame:
+        return self.schemas.sparkSession.createDataFrame(list(self.current.items()), "table string, version string")
 
-def start(changes: DataFrame, table: VersionedTable, fold: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Run a stream into a table: with ``every`` (a processing time) until it is stopped, else until the input is used up."""
-    writer = changes.writeStream.foreachBatch(apply_batch(table, fold)).option("checkpointLocation", checkpoint)
-    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+    def plan(self, changes: DataFrame) -> DataFrame:
+        return migration_plan(changes, self.schemas, self.known(), self.order)
+
+    def advance(self, changes: DataFrame) -> None:
+        self.current |= {r["table"]: r["version"] for r in table_versions(changes, self.order).collect()}  # a row a table
+
+
+def widen(changes: DataFrame, plan: DataFrame, order: str) -> DataFrame:
+    """The event that brings a new version counts the added columns as changed."""
+    first = small(plan.filter("action = 'add_columns'").select(F.col("table").alias("_table"), F.col("first_seq").alias("_first"), F.col("columns").alias("_new")))
+    rows = changes.join(first, (changes["table"] == F.col("_table")) & (changes[order] == F.col("_first")), "left")
+    return rows.withColumn("diff", F.when(F.col("_new").isNotNull(), widened_diff(F.col("diff"), F.col("_new"))).otherwise(F.col("diff"))).drop("_table", "_first", "_new")
 
 
 def split_at_migrations(changes: DataFrame, plan: DataFrame, order: str) -> list[tuple[list[tuple[str, str, list[str]]], DataFrame]]:
     """Cut a micro-batch where versions begin: [(migrations to do first, events up to the next cut)].
 
-    A plan has a row for each new version, so its rows are few; events stay distributed.
+    A plan has a row for each new version, so its rows are few; events stay distributed. A destination that is flushed part by
+    part has each migration between the events before it and those after.
     """
     cuts = sorted({(r["first_seq"], r["table"], r["action"], tuple(r["columns"])) for r in plan.collect()})
     edges = sorted({c[0] for c in cuts})
@@ -92,3 +137,45 @@ def split_at_migrations(changes: DataFrame, plan: DataFrame, order: str) -> list
             part = part.filter(changes[order] < edges[i + 1])
         out.append(([(t, a, list(c)) for s, t, a, c in cuts if s == at], part))
     return out
+
+
+def migrated(changes: DataFrame, migrations: Migrations, flush: Callable[[DataFrame, int], None]) -> None:
+    """Carry out a batch's migrations, each before the events that need it; ``flush`` gets each part and its number."""
+    changes = changes.persist()  # planned, cut and flushed from one reading of the batch
+    try:
+        plan = migrations.plan(changes)
+        for i, (steps, part) in enumerate(split_at_migrations(widen(changes, plan, migrations.order), plan, migrations.order)):
+            for table, action, columns in steps:
+                if action != "advance":
+                    migrations.carry_out(table, action, columns)
+            flush(part, i)
+        migrations.advance(changes)
+    finally:
+        changes.unpersist()
+
+
+def apply_batch(table: LoggedTable, migrations: Migrations | None = None) -> Callable[[DataFrame, int], None]:
+    """What ``foreachBatch`` calls. Parts of a batch that is cut by migrations go to the log as one, when all are there."""
+
+    def run(changes: DataFrame, batch: int) -> None:
+        if batch <= table.last():  # logged, by an attempt that ended after its write
+            return
+        if migrations is None:
+            if not changes.isEmpty():
+                table.append(changes, batch)
+            return
+        parts: list[DataFrame] = []
+        migrated(changes, migrations, lambda part, _: parts.append(part))
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = whole.unionByName(part)
+        if not whole.isEmpty():
+            table.append(whole, batch)
+
+    return run
+
+
+def start(changes: DataFrame, table: LoggedTable, checkpoint: str, every: str | None = None, migrations: Migrations | None = None) -> StreamingQuery:
+    """Run a stream into a table: with ``every`` (a processing time) until it is stopped, else until the input is used up."""
+    writer = changes.writeStream.foreachBatch(apply_batch(table, migrations)).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()

@@ -1,4 +1,4 @@
-"""The upsert as a stream: same rows as in one batch, no batch applied twice."""
+"""The upsert as a stream: same rows as in one batch, no batch applied twice, migrations before what needs them."""
 
 from changeflow.operators import apply
 from changeflow.streaming import runner
@@ -6,22 +6,36 @@ from changeflow.streaming import runner
 from .test_changes import COLS, SCHEMA, feed, rows
 
 
+def fold(target, new):
+    return apply.changed_columns_upsert(target, new, "pk", COLS, "seq")
+
+
 def test_stream_equals_batch(spark, tmp_path):
     changes = spark.createDataFrame(feed(1), SCHEMA)
     for i in range(4):
         changes.filter(f"seq >= {i * 100} and seq < {(i + 1) * 100}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    table = runner.VersionedTable(spark, str(tmp_path / "t"), "pk int, a int, b int, ts int")
-    fold = lambda target, new: apply.changed_columns_upsert(target, new, "pk", COLS, "seq")
+    table = runner.LoggedTable(spark, str(tmp_path / "t"), "pk int, a int, b int, ts int", changes.schema, fold)
+    assert table.read().count() == 0 and table.last() == -1
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    runner.start(stream, table, fold, str(tmp_path / "c")).awaitTermination()
+    runner.start(stream, table, str(tmp_path / "c")).awaitTermination()
     empty = spark.createDataFrame([], "pk int, a int, b int, ts int")
     want = rows(fold(empty, changes))
+    assert rows(table.read()) == want and table.last() >= 3
+    done = table.last()
+    runner.apply_batch(table)(changes.limit(5), done)  # a replay changes nothing
     assert rows(table.read()) == want
-    done = table.pointer()["batch"]
-    runner.apply_batch(table, lambda t, c: t.limit(0))(changes, done)  # a replay changes nothing
-    assert rows(table.read()) == want
+    (tmp_path / f"t/changes/batch={done + 1}").mkdir()  # an attempt that wrote a part and failed
+    (tmp_path / f"t/changes/batch={done + 1}/part-0.parquet").write_text("half")
+    assert rows(table.read()) == want and table.last() == done
+    table.compact()
+    assert rows(table.read()) == want and table.batches() == []
+    runner.apply_batch(table)(changes.filter("seq < 3"), done)
+    assert rows(table.read()) == want and table.batches() == []
+    more = changes.filter("seq >= 390").withColumn("seq", changes["seq"] + 1000)
+    runner.apply_batch(table)(more, done + 1)
+    assert rows(table.read()) == rows(fold(fold(empty, changes), more))
     table.vacuum()
-    assert rows(table.read()) == want
+    assert rows(table.read()) == rows(fold(fold(empty, changes), more))
 
 
 def test_cuts_at_migrations(spark):
@@ -30,3 +44,21 @@ def test_cuts_at_migrations(spark):
     parts = runner.split_at_migrations(changes, plan, "seq")
     assert [(m, c.count()) for m, c in parts] == [([], 20), ([("t", "add_columns", ["x"])], 15), ([("u", "create", [])], 15)]
     assert [m for m, _ in runner.split_at_migrations(changes, plan.limit(0), "seq")] == [[]]
+
+
+def test_migrations_come_before_what_needs_them(spark):
+    """Parts are flushed in order, each behind its migrations, and the event that brings a version has the new columns in its diff."""
+    events = spark.createDataFrame(
+        [("t", "v1", 1, ["a"]), ("t", "v1", 2, ["a"]), ("t", "v2", 3, ["a"]), ("u", "v1", 4, []), ("t", "v2", 5, ["a"]), ("t", "v3", 6, None)], "table string, modelVersion string, seq long, diff array<string>"
+    )
+    schemas = spark.createDataFrame([("t", v, c) for v, cols in (("v1", "a"), ("v2", "abc"), ("v3", "ac")) for c in cols] + [("u", "v1", "x")], "table string, version string, column string")
+    log = []
+    moves = runner.Migrations(schemas, lambda *step: log.append(step), {"t": "v1"})
+    runner.migrated(events, moves, lambda part, i: log.append((i, [(r["seq"], r["diff"]) for r in part.orderBy("seq").collect()])))
+    assert log == [
+        (0, [(1, ["a"]), (2, ["a"])]), ("t", "add_columns", ["b", "c"]), (1, [(3, ["a", "b", "c"])]), ("u", "create", []), (2, [(4, []), (5, ["a"])]), (3, [(6, None)]),
+    ]
+    assert moves.current == {"t": "v3", "u": "v1"}
+    log.clear()
+    runner.migrated(events, moves, lambda part, i: log.append(i))
+    assert not any(isinstance(x, tuple) and x[1] == "create" for x in log)
