@@ -43,8 +43,9 @@ def decode(lines: DataFrame, column: str = "value") -> DataFrame:
     ``error`` or send such rows aside.
     """
     schema = T.StructType([*EVENT.fields, T.StructField("_bad", T.StringType())])
-    parsed = lines.select(F.from_json(column, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("e")).select("e.*")
-    parsed = parsed.withColumn("object", parse_object(image(F.col("after"), F.col("before"))))
+    # a generator of one row: filters on what it gives can't be moved below it, where they would parse the text once more
+    parsed = lines.select(F.inline(F.array(F.from_json(column, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))))
+    parsed = parsed.select("*", F.explode(F.array(parse_object(image(F.col("after"), F.col("before"))))).alias("object"))
     has_image = image(F.col("after"), F.col("before")).isNotNull()
     parsed = parsed.withColumn("pk", primary_key(F.col("key"), F.col("object")))
     error = (

@@ -7,19 +7,30 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash64
 from ..model import INSERT, parse_object
+from ..operators.filters import small
 
 #: <33 digits of time>-<session>-<n>-<n>-<hex>-<table>-<schema id>.ndjson.gz (a fixed pattern).
 NAME = r"^(\d{33})-\w+-[\w-]+-([a-z0-9_]+)-(\w+)\.ndjson\.gz"
 
 
 def parse_name(name: Column) -> Column:
-    """STRUCT(table, ts, ns): table, time to the microsecond, and nanoseconds since 1970; NULL for other names or bad dates."""
-    digits = F.regexp_extract(name, NAME, 1)
-    part = lambda a, n: F.substring(digits, a, n)
-    text = F.concat(part(1, 4), F.lit("-"), part(5, 2), F.lit("-"), part(7, 2), F.lit(" "), part(9, 2), F.lit(":"), part(11, 2), F.lit(":"), part(13, 2), F.lit("."), part(15, 6))
-    ts = F.when(digits != "", text).try_cast("timestamp")
-    ns = F.unix_seconds(ts) * F.lit(1_000_000_000).cast("long") + part(15, 9).try_cast("long")
-    return F.when(ts.isNotNull(), F.struct(F.regexp_extract(name, NAME, 2).alias("table"), ts.alias("ts"), ns.alias("ns")))
+    """STRUCT(table, ts, ns): table, time to the microsecond, and nanoseconds since 1970; NULL for other names or bad dates.
+
+    The name is matched once: ``_named`` gets the parts, time and table, as one value.
+    """
+    return _named(F.split(F.regexp_replace(name, NAME + ".*$", "$1\n$2"), "\n"))
+
+
+def _named(parts: Column) -> Column:
+    def of(found: Column) -> Column:
+        digits, table = F.get(found, F.lit(0)), F.get(found, F.lit(1))
+        part = lambda a, n: F.substring(digits, a, n)
+        text = F.concat(part(1, 4), F.lit("-"), part(5, 2), F.lit("-"), part(7, 2), F.lit(" "), part(9, 2), F.lit(":"), part(11, 2), F.lit(":"), part(13, 2), F.lit("."), part(15, 6))
+        ts = F.when(table.isNotNull() & (F.length(digits) == 33), text).try_cast("timestamp")
+        ns = F.unix_seconds(ts) * F.lit(1_000_000_000).cast("long") + part(15, 9).try_cast("long")
+        return F.when(ts.isNotNull(), F.struct(table.alias("table"), ts.alias("ts"), ns.alias("ns")))
+
+    return F.element_at(F.transform(F.array(parts), of), 1)
 
 
 def scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,8 +44,9 @@ def to_events(lines: DataFrame, versions: DataFrame, legacy_tenant: bool = False
 
     ``legacy_tenant`` puts a row's companyId into locationId, as earlier loads did.
     """
-    name = lines.withColumn("_f", parse_name(F.col("file"))).filter("_f is not null").withColumn("_table", F.col("_f.table"))
-    rows = name.join(F.broadcast(versions.select(F.col("table").alias("_table"), F.col("version").alias("modelVersion"))), "_table", "left")
+    # a generator of one row keeps the parsed name from being worked out again for each of its uses
+    name = lines.select("*", F.explode(F.array(parse_name(F.col("file")))).alias("_f")).filter("_f is not null").withColumn("_table", F.col("_f.table"))
+    rows = name.join(small(versions.select(F.col("table").alias("_table"), F.col("version").alias("modelVersion"))), "_table", "left")
     rows = rows.withColumn("object", parse_object(F.col("after"))).withColumn("_id", hash64(F.col("file")))
     field = lambda k: F.try_element_at("object", F.lit(k))
     location = F.coalesce(field("companyId"), field("locationId")) if legacy_tenant else field("locationId")
