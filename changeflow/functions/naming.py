@@ -42,13 +42,21 @@ def object_key(prefix: str, table: Column, ms: Column, pk: Column, validated: Co
 _FIELD = re.compile(r"\{\{\s*\.(\w+)\s*\}\}")
 
 
-def path_template(template: str, field) -> Column:
-    """``{{.name}}`` parts become columns, given by ``field``; values are put in as they are."""
+def html_escaped(c: Column) -> Column:
+    """Texts as HTML templates put them in (fixed values)."""
+    for raw, text in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&#34;"), ("'", "&#39;"), ("+", "&#43;")):
+        c = F.replace(c, F.lit(raw), F.lit(text))
+    return c
+
+
+def path_template(template: str, field, html: bool = False) -> Column:
+    """``{{.name}}`` parts become columns, given by ``field``; values are put in as they are, or ``html``-escaped."""
     parts, last = [], 0
     for m in _FIELD.finditer(template):
         if m.start() > last:
             parts.append(F.lit(template[last : m.start()]))
-        parts.append(F.coalesce(field(m.group(1)).cast("string"), F.lit("")))
+        value = F.coalesce(field(m.group(1)).cast("string"), F.lit(""))
+        parts.append(html_escaped(value) if html else value)
         last = m.end()
     if last < len(template):
         parts.append(F.lit(template[last:]))

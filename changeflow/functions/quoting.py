@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DIALECTS = ["postgres", "mysql", "sqlserver", "snowflake"]
 
@@ -71,13 +72,55 @@ def number_text(x: Column) -> Column:
     return F.when(x.isNull(), "null").when(whole, x.cast("long").cast("string")).otherwise(F.regexp_replace(x.cast("decimal(38,17)").cast("string"), r"\.?0+$", ""))
 
 
+def exponent_text(x: Column) -> Column:
+    """A double as its shortest text, with an exponent of two digits at least from 1e6 on and below 1e-4."""
+    text = F.abs(x).cast("string")
+    long_ = F.regexp_extract(text, r"^([\d.]+)E", 1)
+    digits = F.regexp_replace(F.replace(F.when(long_ != "", long_).otherwise(text), F.lit("."), F.lit("")), "0+$", "")
+    power = F.when(long_ != "", F.regexp_extract(text, r"E(-?\d+)$", 1).try_cast("int")).otherwise(F.locate(".", text) - 2)
+    mantissa = F.concat(F.substring(digits, 1, 1), F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(""))
+    signed = F.concat(F.when(x < 0, "-").otherwise(""), mantissa, F.when(power < 0, "e-").otherwise("e+"), F.when(F.abs(power) < 10, "0").otherwise(""), F.abs(power).cast("string"))
+    return F.when((x != 0) & ((F.abs(x) >= 1e6) | (F.abs(x) < 1e-4)), signed).otherwise(number_text(x))
+
+
+def json_text(v: Column) -> Column:
+    """Objects and arrays as compact JSON."""
+    return F.to_json(v)
+
+
+def quote_value(v: Column, kind: T.DataType, dialect: str) -> Column:
+    """A literal of a typed column: numbers and booleans bare, times and texts quoted, arrays and objects as JSON text."""
+    null = "null" if dialect == "postgres" else "NULL"
+    text = {"postgres": quote_postgres, "mysql": quote_mysql, "sqlserver": quote_sqlserver, "snowflake": quote_snowflake}[dialect]
+    if isinstance(kind, T.BooleanType):
+        # where there are no booleans, 1 and 0
+        yes, no = ("true", "false") if dialect in ("postgres", "snowflake") else ("1", "0")
+        out = F.when(v, yes).otherwise(no)
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        out = number_text(v) if dialect in ("postgres", "snowflake") else exponent_text(v)
+    elif isinstance(kind, T.IntegralType):
+        out = v.cast("string")
+    elif isinstance(kind, T.DecimalType):
+        out = F.when(v.cast("string").contains("."), F.regexp_replace(v.cast("string"), r"\.?0+$", "")).otherwise(v.cast("string"))
+    elif isinstance(kind, T.BinaryType):
+        out = F.concat(F.lit("'\\x"), F.lower(F.hex(v)), F.lit("'"))
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        stamp = F.concat(F.date_format(v, "yyyy-MM-dd HH:mm:ss"), F.regexp_replace(F.concat(F.lit("."), F.date_format(v, "SSSSSS")), r"\.?0+$", ""))
+        out = F.concat(F.lit("'"), stamp, F.lit("Z'" if dialect == "postgres" else "'"))
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        out = text(json_text(v))
+    else:
+        return text(v)
+    return F.when(v.isNull(), null).otherwise(out)
+
+
 def quote_identifier(name: Column, dialect: str, table: bool = False) -> Column:
     words = KEYWORDS + (SQLSERVER_KEYWORDS if dialect == "sqlserver" else [])
     wrap = {"mysql": ("`", "`"), "sqlserver": ("[", "]") if table else ('"', '"')}.get(dialect, ('"', '"'))
     quoted = F.concat(F.lit(wrap[0]), name, F.lit(wrap[1]))
     if dialect == "snowflake":
         return quoted
-    return F.when(name.rlike(r"[A-Z0-9_\s]") | name.rlike(rf"(?i)\b({'|'.join(words)})\b"), quoted).otherwise(name)
+    return F.when(name.rlike(_NEEDS_QUOTES) | name.rlike(rf"(?i)\b({'|'.join(words)})\b"), quoted).otherwise(name)
 
 
 def kind_of(type_: Column, format_: Column, enum: Column, key: Column) -> Column:
@@ -94,13 +137,19 @@ def sql_type(kind: Column, dialect: str) -> Column:
     return F.element_at(F.create_map(*pairs), kind)
 
 
+#: Text that looks like a number or a boolean (a fixed pattern).
+SCALAR = r"^([+-]?([0-9]*[.])?[0-9]+)|(true|false)$"
+#: What an unquoted identifier may not have (a fixed pattern).
+_NEEDS_QUOTES = r"[A-Z0-9_\s]"
+
+
 def json_default(value: Column, type_: Column, nullable: Column, quote_scalar: bool = False) -> Column:
     """Empty values of JSON columns that may not be null; optionally quotes around numbers and booleans in object columns."""
     empty = value.isin("''", "", "NULL", "null")
     must = ~nullable | (type_ == "array")
     out = F.when(must & empty & (type_ == "array"), "'[]'").when(must & empty & (type_ == "object"), "'{}'")
     if quote_scalar:
-        out = out.when((type_ == "object") & value.rlike(r"^([+-]?([0-9]*[.])?[0-9]+)|(true|false)$"), F.concat(F.lit("'"), value, F.lit("'")))
+        out = out.when((type_ == "object") & value.rlike(SCALAR), F.concat(F.lit("'"), value, F.lit("'")))
     return out.otherwise(value)
 
 

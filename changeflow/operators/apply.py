@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from ..model import DELETE, UPDATE
 
 
-#: Span of the order column that is folded as one group of a key.
-BLOCK = 1_000_000
+#: Parts of the order column's range; what falls in one part is folded as one group of a key.
+BLOCKS = 256
 
 
 def _last_delete(changes: DataFrame, key: str, order: str) -> DataFrame:
@@ -36,14 +36,17 @@ def _merge(target: DataFrame, folded: DataFrame, key: str, columns: list[str], v
     return both.filter(base | tail).select(key, *[value(c, base, F.col(f"_old_{c}")).alias(c) for c in columns])
 
 
-def _fold_columns(changes: DataFrame, key: str, columns: list[str], order: str, hit: Callable[[str], Column], block: int = BLOCK) -> DataFrame:
+def _fold_columns(changes: DataFrame, key: str, columns: list[str], order: str, hit: Callable[[str], Column], blocks: int = BLOCKS) -> DataFrame:
     """One row a key: changes after the last DELETE (_tail), whether there was one (_deleted), place of the first change after it
     (_first), and for each column the place and value of its last hit (_at_, _hit_) and its value in the first change (_ins_).
 
     Changes are folded in blocks of the order first, then the blocks' rows: a key with very many changes is many groups, each
-    in a task of its own, and only its few block rows meet.
+    in a task of its own, and only its few block rows meet. Blocks are equal parts of what lies between the least and the
+    largest order, whatever unit it has; both are taken in one pass that reads that column alone.
     """
-    blocked = changes.withColumn("_block", F.floor(F.col(order) / block))
+    ends = changes.agg(F.min(order).cast("double").alias("low"), F.max(order).cast("double").alias("high")).first()
+    low, width = (ends["low"] or 0.0), ((ends["high"] or 0.0) - (ends["low"] or 0.0)) / blocks
+    blocked = changes.withColumn("_block", F.floor((F.col(order).cast("double") - low) / width) if width > 0 else F.lit(0).cast("long"))
     rows = blocked.withColumn("_ld", F.max(F.when(F.col("op") == DELETE, F.col(order))).over(W.partitionBy(key, "_block")))
     in_tail = F.col("_ld").isNull() | (F.col(order) > F.col("_ld"))
     at = lambda cond: F.when(in_tail & cond, F.col(order))
@@ -53,9 +56,9 @@ def _fold_columns(changes: DataFrame, key: str, columns: list[str], order: str,
     for c in columns:
         part += [F.max(at(hit(c))).alias(f"_at_{c}"), F.max_by(c, at(hit(c))).alias(f"_hit_{c}"), F.min_by(c, first).alias(f"_ins_{c}")]
         whole += [F.max(f"_at_{c}").alias(f"_at_{c}"), F.max_by(f"_hit_{c}", f"_at_{c}").alias(f"_hit_{c}"), F.min_by(f"_ins_{c}", "_first").alias(f"_ins_{c}")]
-    blocks = rows.groupBy(key, "_block").agg(*part)
-    blocks = blocks.withColumn("_from", F.max(F.when(F.col("_deleted"), F.col("_block"))).over(W.partitionBy(key)))
-    return blocks.filter(F.col("_from").isNull() | (F.col("_block") >= F.col("_from"))).groupBy(key).agg(*whole)
+    folded = rows.groupBy(key, "_block").agg(*part)
+    folded = folded.withColumn("_from", F.max(F.when(F.col("_deleted"), F.col("_block"))).over(W.partitionBy(key)))
+    return folded.filter(F.col("_from").isNull() | (F.col("_block") >= F.col("_from"))).groupBy(key).agg(*whole)
 
 
 def changed_columns_upsert(target: DataFrame, changes: DataFrame, key: str, columns: list[str], order: str) -> DataFrame:
@@ -162,6 +165,17 @@ def update_or_merge(target: DataFrame, records: DataFrame, key: str, columns: li
     return rows.mapInArrow(task, out)
 
 
+#: Rules of the warehouse by the name of its update strategy.
+STRATEGIES = {"": update_or_merge, "standard": update_or_merge, "after": merge_if_newer}
+
+
+def by_strategy(strategy: str, target: DataFrame, records: DataFrame, key: str, columns: list[str], order: str, stamp: str) -> DataFrame:
+    """The warehouse's rule of that name; changes have to be collapsed for ``standard``."""
+    if strategy not in STRATEGIES:
+        raise ValueError(f"no update strategy {strategy!r}")
+    return STRATEGIES[strategy](target, records, key, columns, order, stamp)
+
+
 def delete_by_key(target: DataFrame, deletes: DataFrame, key: str, parts: str = "key", which: str = "first") -> DataFrame:
     """Rows of the target whose key isn't deleted; ``which`` part of a multi-part key names the row (dialects differ)."""
     part = F.get(F.col(parts), F.lit(0) if which == "first" else F.size(parts) - 1)

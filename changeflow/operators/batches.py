@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 #: Histogram bounds (fixed values).
 FLUSH_SECONDS = [0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1, 2.5, 5, 10]
-FLUSH_COUNTS = [1, 5, 10, 25, 50, 100, 250, 500, 1000, 2500, 5000, 10000]
+FLUSH_COUNTS = [1, 10, 25, 50, 100, 250, 500, 1000, 2500, 5000, 10000]
+PROCESSING_SECONDS = [1, 2, 3, 5, 10, 60, 300, 600, 1800, 3600]
 
 
 def flush_limit(max_ack_pending: int, driver_max: int) -> int:

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.quoting import kind_of, quote_identifier, sql_type
+from .filters import small
 
 
 def column_order(schema: DataFrame) -> DataFrame:
@@ -43,7 +44,7 @@ def create_table(schema: DataFrame, dialect: str) -> DataFrame:
 
 def add_columns(schema: DataFrame, missing: DataFrame, dialect: str) -> DataFrame:
     """(table, column, ddl): one ALTER for each missing column, never NOT NULL, and string keys as plain strings."""
-    rows = with_types(schema.withColumn("is_pk", F.lit(False)), dialect).join(F.broadcast(missing.select("table", "column")), ["table", "column"])
+    rows = with_types(schema.withColumn("is_pk", F.lit(False)), dialect).join(small(missing.select("table", "column")), ["table", "column"])
     verb = " ADD " if dialect == "sqlserver" else " ADD COLUMN "
     return rows.select("table", "column", F.concat(F.lit("ALTER TABLE "), quote_identifier(F.col("table"), dialect, table=True), F.lit(verb), quote_identifier(F.col("column"), dialect), F.lit(" "), F.col("sql_type"), F.lit(";")).alias("ddl"))
 
@@ -82,10 +83,16 @@ def migration_plan(events: DataFrame, schemas: DataFrame, current: DataFrame, or
     return steps.filter("first_seq >= 0").select("table", "version", "first_seq", action.alias("action"), F.when(F.col("_n") > 1, new).otherwise(F.array().cast("array<string>")).alias("columns"))
 
 
-def migrate(spark: SparkSession, database: str, schema: DataFrame, plan: DataFrame) -> list[str]:
+def column_map(schema: DataFrame) -> DataFrame:
+    """(table, version, columns): the columns of each version as a map of name to type."""
+    return schema.groupBy("table", "version").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("column", "type")))).alias("columns"))
+
+
+def migrate(spark: SparkSession, database: str, schema: DataFrame, plan: DataFrame, recreate: bool = False) -> list[str]:
     """Carry out a reconcile or migration plan on tables of the session's catalog; returns the statements.
 
-    New tables are created, existing ones get their missing columns; nothing is dropped or retyped.
+    New tables are created, existing ones get their missing columns; nothing is dropped or retyped, but that ``recreate``
+    drops a table that is to be created and is there, with its rows: an import begins with an empty one.
     """
     typed = with_types(column_order(schema), "spark")
     columns: dict[str, list[tuple[str, str]]] = {}
@@ -97,6 +104,8 @@ def migrate(spark: SparkSession, database: str, schema: DataFrame, plan: DataFra
         name = f"`{database}`.`{step['table']}`"
         wanted = columns.get(step["table"], [])
         if step["action"] == "create":
+            if recreate:
+                done.append(f"DROP TABLE IF EXISTS {name}")
             done.append(f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(f'`{c}` {t}' for c, t in wanted)}) USING parquet")
         elif step["columns"]:
             there = {f.name for f in spark.table(name).schema}

@@ -1,0 +1,83 @@
+"""When a consumer flushes: by size, by age, by idleness, with patience while it has far to catch up."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Milliseconds (fixed values): what has waited so long is flushed when nothing comes, and in any case.
+IDLE_MS, LATENCY_MS = 2_000, 30_000
+
+
+class Flusher:
+    """The rule for one stream, an event at a time. ``take`` gives the flushes that an event brings about, as (when, why).
+
+    ``when``: "before" or "after" the event. Idle: the stream was empty before the event came, and the oldest pending event is
+    ``idle_ms`` old by then. Size: ``limit`` events are pending. Latency: the oldest is ``latency_ms`` old, but while more than
+    ``limit`` events wait in the stream (``backlog``) it may become twice as old.
+    """
+
+    def __init__(self, limit: int, idle_ms: int = IDLE_MS, latency_ms: int = LATENCY_MS):
+        self.limit, self.idle_ms, self.latency_ms = limit, idle_ms, latency_ms
+        self.pending, self.since, self.last = 0, None, None
+
+    def take(self, at: int, backlog: int) -> list[tuple[str, str]]:
+        out = []
+        if self.pending and at > self.last and at - self.since >= self.idle_ms:
+            out.append(("before", "idle"))
+            self.pending, self.since = 0, None
+        self.last, self.pending = at, self.pending + 1
+        self.since = at if self.since is None else self.since
+        age, why = at - self.since, None
+        if self.pending >= self.limit:
+            why = "size"
+        elif age >= self.latency_ms and not (backlog > self.limit and age < 2 * self.latency_ms):
+            why = "latency"
+        if why:
+            out.append(("after", why))
+            self.pending, self.since = 0, None
+        return out
+
+
+def replay(events: DataFrame, stream: str, order: str, at_ms: str, backlog: str, limit: int, idle_ms: int = IDLE_MS, latency_ms: int = LATENCY_MS) -> DataFrame:
+    """(stream, flush, first, last, n, why): each flush of each stream; ``why`` is "open" for what is still pending at the end.
+
+    Rows are dealt by stream, sorted, and streamed through the rule, which keeps a few numbers: a stream of any length needs
+    no more memory. (Flushes depend on those before them, so a stream is one task's.)
+    """
+    kinds = {f.name: f.dataType for f in events.schema}
+    cols = [F.col(stream), F.col(order).cast("long").alias("_o"), F.col(at_ms).cast("long").alias("_t"), F.coalesce(F.col(backlog).cast("long"), F.lit(0)).alias("_b")]
+    rows = events.select(*cols).repartition(stream).sortWithinPartitions(stream, "_o")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, now, rule, flush, first, last, n, begun = None, None, None, 0, None, None, 0, False
+
+        def done(why: str) -> tuple:
+            return now, flush, first, last, n, why
+
+        for batch in batches:
+            schema = schema or pa.schema([batch.schema.field(0), ("flush", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("n", pa.int64()), ("why", pa.string())])
+            out = []
+            for key, order_, at, waiting in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                if not begun or key != now:
+                    if n:
+                        out.append(done("open"))
+                    now, rule, flush, n, begun = key, Flusher(limit, idle_ms, latency_ms), 0, 0, True
+                steps = rule.take(at, waiting)
+                for when, why in steps:
+                    if when == "before":
+                        out.append(done(why))
+                        flush, n = flush + 1, 0
+                first, last, n = (order_ if n == 0 else first), order_, n + 1
+                if steps and steps[-1][0] == "after":
+                    out.append(done(steps[-1][1]))
+                    flush, n = flush + 1, 0
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(done("open"), schema, strict=True)], schema=schema)
+
+    return rows.mapInArrow(task, f"`{stream}` {kinds[stream].simpleString()}, flush long, first long, last long, n long, why string")

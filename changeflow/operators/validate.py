@@ -31,15 +31,20 @@ def _type_is(v: Column, kind: str) -> Column:
 
 
 class Rules:
-    """``folder`` holds config.json ({table: {schema, path}}) and the schema files it names."""
+    """``folder`` holds config.json ({table: {schema, path}}) and the schema files it names; or both are given as dictionaries."""
 
-    def __init__(self, folder: str):
-        self.folder = folder
-        with open(os.path.join(folder, "config.json"), encoding="utf-8") as f:
-            self.rules = json.load(f)
+    def __init__(self, folder: str = "", rules: dict[str, dict] | None = None, documents: dict[str, dict] | None = None):
+        self.folder, self.documents = folder, documents or {}
+        if rules is None:
+            with open(os.path.join(folder, "config.json"), encoding="utf-8") as f:
+                rules = json.load(f)
+        self.rules = rules
 
     def load(self, ref: str) -> dict:
-        with open(os.path.join(self.folder, ref.removeprefix("file://").lstrip("/")), encoding="utf-8") as f:
+        name = ref.removeprefix("file://").lstrip("/")
+        if name in self.documents:
+            return self.documents[name]
+        with open(os.path.join(self.folder, name), encoding="utf-8") as f:
             return json.load(f)
 
     def check(self, schema: dict, v: Column) -> Column:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from .. import model
 from ..functions import hashing, naming
-from ..operators import batches, filters, state
+from ..operators import batches, filters, flushes, imports, state
+from ..operators.validate import Rules
 from ..sinks import messages
 from .feeds import EVENTS_SQL, ORDERS_SQL, event_feed, order_feed, table
 
@@ -42,15 +43,17 @@ def wire_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line, good or bad, with what was read of it."""
     d = model.decode(wire_json(spark, sf_dir))
-    return d.groupBy(F.col("table").alias("tbl"), F.col("operation").alias("op"), "error").agg(F.count(F.lit(1)).alias("n"), F.min("pk").alias("min_pk"), F.max(F.element_at("object", "kind")).alias("max_kind"))
+    return d.select("id", F.col("table").alias("tbl"), F.col("operation").alias("op"), "error", "pk", F.try_element_at("object", F.lit("kind")).alias("kind"), "companyId", "locationId", "timestamp", F.array_join("key", "/").alias("key"))
 
 
 DECODE_SQL = f"""
 WITH {WIRE_SQL},
 read AS (SELECT *, event_id % 50 = 0 AS cut, event_id % 70 = 0 AS bare FROM wire)
-SELECT CASE WHEN NOT cut THEN tbl END AS tbl, CASE WHEN NOT cut THEN op END AS op, CASE WHEN cut THEN 'bad json' WHEN bare THEN 'no primary key' END AS error, count(*) AS n,
-  min(CASE WHEN cut OR bare THEN '' ELSE pk END) AS min_pk, max(CASE WHEN NOT cut THEN event_type END) AS max_kind FROM read GROUP BY 1, 2, 3"""
+SELECT CASE WHEN NOT cut THEN event_id::VARCHAR END AS id, CASE WHEN NOT cut THEN tbl END AS tbl, CASE WHEN NOT cut THEN op END AS op, CASE WHEN cut THEN 'bad json' WHEN bare THEN 'no primary key' END AS error,
+  CASE WHEN cut OR bare THEN '' ELSE pk END AS pk, CASE WHEN NOT cut THEN event_type END AS kind, CASE WHEN NOT cut THEN company END AS "companyId", CASE WHEN NOT cut THEN location END AS "locationId", CASE WHEN NOT cut THEN ms END AS timestamp,
+  CASE WHEN NOT cut AND NOT bare AND event_id % 2 = 0 THEN 'r1/' || pk END AS key FROM read"""
 
 
 def primary_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,10 +161,15 @@ WATERMARK_SQL = f"WITH {WIRE_SQL} SELECT tbl, max(ts) AS export_ts FROM wire GRO
 
 
 def start_position(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batches.start_position(batches.export_watermark(_files(spark, sf_dir)))
+    """By the exports' watermarks, with everything asked for, and without any export."""
+    marks = batches.export_watermark(_files(spark, sf_dir))
+    cases = {"exports": batches.start_position(marks), "all": batches.start_position(marks, deliver_all=True), "none": batches.start_position(marks.filter("false"))}
+    out = [df.withColumn("given", F.lit(k)) for k, df in cases.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
 
 
-START_SQL = f"WITH {WIRE_SQL} SELECT 'by_start_time' AS policy, min(m) AS start_ts FROM (SELECT max(ts) AS m FROM wire GROUP BY tbl)"
+START_SQL = f"""WITH {WIRE_SQL} SELECT 'exports' AS given, 'by_start_time' AS policy, min(m) AS start_ts FROM (SELECT max(ts) AS m FROM wire GROUP BY tbl)
+UNION ALL SELECT 'all', 'all', NULL UNION ALL SELECT 'none', 'new', NULL"""
 
 
 def export_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,11 +189,23 @@ def import_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 COUNTS_SQL = f"WITH {WIRE_SQL}, files AS (SELECT tbl, tbl || '-' || (event_id % 7) AS file FROM wire) SELECT tbl, file, count(*) AS n FROM files GROUP BY ROLLUP (tbl, file)"
 
 
+#: Which values are put into which set of bounds: events' values as flush counts, thousandths of them as durations.
+_SETS = {"flush_count": (batches.FLUSH_COUNTS, 1), "flush_seconds": (batches.FLUSH_SECONDS, 1000), "processing_seconds": (batches.PROCESSING_SECONDS, 10)}
+
+
 def metric_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batches.histogram(table(spark, sf_dir, "events"), "value", batches.FLUSH_COUNTS, ["event_type"]).select("event_type", "le", "n", "count", F.round("sum", 4).alias("total")).withColumnRenamed("count", "n_all")
+    parts = []
+    for name, (bounds, unit) in _SETS.items():
+        values = table(spark, sf_dir, "events").select("event_type", (F.col("value") / unit).alias("v"))
+        h = batches.histogram(values, "v", bounds, ["event_type"])
+        parts.append(h.select(F.lit(name).alias("metric"), "event_type", "le", "n", F.col("count").alias("n_all"), F.round("sum", 4).alias("total")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-HISTOGRAM_SQL = "SELECT event_type, le::DOUBLE AS le, count(*) FILTER (value <= le) AS n, count(value) AS n_all, round(sum(value), 4) AS total FROM events, (SELECT unnest([1, 5, 10, 25, 50, 100, 250, 500, 1000, 2500, 5000, 10000]) AS le) GROUP BY 1, 2"
+HISTOGRAM_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS metric, event_type, le::DOUBLE AS le, count(*) FILTER (value / {unit} <= le) AS n, count(value) AS n_all, round(sum(value / {unit}), 4) AS total FROM events, (SELECT unnest({[float(b) for b in bounds]}) AS le) GROUP BY event_type, le"
+    for name, (bounds, unit) in _SETS.items()
+)
 
 
 def running_average(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,23 +271,140 @@ PARTITION_KEY_SQL = f"WITH {WIRE_SQL} SELECT event_id, tbl || '.' || company ||
 def kafka_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = model.decode(wire_json(spark, sf_dir)).filter("error is null")
     m = messages.kafka(d, partitions=12)
-    return m.select(F.col("key").cast("string").alias("key"), F.element_at("headers", 1)["value"].cast("string").alias("header"), F.get_json_object(F.col("value").cast("string"), "$.operation").alias("op"))
+    return m.select(F.col("key").cast("string").alias("key"), F.element_at("headers", 1)["value"].cast("string").alias("header"), F.col("value").cast("string").alias("value"))
 
 
-KAFKA_SQL = f"""
-WITH {WIRE_SQL} SELECT 'dbchange.' || tbl || '.' || op || '.' || company || '.' || coalesce(location, 'NONE') || '.' || event_id AS key, tbl || '.' || company || '.' || coalesce(location, 'NONE') || '.' || pk AS header, op
-FROM wire WHERE event_id % 50 <> 0 AND event_id % 70 <> 0"""
+_HEADER = "tbl || '.' || company || '.' || coalesce(location, 'NONE') || '.' || pk"
+_KEY = "'dbchange.' || tbl || '.' || op || '.' || company || '.' || coalesce(location, 'NONE') || '.' || event_id"
+_GOOD = "event_id % 50 <> 0 AND event_id % 70 <> 0"
+#: An event as it is written: optional fields only where they are set, the row image as JSON text in a text.
+_TEXT = """'{"operation":"' || op || '","id":"' || event_id || '","table":"' || tbl || '"' || CASE WHEN event_id % 2 = 0 THEN ',"key":["r1","' || pk || '"]' ELSE '' END || ',"modelVersion":"v1","companyId":"' || company || '"'
+  || CASE WHEN location IS NOT NULL THEN ',"locationId":"' || location || '"' ELSE '' END || ',"after":"{\\"id\\":\\"' || pk || '\\",\\"kind\\":\\"' || event_type || '\\",\\"extra\\":\\"' || event_id || '\\"}","timestamp":' || ms || ',"mvccTimestamp":"' || ms || '"}'"""
+KAFKA_SQL = f"WITH {WIRE_SQL} SELECT {_KEY} AS key, {_HEADER} AS header, {_TEXT} AS value FROM wire WHERE {_GOOD}"
 
 
 def kafka_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = model.decode(wire_json(spark, sf_dir)).filter("error is null")
-    return messages.kafka(d, partitions=12).groupBy("partition").agg(F.count(F.lit(1)).alias("n"))
+    return messages.kafka(d, partitions=12).select(F.col("key").cast("string").alias("key"), "partition")
+
+
+_TWO64 = "18446744073709551616::UHUGEINT"
+#: Constants of the published XXH64 (fixed values).
+_XX = [11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261]
+
+
+def _times(a: str, b: str | int) -> str:
+    return f"(({a})::UHUGEINT * ({b})::UHUGEINT % {_TWO64})::UBIGINT"
+
+
+def _plus(a: str, b: int) -> str:
+    return f"((({a})::UHUGEINT + {b}::UHUGEINT) % {_TWO64})::UBIGINT"
+
+
+def _rotated(x: str, r: int) -> str:
+    return f"({_times(x, 1 << r)} | (({x}) >> {64 - r}))"
+
+
+def xxh64_sql(source: str, key: str, text: str) -> str:
+    """CTEs that end with ``hashed`` (key, h): XXH64, seed 0, of texts of fewer than 32 bytes, from its published definition."""
+    p1, p2, p3, p4, p5 = _XX
+    number = lambda n, at: "('0x' || " + " || ".join(f"substr(x, (2 * {at} + {2 * j + 1})::INT, 2)" for j in range(n - 1, -1, -1)) + ")::UBIGINT"
+    eight = f"list_transform(range(n // 8), lambda i: {number(8, '(8 * i)')})"
+    rest = f"list_transform(range(n // 4 * 4, n), lambda i: {number(1, 'i')})"
+    step8 = _plus(_times(_rotated(f"xor(a, {_times(_rotated(_times('k', p2), 31), p1)})", 27), p1), p4)
+    step4 = _plus(_times(_rotated(f"xor(a, {_times('k', p1)})", 23), p2), p3)
+    step1 = _times(_rotated(f"xor(a, {_times('k', p5)})", 11), p1)
+    shifted = lambda c, r: f"xor({c}, {c} >> {r})"
+    return f"""raw AS (SELECT {key} AS key, hex(encode({text})) AS x, octet_length(encode({text})) AS n FROM {source}),
+by_eight AS (SELECT *, list_reduce(list_prepend(({p5} + n)::UBIGINT, {eight}), lambda a, k: {step8}) AS a FROM raw),
+fours AS (SELECT key, x, n, a, CASE WHEN n % 8 >= 4 THEN {number(4, '(n // 8 * 8)')} END AS k FROM by_eight),
+by_four AS (SELECT key, x, n, CASE WHEN k IS NULL THEN a ELSE {step4} END AS a FROM fours),
+by_one AS (SELECT key, list_reduce(list_prepend(a, {rest}), lambda a, k: {step1}) AS a FROM by_four),
+m1 AS (SELECT key, {_times(shifted('a', 33), p2)} AS a FROM by_one),
+m2 AS (SELECT key, {_times(shifted('a', 29), p3)} AS a FROM m1),
+hashed AS (SELECT key, lower(to_hex({shifted('a', 32)})) AS h FROM m2)"""
+
+
+_FNV = "list_reduce(list_prepend(2166136261::BIGINT, list_transform(range(1, length({t}) + 1), lambda i: ascii({t}[i:i])::BIGINT)), lambda a, b: (xor(a, b) * 16777619) & 4294967295)"
+PARTITION_SQL = f"WITH {WIRE_SQL}, good AS (SELECT {_KEY} AS k, {_HEADER} AS header FROM wire WHERE {_GOOD}), {xxh64_sql('good', 'k', 'header')} SELECT key, ({_FNV.format(t='h')} % 12)::INT AS partition FROM hashed"
 
 
 def hash64(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", hashing.hash64(F.col("c_name")).alias("hash"))
 
 
+HASH_SQL = f"WITH {xxh64_sql('customer', 'c_custkey', 'c_name')} SELECT key AS c_custkey, h AS hash FROM hashed"
+
+
+def eventhub_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows for the provider, with tenants in the row image that differ from the envelope's."""
+    d = model.decode(wire_json(spark, sf_dir)).filter("error is null")
+    n = F.col("id").cast("long")
+    tenants = F.create_map(F.lit("companyId"), F.concat(F.lit("k"), (n % 3).cast("string")), F.lit("locationId"), F.when(n % 2 == 0, F.lit("here")).otherwise(""))
+    m = messages.eventhub(d.withColumn("object", F.map_concat("object", tenants)))
+    return m.select("message_id", "content_type", F.element_at("properties", "objectId").alias("object_id"), "partition_key", F.col("body").cast("string").alias("body"))
+
+
+_TENANTS = "'k' || (event_id % 3) || '.' || CASE WHEN event_id % 2 = 0 THEN 'here' ELSE 'NONE' END || '.' || pk"
+HUB_ROWS_SQL = f"WITH {WIRE_SQL} SELECT event_id::VARCHAR AS message_id, 'application/json' AS content_type, 'dbchange.' || tbl || '.' || op || '.' || {_TENANTS} AS object_id, tbl || '.' || {_TENANTS} AS partition_key, {_TEXT} AS body FROM wire WHERE {_GOOD}"
+
+
+def flush_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flushes of each user's stream, by a clock that makes the events' hours seconds: at 6 events, idle after 8 s, old after 5 s."""
+    w = wire(spark, sf_dir).select("user_id", "event_id", F.floor(F.col("ms") / 50_000).alias("at"), (F.col("event_id") % 12).alias("waiting"))
+    return flushes.replay(w, "user_id", "event_id", "at", "waiting", limit=6, idle_ms=8_000, latency_ms=5_000).withColumnsRenamed({"first": "first_id", "last": "last_id"})
+
+
+FLUSH_PLAN_SQL = f"""
+WITH RECURSIVE {WIRE_SQL},
+e AS (SELECT user_id, event_id, ms // 50000 AS t, event_id % 12 AS b, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM wire),
+run AS (
+  SELECT user_id, event_id, rn, t, 0::BIGINT AS flush, 1 AS pending, t AS since, NULL::VARCHAR AS why FROM e WHERE rn = 1
+  UNION ALL
+  SELECT user_id, event_id, rn, t, flush, pending, since, CASE WHEN pending >= 6 THEN 'size' WHEN t - since >= 5000 AND NOT (b > 6 AND t - since < 10000) THEN 'latency' END AS why FROM (
+    SELECT n.user_id, n.event_id, n.rn, n.t, n.b, r.flush + (idle OR r.why IS NOT NULL)::INT AS flush, CASE WHEN idle OR r.why IS NOT NULL THEN 1 ELSE r.pending + 1 END AS pending, CASE WHEN idle OR r.why IS NOT NULL THEN n.t ELSE r.since END AS since
+    FROM (SELECT run.*, run.why IS NULL AND e.t > run.t AND e.t - run.since >= 8000 AS idle FROM run JOIN e ON e.user_id = run.user_id AND e.rn = run.rn + 1) r JOIN e n ON n.user_id = r.user_id AND n.rn = r.rn + 1)),
+ends AS (SELECT user_id, flush, min(event_id) AS first_id, max(event_id) AS last_id, count(*) AS n, arg_max_null(why, rn) AS why FROM run GROUP BY 1, 2)
+SELECT user_id, flush, first_id, last_id, n, coalesce(why, CASE WHEN flush < max(flush) OVER (PARTITION BY user_id) THEN 'idle' ELSE 'open' END) AS why FROM ends"""
+
+#: A rule with every kind of keyword that events of table ``event`` have to pass, and where they go.
+RULES = {"event": {"schema": "event.json", "path": "{{.table}}/{{.operation}}/{{ .id }}.json"}}
+DOCUMENTS = {
+    "base.json": {"type": "object", "properties": {"operation": {"enum": ["INSERT", "UPDATE"]}, "timestamp": {"type": "integer", "minimum": 1}}, "required": ["operation", "timestamp"]},
+    "event.json": {
+        "allOf": [{"$ref": "file:///base.json"}], "required": ["table", "after"],
+        "properties": {"table": {"const": "event"}, "after": {"type": "object", "required": ["id", "kind"], "properties": {"kind": {"type": "string", "enum": ["click", "view", "signup"]}, "extra": {"type": "string", "minLength": 3}}}},
+        "anyOf": [{"properties": {"operation": {"const": "INSERT"}}}, {"properties": {"locationId": {"type": "string", "minLength": 1}}, "required": ["locationId"]}],
+    },
+}
+
+
+def validate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that the rule of their table accepts, with their path; tables without a rule have none."""
+    d = model.decode(wire_json(spark, sf_dir)).filter("error is null")
+    return Rules(rules=RULES, documents=DOCUMENTS).validate(d).select(F.col("id").cast("long").alias("event_id"), F.col("validated_path").alias("path"))
+
+
+VALIDATE_SQL = f"""WITH {WIRE_SQL} SELECT event_id, 'event/' || op || '/' || event_id || '.json' AS path FROM wire
+WHERE {_GOOD} AND tbl = 'event' AND op IN ('INSERT', 'UPDATE') AND event_type IN ('click', 'view', 'signup') AND length(event_id::VARCHAR) >= 3 AND (op = 'INSERT' OR location IS NOT NULL)"""
+
+
+def export_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that an export of some tables, companies and places gives, from a time on."""
+    w = imports.of_tables(wire(spark, sf_dir), ["event"], "tbl")
+    return imports.exported(w, ["c1", "c2"], ["l1", "l3"], datetime(2024, 1, 15), "company", "location", "ts").select("event_id", "company", "location")
+
+
+EXPORTED_SQL = f"WITH {WIRE_SQL} SELECT event_id, company, location FROM wire WHERE tbl = 'event' AND company IN ('c1', 'c2') AND location IN ('l1', 'l3') AND ts >= TIMESTAMP '2024-01-15'"
+
+
+def import_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imports.totals(wire(spark, sf_dir).select(F.col("tbl").alias("table"), F.col("event_id").alias("size")))
+
+
+TOTALS_SQL = f"WITH {WIRE_SQL} SELECT count(DISTINCT tbl) AS tables, count(*) AS files, sum(event_id)::BIGINT AS bytes FROM wire"
+
+
 def fnv_modulo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", hashing.fnv1a32(F.col("c_name")).alias("fnv"), hashing.modulo(F.col("c_name"), 10).alias("place"))
 
@@ -320,6 +457,16 @@ new AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN key ELSE 'new:' || key END AS ke
 UPSERT_SQL = f"WITH {_STATE_SQL} SELECT key, value, NULL::TIMESTAMP AS expires_at FROM old WHERE key NOT IN (SELECT key FROM new) UNION ALL SELECT key, value, expires_at FROM new"
 
 
+def state_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left on the day before changed entries expire, and on the day itself."""
+    whole = state.upsert(*_state(spark, sf_dir))
+    days = [state.read(whole, datetime(*day)).select(F.lit(name).alias("day"), "key", "value") for name, day in (("before", (2029, 12, 31)), ("after", (2030, 1, 1)))]
+    return days[0].unionByName(days[1])
+
+
+READ_SQL = f"SELECT 'before' AS day, key, value FROM ({UPSERT_SQL}) UNION ALL SELECT 'after', key, value FROM ({UPSERT_SQL}) WHERE expires_at IS NULL"
+
+
 def state_delete_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.delete_prefix(state.upsert(*_state(spark, sf_dir)), "registry:BUILDING")
 
@@ -329,12 +476,13 @@ PREFIX_SQL = f"SELECT * FROM ({UPSERT_SQL}) WHERE NOT starts_with(key, 'registry
 QUERIES = {f.__name__: f for f in (
     decode_events, primary_key, omit_unknown_properties, batch_records, filter_export_watermark, filter_tenant, filter_time_offset, skip_trivial_updates, effective_diff, widen_diff, flush_batches, sequence_gaps,
     export_watermark, start_position, export_progress, import_counts, metric_histogram, running_average, seen_insert_guard, eventhub_batches, file_sink_paths, object_sink_keys, partition_key, kafka_messages,
-    kafka_partition, hash64, fnv_modulo, validated_path, mask_email, table_versions, state_upsert, state_delete_prefix,
+    kafka_partition, hash64, fnv_modulo, validated_path, mask_email, table_versions, state_upsert, state_delete_prefix, state_read, eventhub_messages, flush_plan, validate_events, export_filters, import_totals,
 )}
 ORACLES = {
     "decode_events": DECODE_SQL, "primary_key": PRIMARY_KEY_SQL, "omit_unknown_properties": OMIT_SQL, "batch_records": BATCH_SQL, "filter_export_watermark": EXPORT_FILTER_SQL, "filter_tenant": TENANT_SQL, "filter_time_offset": OFFSET_SQL,
     "skip_trivial_updates": TRIVIAL_SQL, "effective_diff": EFFECTIVE_SQL, "widen_diff": WIDEN_SQL, "flush_batches": FLUSH_SQL, "sequence_gaps": GAPS_SQL, "export_watermark": WATERMARK_SQL, "start_position": START_SQL,
     "export_progress": PROGRESS_SQL, "import_counts": COUNTS_SQL, "metric_histogram": HISTOGRAM_SQL, "running_average": AVERAGE_SQL, "seen_insert_guard": SEEN_SQL, "eventhub_batches": HUB_SQL, "file_sink_paths": FILE_SQL,
     "object_sink_keys": OBJECT_SQL, "partition_key": PARTITION_KEY_SQL, "kafka_messages": KAFKA_SQL, "fnv_modulo": FNV_SQL, "validated_path": PATH_SQL, "mask_email": MASK_SQL, "table_versions": VERSIONS_SQL,
-    "state_upsert": UPSERT_SQL, "state_delete_prefix": PREFIX_SQL,
+    "state_upsert": UPSERT_SQL, "state_delete_prefix": PREFIX_SQL, "state_read": READ_SQL, "kafka_partition": PARTITION_SQL, "hash64": HASH_SQL, "eventhub_messages": HUB_ROWS_SQL, "flush_plan": FLUSH_PLAN_SQL, "validate_events": VALIDATE_SQL,
+    "export_filters": EXPORTED_SQL, "import_totals": TOTALS_SQL,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -183,11 +185,13 @@ def destination_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog scan over the test tables themselves."""
     from ..sources.catalog import describe
 
-    return _out(describe({n: table(spark, sf_dir, n) for n in ("region", "nation", "customer")}, spark))
+    return _out(describe({n: table(spark, sf_dir, n) for n in TABLES}, spark))
 
 
-_SPARK_NAMES = "CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' ELSE 'string' END"
-DESTINATION_SQL = f"SELECT table_name AS tbl, column_name AS col, {_SPARK_NAMES} AS type FROM information_schema.columns WHERE table_name IN ('region', 'nation', 'customer')"
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+_NAMES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "FLOAT": "float", "BOOLEAN": "boolean", "DATE": "date", "TIMESTAMP": "timestamp_ntz", "FLOAT[]": "array<float>", "DOUBLE[]": "array<double>"}
+_SPARK_NAMES = "CASE data_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _NAMES.items()) + " ELSE 'string' END"
+DESTINATION_SQL = f"SELECT table_name AS tbl, column_name AS col, {_SPARK_NAMES} AS type FROM information_schema.columns WHERE table_name IN ({', '.join(repr(t) for t in TABLES)})"
 
 
 #: Texts that meet every rule of the quoting functions.
@@ -285,12 +289,61 @@ def default_snowflake(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SNOW = "CASE WHEN nullable THEN 'NULL' ELSE CASE type WHEN 'object' THEN {o} WHEN 'array' THEN {a} WHEN 'integer' THEN '0' WHEN 'boolean' THEN 'false' ELSE '''''' END END"
 SNOW_SQL = f"""WITH {CASES_SQL} SELECT c_custkey, {_SNOW.format(o="'''{}'''", a="'''[]'''")} AS plain, {_SNOW.format(o="'PARSE_JSON(''{}'')'", a="'PARSE_JSON(''[]'')'")} AS wrapped FROM cases"""
 
+#: Doubles and their texts: plain, and with an exponent where that is the custom (fixed values).
+_NUMBERS = [(0.5, "0.5", "0.5"), (1000000.0, "1000000", "1e+06"), (1234567.25, "1234567.25", "1.23456725e+06"), (123456.0, "123456", "123456"), (0.00001, "0.00001", "1e-05"), (-20000000.0, "-20000000", "-2e+07"), (0.0, "0", "0"), (-0.25, "-0.25", "-0.25")]
+
+
+def quote_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Literals of typed columns, one row a customer and dialect."""
+    k = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(k % 10 != 9, k).alias("n"), F.element_at(F.array(*[F.lit(x) for x, _, _ in _NUMBERS]), (k % 8 + 1).cast("int")).alias("x"), F.when(k % 3 != 2, k % 3 == 0).alias("b"),
+        F.when(k % 4 != 0, F.array(F.col("c_mktsegment"), F.lit("it's"))).alias("a"), F.create_map(F.lit("k"), k).alias("m"), F.lit(datetime(2024, 3, 5, 6, 7, 8, 120000)).cast("timestamp_ntz").alias("t"),
+    )
+    parts = [rows.select("c_custkey", F.lit(d).alias("dialect"), *[quoting.quote_value(F.col(f.name), f.dataType, d).alias(f.name) for f in rows.schema if f.name != "c_custkey"]) for d in quoting.DIALECTS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+def _typed_sql(d: str) -> str:
+    null = "NULL" if d != "postgres" else "null"
+    yes, no = ("true", "false") if d in ("postgres", "snowflake") else ("1", "0")
+    texts = [plain if d in ("postgres", "snowflake") else short for _, plain, short in _NUMBERS]
+    as_text = lambda s: "'" + s.replace("'", "''") + "'"
+    double = '\\"' if d in ("mysql", "sqlserver") else '"'
+    left = right = "$_H_$" if d == "postgres" else "'"
+    tick = {"postgres": "'", "mysql": "\\'"}.get(d, "''")
+    array = f"{as_text(f'{left}[{double}')} || c_mktsegment || {as_text(f'{double},{double}it{tick}s{double}]{right}')}"
+    map_ = f"""{as_text(f"'{{{double}k{double}:")} || c_custkey || {as_text("}'")}"""
+    stamp = as_text("'2024-03-05 06:07:08.12Z'" if d == "postgres" else "'2024-03-05 06:07:08.12'")
+    return f"""SELECT c_custkey, '{d}' AS dialect, CASE WHEN c_custkey % 10 = 9 THEN '{null}' ELSE c_custkey::VARCHAR END AS n, {_list(texts)}[c_custkey % 8 + 1] AS x,
+  CASE c_custkey % 3 WHEN 0 THEN '{yes}' WHEN 1 THEN '{no}' ELSE '{null}' END AS b, CASE WHEN c_custkey % 4 = 0 THEN '{null}' ELSE {array} END AS a, {map_} AS m, {stamp} AS t FROM customer"""
+
+
+TYPED_SQL = " UNION ALL ".join(map(_typed_sql, quoting.DIALECTS))
+
+
+def insert_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How values get into the warehouse's semi-structured columns."""
+    items = F.when(F.col("enum"), "string").when(F.col("column") == "tags", "integer")
+    return _out(schemas(spark).select("table", "version", "column", quoting.insert_function(F.col("type"), F.coalesce(items, F.lit(""))).alias("function")))
+
+
+INSERT_SQL = f"""WITH {SCHEMA_SQL} SELECT "table" AS tbl, version, "column" AS col, CASE WHEN type = 'object' OR (type = 'array' AND enum) THEN 'PARSE_JSON' WHEN type = 'array' THEN 'TO_VARIANT' ELSE '' END AS function FROM schemas"""
+
+
+def column_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _out(evolution.column_map(schemas(spark)).select("table", "version", F.to_json("columns").alias("columns")))
+
+
+COLUMN_MAP_SQL = f"""WITH {SCHEMA_SQL} SELECT "table" AS tbl, version, '{{' || string_agg('"' || "column" || '":"' || type || '"', ',' ORDER BY "column") || '}}' AS columns FROM schemas GROUP BY 1, 2"""
+
 QUERIES = {f.__name__: f for f in (
     schema_column_order, type_mapping, create_table_ddl, missing_tables, missing_columns, add_columns_ddl, reconcile_plan, migration_plan, join_schema, destination_schema,
-    quote_pg, quote_mysql, quote_sqlserver, quote_snowflake, quote_identifier, json_default, coerce_sqlserver, default_snowflake,
+    quote_pg, quote_mysql, quote_sqlserver, quote_snowflake, quote_identifier, json_default, coerce_sqlserver, default_snowflake, quote_typed, insert_function, column_map,
 )}
 ORACLES = {
     "schema_column_order": ORDER_SQL, "type_mapping": TYPES_SQL, "create_table_ddl": CREATE_SQL, "missing_tables": MISSING_TABLES_SQL, "missing_columns": MISSING_COLUMNS_SQL, "add_columns_ddl": ADD_SQL, "reconcile_plan": RECONCILE_SQL,
     "migration_plan": MIGRATION_SQL, "join_schema": JOIN_SQL, "destination_schema": DESTINATION_SQL, "quote_pg": QUOTE_PG_SQL, "quote_mysql": QUOTE_MYSQL_SQL, "quote_sqlserver": QUOTE_SQLSERVER_SQL,
-    "quote_snowflake": QUOTE_SNOWFLAKE_SQL, "quote_identifier": IDENTIFIER_SQL, "json_default": DEFAULT_SQL, "coerce_sqlserver": COERCE_SQL, "default_snowflake": SNOW_SQL,
+    "quote_snowflake": QUOTE_SNOWFLAKE_SQL, "quote_identifier": IDENTIFIER_SQL, "json_default": DEFAULT_SQL, "coerce_sqlserver": COERCE_SQL, "default_snowflake": SNOW_SQL, "quote_typed": TYPED_SQL,
+    "insert_function": INSERT_SQL, "column_map": COLUMN_MAP_SQL,
 }

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.filters import small
+
 _PROPERTY = "struct<type:string,format:string,nullable:boolean,items:struct<type:string,enum:array<string>>,additionalProperties:boolean>"
 DOCUMENT = f"table string, modelVersion string, required array<string>, primaryKeys array<string>, properties map<string,{_PROPERTY}>"
 
@@ -22,4 +24,4 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
 
 def latest(schema: DataFrame, versions: DataFrame) -> DataFrame:
     """Rows of each table's version in ``versions`` (table, version)."""
-    return schema.join(F.broadcast(versions), ["table", "version"], "left_semi")
+    return schema.join(small(versions), ["table", "version"], "left_semi")
