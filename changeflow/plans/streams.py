@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import apply
 from ..session import shared_dir
 from ..streaming import runner
-from . import changes
+from . import changes, events
 from .feeds import COLUMNS, EVENTS_SQL, event_feed, user_target
 
 
@@ -73,5 +73,18 @@ SELECT pk, {", ".join(f"CASE WHEN count(*) FILTER (op <> 'UPDATE' OR list_contai
   'add_columns grown note; create plain' AS steps
 FROM tail GROUP BY pk"""
 
-QUERIES = {f.__name__: f for f in (stream_apply_postgres, stream_apply_mysql, stream_migration)}
-ORACLES = {"stream_apply_postgres": changes.APPLY_POSTGRES_SQL, "stream_apply_mysql": changes.APPLY_MYSQL_SQL, "stream_migration": STREAM_MIGRATION_SQL}
+def stream_seen_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """INSERTs of the feed, logged in eight batches, that an earlier batch has written within a day."""
+    place = f"{shared_dir(spark).rstrip('/')}/changeflow-stream-{uuid.uuid4().hex}"
+    feed = event_feed(spark, sf_dir).select(F.lit("u").alias("table"), F.col("pk").alias("id"), "op", "seq", "ts")
+    top = feed.agg(F.max("seq")).first()[0] or 0
+    log = runner.LoggedTable(spark, f"{place}/log", "id bigint", feed.schema, lambda old, new: old)
+    for b in range(8):
+        runner.apply_batch(log)(feed.filter(F.floor(F.col("seq") * 8 / (top + 1)) == b), b)
+    return runner.unseen(log, "ts").filter("op = 'INSERT'").select("id", "seq", "seen")
+
+
+SEEN_SQL = events.SEEN_SQL.replace("seq // 500 AS flush FROM feed", "seq * 8 // (max(seq) OVER () + 1) AS flush FROM feed")
+
+QUERIES = {f.__name__: f for f in (stream_apply_postgres, stream_apply_mysql, stream_migration, stream_seen_guard)}
+ORACLES = {"stream_apply_postgres": changes.APPLY_POSTGRES_SQL, "stream_apply_mysql": changes.APPLY_MYSQL_SQL, "stream_migration": STREAM_MIGRATION_SQL, "stream_seen_guard": SEEN_SQL}

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import socket
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from urllib.parse import SplitResult, parse_qsl, quote, unquote, urlencode, urlsplit
 
+from pyarrow.fs import FileSelector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,6 +148,24 @@ def _bad_port(got: dict[str, object]) -> bool:
     return "Port" in got and not 0 < int(got["Port"]) < 65536
 
 
+def reachable(url: str, seconds: float = 5.0) -> str | None:
+    """None if the driver gets to a destination, else what is in the way: a port that answers, a folder or bucket that can be listed."""
+    d = parse(url)
+    u = urlsplit(url)
+    try:
+        if d.scheme == "file":
+            return None if os.path.isdir(d.options["path"]) or os.access(os.path.dirname(d.options["path"].rstrip("/")) or "/", os.W_OK) else "the folder can't be made"
+        if d.scheme == "s3":
+            _store(d).open().get_file_info(FileSelector(d.options["bucket"], recursive=False))
+            return None
+        default = JDBC[d.scheme][1] if d.scheme in JDBC else {"kafka": 9092, "snowflake": 443, "eventhub": 5671}[d.scheme]
+        host = {"snowflake": d.options.get("sfURL"), "eventhub": d.options.get("connectionString", "").split("sb://")[-1].split("/")[0]}.get(d.scheme) or u.hostname
+        socket.create_connection((host, u.port or default if d.scheme != "eventhub" else default), seconds).close()
+    except OSError as e:
+        return str(e)
+    return None
+
+
 _writers: dict[str, Callable[[Destination, DataFrame], None]] = {}
 
 
@@ -188,9 +209,13 @@ def _files(d: Destination, rows: DataFrame) -> None:
     put(rows, Store(d.options["path"]))
 
 
+def _store(d: Destination) -> Store:
+    return Store(d.options["bucket"], tuple(sorted((k, v) for k, v in d.options.items() if k not in ("bucket", "prefix"))))
+
+
 @writer("s3")
 def _objects(d: Destination, rows: DataFrame) -> None:
-    put(rows, Store(d.options["bucket"], tuple(sorted((k, v) for k, v in d.options.items() if k not in ("bucket", "prefix")))))
+    put(rows, _store(d))
 
 
 @writer("kafka")

@@ -14,12 +14,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.batches import seen_insert_guard
 from ..operators.evolution import migration_plan
 from ..operators.filters import small, widened_diff
 from ..operators.state import table_versions
@@ -57,10 +59,14 @@ class LoggedTable:
         reader = self.spark.read.schema(self.schema)
         return reader.parquet(f"{self.path}/base={numbers[-1]}") if numbers else self.spark.createDataFrame([], self.schema)
 
-    def changes(self) -> DataFrame | None:
-        batches = self.batches()
-        paths = [f"{self.path}/changes/batch={b}" for b in batches]
-        return self.spark.read.schema(self.logged).parquet(*paths) if paths else None
+    def changes(self, numbered: bool = False) -> DataFrame | None:
+        """The logged changes that no base has yet; with the number of their batch, if that is asked for."""
+        paths = [f"{self.path}/changes/batch={b}" for b in self.batches()]
+        if not paths:
+            return None
+        if not numbered:
+            return self.spark.read.schema(self.logged).parquet(*paths)
+        return self.spark.read.option("basePath", f"{self.path}/changes").schema(T.StructType([*self.logged.fields, T.StructField("batch", T.LongType())])).parquet(*paths)
 
     def read(self) -> DataFrame:
         changes = self.changes()
@@ -113,6 +119,12 @@ class Migrations:
         self.current |= {r["table"]: r["version"] for r in table_versions(changes, self.order).collect()}  # a row a table
 
 
+def unseen(table: LoggedTable, stamp: str, hours: int = 24) -> DataFrame | None:
+    """The logged changes with ``seen``: INSERTs that an earlier batch of the log has written within the time. ``table`` and ``id`` name keys."""
+    changes = table.changes(numbered=True)
+    return None if changes is None else seen_insert_guard(changes, "batch", stamp, hours)
+
+
 def widen(changes: DataFrame, plan: DataFrame, order: str) -> DataFrame:
     """The event that brings a new version counts the added columns as changed."""
     first = small(plan.filter("action = 'add_columns'").select(F.col("table").alias("_table"), F.col("first_seq").alias("_first"), F.col("columns").alias("_new")))
@@ -139,8 +151,8 @@ def split_at_migrations(changes: DataFrame, plan: DataFrame, order: str) -> list
     return out
 
 
-def migrated(changes: DataFrame, migrations: Migrations, flush: Callable[[DataFrame, int], None]) -> None:
-    """Carry out a batch's migrations, each before the events that need it; ``flush`` gets each part and its number."""
+def migrated(changes: DataFrame, migrations: Migrations, flush: Callable[[DataFrame, int], None], finish: Callable[[], None] = lambda: None) -> None:
+    """Carry out a batch's migrations, each before the events that need it; ``flush`` gets each part and its number, ``finish`` comes last."""
     changes = changes.persist()  # planned, cut and flushed from one reading of the batch
     try:
         plan = migrations.plan(changes)
@@ -149,6 +161,7 @@ def migrated(changes: DataFrame, migrations: Migrations, flush: Callable[[DataFr
                 if action != "advance":
                     migrations.carry_out(table, action, columns)
             flush(part, i)
+        finish()
         migrations.advance(changes)
     finally:
         changes.unpersist()
@@ -161,16 +174,10 @@ def apply_batch(table: LoggedTable, migrations: Migrations | None = None) -> Cal
         if batch <= table.last():  # logged, by an attempt that ended after its write
             return
         if migrations is None:
-            if not changes.isEmpty():
-                table.append(changes, batch)
+            table.append(changes, batch)
             return
         parts: list[DataFrame] = []
-        migrated(changes, migrations, lambda part, _: parts.append(part))
-        whole = parts[0]
-        for part in parts[1:]:
-            whole = whole.unionByName(part)
-        if not whole.isEmpty():
-            table.append(whole, batch)
+        migrated(changes, migrations, lambda part, _: parts.append(part), lambda: table.append(reduce(DataFrame.unionByName, parts), batch))
 
     return run
 

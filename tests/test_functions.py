@@ -173,6 +173,16 @@ def test_kafka_rows_are_in_order(spark):
     assert len(got) == 40 and {r["partition"] for r in got} <= {0, 1, 2}
 
 
+def test_reachable(tmp_path):
+    import socket
+
+    with socket.create_server(("127.0.0.1", 0)) as server:
+        port = server.getsockname()[1]
+        assert destinations.reachable(f"kafka://127.0.0.1:{port}/t") is None and destinations.reachable(f"postgres://127.0.0.1:{port}/d") is None
+    assert destinations.reachable(f"mysql://127.0.0.1:{port}/d", 1.0) is not None
+    assert destinations.reachable(f"file://{tmp_path}/new") is None and destinations.reachable("file:///nowhere/at/all") is not None
+
+
 def test_object_stores():
     o = lambda url: destinations.parse(url).options
     assert (o("s3://b")["bucket"], o("s3://b")["prefix"], o("s3://b")["region"], o("s3://b").get("endpoint")) == ("b", "", "us-west-2", None)

@@ -1,7 +1,7 @@
 """The upsert as a stream: same rows as in one batch, no batch applied twice, migrations before what needs them."""
 
-from changeflow.operators import apply
-from changeflow.streaming import runner
+from changeflow.operators import apply, batches
+from changeflow.streaming import metrics, runner
 
 from .test_changes import COLS, SCHEMA, feed, rows
 
@@ -62,3 +62,24 @@ def test_migrations_come_before_what_needs_them(spark):
     log.clear()
     runner.migrated(events, moves, lambda part, i: log.append(i))
     assert not any(isinstance(x, tuple) and x[1] == "create" for x in log)
+
+
+def test_progress_of_a_stream(spark, tmp_path):
+    import time
+
+    changes = spark.createDataFrame(feed(3, 60), SCHEMA)
+    changes.write.parquet(str(tmp_path / "in"))
+    seen = metrics.Progress()
+    spark.streams.addListener(seen)
+    try:
+        table = runner.LoggedTable(spark, str(tmp_path / "t"), "pk int, a int, b int, ts int", changes.schema, fold)
+        runner.start(spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in")), table, str(tmp_path / "c")).awaitTermination()
+        until = time.time() + 30
+        while not sum(r[3] for r in seen.rows) and time.time() < until:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(seen)
+    got = seen.frame(spark)
+    assert got.agg({"events": "sum"}).first()[0] == 60 and got.filter("seconds > 0").count() > 0
+    sums = batches.histogram(got, "events", batches.FLUSH_COUNTS, ["query"]).filter("le = 100").first()
+    assert sums["n"] == sums["count"]
