@@ -10,13 +10,18 @@ from pyspark.sql import SparkSession
 
 _sent: set[str] = set()
 
-#: Rows of an Arrow batch. Documents are large rows: the usual 10,000 would make batches of many MB in every Python worker.
-BATCH_ROWS = "1000"
+#: Rows and bytes of an Arrow batch. Documents are large rows, and a batch is held several times over in every Python worker.
+ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4m")}
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Make this package importable in Python workers, once for each application, wherever the driver was started."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    """Make this package importable in Python workers, once for each application, wherever the driver was started.
+
+    Arrow batches are made smaller too, unless the session has limits of its own.
+    """
+    for name, (usual, ours) in ARROW.items():
+        if spark.conf.get(name, usual) == usual:
+            spark.conf.set(name, ours)
     app = spark.sparkContext.applicationId
     if app not in _sent:
         here = os.path.dirname(os.path.abspath(__file__))
@@ -36,6 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
     where = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = "file://" + os.path.join(tempfile.gettempdir(), "changeflow-checkpoints")
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(where)
