@@ -147,10 +147,13 @@ class Bloom:
     """Digests that are wanted; may say yes too often, never no."""
 
     def __init__(self, digests: np.ndarray):
-        self.bits = np.zeros(BLOOM_BITS, bool)
+        self.bits = np.zeros(BLOOM_BITS >> 3, np.uint8)
         for place in self.places(digests):
-            self.bits[place] = True
-        self.bits = np.packbits(self.bits)
+            place = np.unique(place)
+            byte = place >> 3
+            first = np.flatnonzero(np.diff(byte, prepend=-1))
+            if len(first):
+                self.bits[byte[first]] |= np.bitwise_or.reduceat(np.uint8(128) >> (place & 7).astype(np.uint8), first)
 
     @staticmethod
     def places(digests: np.ndarray) -> list[np.ndarray]:

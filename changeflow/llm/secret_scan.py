@@ -14,7 +14,8 @@ all texts; the dictionary is the ``DICTIONARY`` most frequent words of 4 to 14 l
 fixed size; it is sent to all tasks, which look at whole texts, one batch at a time.
 
 Edge cases: null and empty texts have no finding; a text of any length is searched whole; candidates do not
-overlap; repeated rows are scanned each; an empty table gives no rows; other columns are ignored.
+overlap; repeated rows are scanned each; an empty table gives no rows; other columns, whatever their names, are ignored here
+and come back as they are from ``redact``.
 """
 
 from __future__ import annotations
@@ -31,13 +32,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import drop_stored, shared_dir, stored
-from .words import LOWER, blocks, flat, words
+from .words import LOWER, blocks, words
 
 TRAIN_ROWS = 6_000
 DICTIONARY = 50_000
@@ -249,22 +250,36 @@ class Forest:
         return total / len(self.roots)
 
 
-def train(spark: SparkSession, docs: DataFrame, findings: DataFrame | None = None) -> tuple[Forest, Language]:
-    """The forest as node tables, read from what Spark ML writes of its model, and the corpus statistics it needs."""
-    known = learn_language(spark, docs)
-    if findings is None:
-        findings = spark.createDataFrame(training_findings(), "text string, begin int, end int, label int")
+def featured(spark: SparkSession, findings: DataFrame, known: Language) -> DataFrame:
+    """(label, features) of labelled findings (text, begin, end, label)."""
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [describe(r["text"], r["begin"], r["end"], known) for r in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(3).cast(pa.float64()), pa.array(rows, pa.list_(pa.float64()))], ["label", "x"])
 
-    table = findings.select("text", "begin", "end", "label").mapInArrow(features, "label double, x array<double>").select("label", array_to_vector("x").alias("features"))
-    model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=5, featureSubsetStrategy="sqrt").fit(table)
+    return findings.select("text", "begin", "end", "label").mapInArrow(features, "label double, x array<double>").select("label", array_to_vector("x").alias("features"))
+
+
+def grow(spark: SparkSession, findings: DataFrame, known: Language) -> RandomForestClassificationModel:
+    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=5, featureSubsetStrategy="sqrt").fit(featured(spark, findings, known))
+
+
+def tables(spark: SparkSession, model: RandomForestClassificationModel) -> Forest:
+    """The forest as node tables, read from what Spark ML writes of its model."""
     path = f"{shared_dir(spark).rstrip('/')}/changeflow-forest-{uuid.uuid4().hex}"
     model.save(path)
-    return nodes(spark, path), known
+    forest = nodes(spark, path)
+    drop_stored(spark, [path])
+    return forest
+
+
+def train(spark: SparkSession, docs: DataFrame, findings: DataFrame | None = None) -> tuple[Forest, Language]:
+    """The forest, and the corpus statistics that its features need."""
+    known = learn_language(spark, docs)
+    if findings is None:
+        findings = spark.createDataFrame(training_findings(), "text string, begin int, end int, label int")
+    return tables(spark, grow(spark, findings, known)), known
 
 
 def nodes(spark: SparkSession, path: str) -> Forest:
@@ -288,21 +303,22 @@ _DIGITS[48:58] = True
 
 
 def suspects(column: pa.Array) -> np.ndarray:
-    """Texts that may hold a candidate: a run of 12 with a digit, or an assignment. Found on bytes, many texts at a time."""
-    raw, at = flat(column)
-    run = _LONG[raw]
-    edge = np.flatnonzero(np.diff(run.astype(np.int8), prepend=0, append=0))
-    begin, end = edge[::2], edge[1::2]
-    digits = np.append(0, np.cumsum(_DIGITS[raw], dtype=np.int64))
-    good = (end - begin >= 12) & (digits[end] > digits[begin])
+    """Texts that may hold a candidate: a run of 12 with a digit, or an assignment. Found on bytes, a block of texts at a time."""
     hit = np.zeros(len(column), bool)
-    # a run that crosses from one text to the next marks both
-    for side in (begin[good], end[good] - 1):
-        hit[np.searchsorted(at, side, "right") - 1] = True
-    first, last = np.searchsorted(at, begin[good], "right") - 1, np.searchsorted(at, end[good] - 1, "right") - 1
-    for a, b in zip(first[last > first], last[last > first], strict=True):
-        hit[a : b + 1] = True
-    hit[np.searchsorted(at, np.flatnonzero((raw == ord("=")) | (raw == ord(":"))), "right") - 1] = True
+    for first_row, rows, raw, at in blocks(column):
+        run = _LONG[raw]
+        edge = np.flatnonzero(np.diff(run.astype(np.int8), prepend=0, append=0))
+        begin, end = edge[::2], edge[1::2]
+        long_ = end - begin >= 12
+        begin, end = begin[long_], end[long_]
+        digits = np.flatnonzero(_DIGITS[raw])
+        good = np.searchsorted(digits, end) > np.searchsorted(digits, begin)
+        own = hit[first_row : first_row + rows]
+        first, last = np.searchsorted(at, begin[good], "right") - 1, np.searchsorted(at, end[good] - 1, "right") - 1
+        own[first] = own[last] = True
+        for a, b in zip(first[last > first], last[last > first], strict=True):  # a run that crosses from one text to the next marks both
+            own[a : b + 1] = True
+        own[np.searchsorted(at, np.flatnonzero((raw == ord("=")) | (raw == ord(":"))), "right") - 1] = True
     return hit
 
 

@@ -84,7 +84,7 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def blocks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def blocks(column: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, rows, bytes, offsets) of runs of rows with about ``limit`` bytes; a longer text is a run of its own."""
     raw, at = flat(column)
     first = 0
