@@ -1,7 +1,7 @@
 """Application of ordered changes to a target table, one function a rule.
 
-All rules fold the changes of a key to one row first (windows and one grouped aggregate, combined before the shuffle where
-the rule allows) and meet the target in a single full outer join on the key: a MERGE without a MERGE statement. Target and
+All rules fold the changes of a key to one row first (windows over blocks of its history and grouped aggregates, combined
+before the shuffle) and meet the target in a single full outer join on the key: a MERGE without a MERGE statement. Target and
 changes are dealt by the same key, so a target bucketed by it isn't shuffled. Changes have ``op``, ``diff``, the order column and
 one column a target column. Within a key, ``seq`` after its last DELETE is the tail; a key survives if the target has it and
 no DELETE came, or if the tail isn't empty.
@@ -17,14 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..model import DELETE, UPDATE
-
-
-#: Parts of the order column's range; what falls in one part is folded as one group of a key.
-BLOCKS = 256
-
-
-def _last_delete(changes: DataFrame, key: str, order: str) -> DataFrame:
-    return changes.withColumn("_ld", F.max(F.when(F.col("op") == DELETE, F.col(order))).over(W.partitionBy(key)))
+from .blocks import BLOCKS, before, from_blocks, in_order, inside, whole, with_blocks
 
 
 def _merge(target: DataFrame, folded: DataFrame, key: str, columns: list[str], value: Callable[[str, Column, Column], Column]) -> DataFrame:
@@ -41,12 +34,9 @@ def _fold_columns(changes: DataFrame, key: str, columns: list[str], order: str,
     (_first), and for each column the place and value of its last hit (_at_, _hit_) and its value in the first change (_ins_).
 
     Changes are folded in blocks of the order first, then the blocks' rows: a key with very many changes is many groups, each
-    in a task of its own, and only its few block rows meet. Blocks are equal parts of what lies between the least and the
-    largest order, whatever unit it has; both are taken in one pass that reads that column alone.
+    in a task of its own, and only its few block rows meet.
     """
-    ends = changes.agg(F.min(order).cast("double").alias("low"), F.max(order).cast("double").alias("high")).first()
-    low, width = (ends["low"] or 0.0), ((ends["high"] or 0.0) - (ends["low"] or 0.0)) / blocks
-    blocked = changes.withColumn("_block", F.floor((F.col(order).cast("double") - low) / width) if width > 0 else F.lit(0).cast("long"))
+    blocked = with_blocks(changes, order, blocks)
     rows = blocked.withColumn("_ld", F.max(F.when(F.col("op") == DELETE, F.col(order))).over(W.partitionBy(key, "_block")))
     in_tail = F.col("_ld").isNull() | (F.col(order) > F.col("_ld"))
     at = lambda cond: F.when(in_tail & cond, F.col(order))
@@ -95,15 +85,21 @@ def merge_if_newer(target: DataFrame, changes: DataFrame, key: str, columns: lis
 
     A NULL stamp never compares: a row that starts with one is never updated until it is deleted. Only present columns are set.
     """
-    rows = _last_delete(changes, key, order)
+    rows = with_blocks(changes.withColumn("_k", F.struct(key)), order)
+    rows = from_blocks(rows, [F.max(F.when(F.col("op") == DELETE, F.col(order))).alias("_d")], {"_ld": F.max("_d").over(whole())})
     tail = rows.filter(F.col("_ld").isNull() | (F.col(order) > F.col("_ld")))
-    dates = target.select(key, F.col(stamp).alias("_base_stamp"), F.lit(True).alias("_had"))
-    by = W.partitionBy(key).orderBy(order)
-    tail = tail.join(dates, key, "left").withColumn("_based", F.coalesce("_had", F.lit(False)) & F.col("_ld").isNull()).withColumn("_rn", F.row_number().over(by))
-    start = F.when(F.col("_based"), F.col("_base_stamp")).otherwise(F.first(stamp).over(by.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
-    before = F.max(stamp).over(by.rowsBetween(W.unboundedPreceding, -1))
-    newest = F.greatest(F.when(F.col("_based"), F.col("_base_stamp")), before)
-    applies = (~F.col("_based") & (F.col("_rn") == 1)) | F.coalesce(start.isNotNull() & (F.col(stamp) > newest), F.lit(False))
+    # what the target has joins the blocks, one row each, and comes to the rows with what is known of the blocks before
+    dates = target.select(F.struct(F.col(key).cast(changes.schema[key].dataType).alias(key)).alias("_k"), F.col(stamp).alias("_base_stamp"), F.lit(True).alias("_had"))
+    facts = tail.groupBy("_k", "_block").agg(F.min_by(stamp, order).alias("_head"), F.max(stamp).alias("_most"))
+    facts = facts.withColumns({"_first": F.first("_head").over(in_order().rowsBetween(W.unboundedPreceding, W.unboundedFollowing)), "_earlier": F.max("_most").over(before()), "_nth": F.row_number().over(in_order())})
+    facts = facts.join(dates, "_k", "left").select("_k", "_block", "_first", "_earlier", "_nth", "_base_stamp", "_had")
+    by = inside(order)
+    tail = tail.join(facts, ["_k", "_block"]).withColumn("_based", F.coalesce("_had", F.lit(False)) & F.col("_ld").isNull()).withColumn("_rn", F.row_number().over(by))
+    start = F.when(F.col("_based"), F.col("_base_stamp")).otherwise(F.col("_first"))
+    so_far = F.greatest(F.col("_earlier"), F.max(stamp).over(by.rowsBetween(W.unboundedPreceding, -1)))
+    newest = F.greatest(F.when(F.col("_based"), F.col("_base_stamp")), so_far)
+    first = (F.col("_rn") == 1) & (F.col("_nth") == 1)
+    applies = (~F.col("_based") & first) | F.coalesce(start.isNotNull() & (F.col(stamp) > newest), F.lit(False))
     tail = tail.withColumn("_at", F.when(applies, F.col(order)))
     has = (lambda c: F.array_contains(present, c)) if present else (lambda c: F.lit(True))
     folded = tail.groupBy(key).agg(

@@ -1,4 +1,4 @@
-"""Order and collapse of change records per key, with windows and one grouped aggregate."""
+"""Order and collapse of change records per key, with windows over blocks of a key's history and one grouped aggregate."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..model import DELETE, UPDATE, mvcc
+from . import blocks
 
 
 def sort_by_mvcc(events: DataFrame, arrival: str, compare: str = "decimal", column: str = "mvccTimestamp") -> DataFrame:
@@ -15,12 +16,20 @@ def sort_by_mvcc(events: DataFrame, arrival: str, compare: str = "decimal", colu
 
 
 def islands(records: DataFrame, keys: list[str], order: str, op: str = "op") -> DataFrame:
-    """Rows that survive the last DELETE of their key, numbered by runs: UPDATE after UPDATE goes on, all else starts anew."""
-    w = W.partitionBy(*keys)
-    by = w.orderBy(order)
-    tail = records.withColumn("_ld", F.max(F.when(F.col(op) == DELETE, F.col(order))).over(w)).filter(F.col("_ld").isNull() | (F.col(order) >= F.col("_ld")))
-    starts = F.when((F.col(op) == UPDATE) & (F.lag(op).over(by) == UPDATE), 0).otherwise(1)
-    return tail.withColumn("_starts", starts).withColumn("grp", F.sum("_starts").over(by.rowsBetween(W.unboundedPreceding, W.currentRow))).drop("_ld", "_starts")
+    """Rows that survive the last DELETE of their key, numbered by runs: UPDATE after UPDATE goes on, all else starts anew.
+
+    Runs are numbered inside blocks first; a block's number of runs, and whether its first goes on from the block before, carry over.
+    """
+    rows = blocks.with_blocks(records.withColumn("_k", F.struct(*keys)), order)
+    rows = blocks.from_blocks(rows, [F.max(F.when(F.col(op) == DELETE, F.col(order))).alias("_d")], {"_ld": F.max("_d").over(blocks.whole())})
+    by = blocks.inside(order)
+    tail = rows.filter(F.col("_ld").isNull() | (F.col(order) >= F.col("_ld")))
+    tail = tail.withColumn("_starts", F.when((F.col(op) == UPDATE) & (F.lag(op).over(by) == UPDATE), 0).otherwise(1)).withColumn("_run", F.sum("_starts").over(by.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    goes_on = F.when((F.col("_head") == UPDATE) & (F.lag("_tail").over(blocks.in_order()) == UPDATE), 1).otherwise(0)
+    facts = [F.min_by(op, order).alias("_head"), F.max_by(op, order).alias("_tail"), F.sum("_starts").alias("_n")]
+    offset = F.coalesce(F.sum(F.col("_n") - F.col("_on")).over(blocks.before()), F.lit(0)) - F.col("_on")
+    tail = blocks.from_blocks(tail, facts, {"_on": goes_on}, {"_offset": offset})
+    return tail.withColumn("grp", F.col("_run") + F.col("_offset")).drop("_k", "_block", "_ld", "_starts", "_run", "_offset")
 
 
 def _entries(diff: str) -> Column:
@@ -62,8 +71,8 @@ def _runs(rows: DataFrame, keys: list[str], order: str, op: str, diff: str, firs
 def collapse(records: DataFrame, keys: list[str], order: str, values: list[str], op: str = "op", diff: str = "diff", present: str | None = None) -> DataFrame:
     """One row a run: keys, grp, op, diff, n, first and last order, and the latest of each value column.
 
-    ``present`` names an array column of the value columns a record really has; without it all of them count. Each key's rows
-    meet in one window (they must, to be ordered); merged columns are combined before the result is shuffled again.
+    ``present`` names an array column of the value columns a record really has; without it all of them count. No window holds
+    more than one block of a key's rows; merged columns are combined before the result is shuffled again.
     """
     rows = islands(records, keys, order, op)
     latest = {c: F.max_by(F.when(F.col("_kind") == 0, F.col(c)), F.when(F.array_contains(present, c), F.col(order)) if present else F.col(order)) for c in values}
