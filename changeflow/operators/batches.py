@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import blocks
+
 #: Histogram bounds (fixed values).
 FLUSH_SECONDS = [0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1, 2.5, 5, 10]
 FLUSH_COUNTS = [1, 10, 25, 50, 100, 250, 500, 1000, 2500, 5000, 10000]
@@ -18,14 +20,22 @@ def flush_limit(max_ack_pending: int, driver_max: int) -> int:
 
 def flush_batches(events: DataFrame, order: str, limit: int, partition: list[str]) -> DataFrame:
     """Replay of flushes: the number of the batch that each event falls in, ``limit`` events a batch, in each stream partition."""
-    place = F.row_number().over(W.partitionBy(*partition).orderBy(order)) - 1
-    return events.withColumn("batch_id", F.floor(place / limit).cast("long"))
+    rows = _dealt(events, order, partition).withColumn("_n", F.row_number().over(blocks.inside(order)))
+    rows = blocks.from_blocks(rows, [F.count(F.lit(1)).alias("_all")], {"_earlier": F.coalesce(F.sum("_all").over(blocks.before()), F.lit(0))})
+    return rows.withColumn("batch_id", F.floor((F.col("_earlier") + F.col("_n") - 1) / limit).cast("long")).drop("_k", "_block", "_n", "_earlier")
+
+
+def _dealt(rows: DataFrame, order: str, partition: list[str]) -> DataFrame:
+    """Rows of streams in blocks of their order: a stream is as many groups as it has blocks, not one."""
+    return blocks.with_blocks(rows.withColumn("_k", F.struct(*partition)), order)
 
 
 def sequence_gaps(events: DataFrame, seq: str, partition: list[str]) -> DataFrame:
     """Events whose sequence isn't the previous one plus 1, with what was expected."""
-    before = F.lag(seq).over(W.partitionBy(*partition).orderBy(seq))
-    return events.withColumn("expected", before + 1).filter(F.col("expected").isNotNull() & (F.col(seq) != F.col("expected")))
+    rows = _dealt(events, seq, partition).withColumn("_last", F.lag(seq).over(blocks.inside(seq)))
+    rows = blocks.from_blocks(rows, [F.max(seq).alias("_most")], {"_earlier": F.max("_most").over(blocks.before())})
+    rows = rows.withColumn("expected", F.coalesce("_last", "_earlier") + 1).drop("_k", "_block", "_last", "_earlier")
+    return rows.filter(F.col("expected").isNotNull() & (F.col(seq) != F.col("expected")))
 
 
 def start_position(watermarks: DataFrame, deliver_all: bool = False) -> DataFrame:
@@ -68,15 +78,24 @@ def histogram(values: DataFrame, column: str, bounds: list[float], by: list[str]
 
 def running_average(flushes: DataFrame, duration: str, count: str, order: str, partition: list[str]) -> DataFrame:
     """Mean time a record after each flush: all durations so far over all records so far, counted before the collapse."""
-    so_far = W.partitionBy(*partition).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return flushes.withColumn("mean", F.sum(duration).over(so_far) / F.sum(count).over(so_far))
+    so_far = blocks.inside(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = _dealt(flushes, order, partition).withColumns({"_d": F.sum(duration).over(so_far), "_c": F.sum(count).over(so_far)})
+    earlier = {x: F.coalesce(F.sum(y).over(blocks.before()), F.lit(0)) for x, y in (("_d0", "_d1"), ("_c0", "_c1"))}
+    rows = blocks.from_blocks(rows, [F.sum(duration).alias("_d1"), F.sum(count).alias("_c1")], earlier)
+    return rows.withColumn("mean", (F.col("_d") + F.col("_d0")) / (F.col("_c") + F.col("_c0"))).drop("_k", "_block", "_d", "_c", "_d0", "_c0")
 
 
 def runs(rows: DataFrame, value: Column, order: str, partition: list[str], out: str = "run") -> DataFrame:
-    """Numbers runs of equal values in order."""
-    by = W.partitionBy(*partition).orderBy(order)
+    """Numbers runs of equal values in order: inside blocks first, then with what the blocks before have."""
+    by = blocks.inside(order)
+    dealt = _dealt(rows.withColumn("_v", value), order, partition)
     new = F.when(F.lag("_v").over(by).eqNullSafe(F.col("_v")) & (F.row_number().over(by) > 1), 0).otherwise(1)
-    return rows.withColumn("_v", value).withColumn("_new", new).withColumn(out, F.sum("_new").over(by.rowsBetween(W.unboundedPreceding, W.currentRow))).drop("_v", "_new")
+    dealt = dealt.withColumn("_new", new).withColumn("_run", F.sum("_new").over(by.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    facts = [F.min_by("_v", order).alias("_head"), F.max_by("_v", order).alias("_tail"), F.sum("_new").alias("_n")]
+    goes_on = F.when(F.lag("_tail").over(blocks.in_order()).eqNullSafe(F.col("_head")) & (F.row_number().over(blocks.in_order()) > 1), 1).otherwise(0)
+    offset = F.coalesce(F.sum(F.col("_n") - F.col("_on")).over(blocks.before()), F.lit(0)) - F.col("_on")
+    dealt = blocks.from_blocks(dealt, facts, {"_on": goes_on}, {"_offset": offset})
+    return dealt.withColumn(out, F.col("_run") + F.col("_offset")).drop("_k", "_block", "_v", "_new", "_run", "_offset")
 
 
 def seen_insert_guard(records: DataFrame, flush: str, stamp: str, hours: int = 24) -> DataFrame:
