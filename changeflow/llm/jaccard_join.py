@@ -393,7 +393,8 @@ def keep_one(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int
     placed = Join(spark, docs, words, percent).placed()
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
     keys = checkpointed(spark, placed.filter("root is not null").groupBy("root", "doc_id", "th").agg(F.count(F.lit(1)).alias("copies")))
-    first = keys.groupBy("root").agg(F.min(key).alias("first"))
+    # written first: then both sides of the join are plain shuffles, and a part that is full of one class can be split
+    first = checkpointed(spark, keys.groupBy("root").agg(F.min(key).alias("first")))
     judged = keys.join(first, "root").withColumn("mark", F.when(~key.eqNullSafe(F.col("first")), GONE).when(F.col("copies") > 1, ONCE))
     judged = checkpointed(spark, judged.filter("mark is not null").select("doc_id", "th", "mark"))
     rows, mark, names = marked(docs, judged)
