@@ -19,6 +19,8 @@ the whole sequence). Two documents link when 100 * intersection >= percent * uni
 The order of shingles comes from at most ``FREQUENT`` frequent shingles, which are sent to all tasks; it decides speed only,
 any order gives the same links. Whole shingle sets are moved only for sets that are compared: a Bloom filter of fixed size
 picks them while texts are read. No group of copies is ever gathered in a task and nothing but counts reaches the driver.
+Shingles are told apart by 64-bit hashes (``words``): two different ones agree by chance, about once in 2**64 pairs, but none do
+by their structure, so what is called exact here is so up to that chance.
 
 Edge cases: texts that are null, empty or white space have no shingle and link with nothing; repeated rows and equal
 doc_ids with different texts are separate documents; rows with a null doc_id take part, and a class of such rows alone
