@@ -169,3 +169,40 @@ def test_filters(spark):
     assert [tuple(r) for r in filters.without_trivial_updates(df).collect()] == [("UPDATE", ["meta"]), ("INSERT", [])]
     one = spark.createDataFrame([({"id": "1", "foo": "x"}, ["id"], "UPDATE"), ({"id": "1", "foo": "x"}, ["id"], "DELETE")], "o map<string,string>, c array<string>, op string")
     assert [r[0] for r in one.select(filters.known_properties(F.col("o"), F.col("c"), F.col("op"))).collect()] == [{"id": "1"}, {"id": "1", "foo": "x"}]
+
+
+@pytest.mark.parametrize("order", ["seq", "stamp", "text"])
+def test_runs_of_one_hot_key_and_of_no_key(spark, order):
+    """Runs, batches and gaps over blocks equal those of a walk in order; orders may be small, huge, or no numbers."""
+    r = random.Random(5)
+    events = [(None if r.random() < 0.3 else 1 if r.random() < 0.9 else 2, i, 10**18 + i * 7919, f"{i:05}", r.choices(["INSERT", "UPDATE", "DELETE"], [2, 9, 0.2])[0], r.choice([None, "x", "y"])) for i in range(600)]
+    df = spark.createDataFrame(events, "k int, seq long, stamp long, text string, op string, v string").repartition(5)
+    groups = {}
+    for e in events:
+        groups.setdefault(e[0], []).append(e)
+    want_islands, want_runs, want_batches = set(), set(), set()
+    for k, rows_ in groups.items():
+        last = max((e[1] for e in rows_ if e[4] == "DELETE"), default=-1)
+        grp, before = 0, None
+        for e in rows_:
+            if e[1] >= last:
+                grp += not (e[4] == "UPDATE" and before == "UPDATE")
+                before = e[4]
+                want_islands.add((k, e[1], grp))
+        run, value = 0, object()
+        for i, e in enumerate(rows_):
+            run += e[5] != value
+            value = e[5]
+            want_runs.add((k, e[1], run))
+            want_batches.add((k, e[1], i // 7))
+    assert {tuple(x) for x in collapse.islands(df, ["k"], order).select("k", "seq", "grp").collect()} == want_islands
+    assert {tuple(x) for x in batches.runs(df, F.col("v"), order, ["k"]).select("k", "seq", "run").collect()} == want_runs
+    assert {tuple(x) for x in batches.flush_batches(df, order, 7, ["k"]).select("k", "seq", "batch_id").collect()} == want_batches
+    gaps = {tuple(x) for x in batches.sequence_gaps(df, "seq", ["k"]).select("k", "seq", "expected").collect()}
+    assert gaps == {(k, b[1], a[1] + 1) for k, rows_ in groups.items() for a, b in zip(rows_, rows_[1:], strict=False) if b[1] != a[1] + 1}
+    means = {(x["k"], x["seq"]): x["mean"] for x in batches.running_average(df.withColumn("n", F.lit(2)), "seq", "n", order, ["k"]).collect()}
+    for k, rows_ in groups.items():
+        total = 0
+        for i, e in enumerate(rows_, 1):
+            total += e[1]
+            assert abs(means[k, e[1]] - total / (2 * i)) < 1e-9
