@@ -305,7 +305,8 @@ class Join:
     def star_pairs(self) -> DataFrame:
         keyed = self.sets.select("rid", "n", "copies", F.expr("stack(3, 1, m1, 2, m2, 3, m3) as (i, m)"))
         lead = keyed.groupBy("i", "m").agg(F.max(F.struct("copies", "rid", "n")).alias("lead"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-        lead = lead.select("i", "m", F.col("lead.rid").alias("a"), F.col("lead.n").alias("an"))
+        # written first: then both sides of the join are plain shuffles, and a part that is full of one min-hash can be split
+        lead = checkpointed(self.spark, lead.select("i", "m", F.col("lead.rid").alias("a"), F.col("lead.n").alias("an")))
         return keyed.join(lead, ["i", "m"]).filter((F.col("a") != F.col("rid")) & self.near("an", "n")).select("a", F.col("rid").alias("b")).distinct()
 
     def order(self):
