@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..model import DELETE, UPDATE
-from .blocks import BLOCKS, before, from_blocks, in_order, inside, whole, with_blocks
+from .blocks import before, from_blocks, in_order, inside, whole, with_blocks
 
 
 def _merge(target: DataFrame, folded: DataFrame, key: str, columns: list[str], value: Callable[[str, Column, Column], Column]) -> DataFrame:
@@ -29,14 +29,14 @@ def _merge(target: DataFrame, folded: DataFrame, key: str, columns: list[str], v
     return both.filter(base | tail).select(key, *[value(c, base, F.col(f"_old_{c}")).alias(c) for c in columns])
 
 
-def _fold_columns(changes: DataFrame, key: str, columns: list[str], order: str, hit: Callable[[str], Column], blocks: int = BLOCKS) -> DataFrame:
+def _fold_columns(changes: DataFrame, key: str, columns: list[str], order: str, hit: Callable[[str], Column]) -> DataFrame:
     """One row a key: changes after the last DELETE (_tail), whether there was one (_deleted), place of the first change after it
     (_first), and for each column the place and value of its last hit (_at_, _hit_) and its value in the first change (_ins_).
 
     Changes are folded in blocks of the order first, then the blocks' rows: a key with very many changes is many groups, each
     in a task of its own, and only its few block rows meet.
     """
-    blocked = with_blocks(changes, order, blocks)
+    blocked = with_blocks(changes, order)
     rows = blocked.withColumn("_ld", F.max(F.when(F.col("op") == DELETE, F.col(order))).over(W.partitionBy(key, "_block")))
     in_tail = F.col("_ld").isNull() | (F.col(order) > F.col("_ld"))
     at = lambda cond: F.when(in_tail & cond, F.col(order))

@@ -12,19 +12,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import WindowSpec
 
-#: Parts of the order column's range.
-BLOCKS = 256
+#: Rows that a block has if they are spread evenly, and the most blocks there are.
+ROWS_A_BLOCK, MOST_BLOCKS = 250_000, 1 << 16
 
 
-def with_blocks(rows: DataFrame, order: str, blocks: int = BLOCKS) -> DataFrame:
+def with_blocks(rows: DataFrame, order: str) -> DataFrame:
     """Adds ``_block``: which part of what lies between the least and the largest order a row is in, whatever unit the order has.
 
-    Both ends are taken in one pass that reads that column alone. Orders that aren't numbers are one block.
+    There are as many parts as the number of rows asks for. It and both ends are taken in one pass that reads that column alone.
+    Orders that aren't numbers are one block.
     """
     if not isinstance(rows.schema[order].dataType, T.NumericType):
         return rows.withColumn("_block", F.lit(0).cast("long"))
-    ends = rows.agg(F.min(order).cast("double").alias("low"), F.max(order).cast("double").alias("high")).first()
-    low, width = (ends["low"] or 0.0), ((ends["high"] or 0.0) - (ends["low"] or 0.0)) / blocks
+    seen = rows.agg(F.min(order).cast("double").alias("low"), F.max(order).cast("double").alias("high"), F.count(F.lit(1)).alias("n")).first()
+    low, width = (seen["low"] or 0.0), ((seen["high"] or 0.0) - (seen["low"] or 0.0)) / min(MOST_BLOCKS, -(-seen["n"] // ROWS_A_BLOCK) or 1)
     return rows.withColumn("_block", F.floor((F.col(order).cast("double") - low) / width) if width > 0 else F.lit(0).cast("long"))
 
 

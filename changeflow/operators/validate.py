@@ -110,7 +110,8 @@ class Rules:
         images = [F.when(F.length(c) > 0, F.try_parse_json(c)).alias(c) for c in ("before", "after")]
         plain = ["operation", "id", "table", "key", "modelVersion", "companyId", "locationId", "userId", "diff", "timestamp", "mvccTimestamp"]
         whole = F.to_variant_object(F.struct(*plain))
-        rows = events.select("*", whole.alias("_event"), *[i.alias(f"_{c}") for i, c in zip(images, ("before", "after"), strict=True)])
+        # a generator of one row: the tests below are many, and none of them makes these values anew
+        rows = events.select("*", F.inline(F.array(F.struct(whole.alias("_event"), *[i.alias(f"_{c}") for i, c in zip(images, ("before", "after"), strict=True)]))))
         valid, path = F.lit(False), F.lit(None).cast("string")
         for table, rule in self.rules.items():
             ok = self._event(self.load(rule["schema"]))

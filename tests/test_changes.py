@@ -5,7 +5,15 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from changeflow.operators import apply, batches, collapse, filters
+from changeflow.operators import apply, batches, blocks, collapse, filters
+
+
+
+@pytest.fixture(autouse=True)
+def many_blocks(monkeypatch):
+    """Small tables have one block; here they have as many as large ones."""
+    monkeypatch.setattr(blocks, "ROWS_A_BLOCK", 5)
+
 
 SCHEMA = "pk int, seq long, op string, diff array<string>, a int, b int, ts int"
 COLS = ["a", "b", "ts"]

@@ -6,12 +6,18 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from changeflow.operators import blocks
 from changeflow.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+@pytest.fixture(autouse=True)
+def many_blocks(monkeypatch):
+    monkeypatch.setattr(blocks, "ROWS_A_BLOCK", 100)
+
+
 def plain(v):
     if isinstance(v, float):
         return round(v, 6)
