@@ -101,11 +101,21 @@ def _long(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def frequent(seen: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of shingles and their counts in blocks of texts: those with a sum above 2, in parts."""
+    if seen:
+        token, place = np.unique(np.concatenate([t for t, _ in seen]), return_inverse=True)
+        n = np.bincount(place, np.concatenate([c for _, c in seen]), len(token)).astype(np.int64)
+        token, n = token[n > 2], n[n > 2]
+        for i in range(0, len(token), 10_000):
+            yield token[i : i + 10_000], n[i : i + 10_000]
+
+
 def _describe(k: int):
     names = ["kind", "doc_id", "n", "d1", "d2", "m1", "m2", "m3", *BITS, "th"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, often = [], []
+        seen: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             ids, hashes = batch.column(0), batch.column(2)
             for first_row, rows, found, at in sets(batch.column(1), k):
@@ -113,15 +123,10 @@ def _describe(k: int):
                 mins = [_long(_reduce(np.minimum, mix(found ^ U(s)), at)) for s in SEEDS]
                 yield pa.RecordBatch.from_arrays([pa.array(np.zeros(rows, np.int8)), ids.slice(first_row, rows), pa.array(np.diff(at)), _long(d1), _long(d2), *mins, *(_long(np.ascontiguousarray(b)) for b in _parity(found, at).T), hashes.slice(first_row, rows)], names)
                 token, n = np.unique(found, return_counts=True)
-                seen.append(token[n > 1])
-                often.append(n[n > 1])
-        if seen:
-            token, place = np.unique(np.concatenate(seen), return_inverse=True)
-            n = np.bincount(place, np.concatenate(often), len(token)).astype(np.int64)
-            token, n = token[n > 2], n[n > 2]
-            for i in range(0, len(token), 10_000):
-                part, none = token[i : i + 10_000], pa.nulls(len(token[i : i + 10_000]), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(part), np.int8)), none, pa.array(n[i : i + 10_000]), _long(part), *[none] * (5 + len(BITS))], names)
+                seen.append((token[n > 1], n[n > 1]))
+        for token, n in frequent(seen):
+            none = pa.nulls(len(token), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(token), np.int8)), none, pa.array(n), _long(token), *[none] * (5 + len(BITS))], names)
 
     return task, "kind byte, doc_id long, n long, d1 long, d2 long, m1 long, m2 long, m3 long, " + ", ".join(f"{b} long" for b in BITS) + ", th long"
 
@@ -313,12 +318,16 @@ class Join:
         often = self.facts.filter("kind = 1").groupBy("d1").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "d1").limit(FREQUENT).toPandas()
         return self.spark.sparkContext.broadcast(Order(often["d1"].to_numpy(dtype=np.int64).view(U), often["n"].to_numpy(dtype=np.int64)))
 
-    def matrix_pairs(self, groups: DataFrame) -> DataFrame:
-        """Pairs of sets of different groups that the token-group matrix leaves open."""
+    def first_tokens(self) -> DataFrame:
+        """rid and first tokens of all sets."""
         first = self.texts.select("text").mapInArrow(*_prefixes(self.k, self.percent, self.order()))
         first = first.groupBy("d1", "d2").agg(F.first("first").alias("first"))
-        known = self.sets.select("rid", "d1", "d2").join(groups.withColumnRenamed("node", "rid"), "rid", "left").withColumn("grp", F.coalesce("root", "rid"))
-        tokens = first.join(known.select("d1", "d2", "rid", "grp"), ["d1", "d2"]).select(F.explode("first").alias("token"), "rid", "grp")
+        return first.join(self.sets.select("rid", "d1", "d2"), ["d1", "d2"]).select("rid", "first")
+
+    def matrix_pairs(self, groups: DataFrame, first: DataFrame) -> DataFrame:
+        """Pairs of sets (rid, first) of different groups that the token-group matrix leaves open."""
+        known = first.join(groups.withColumnRenamed("node", "rid"), "rid", "left").withColumn("grp", F.coalesce("root", "rid"))
+        tokens = known.select(F.explode("first").alias("token"), "rid", "grp")
         shared = tokens.repartition("token").sortWithinPartitions("token", "grp").mapInArrow(_several, "token long, rid long, grp long")
         shared = checkpointed(self.spark, shared)
         facts = shared.groupBy("rid").agg(F.count(F.lit(1)).alias("m")).join(self.sets.select("rid", "n", *BITS), "rid")
@@ -336,11 +345,8 @@ class Join:
         open_ = open_.select("s.token", F.col("rid").alias("q"), "g", F.col("n").alias("qn"), (F.col("rank") - F.col("m")).alias("qfront"), *[F.col(b).alias(f"q{b}") for b in BITS])
         y, x = shared.alias("y"), open_.alias("x")
         least = F.greatest(self.common(F.col("qn"), F.col("n"), F.col("n")), F.lit(1))
-        # shingles that only one of two sets has change the parity of at most as many classes
-        apart = sum((F.bit_count(F.col(f"q{b}").bitwiseXOR(F.col(b))) for b in BITS), F.lit(0))
-        allowed = F.col("qn") + F.col("n") - 2 * F.ceil((F.col("qn") + F.col("n")) * p / (100 + p))
         # the rarest common token opens the way from both sides, so one of them will do
-        meets = (F.col("x.token") == F.col("y.token")) & (F.col("x.g") == F.col("y.grp")) & (F.col("q") < F.col("rid")) & self.near("qn", "n") & (F.col("qfront") <= 1 - least) & (F.col("rank") - F.col("m") <= 1 - least) & (apart <= allowed)
+        meets = (F.col("x.token") == F.col("y.token")) & (F.col("x.g") == F.col("y.grp")) & (F.col("q") < F.col("rid")) & self.near("qn", "n") & (F.col("qfront") <= 1 - least) & (F.col("rank") - F.col("m") <= 1 - least) & (self.apart("q", "") <= self.allowed(F.col("qn"), F.col("n")))
         pairs = x.join(y, meets).select(F.col("q").alias("a"), F.col("rid").alias("b")).distinct()
         # all common first tokens of a pair, from the few that others share at all
         lists = checkpointed(self.spark, shared.groupBy("rid", "n").agg(F.collect_list("token").alias("tokens")))
@@ -349,6 +355,15 @@ class Join:
         both = F.size(F.array_intersect("at", "bt"))
         return pairs.filter(both >= F.ceil((F.col("an") + F.col("bn")) * p / (100 + p)) - self.rest_of(F.col("an"), F.col("bn"))).select("a", "b")
 
+    @staticmethod
+    def apart(left: str, right: str) -> Column:
+        """In how many classes the parities of two sets differ: shingles that only one has change that of at most as many."""
+        return sum((F.bit_count(F.col(f"{left}{b}").bitwiseXOR(F.col(f"{right}{b}"))) for b in BITS), F.lit(0))
+
+    def allowed(self, n: Column, m: Column) -> Column:
+        """Shingles that only one of two sets has, at most, if they link."""
+        return n + m - 2 * F.ceil((n + m) * self.percent / (100 + self.percent))
+
     def rest_of(self, n: Column, high: Column) -> Column:
         """The larger number of tokens after the first ones."""
         return F.greatest(F.ceil(n * self.percent / 100), F.ceil(high * self.percent / 100)).cast("long") - 1
@@ -366,7 +381,10 @@ class Join:
         """doc_id, th, n and root (null without shingles) of each document."""
         stars = checkpointed(self.spark, self.verified(self.star_pairs(), "star"))
         groups = checkpointed(self.spark, components(self.spark, stars))
-        links = stars.unionByName(self.verified(self.matrix_pairs(groups), "matrix"))
+        return self.rooted(stars.unionByName(self.verified(self.matrix_pairs(groups, self.first_tokens()), "matrix")))
+
+    def rooted(self, links: DataFrame) -> DataFrame:
+        """``placed`` from the links of sets."""
         roots = components(self.spark, links)
         ids = self.sets.select("rid", "d1", "d2").join(roots.withColumnRenamed("node", "rid"), "rid", "left").select("d1", "d2", F.coalesce("root", "rid").alias("root"))
         placed = self.docs.join(ids, ["d1", "d2"], "left")
