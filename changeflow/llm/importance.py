@@ -65,7 +65,7 @@ def runs(text: bytes, longest: int) -> Iterator[tuple[list[bytes], int]]:
         words = part.split()
         if words:
             yield tail + words, len(tail)
-            tail = (tail + words)[len(tail) + len(words) - longest + 1 :] if longest > 1 else []
+            tail = (tail + words)[1 - longest :] if longest > 1 else []
 
 
 class Trie:
