@@ -64,8 +64,6 @@ def sketch(found: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     row, bin_ = np.nonzero(~full & full.any(axis=1)[:, None])
     out = bins.copy()
     for look in range(LOOKS):
-        if not len(row):
-            return out
         at = ORDER[bin_, look]
         hit = full[row, at]
         out[row[hit], bin_[hit]] = bins[row[hit], at[hit]]
@@ -80,7 +78,7 @@ def sketch(found: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _slices(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Value, begin and end of runs of an ascending array."""
     found, begin = np.unique(values, return_index=True)
-    return found, begin, np.append(begin[1:], len(values))
+    return found, begin, np.append(begin, len(values))[1:]
 
 
 def bands(found: np.ndarray, offsets: np.ndarray, at_once: int = 1000) -> np.ndarray:

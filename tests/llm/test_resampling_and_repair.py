@@ -162,12 +162,13 @@ def slow_sketch(found):
 
 def test_sketches():
     r = np.random.default_rng(1)
-    sizes = [0, 1, 2, 3, 10, 50, 288, 2000, 0, 5]
+    sizes = [0, 1, 2, 3, 10, 50, 70, 90, 120, 150, 200, 288, 2000, 0, 5]
     found = [np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64)) for n in sizes]
     at = np.concatenate([[0], np.cumsum([len(f) for f in found])])
     got = minhash_dedup.sketch(np.concatenate(found), at)
     for f, bins in zip(found, got, strict=True):
         assert bins.tolist() == slow_sketch(f)
+        assert minhash_dedup.sketch(f, np.asarray([0, len(f)]))[0].tolist() == slow_sketch(f)
 
 
 @pytest.mark.parametrize("n", [5, 40, 1000])
