@@ -9,15 +9,14 @@ no DELETE came, or if the tail isn't empty.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..model import DELETE, UPDATE
-from .blocks import before, from_blocks, in_order, inside, whole, with_blocks
+from ..model import DELETE, INSERT, UPDATE
+from .blocks import Blocks, before, in_order, whole
 
 
 def _merge(target: DataFrame, folded: DataFrame, key: str, columns: list[str], value: Callable[[str, Column, Column], Column]) -> DataFrame:
@@ -33,22 +32,24 @@ def _fold_columns(changes: DataFrame, key: str, columns: list[str], order: str,
     """One row a key: changes after the last DELETE (_tail), whether there was one (_deleted), place of the first change after it
     (_first), and for each column the place and value of its last hit (_at_, _hit_) and its value in the first change (_ins_).
 
-    Changes are folded in blocks of the order first, then the blocks' rows: a key with very many changes is many groups, each
-    in a task of its own, and only its few block rows meet.
+    Changes are folded in blocks of the order first, if there are several, then the blocks' rows: a key with very many changes is many
+    groups, each in a task of its own, and only its few block rows meet.
     """
-    blocked = with_blocks(changes, order)
-    rows = blocked.withColumn("_ld", F.max(F.when(F.col("op") == DELETE, F.col(order))).over(W.partitionBy(key, "_block")))
+    dealt = Blocks(changes, [key], order)
+    rows = dealt.rows.withColumn("_ld", F.max(F.when(F.col("op") == DELETE, F.col(order))).over(W.partitionBy(*dealt.keys)))
     in_tail = F.col("_ld").isNull() | (F.col(order) > F.col("_ld"))
     at = lambda cond: F.when(in_tail & cond, F.col(order))
     first = at(F.lit(True))
     part = [F.count(first).alias("_tail"), F.max("_ld").isNotNull().alias("_deleted"), F.min(first).alias("_first")]
-    whole = [F.sum("_tail").alias("_tail"), F.max("_deleted").alias("_deleted"), F.min("_first").alias("_first")]
+    total = [F.sum("_tail").alias("_tail"), F.max("_deleted").alias("_deleted"), F.min("_first").alias("_first")]
     for c in columns:
         part += [F.max(at(hit(c))).alias(f"_at_{c}"), F.max_by(c, at(hit(c))).alias(f"_hit_{c}"), F.min_by(c, first).alias(f"_ins_{c}")]
-        whole += [F.max(f"_at_{c}").alias(f"_at_{c}"), F.max_by(f"_hit_{c}", f"_at_{c}").alias(f"_hit_{c}"), F.min_by(f"_ins_{c}", "_first").alias(f"_ins_{c}")]
-    folded = rows.groupBy(key, "_block").agg(*part)
-    folded = folded.withColumn("_from", F.max(F.when(F.col("_deleted"), F.col("_block"))).over(W.partitionBy(key)))
-    return folded.filter(F.col("_from").isNull() | (F.col("_block") >= F.col("_from"))).groupBy(key).agg(*whole)
+        total += [F.max(f"_at_{c}").alias(f"_at_{c}"), F.max_by(f"_hit_{c}", f"_at_{c}").alias(f"_hit_{c}"), F.min_by(f"_ins_{c}", "_first").alias(f"_ins_{c}")]
+    folded = rows.groupBy(*dealt.keys).agg(*part)
+    if dealt.many:
+        folded = folded.withColumn("_from", F.max(F.when(F.col("_deleted"), F.col("_block"))).over(whole()))
+        folded = folded.filter(F.col("_from").isNull() | (F.col("_block") >= F.col("_from"))).groupBy("_k").agg(*total)
+    return folded.select(F.col("_k")[key].alias(key), *[c for c in folded.columns if c not in ("_k", "_block")])
 
 
 def changed_columns_upsert(target: DataFrame, changes: DataFrame, key: str, columns: list[str], order: str) -> DataFrame:
@@ -85,16 +86,20 @@ def merge_if_newer(target: DataFrame, changes: DataFrame, key: str, columns: lis
 
     A NULL stamp never compares: a row that starts with one is never updated until it is deleted. Only present columns are set.
     """
-    rows = with_blocks(changes.withColumn("_k", F.struct(key)), order)
-    rows = from_blocks(rows, [F.max(F.when(F.col("op") == DELETE, F.col(order))).alias("_d")], {"_ld": F.max("_d").over(whole())})
+    dealt = Blocks(changes, [key], order)
+    rows = dealt.carry(dealt.rows, {"_d": F.max(F.when(F.col("op") == DELETE, F.col(order)))}, {"_ld": F.max("_d").over(whole())}, alone={"_ld": F.col("_d")})
     tail = rows.filter(F.col("_ld").isNull() | (F.col(order) > F.col("_ld")))
-    # what the target has joins the blocks, one row each, and comes to the rows with what is known of the blocks before
-    dates = target.select(F.struct(F.col(key).cast(changes.schema[key].dataType).alias(key)).alias("_k"), F.col(stamp).alias("_base_stamp"), F.lit(True).alias("_had"))
-    facts = tail.groupBy("_k", "_block").agg(F.min_by(stamp, order).alias("_head"), F.max(stamp).alias("_most"))
-    facts = facts.withColumns({"_first": F.first("_head").over(in_order().rowsBetween(W.unboundedPreceding, W.unboundedFollowing)), "_earlier": F.max("_most").over(before()), "_nth": F.row_number().over(in_order())})
-    facts = facts.join(dates, "_k", "left").select("_k", "_block", "_first", "_earlier", "_nth", "_base_stamp", "_had")
-    by = inside(order)
-    tail = tail.join(facts, ["_k", "_block"]).withColumn("_based", F.coalesce("_had", F.lit(False)) & F.col("_ld").isNull()).withColumn("_rn", F.row_number().over(by))
+    dates = _dates(target, key, stamp, changes)
+    by = dealt.inside()
+    if dealt.many:
+        # what the target has joins the blocks, one row each, and comes to the rows with what is known of the blocks before
+        facts = tail.groupBy("_k", "_block").agg(F.min_by(stamp, order).alias("_head"), F.max(stamp).alias("_most"))
+        facts = facts.withColumns({"_first": F.first("_head").over(in_order().rowsBetween(W.unboundedPreceding, W.unboundedFollowing)), "_earlier": F.max("_most").over(before()), "_nth": F.row_number().over(in_order())})
+        tail = tail.join(facts.join(dates, "_k", "left").select("_k", "_block", "_first", "_earlier", "_nth", "_base_stamp", "_had"), ["_k", "_block"])
+    else:
+        kind = changes.schema[stamp].dataType
+        tail = tail.withColumns({"_first": F.first(stamp).over(by), "_earlier": F.lit(None).cast(kind), "_nth": F.lit(1)}).join(dates, "_k", "left")
+    tail = tail.withColumn("_based", F.coalesce("_had", F.lit(False)) & F.col("_ld").isNull()).withColumn("_rn", F.row_number().over(by))
     start = F.when(F.col("_based"), F.col("_base_stamp")).otherwise(F.col("_first"))
     so_far = F.greatest(F.col("_earlier"), F.max(stamp).over(by.rowsBetween(W.unboundedPreceding, -1)))
     newest = F.greatest(F.when(F.col("_based"), F.col("_base_stamp")), so_far)
@@ -102,63 +107,56 @@ def merge_if_newer(target: DataFrame, changes: DataFrame, key: str, columns: lis
     applies = (~F.col("_based") & first) | F.coalesce(start.isNotNull() & (F.col(stamp) > newest), F.lit(False))
     tail = tail.withColumn("_at", F.when(applies, F.col(order)))
     has = (lambda c: F.array_contains(present, c)) if present else (lambda c: F.lit(True))
-    folded = tail.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_tail"),
-        *[x for c in columns for x in (F.max(F.when(has(c), F.col("_at"))).alias(f"_at_{c}"), F.max_by(c, F.when(has(c), F.col("_at"))).alias(f"_hit_{c}"))],
-    )
-    gone = rows.groupBy(key).agg(F.max("_ld").isNotNull().alias("_deleted"))
-    return _merge(target, gone.join(folded, key, "left"), key, columns, lambda c, base, old: F.when(F.col(f"_at_{c}").isNotNull(), F.col(f"_hit_{c}")).when(base, old))
+    folded = tail.groupBy(key).agg(F.count(F.lit(1)).alias("_tail"), *_hits(columns, lambda c: F.when(has(c), F.col("_at"))))
+    return _with_hits(target, rows, folded, key, columns)
+
+
+def _dates(target: DataFrame, key: str, stamp: str, changes: DataFrame) -> DataFrame:
+    """Stamps of the target's rows, by the key as a struct; a null key is no row's."""
+    rows = target.filter(F.col(key).isNotNull())
+    return rows.select(F.struct(F.col(key).cast(changes.schema[key].dataType).alias(key)).alias("_k"), F.col(stamp).alias("_base_stamp"), F.lit(True).alias("_had"))
+
+
+def _hits(columns: list[str], at: Callable[[str], Column]) -> list[Column]:
+    return [x for c in columns for x in (F.max(at(c)).alias(f"_at_{c}"), F.max_by(c, at(c)).alias(f"_hit_{c}"))]
+
+
+def _with_hits(target: DataFrame, rows: DataFrame, folded: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """The target with the last hit of each column; keys of ``rows`` with a DELETE (_ld) begin anew."""
+    gone = rows.groupBy("_k").agg(F.max("_ld").isNotNull().alias("_deleted")).join(folded.withColumn("_k", F.struct(key)).drop(key), "_k", "left")
+    gone = gone.withColumn(key, F.col("_k")[key]).drop("_k")
+    return _merge(target, gone, key, columns, lambda c, base, old: F.when(F.col(f"_at_{c}").isNotNull(), F.col(f"_hit_{c}")).when(base, old))
 
 
 def update_or_merge(target: DataFrame, records: DataFrame, key: str, columns: list[str], order: str, stamp: str) -> DataFrame:
-    """Snowflake rule with strategy ``standard``, over collapsed records.
+    """Snowflake rule with strategy ``standard``, over collapsed records; keys of the target are unique.
 
-    INSERT merges if newer, UPDATE sets its diff's columns on a row that exists and is lost on one that doesn't, DELETE removes.
-    An UPDATE may set the stamp back, so rows are folded one by one. They are sorted by key and order and stream through the
-    fold, which holds one state row a key (one for each row of the target that has the key), so a key may have any number.
+    INSERT merges if newer, UPDATE sets its diff's columns on a row that exists and is lost on one that doesn't, DELETE removes. A
+    key's row exists from its first INSERT on, or from the beginning. An UPDATE may set the stamp back: from such a record on, stamps
+    are compared with that one and with those after it only, so a key's history is cut there (``_cut``) and each piece has its own maximum.
+    Windows run over a key's collapsed records.
     """
     kinds = {f.name: f.dataType for f in target.schema}
-    image = [F.col(c).cast(kinds[c]).alias(c) for c in columns]
-    k = F.col(key).cast(kinds[key]).alias(key)
-    old = target.select(k, *image, F.lit(False).alias("_new"), F.lit(None).cast(records.schema[order].dataType).alias("_o"), F.lit(None).cast("string").alias("_op"), F.lit(None).cast("array<string>").alias("_diff"))
-    new = records.select(k, *image, F.lit(True).alias("_new"), F.col(order).alias("_o"), F.col("op").alias("_op"), F.col("diff").cast("array<string>").alias("_diff"))
-    # dealt by a hash of the key: an exchange by the key itself is taken for done where both sides are dealt by it already
-    rows = old.unionByName(new).repartition(F.xxhash64(key)).sortWithinPartitions(key, "_new", "_o", "_op")
-    n, place = len(columns), columns.index(stamp)
-
-    def newer(a: object, b: object) -> bool:
-        if a is None or b is None:
-            return False
-        return b == b if a != a else a > b  # NaN is the largest number, as in SQL
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        states, at, begun, fresh, schema = [], None, False, False, None
-        for batch in batches:
-            schema = schema or pa.schema([batch.schema.field(i) for i in range(n + 1)])
-            done = []
-            data = [c.to_pylist() for c in batch.columns]
-            for r in zip(*data, strict=True):
-                pk, image, is_new, op, diff = r[0], list(r[1 : n + 1]), r[n + 1], r[n + 3], r[n + 4]
-                if not begun or pk != at or (pk is None and is_new and states and not fresh):
-                    done += [(at, *s) for s in states if s is not None]
-                    states, at, begun, fresh = [], pk, True, is_new
-                if not is_new:
-                    states.append(image)
-                    continue
-                for i, s in enumerate(states := states or [None]):
-                    if op == DELETE:
-                        states[i] = None
-                    elif op == UPDATE:
-                        states[i] = s and [x if c in (diff or ()) else y for c, x, y in zip(columns, image, s, strict=True)]
-                    elif s is None or newer(image[place], s[place]):
-                        states[i] = image
-            if done:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done, strict=True), schema, strict=True)], schema=schema)
-        if done := [(at, *s) for s in states if s is not None]:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done, strict=True), schema, strict=True)], schema=schema)
-
-    out = ", ".join(f"`{c}` {kinds[c].simpleString()}" for c in (key, *columns))
-    return rows.mapInArrow(task, out)
+    records = records.withColumns({c: F.col(c).cast(kinds[c]) for c in (key, *columns)})
+    rows = records.withColumn("_k", F.struct(key)).withColumn("_ld", F.max(F.when(F.col("op") == DELETE, F.col(order))).over(W.partitionBy("_k")))
+    tail = rows.filter(F.col("_ld").isNull() | (F.col(order) > F.col("_ld"))).join(_dates(target, key, stamp, records), "_k", "left")
+    by = W.partitionBy("_k").orderBy(order)
+    inserts, names = F.col("op") == INSERT, lambda c: F.coalesce(F.array_contains("diff", c), F.lit(False))
+    tail = tail.withColumn("_based", F.coalesce("_had", F.lit(False)) & F.col("_ld").isNull())
+    born = F.coalesce(F.sum(inserts.cast("long")).over(by.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) > 0
+    tail = tail.withColumn("_there", F.col("_based") | born)
+    sets = (F.col("op") == UPDATE) & F.col("_there")
+    tail = tail.withColumn("_cut", F.sum((sets & names(stamp)).cast("long")).over(by.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    piece = W.partitionBy("_k", "_cut").orderBy(order)
+    # what a piece begins with: the UPDATE that cuts it, or the INSERT that makes the row; the target's stamp stands for the latter
+    opens = F.when((F.col("_cut") > 0) | inserts, F.struct(F.col(stamp).alias("s")))
+    tail = tail.withColumn("_head", F.first(opens, ignorenulls=True).over(piece.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
+    start = F.when((F.col("_cut") == 0) & F.col("_based"), F.col("_base_stamp")).otherwise(F.col("_head.s"))
+    newest = F.greatest(start, F.max(F.when(inserts, F.col(stamp))).over(piece.rowsBetween(W.unboundedPreceding, -1)))
+    applies = inserts & (~F.col("_there") | F.coalesce(start.isNotNull() & (F.col(stamp) > newest), F.lit(False)))
+    tail = tail.withColumn("_applies", applies)
+    folded = tail.groupBy(key).agg(F.count(F.when(inserts, 1)).alias("_tail"), *_hits(columns, lambda c: F.when(F.col("_applies") | (sets & names(c)), F.col(order))))
+    return _with_hits(target, rows, folded, key, columns)
 
 
 #: Rules of the warehouse by the name of its update strategy.

@@ -20,21 +20,18 @@ def flush_limit(max_ack_pending: int, driver_max: int) -> int:
 
 def flush_batches(events: DataFrame, order: str, limit: int, partition: list[str]) -> DataFrame:
     """Replay of flushes: the number of the batch that each event falls in, ``limit`` events a batch, in each stream partition."""
-    rows = _dealt(events, order, partition).withColumn("_n", F.row_number().over(blocks.inside(order)))
-    rows = blocks.from_blocks(rows, [F.count(F.lit(1)).alias("_all")], {"_earlier": F.coalesce(F.sum("_all").over(blocks.before()), F.lit(0))})
-    return rows.withColumn("batch_id", F.floor((F.col("_earlier") + F.col("_n") - 1) / limit).cast("long")).drop("_k", "_block", "_n", "_earlier")
-
-
-def _dealt(rows: DataFrame, order: str, partition: list[str]) -> DataFrame:
-    """Rows of streams in blocks of their order: a stream is as many groups as it has blocks, not one."""
-    return blocks.with_blocks(rows.withColumn("_k", F.struct(*partition)), order)
+    dealt = blocks.Blocks(events, partition, order)
+    rows = dealt.rows.withColumn("_n", F.row_number().over(dealt.inside()))
+    rows = dealt.carry(rows, {"_all": F.count(F.lit(1))}, {"_earlier": F.coalesce(F.sum("_all").over(blocks.before()), F.lit(0))}, alone={"_earlier": F.lit(0)})
+    return dealt.clean(rows.withColumn("batch_id", F.floor((F.col("_earlier") + F.col("_n") - 1) / limit).cast("long")), "_n", "_earlier")
 
 
 def sequence_gaps(events: DataFrame, seq: str, partition: list[str]) -> DataFrame:
     """Events whose sequence isn't the previous one plus 1, with what was expected."""
-    rows = _dealt(events, seq, partition).withColumn("_last", F.lag(seq).over(blocks.inside(seq)))
-    rows = blocks.from_blocks(rows, [F.max(seq).alias("_most")], {"_earlier": F.max("_most").over(blocks.before())})
-    rows = rows.withColumn("expected", F.coalesce("_last", "_earlier") + 1).drop("_k", "_block", "_last", "_earlier")
+    dealt = blocks.Blocks(events, partition, seq)
+    rows = dealt.rows.withColumn("_last", F.lag(seq).over(dealt.inside()))
+    rows = dealt.carry(rows, {"_most": F.max(seq)}, {"_earlier": F.max("_most").over(blocks.before())}, alone={"_earlier": F.lit(None).cast(events.schema[seq].dataType)})
+    rows = dealt.clean(rows.withColumn("expected", F.coalesce("_last", "_earlier") + 1), "_last", "_earlier")
     return rows.filter(F.col("expected").isNotNull() & (F.col(seq) != F.col("expected")))
 
 
@@ -78,38 +75,41 @@ def histogram(values: DataFrame, column: str, bounds: list[float], by: list[str]
 
 def running_average(flushes: DataFrame, duration: str, count: str, order: str, partition: list[str]) -> DataFrame:
     """Mean time a record after each flush: all durations so far over all records so far, counted before the collapse."""
-    so_far = blocks.inside(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    rows = _dealt(flushes, order, partition).withColumns({"_d": F.sum(duration).over(so_far), "_c": F.sum(count).over(so_far)})
+    dealt = blocks.Blocks(flushes, partition, order)
+    so_far = dealt.inside().rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = dealt.rows.withColumns({"_d": F.sum(duration).over(so_far), "_c": F.sum(count).over(so_far)})
     earlier = {x: F.coalesce(F.sum(y).over(blocks.before()), F.lit(0)) for x, y in (("_d0", "_d1"), ("_c0", "_c1"))}
-    rows = blocks.from_blocks(rows, [F.sum(duration).alias("_d1"), F.sum(count).alias("_c1")], earlier)
-    return rows.withColumn("mean", (F.col("_d") + F.col("_d0")) / (F.col("_c") + F.col("_c0"))).drop("_k", "_block", "_d", "_c", "_d0", "_c0")
+    rows = dealt.carry(rows, {"_d1": F.sum(duration), "_c1": F.sum(count)}, earlier, alone={x: F.lit(0) for x in earlier})
+    return dealt.clean(rows.withColumn("mean", (F.col("_d") + F.col("_d0")) / (F.col("_c") + F.col("_c0"))), "_d", "_c", "_d0", "_c0")
 
 
 def runs(rows: DataFrame, value: Column, order: str, partition: list[str], out: str = "run") -> DataFrame:
     """Numbers runs of equal values in order: inside blocks first, then with what the blocks before have."""
-    by = blocks.inside(order)
-    dealt = _dealt(rows.withColumn("_v", value), order, partition)
+    dealt = blocks.Blocks(rows.withColumn("_v", value), partition, order)
+    by = dealt.inside()
     new = F.when(F.lag("_v").over(by).eqNullSafe(F.col("_v")) & (F.row_number().over(by) > 1), 0).otherwise(1)
-    dealt = dealt.withColumn("_new", new).withColumn("_run", F.sum("_new").over(by.rowsBetween(W.unboundedPreceding, W.currentRow)))
-    facts = [F.min_by("_v", order).alias("_head"), F.max_by("_v", order).alias("_tail"), F.sum("_new").alias("_n")]
+    numbered = dealt.rows.withColumn("_new", new).withColumn("_run", F.sum("_new").over(by.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    facts = {"_head": F.min_by("_v", order), "_tail": F.max_by("_v", order), "_n": F.sum("_new")}
     goes_on = F.when(F.lag("_tail").over(blocks.in_order()).eqNullSafe(F.col("_head")) & (F.row_number().over(blocks.in_order()) > 1), 1).otherwise(0)
     offset = F.coalesce(F.sum(F.col("_n") - F.col("_on")).over(blocks.before()), F.lit(0)) - F.col("_on")
-    dealt = blocks.from_blocks(dealt, facts, {"_on": goes_on}, {"_offset": offset})
-    return dealt.withColumn(out, F.col("_run") + F.col("_offset")).drop("_k", "_block", "_v", "_new", "_run", "_offset")
+    numbered = dealt.carry(numbered, facts, {"_on": goes_on}, {"_offset": offset}, alone={"_offset": F.lit(0).cast("long")})
+    return dealt.clean(numbered.withColumn(out, F.col("_run") + F.col("_offset")), "_v", "_new", "_run", "_offset")
 
 
 def seen_insert_guard(records: DataFrame, flush: str, stamp: str, hours: int = 24) -> DataFrame:
     """Adds ``seen``: an INSERT whose key an earlier flush has written within the time, and hasn't deleted since.
 
     A key is remembered after a flush that INSERTs or DELETEs it, unless the flush DELETEs it at all; the look-up sees the state
-    before the flush. One window over the key's flushes, no self-join.
+    before the flush. What a flush does to a key is one row, combined before the shuffle; the window runs over those rows, not over
+    the key's records, which may be a large share of all.
     """
     keys = ["table", "id"]
-    w = W.partitionBy(*keys, flush)
-    rows = records.withColumn("_deleted", F.max((F.col("op") == "DELETE").cast("int")).over(w) == 1)
-    rows = rows.withColumn("_touched", F.max(F.when(F.col("op").isin("INSERT", "DELETE"), F.col(stamp))).over(w))
+    touched = F.max(F.when(F.col("op").isin("INSERT", "DELETE"), F.col(stamp)))
+    facts = records.groupBy(*keys, flush).agg((F.max((F.col("op") == "DELETE").cast("int")) == 1).alias("_deleted"), touched.alias("_touched"))
     mark = F.when(F.col("_touched").isNotNull(), F.struct(F.col(flush).alias("f"), F.when(~F.col("_deleted"), F.col("_touched")).alias("t")))
     earlier = W.partitionBy(*keys).orderBy(flush).rangeBetween(W.unboundedPreceding, -1)
-    rows = rows.withColumn("_last", F.max(mark).over(earlier))
+    facts = facts.select(*[F.col(c).alias(f"_{c}") for c in keys], F.col(flush).alias("_flush"), F.max(mark).over(earlier).alias("_last"))
+    same = F.col("table").eqNullSafe(F.col("_table")) & F.col("id").eqNullSafe(F.col("_id")) & F.col(flush).eqNullSafe(F.col("_flush"))
+    rows = records.join(facts, same)
     fresh = F.col("_last.t") > F.col(stamp) - F.expr(f"interval {hours} hours")
-    return rows.withColumn("seen", F.coalesce((F.col("op") == "INSERT") & F.col("_last.t").isNotNull() & fresh, F.lit(False))).drop("_deleted", "_touched", "_last")
+    return rows.withColumn("seen", F.coalesce((F.col("op") == "INSERT") & F.col("_last.t").isNotNull() & fresh, F.lit(False))).drop("_table", "_id", "_flush", "_last")

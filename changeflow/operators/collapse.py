@@ -20,16 +20,16 @@ def islands(records: DataFrame, keys: list[str], order: str, op: str = "op") ->
 
     Runs are numbered inside blocks first; a block's number of runs, and whether its first goes on from the block before, carry over.
     """
-    rows = blocks.with_blocks(records.withColumn("_k", F.struct(*keys)), order)
-    rows = blocks.from_blocks(rows, [F.max(F.when(F.col(op) == DELETE, F.col(order))).alias("_d")], {"_ld": F.max("_d").over(blocks.whole())})
-    by = blocks.inside(order)
+    dealt = blocks.Blocks(records, keys, order)
+    rows = dealt.carry(dealt.rows, {"_d": F.max(F.when(F.col(op) == DELETE, F.col(order)))}, {"_ld": F.max("_d").over(blocks.whole())}, alone={"_ld": F.col("_d")})
+    by = dealt.inside()
     tail = rows.filter(F.col("_ld").isNull() | (F.col(order) >= F.col("_ld")))
     tail = tail.withColumn("_starts", F.when((F.col(op) == UPDATE) & (F.lag(op).over(by) == UPDATE), 0).otherwise(1)).withColumn("_run", F.sum("_starts").over(by.rowsBetween(W.unboundedPreceding, W.currentRow)))
     goes_on = F.when((F.col("_head") == UPDATE) & (F.lag("_tail").over(blocks.in_order()) == UPDATE), 1).otherwise(0)
-    facts = [F.min_by(op, order).alias("_head"), F.max_by(op, order).alias("_tail"), F.sum("_starts").alias("_n")]
+    facts = {"_head": F.min_by(op, order), "_tail": F.max_by(op, order), "_n": F.sum("_starts")}
     offset = F.coalesce(F.sum(F.col("_n") - F.col("_on")).over(blocks.before()), F.lit(0)) - F.col("_on")
-    tail = blocks.from_blocks(tail, facts, {"_on": goes_on}, {"_offset": offset})
-    return tail.withColumn("grp", F.col("_run") + F.col("_offset")).drop("_k", "_block", "_ld", "_starts", "_run", "_offset")
+    tail = dealt.carry(tail, facts, {"_on": goes_on}, {"_offset": offset}, alone={"_offset": F.lit(0).cast("long")})
+    return dealt.clean(tail.withColumn("grp", F.col("_run") + F.col("_offset")), "_ld", "_starts", "_run", "_offset")
 
 
 def _entries(diff: str) -> Column:

@@ -78,7 +78,7 @@ def newer(state, pk, op, diff, new):
 @pytest.mark.parametrize("seed", range(4))
 @pytest.mark.parametrize("block", [7, 1_000_000])
 def test_rules_match_a_fold(spark, seed, block, monkeypatch):
-    monkeypatch.setattr(apply._fold_columns, "__defaults__", (block,))
+    monkeypatch.setattr(blocks, "ROWS_A_BLOCK", block)
     target, changes = frames(spark, seed)
     assert rows(apply.changed_columns_upsert(target, changes, "pk", COLS, "seq")) == fold(seed, upsert)
     assert rows(apply.replace_rows(target, changes, "pk", COLS, "seq")) == fold(seed, replace)
@@ -214,3 +214,35 @@ def test_runs_of_one_hot_key_and_of_no_key(spark, order):
         for i, e in enumerate(rows_, 1):
             total += e[1]
             assert abs(means[k, e[1]] - total / (2 * i)) < 1e-9
+
+
+@pytest.mark.parametrize("kind", ["bigint", "decimal(38,10)", "double", "timestamp", "timestamp_ntz", "date", "string", "struct<a:bigint,b:string>"])
+def test_blocks_are_even_whatever_the_order_is(spark, monkeypatch, kind):
+    """One outlier, skewed values and any type that can be ordered leave no block above twice the mean; order is kept."""
+    monkeypatch.setattr(blocks, "ROWS_A_BLOCK", 1000)
+    monkeypatch.setattr(blocks, "SAMPLED", 400)
+    n = "if(id = 0, 0, 1720000000 + cast(pow(id, 1.7) as bigint))"
+    of = {"string": f"lpad(cast({n} as string), 12, '0')", "timestamp": f"timestamp_seconds({n})", "timestamp_ntz": f"cast(timestamp_seconds({n}) as timestamp_ntz)", "date": "date_add(date'1900-01-01', cast(if(id = 0, -400000, id * 2) as int))"}
+    of["struct<a:bigint,b:string>"] = f"named_struct('a', {n}, 'b', 'x')"
+    df = spark.range(20_000).selectExpr("cast(null as int) as k", f"{of.get(kind, f'cast({n} as {kind})')} as o")
+    dealt = blocks.Blocks(df, ["k"], "o")
+    found = dealt.rows.groupBy("_block").agg(F.count(F.lit(1)).alias("n"), F.min("o").alias("low"), F.max("o").alias("high")).orderBy("_block").collect()
+    assert dealt.many and len(found) >= 15 and max(r["n"] for r in found) <= 2 * 20_000 / len(found)
+    assert all(a["high"] < b["low"] for a, b in zip(found, found[1:], strict=False))
+
+
+def test_small_tables_have_no_blocks(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "ROWS_A_BLOCK", 250_000)
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("blocks", "")
+    dealt = blocks.Blocks(spark.range(1000).withColumn("k", F.col("id") % 3), ["k"], "id")
+    assert not dealt.many and "_block" not in dealt.rows.columns and not list(jobs.getJobIdsForGroup("blocks"))
+    plan = collapse.islands(spark.range(1000).selectExpr("id % 3 as k", "id as seq", "'UPDATE' as op"), ["k"], "seq")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_the_standard_strategy_is_one_plan_of_the_jvm(spark):
+    target, changes = frames(spark, 1)
+    plan = apply.update_or_merge(target, collapse.collapse(changes, ["pk"], "seq", COLS).withColumnRenamed("last_seq", "seq"), "pk", COLS, "seq", "ts")._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan and "Python" not in plan
