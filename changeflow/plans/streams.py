@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 from ..operators import apply
 from ..session import shared_dir
-from ..streaming import runner
+from ..streaming import runner, seen
 from . import changes, events
 from .feeds import COLUMNS, EVENTS_SQL, event_feed, user_target
 
 
+#: Buckets of the targets of these queries.
+BUCKETS = 8
+
+
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The files of the events table as a stream; its path may be one file or a folder of them."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
@@ -25,7 +29,7 @@ def _streamed(spark: SparkSession, sf_dir: str, fold: runner.Fold) -> DataFrame:
     """The events table read as a stream of files into a table that starts as ``user_target``."""
     place = f"{shared_dir(spark).rstrip('/')}/changeflow-stream-{uuid.uuid4().hex}"
     target, feed = user_target(spark, sf_dir).select("pk", *COLUMNS), event_feed(spark, sf_dir, _stream(spark, sf_dir))
-    table = runner.LoggedTable(spark, f"{place}/table", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in target.schema), feed.schema, fold)
+    table = runner.LoggedTable(spark, f"{place}/table", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in target.schema), feed.schema, fold, "pk", BUCKETS)
     table.begin(target)
     runner.start(feed, table, f"{place}/checkpoint").awaitTermination()
     return table.read()
@@ -56,7 +60,7 @@ def stream_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = [(t, v, c) for t, v in (("grown", "v1"), ("grown", "v2"), ("plain", "v1")) for c in (columns if v == "v2" else COLUMNS)]
     schemas = spark.createDataFrame(rows, "table string, version string, column string")
     moves = runner.Migrations(schemas, lambda *step: done.append(step), {"grown": "v1"})
-    table = runner.LoggedTable(spark, f"{place}/table", "pk bigint, value double, props string, ts timestamp_ntz, note string", feed.schema, lambda old, new: apply.changed_columns_upsert(old, new, "pk", columns, "seq"))
+    table = runner.LoggedTable(spark, f"{place}/table", "pk bigint, value double, props string, ts timestamp_ntz, note string", feed.schema, lambda old, new: apply.changed_columns_upsert(old, new, "pk", columns, "seq"), "pk", BUCKETS)
     runner.start(feed, table, f"{place}/checkpoint", migrations=moves).awaitTermination()
     steps = F.lit("; ".join(f"{a} {t} {','.join(c)}".strip() for t, a, c in sorted(done)))
     return table.read().withColumn("steps", steps)
@@ -73,18 +77,40 @@ SELECT pk, {", ".join(f"CASE WHEN count(*) FILTER (op <> 'UPDATE' OR list_contai
   'add_columns grown note; create plain' AS steps
 FROM tail GROUP BY pk"""
 
+
+
+def stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even and odd events as two streams, each with batches from 0 on, into one table that is settled after each.
+
+    The last batch of the first stream comes once more at the end and adds nothing.
+    """
+    place = f"{shared_dir(spark).rstrip('/')}/changeflow-stream-{uuid.uuid4().hex}"
+    target, feed = user_target(spark, sf_dir).select("pk", *COLUMNS), event_feed(spark, sf_dir, _stream(spark, sf_dir))
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in target.schema)
+    table = runner.LoggedTable(spark, f"{place}/table", ddl, feed.schema, lambda old, new: apply.changed_columns_upsert(old, new, "pk", COLUMNS, "seq"), "pk", BUCKETS)
+    table.begin(target)
+    for part in (0, 1):
+        runner.start(feed.filter(F.col("seq") % 2 == part), table, f"{place}/checkpoint-{part}").awaitTermination()
+        table.settle()
+    (again, batch), *_ = table.ledger.last().items()
+    runner.apply_batch(table, stream=again)(event_feed(spark, sf_dir).limit(3), batch)
+    return table.read()
+
+
 def stream_seen_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """INSERTs of the feed, logged in eight batches, that an earlier batch has written within a day."""
+    """INSERTs of the feed, in four micro-batches of a query that is stopped and started again twice, that an earlier one has written within a day."""
     place = f"{shared_dir(spark).rstrip('/')}/changeflow-stream-{uuid.uuid4().hex}"
     feed = event_feed(spark, sf_dir).select(F.lit("u").alias("table"), F.col("pk").alias("id"), "op", "seq", "ts")
     top = feed.agg(F.max("seq")).first()[0] or 0
-    log = runner.LoggedTable(spark, f"{place}/log", "id bigint", feed.schema, lambda old, new: old)
-    for b in range(8):
-        runner.apply_batch(log)(feed.filter(F.floor(F.col("seq") * 8 / (top + 1)) == b), b)
-    return runner.unseen(log, "ts").filter("op = 'INSERT'").select("id", "seq", "seen")
+    for b in range(4):
+        feed.filter(F.floor(F.col("seq") * 4 / (top + 1)) == b).coalesce(1).write.mode("append").parquet(f"{place}/in")
+        if b:  # twice one batch, the first time two
+            stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(f"{place}/in")
+            seen.start(seen.with_seen(stream, "ts"), f"{place}/out", f"{place}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{place}/out").filter("op = 'INSERT'").select("id", "seq", "seen")
 
 
-SEEN_SQL = events.SEEN_SQL.replace("seq // 500 AS flush FROM feed", "seq * 8 // (max(seq) OVER () + 1) AS flush FROM feed")
+SEEN_SQL = events.SEEN_SQL.replace("seq // 500 AS flush FROM feed", "seq * 4 // (max(seq) OVER () + 1) AS flush FROM feed")
 
-QUERIES = {f.__name__: f for f in (stream_apply_postgres, stream_apply_mysql, stream_migration, stream_seen_guard)}
-ORACLES = {"stream_apply_postgres": changes.APPLY_POSTGRES_SQL, "stream_apply_mysql": changes.APPLY_MYSQL_SQL, "stream_migration": STREAM_MIGRATION_SQL, "stream_seen_guard": SEEN_SQL}
+QUERIES = {f.__name__: f for f in (stream_apply_postgres, stream_apply_mysql, stream_migration, stream_two_sources, stream_seen_guard)}
+ORACLES = {"stream_apply_postgres": changes.APPLY_POSTGRES_SQL, "stream_apply_mysql": changes.APPLY_MYSQL_SQL, "stream_migration": STREAM_MIGRATION_SQL, "stream_two_sources": changes.APPLY_POSTGRES_SQL, "stream_seen_guard": SEEN_SQL}

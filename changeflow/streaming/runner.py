@@ -1,10 +1,10 @@
 """Change streams into tables, each micro-batch once.
 
-A micro-batch is one flush. ``foreachBatch`` writes its changes as they are into a folder of the batch's number, over whatever
-an attempt before has left there, so a batch that is replayed after a failure writes the same rows to the same place. The
-target is the fold of the logged changes over the last base, worked out when it is read; ``compact`` makes that fold the new
-base. A micro-batch costs what its own rows cost, however large the table is. No watermark: late events are ordered by the
-fold, never dropped.
+A micro-batch is one flush. ``foreachBatch`` writes its changes as they are into a folder of its stream and batch, over whatever an
+attempt before has left there, then enters it in the ledger: a batch that is replayed after a failure writes the same rows to the
+same place, and streams with checkpoints of their own don't take each other's batches for theirs. The table is the fold of the
+entered changes over a target in buckets, worked out when it is read; ``settle`` folds them into the buckets that they touch. A
+micro-batch costs what its own rows cost, however large the table is. No watermark: late events are ordered by the fold, never dropped.
 
 Reading side: ``maxFilesPerTrigger`` and ``trigger`` are the flush limits, stopping the query is a pause, starting it with the
 same checkpoint resumes.
@@ -21,79 +21,87 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.batches import seen_insert_guard
 from ..operators.evolution import migration_plan
 from ..operators.filters import small, widened_diff
 from ..operators.state import table_versions
-
-Fold = Callable[[DataFrame, DataFrame], DataFrame]
+from ..sinks.buckets import BucketedTarget, Fold
+from .ledger import Ledger, exists, folder
 
 
 class LoggedTable:
-    """A table as Parquet folders below a path: bases ``base=<batch>``, changes ``changes/batch=<batch>`` and table versions.
+    """Changes below ``path``/changes, entered in ``path``/ledger, over a bucketed target at ``path``/rows.
 
-    A folder counts when Spark's writer has finished it (its ``_SUCCESS`` file is there). The base with the highest number and
-    the changes of later batches are the table.
+    ``path``/settled has, for each fold into the target, which batches of which streams it takes; it is written before the fold, so that a
+    fold that failed is tried again with the same ones.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, changes: T.StructType | str, fold: Fold):
-        self.spark, self.path, self.schema, self.fold = spark, path.rstrip("/"), schema, fold
+    def __init__(self, spark: SparkSession, path: str, schema: str, changes: T.StructType | str, fold: Fold, key: str, buckets: int = 64):
+        self.spark, self.path, self.fold = spark, path.rstrip("/"), fold
         self.logged = changes if isinstance(changes, T.StructType) else T.StructType.fromDDL(changes)
-
-    def _numbers(self, pattern: str) -> list[int]:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}=*/_SUCCESS")
-        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
-        return sorted(int(s.getPath().getParent().getName().rpartition("=")[2]) for s in found or [])
-
-    def batches(self) -> list[int]:
-        """Numbers of the logged batches that no base has yet."""
-        base = max(self._numbers("base"), default=-1)
-        return [b for b in self._numbers("changes/batch") if b > base]
-
-    def last(self) -> int:
-        """The latest batch that the table has, -1 for none."""
-        return max([-1, *self._numbers("base"), *self._numbers("changes/batch")])
-
-    def base(self) -> DataFrame:
-        numbers = self._numbers("base")
-        reader = self.spark.read.schema(self.schema)
-        return reader.parquet(f"{self.path}/base={numbers[-1]}") if numbers else self.spark.createDataFrame([], self.schema)
-
-    def changes(self, numbered: bool = False) -> DataFrame | None:
-        """The logged changes that no base has yet; with the number of their batch, if that is asked for."""
-        paths = [f"{self.path}/changes/batch={b}" for b in self.batches()]
-        if not paths:
-            return None
-        if not numbered:
-            return self.spark.read.schema(self.logged).parquet(*paths)
-        return self.spark.read.option("basePath", f"{self.path}/changes").schema(T.StructType([*self.logged.fields, T.StructField("batch", T.LongType())])).parquet(*paths)
-
-    def read(self) -> DataFrame:
-        changes = self.changes()
-        return self.base() if changes is None else self.fold(self.base(), changes)
+        self.ledger, self.folds = Ledger(spark, f"{self.path}/ledger"), Ledger(spark, f"{self.path}/folds")
+        self.target = BucketedTarget(spark, f"{self.path}/rows", schema, key, buckets)
 
     def begin(self, rows: DataFrame) -> None:
         """The table as it is before the first batch."""
-        rows.write.mode("overwrite").parquet(f"{self.path}/base=-1")
+        self.target.begin(rows)
 
-    def append(self, changes: DataFrame, batch: int) -> None:
-        """Log a batch, in files ordered by nothing in particular; columns that it lacks are null."""
+    def append(self, changes: DataFrame, stream: str, batch: int, versions: dict[str, str] | None = None) -> None:
+        """Log a batch and enter it; columns that it lacks are null."""
         there = set(changes.columns)
         columns = [F.col(f.name).cast(f.dataType) if f.name in there else F.lit(None).cast(f.dataType).alias(f.name) for f in self.logged]
-        changes.select(*columns).write.mode("overwrite").parquet(f"{self.path}/changes/batch={batch}")
+        at = f"{self.path}/changes/{folder(stream, batch)}"
+        changes.select(*columns).write.mode("overwrite").parquet(at)
+        self.ledger.add(stream, batch, self.spark.read.schema(self.logged).parquet(at).count(), versions)
+
+    def _settled(self) -> DataFrame:
+        at, schema = f"{self.path}/settled", "stream string, upto long, number long"
+        return self.spark.read.schema(schema).parquet(at) if exists(self.spark, at) else self.spark.createDataFrame([], schema)
 
-    def compact(self) -> None:
-        """Fold the log into a new base; the one full rewrite, to be made when the log has grown to a good part of the table."""
-        if batches := self.batches():
-            self.read().write.mode("overwrite").parquet(f"{self.path}/base={batches[-1]}")
+    def settled(self, number: int | None = None) -> dict[str, int]:
+        """The last batch of each stream that the target has, or had after the fold of that number."""
+        rows = self._settled() if number is None else self._settled().filter(F.col("number") <= number)
+        return {r["stream"]: r["upto"] for r in rows.groupBy("stream").agg(F.max("upto").alias("upto")).collect()}
 
-    def vacuum(self) -> None:
-        """Delete what the newest base has made superfluous; readers that began before have to be done."""
-        bases = self._numbers("base")
-        old = [f"base={b}" for b in bases[:-1]] + [f"changes/batch={b}" for b in self._numbers("changes/batch") if bases and b <= bases[-1]]
-        for name in old:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+    def has(self, stream: str, batch: int) -> bool:
+        return self.ledger.has(stream, batch) or batch <= self.settled().get(stream, -1)
+
+    def _between(self, after: dict[str, int], upto: dict[str, int] | None = None) -> list[tuple[str, int]]:
+        entered = [(r["stream"], r["batch"]) for r in self.ledger.entries().select("stream", "batch").collect()]
+        return sorted((s, b) for s, b in entered if b > after.get(s, -1) and (upto is None or b <= upto.get(s, -1)))
+
+    def pending(self) -> list[tuple[str, int]]:
+        """Stream and number of the batches that the target doesn't have yet."""
+        return self._between(self.settled())
+
+    def _changes(self, batches: list[tuple[str, int]]) -> DataFrame | None:
+        if not batches:
+            return None
+        return self.spark.read.schema(self.logged).parquet(*[f"{self.path}/changes/{folder(s, b)}" for s, b in batches])
+
+    def changes(self) -> DataFrame | None:
+        return self._changes(self.pending())
+
+    def read(self) -> DataFrame:
+        changes = self.changes()
+        return self.target.read() if changes is None else self.fold(self.target.read(), changes)
+
+    def settle(self) -> list[int]:
+        """Fold what is pending into the target; the numbers of the buckets that were written. One at a time."""
+        latest, written = self._settled().agg(F.max("number").alias("n")).first()["n"] or 0, []
+        if latest and not self.folds.has("settled", latest):  # it failed half-way
+            written += self._fold(latest)
+        before = self.settled()
+        if upto := {s: b for s, b in self._between(before)}:  # in ascending order: the last batch of each stream stays
+            marks = self.spark.createDataFrame(list(upto.items()), "stream string, upto long")
+            marks.coalesce(1).write.parquet(f"{self.path}/settled/number={latest + 1}")
+            written += self._fold(latest + 1)
+        return written
+
+    def _fold(self, number: int) -> list[int]:
+        changes = self._changes(self._between(self.settled(number - 1), self.settled(number)))
+        written = [] if changes is None else self.target.apply(changes, self.fold, number)
+        self.folds.add("settled", number, len(written))
+        return written
 
 
 @dataclass
@@ -101,7 +109,7 @@ class Migrations:
     """What new versions of tables ask for while a stream runs.
 
     ``schemas``: (table, version, column). ``carry_out(table, action, columns)`` creates a table or adds columns at the
-    destination. ``current``: (table, version) as known so far; it goes on with each batch.
+    destination. ``current``: (table, version) as known so far; it goes on with each batch, and with the ledger over restarts.
     """
 
     schemas: DataFrame
@@ -115,14 +123,9 @@ class Migrations:
     def plan(self, changes: DataFrame) -> DataFrame:
         return migration_plan(changes, self.schemas, self.known(), self.order)
 
-    def advance(self, changes: DataFrame) -> None:
-        self.current |= {r["table"]: r["version"] for r in table_versions(changes, self.order).collect()}  # a row a table
-
-
-def unseen(table: LoggedTable, stamp: str, hours: int = 24) -> DataFrame | None:
-    """The logged changes with ``seen``: INSERTs that an earlier batch of the log has written within the time. ``table`` and ``id`` name keys."""
-    changes = table.changes(numbered=True)
-    return None if changes is None else seen_insert_guard(changes, "batch", stamp, hours)
+    def after(self, changes: DataFrame) -> dict[str, str]:
+        """The versions that hold after a batch."""
+        return self.current | {r["table"]: r["version"] for r in table_versions(changes, self.order).collect()}  # a row a table
 
 
 def widen(changes: DataFrame, plan: DataFrame, order: str) -> DataFrame:
@@ -151,8 +154,11 @@ def split_at_migrations(changes: DataFrame, plan: DataFrame, order: str) -> list
     return out
 
 
-def migrated(changes: DataFrame, migrations: Migrations, flush: Callable[[DataFrame, int], None], finish: Callable[[], None] = lambda: None) -> None:
-    """Carry out a batch's migrations, each before the events that need it; ``flush`` gets each part and its number, ``finish`` comes last."""
+def migrated(changes: DataFrame, migrations: Migrations, flush: Callable[[DataFrame, int], None], finish: Callable[[dict[str, str]], None] | None = None) -> None:
+    """Carry out a batch's migrations, each before the events that need it.
+
+    ``flush`` gets each part and its number, ``finish`` comes last, with the versions that hold from then on.
+    """
     changes = changes.persist()  # planned, cut and flushed from one reading of the batch
     try:
         plan = migrations.plan(changes)
@@ -161,28 +167,47 @@ def migrated(changes: DataFrame, migrations: Migrations, flush: Callable[[DataFr
                 if action != "advance":
                     migrations.carry_out(table, action, columns)
             flush(part, i)
-        finish()
-        migrations.advance(changes)
+        versions = migrations.after(changes)
+        if finish:
+            finish(versions)
+        migrations.current = versions
     finally:
         changes.unpersist()
 
 
-def apply_batch(table: LoggedTable, migrations: Migrations | None = None) -> Callable[[DataFrame, int], None]:
-    """What ``foreachBatch`` calls. Parts of a batch that is cut by migrations go to the log as one, when all are there."""
+def stream_of(changes: DataFrame) -> str:
+    """The id of the query that a micro-batch comes from; it belongs to the checkpoint and stays over restarts."""
+    found = changes.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise ValueError("not inside a streaming query: name the stream")
+    return found
+
+
+def apply_batch(table: LoggedTable, migrations: Migrations | None = None, stream: str | None = None) -> Callable[[DataFrame, int], None]:
+    """What ``foreachBatch`` calls. Parts of a batch that is cut by migrations go to the log as one, when all are there.
+
+    ``stream`` names where the batches come from; by default it is the running query's id.
+    """
 
     def run(changes: DataFrame, batch: int) -> None:
-        if batch <= table.last():  # logged, by an attempt that ended after its write
+        name = stream or stream_of(changes)
+        if table.has(name, batch):  # entered by an attempt that ended after that
             return
         if migrations is None:
-            table.append(changes, batch)
+            table.append(changes, name, batch)
             return
+        migrations.current |= table.ledger.versions()
         parts: list[DataFrame] = []
-        migrated(changes, migrations, lambda part, _: parts.append(part), lambda: table.append(reduce(DataFrame.unionByName, parts), batch))
+        migrated(changes, migrations, lambda part, _: parts.append(part), lambda versions: table.append(reduce(DataFrame.unionByName, parts), name, batch, versions))
 
     return run
 
 
 def start(changes: DataFrame, table: LoggedTable, checkpoint: str, every: str | None = None, migrations: Migrations | None = None) -> StreamingQuery:
     """Run a stream into a table: with ``every`` (a processing time) until it is stopped, else until the input is used up."""
-    writer = changes.writeStream.foreachBatch(apply_batch(table, migrations)).option("checkpointLocation", checkpoint)
+    return begin(changes, apply_batch(table, migrations), checkpoint, every)
+
+
+def begin(changes: DataFrame, run: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None) -> StreamingQuery:
+    writer = changes.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
