@@ -58,7 +58,11 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 def start(changes: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Write a stream to Parquet files, each micro-batch once."""
+    """Write a stream to Parquet files, each micro-batch once.
+
+    A run until the input is used up has no micro-batches without input: those, which only let state expire, would never end.
+    """
     use_rocksdb(changes.sparkSession)
+    changes.sparkSession.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true" if every else "false")
     writer = changes.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
