@@ -84,12 +84,14 @@ def _pieces(text: str, a: int, b: int, values: list[tuple[int, int]]) -> Iterato
             begin += 1
         while begin < end and text[end - 1] in strip:
             end -= 1
+        # whether a digit follows a place is known from the last one's: the rest of the run is looked at once, not at each sign
+        digit = next((i for i in range(end - 1, begin - 1, -1) if text[i].isdigit()), -1)
         for sign in _SIGN.finditer(text, begin, end):  # any other name, if what follows is a candidate by itself
-            if _long_enough(text, sign.end(), end):
+            if digit >= sign.end() <= end - 12:
                 if _long_enough(text, begin, sign.start()):
                     yield begin, sign.start()
                 begin = sign.end()
-        if _long_enough(text, begin, end):
+        if digit >= begin <= end - 12:
             yield begin, end
         a = max(a, d)
 

@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -301,6 +302,47 @@ def test_assigned_values_win_over_runs(spark, make, forest):
     assert texts[0] == f"x password={secret_scan.PLACEHOLDER} y" and texts[4] == f"x https://a.io/cb?api_key={secret_scan.PLACEHOLDER}&user=bob&token={secret_scan.PLACEHOLDER} y"
 
 
+def slow_candidates(text):
+    """Assigned values, and what they leave of runs of 12 value characters: a piece ends at a sign behind which a candidate stands."""
+    fits = lambda t: len(t) >= 12 and any(c.isdigit() for c in t)
+    values = [m.span(2 if m[1] else 3) for m in secret_scan._ASSIGNED.finditer(text)]
+    taken = {i for a, b in values for i in range(a, b)}
+    found = list(values)
+    for run in re.finditer(r"[A-Za-z0-9+/_=.\-]{12,}", text):
+        pieces, now = [], []
+        for i in [*range(*run.span()), None]:
+            if i is None or i in taken:
+                pieces, now = pieces + [(now, i is None)] * bool(now), []
+            else:
+                now.append(i)
+        for places, last in pieces:
+            a, b = places[0], places[-1] + 1
+            a += len(text[a:b]) - len(text[a:b].lstrip(".-="))
+            b -= len(text[a:b]) - len(text[a:b].rstrip(".-" if last else ".-="))
+            for i in range(a, b):
+                if text[i] == "=" and a < i < b - 1 and re.match(r"\w=[A-Za-z0-9+/_]", text[i - 1 : i + 2], re.ASCII) and fits(text[i + 1 : b]):
+                    found += [(a, i)] * fits(text[a:i])
+                    a = i + 1
+            found += [(a, b)] * fits(text[a:b])
+    return sorted(found)
+
+
+def test_candidates_against_a_slow_version():
+    r = random.Random(12)
+    parts = ["token", "api_key", "password:", "=", "=", "=", ":", " ", '"', "a", "b1", "9f8e7d6c5b4a", "x" * 7, "0" * 13, "-.", "&k", ";", "AbCdEf1234567", "_", "/"]
+    for _ in range(3000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(1, 25)))
+        assert secret_scan.candidates(text) == slow_candidates(text), text
+
+
+@pytest.mark.parametrize("unit", ["token=", "a=", "k=v&", "token=1", "a=1", 'token="', "auth: ", "password:x,", "aaaa1=bbbbbbbbbbb2", "token-"])
+def test_candidates_of_long_texts_take_linear_time(unit):
+    text = (unit * (1_000_000 // len(unit) + 1))[:1_000_000]
+    began = time.perf_counter()
+    secret_scan.candidates(text)
+    assert time.perf_counter() - began < 5
+
+
 def test_forest_tables_score_as_spark_does(spark, forest):
     known = forest[1]
     findings = spark.createDataFrame(secret_scan.training_findings(600), "text string, begin int, end int, label int")
