@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,21 +68,65 @@ def quote_snowflake(s: Column, fn: str = "") -> Column:
     return F.when(s.isNull() | (s == "NULL"), "NULL").otherwise(quoted)
 
 
+#: Literals of doubles that are no numbers (fixed values).
+NOT_FINITE = {"NaN": "NaN", "Infinity": "+Inf", "-Infinity": "-Inf"}
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body has it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _of_digits(x: Column, body: Callable[[Column, Column], Column]) -> Column:
+    """``body`` of the shortest significant digits of a positive double, and of the power of ten of the first one.
+
+    The JVM's text has one or two digits too many for some doubles (two at least for all); a digit less is right if it still
+    reads as the same double.
+    """
+    bare = lambda t: F.rtrim(F.ltrim(F.replace(F.regexp_replace(t, "[Ee].*$", ""), F.lit("."), F.lit("")), F.lit("0")), F.lit("0"))
+
+    def shorter(text: Column) -> Column:
+        less = _let(F.length(bare(text)), lambda n: F.when(n > 1, F.call_function("format_string", F.concat(F.lit("%."), (n - 2).cast("string"), F.lit("e")), x)))
+        return _let(less, lambda t: F.when(t.try_cast("double") == x, t).otherwise(text))
+
+    def power(text: Column) -> Column:
+        tens = F.regexp_extract(text, r"[Ee]([+-]?\d+)$", 1)
+        before, zeros = F.length(F.regexp_extract(text, r"^0*(\d*)", 1)), F.length(F.regexp_extract(text, r"^0*\.(0*)", 1))
+        return F.when(tens != "", tens.try_cast("int")).otherwise(F.when(before > 0, before - 1).otherwise(-zeros - 1))
+
+    return _let(_let(_let(x.cast("string"), shorter), shorter), lambda t: _let(bare(t), lambda digits: _let(power(t), lambda p: body(digits, p))))
+
+
+def _number(x: Column, body: Callable[[Column, Column], Column]) -> Column:
+    """The text of any double, from that of a finite, positive one."""
+    out = F.when(x.isNull(), "null")
+    for name, literal in NOT_FINITE.items():
+        out = out.when(x == F.lit(name).cast("double"), literal)
+    out = out.when(x == 0, F.when(x.cast("string").startswith("-"), "-0").otherwise("0"))
+    return out.otherwise(F.concat(F.when(x < 0, "-").otherwise(""), _of_digits(F.abs(x), body)))
+
+
+def _plain(digits: Column, power: Column) -> Column:
+    n = F.length(digits)
+    whole = F.when(power >= n - 1, F.concat(digits, F.repeat(F.lit("0"), power - n + 1)))
+    mixed = F.concat(F.substr(digits, F.lit(1), power + 1), F.lit("."), F.substr(digits, power + 2))
+    return whole.when(power >= 0, mixed).otherwise(F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits))
+
+
+def _exponent(digits: Column, power: Column) -> Column:
+    mantissa = F.concat(F.substring(digits, 1, 1), F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(""))
+    long_ = F.concat(mantissa, F.when(power < 0, "e-").otherwise("e+"), F.when(F.abs(power) < 10, "0").otherwise(""), F.abs(power).cast("string"))
+    return F.when((power >= 6) | (power < -4), long_).otherwise(_plain(digits, power))
+
+
 def number_text(x: Column) -> Column:
     """A double as its shortest plain decimal text, without exponent."""
-    whole = (x == F.floor(x)) & (F.abs(x) < 1e15)
-    return F.when(x.isNull(), "null").when(whole, x.cast("long").cast("string")).otherwise(F.regexp_replace(x.cast("decimal(38,17)").cast("string"), r"\.?0+$", ""))
+    return _number(x, _plain)
 
 
 def exponent_text(x: Column) -> Column:
     """A double as its shortest text, with an exponent of two digits at least from 1e6 on and below 1e-4."""
-    text = F.abs(x).cast("string")
-    long_ = F.regexp_extract(text, r"^([\d.]+)E", 1)
-    digits = F.regexp_replace(F.replace(F.when(long_ != "", long_).otherwise(text), F.lit("."), F.lit("")), "0+$", "")
-    power = F.when(long_ != "", F.regexp_extract(text, r"E(-?\d+)$", 1).try_cast("int")).otherwise(F.locate(".", text) - 2)
-    mantissa = F.concat(F.substring(digits, 1, 1), F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise(""))
-    signed = F.concat(F.when(x < 0, "-").otherwise(""), mantissa, F.when(power < 0, "e-").otherwise("e+"), F.when(F.abs(power) < 10, "0").otherwise(""), F.abs(power).cast("string"))
-    return F.when((x != 0) & ((F.abs(x) >= 1e6) | (F.abs(x) < 1e-4)), signed).otherwise(number_text(x))
+    return _number(x, _exponent)
 
 
 def json_text(v: Column) -> Column:
@@ -114,6 +160,18 @@ def quote_value(v: Column, kind: T.DataType, dialect: str) -> Column:
     return F.when(v.isNull(), null).otherwise(out)
 
 
+def quote_variant(v: Column, dialect: str) -> Column:
+    """A literal of a JSON value by its own type: the number 1 and the text "1" differ. All JSON numbers are doubles."""
+    null = "null" if dialect == "postgres" else "NULL"
+    kind, cast = F.schema_of_variant(v), lambda t: F.try_variant_get(v, "$", t)
+    quoted = lambda t, spark: quote_value(cast(t), spark, dialect)
+    text = {"postgres": quote_postgres, "mysql": quote_mysql, "sqlserver": quote_sqlserver, "snowflake": quote_snowflake}[dialect]
+    return (
+        F.when(v.isNull() | (kind == "VOID"), null).when(kind == "STRING", quoted("string", T.StringType())).when(kind == "BOOLEAN", quoted("boolean", T.BooleanType()))
+        .when(kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), quoted("double", T.DoubleType())).otherwise(text(F.to_json(v)))
+    )
+
+
 def quote_identifier(name: Column, dialect: str, table: bool = False) -> Column:
     words = KEYWORDS + (SQLSERVER_KEYWORDS if dialect == "sqlserver" else [])
     wrap = {"mysql": ("`", "`"), "sqlserver": ("[", "]") if table else ('"', '"')}.get(dialect, ('"', '"'))

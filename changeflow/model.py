@@ -31,6 +31,11 @@ def parse_object(text: Column) -> Column:
     return F.from_json(text, OBJECT)
 
 
+def parse_typed(text: Column) -> Column:
+    """JSON object to a map of typed values, which ``functions.quoting.quote_variant`` writes as literals."""
+    return F.from_json(text, "map<string,variant>")
+
+
 def primary_key(key: Column, obj: Column) -> Column:
     """Last part of the key, else the object's id, else the empty string."""
     return F.coalesce(F.when(F.size(key) >= 1, F.try_element_at(key, F.lit(-1))), F.try_element_at(obj, F.lit("id")), F.lit(""))

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from datetime import datetime
+from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import model
 from ..functions import quoting
 from ..operators import evolution, filters
 from .events import WIRE_SQL, wire
@@ -289,15 +293,30 @@ def default_snowflake(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SNOW = "CASE WHEN nullable THEN 'NULL' ELSE CASE type WHEN 'object' THEN {o} WHEN 'array' THEN {a} WHEN 'integer' THEN '0' WHEN 'boolean' THEN 'false' ELSE '''''' END END"
 SNOW_SQL = f"""WITH {CASES_SQL} SELECT c_custkey, {_SNOW.format(o="'''{}'''", a="'''[]'''")} AS plain, {_SNOW.format(o="'PARSE_JSON(''{}'')'", a="'PARSE_JSON(''[]'')'")} AS wrapped FROM cases"""
 
-#: Doubles and their texts: plain, and with an exponent where that is the custom (fixed values).
-_NUMBERS = [(0.5, "0.5", "0.5"), (1000000.0, "1000000", "1e+06"), (1234567.25, "1234567.25", "1.23456725e+06"), (123456.0, "123456", "123456"), (0.00001, "0.00001", "1e-05"), (-20000000.0, "-20000000", "-2e+07"), (0.0, "0", "0"), (-0.25, "-0.25", "-0.25")]
+#: Doubles from the least to the largest, and those that are no numbers.
+_DOUBLES = [0.5, 1e6, 1234567.25, 123456.0, 0.00001, -2e7, 0.0, -0.25, 1.5e-18, 1e22, 5e-324, 1.7976931348623157e308, -2.2250738585072014e-308, 2.0**-44, 8.41e21, 0.1, 1 / 3, 123456789012345680.0, float("nan"), float("inf"), float("-inf")]
+
+
+def _texts(x: float) -> tuple[str, str]:
+    """A double's texts: plain, and with an exponent of two digits where that is the custom."""
+    if math.isnan(x) or math.isinf(x):
+        return ({"nan": "NaN", "inf": "+Inf", "-inf": "-Inf"}[repr(x)],) * 2
+    sign, digits, place = Decimal(repr(x)).normalize().as_tuple()
+    plain, power = format(Decimal(repr(x)).normalize(), "f"), len(digits) + place - 1
+    if x == 0 or -5 < power < 6:
+        return plain, plain
+    mantissa = str(digits[0]) + ("." + "".join(map(str, digits[1:])) if len(digits) > 1 else "")
+    return plain, f"{'-' * sign}{mantissa}e{'-' if power < 0 else '+'}{abs(power):02}"
+
+
+_NUMBERS = [(x, *_texts(x)) for x in _DOUBLES]
 
 
 def quote_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Literals of typed columns, one row a customer and dialect."""
     k = F.col("c_custkey")
     rows = table(spark, sf_dir, "customer").select(
-        "c_custkey", F.when(k % 10 != 9, k).alias("n"), F.element_at(F.array(*[F.lit(x) for x, _, _ in _NUMBERS]), (k % 8 + 1).cast("int")).alias("x"), F.when(k % 3 != 2, k % 3 == 0).alias("b"),
+        "c_custkey", F.when(k % 10 != 9, k).alias("n"), F.element_at(F.array(*[F.lit(x) for x, _, _ in _NUMBERS]), (k % len(_NUMBERS) + 1).cast("int")).alias("x"), F.when(k % 3 != 2, k % 3 == 0).alias("b"),
         F.when(k % 4 != 0, F.array(F.col("c_mktsegment"), F.lit("it's"))).alias("a"), F.create_map(F.lit("k"), k).alias("m"), F.lit(datetime(2024, 3, 5, 6, 7, 8, 120000)).cast("timestamp_ntz").alias("t"),
     )
     parts = [rows.select("c_custkey", F.lit(d).alias("dialect"), *[quoting.quote_value(F.col(f.name), f.dataType, d).alias(f.name) for f in rows.schema if f.name != "c_custkey"]) for d in quoting.DIALECTS]
@@ -315,13 +334,36 @@ def _typed_sql(d: str) -> str:
     array = f"{as_text(f'{left}[{double}')} || c_mktsegment || {as_text(f'{double},{double}it{tick}s{double}]{right}')}"
     map_ = f"""{as_text(f"'{{{double}k{double}:")} || c_custkey || {as_text("}'")}"""
     stamp = as_text("'2024-03-05 06:07:08.12Z'" if d == "postgres" else "'2024-03-05 06:07:08.12'")
-    return f"""SELECT c_custkey, '{d}' AS dialect, CASE WHEN c_custkey % 10 = 9 THEN '{null}' ELSE c_custkey::VARCHAR END AS n, {_list(texts)}[c_custkey % 8 + 1] AS x,
+    return f"""SELECT c_custkey, '{d}' AS dialect, CASE WHEN c_custkey % 10 = 9 THEN '{null}' ELSE c_custkey::VARCHAR END AS n, {_list(texts)}[c_custkey % {len(_NUMBERS)} + 1] AS x,
   CASE c_custkey % 3 WHEN 0 THEN '{yes}' WHEN 1 THEN '{no}' ELSE '{null}' END AS b, CASE WHEN c_custkey % 4 = 0 THEN '{null}' ELSE {array} END AS a, {map_} AS m, {stamp} AS t FROM customer"""
 
 
 TYPED_SQL = " UNION ALL ".join(map(_typed_sql, quoting.DIALECTS))
 
 
+def quote_image(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Literals of row images by the JSON types of their values, which alone tell the number 7 from the text 7."""
+    k = F.col("event_id")
+    image = F.struct("value", k.alias("n"), k.cast("string").alias("s"), (k % 2 == 0).alias("b"), F.struct((k % 3).alias("k")).alias("o"), F.array(F.lit("it's")).alias("a"))
+    rows = table(spark, sf_dir, "events").select("event_id", model.parse_typed(F.to_json(image)).alias("image"))
+    names = ["value", "n", "s", "b", "o", "a", "none"]
+    parts = [rows.select("event_id", F.lit(d).alias("dialect"), *[quoting.quote_variant(F.try_element_at("image", F.lit(c)), d).alias(c) for c in names]) for d in quoting.DIALECTS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _image_sql(d: str) -> str:
+    null, (yes, no) = ("NULL" if d != "postgres" else "null"), (("true", "false") if d in ("postgres", "snowflake") else ("1", "0"))
+    double = '\\"' if d in ("mysql", "sqlserver") else '"'
+    tick = {"postgres": "'", "mysql": "\\'"}.get(d, "''")
+    mark = "$_H_$" if d == "postgres" else "'"
+    array = (mark + f"[{double}it{tick}s{double}]" + mark).replace("'", "''")
+    return f"""SELECT event_id, '{d}' AS dialect, CASE WHEN value IS NULL THEN '{null}' ELSE regexp_replace(value::VARCHAR, '[.]0$', '') END AS value, event_id::VARCHAR AS n, '''' || event_id || '''' AS s,
+  CASE WHEN event_id % 2 = 0 THEN '{yes}' ELSE '{no}' END AS b, '''{{{double}k{double}:' || (event_id % 3) || '}}''' AS o, '{array}' AS a, '{null}' AS none FROM events"""
+
+
+IMAGE_SQL = " UNION ALL ".join(map(_image_sql, quoting.DIALECTS))
+
+
 def insert_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How values get into the warehouse's semi-structured columns."""
     items = F.when(F.col("enum"), "string").when(F.col("column") == "tags", "integer")
@@ -339,11 +381,11 @@ COLUMN_MAP_SQL = f"""WITH {SCHEMA_SQL} SELECT "table" AS tbl, version, '{{' || s
 
 QUERIES = {f.__name__: f for f in (
     schema_column_order, type_mapping, create_table_ddl, missing_tables, missing_columns, add_columns_ddl, reconcile_plan, migration_plan, join_schema, destination_schema,
-    quote_pg, quote_mysql, quote_sqlserver, quote_snowflake, quote_identifier, json_default, coerce_sqlserver, default_snowflake, quote_typed, insert_function, column_map,
+    quote_pg, quote_mysql, quote_sqlserver, quote_snowflake, quote_identifier, json_default, coerce_sqlserver, default_snowflake, quote_typed, quote_image, insert_function, column_map,
 )}
 ORACLES = {
     "schema_column_order": ORDER_SQL, "type_mapping": TYPES_SQL, "create_table_ddl": CREATE_SQL, "missing_tables": MISSING_TABLES_SQL, "missing_columns": MISSING_COLUMNS_SQL, "add_columns_ddl": ADD_SQL, "reconcile_plan": RECONCILE_SQL,
     "migration_plan": MIGRATION_SQL, "join_schema": JOIN_SQL, "destination_schema": DESTINATION_SQL, "quote_pg": QUOTE_PG_SQL, "quote_mysql": QUOTE_MYSQL_SQL, "quote_sqlserver": QUOTE_SQLSERVER_SQL,
-    "quote_snowflake": QUOTE_SNOWFLAKE_SQL, "quote_identifier": IDENTIFIER_SQL, "json_default": DEFAULT_SQL, "coerce_sqlserver": COERCE_SQL, "default_snowflake": SNOW_SQL, "quote_typed": TYPED_SQL,
+    "quote_snowflake": QUOTE_SNOWFLAKE_SQL, "quote_identifier": IDENTIFIER_SQL, "json_default": DEFAULT_SQL, "coerce_sqlserver": COERCE_SQL, "default_snowflake": SNOW_SQL, "quote_typed": TYPED_SQL, "quote_image": IMAGE_SQL,
     "insert_function": INSERT_SQL, "column_map": COLUMN_MAP_SQL,
 }

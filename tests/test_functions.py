@@ -316,3 +316,26 @@ def test_feed_files(spark, tmp_path):
     query = feed.stream(spark, str(tmp_path), 1).writeStream.format("memory").queryName("fed").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "_c")).start()
     query.awaitTermination()
     assert spark.table("fed").count() == 2
+
+
+def test_literals_of_any_double(spark):
+    """Shortest digits as Python's own, in plain and in exponent form."""
+    import random
+    import struct
+
+    from changeflow.plans.schemas import _DOUBLES, _texts
+
+    r = random.Random(7)
+    some = [struct.unpack("d", r.randbytes(8))[0] for _ in range(6000)] + [float(f"{r.randint(1, 99)}e{r.randint(-320, 308)}") for _ in range(1500)] + [r.randint(0, 10**9) / 1000 for _ in range(500)] + _DOUBLES + [-0.0, 2e23, 2e-3]
+    df = spark.createDataFrame([(x,) for x in some], "x double").select("x", quoting.number_text(F.col("x")).alias("plain"), quoting.exponent_text(F.col("x")).alias("short"))
+    for r_ in df.collect():
+        assert (r_["plain"], r_["short"]) == _texts(r_["x"]), r_["x"]
+
+
+def test_typed_images(spark):
+    text = '{"a":1,"b":"1","c":null,"d":true,"e":{"x":[1,2.50]},"f":1.5e-18,"g":"2024-03-05T06:07:08Z","h":12345678901234567890,"i":[]}'
+    df = spark.createDataFrame([(text,)], "t string").select(model.parse_typed(F.col("t")).alias("m"))
+    literal = lambda d: {c: df.select(quoting.quote_variant(F.try_element_at("m", F.lit(c)), d)).first()[0] for c in "abcdefghiz"}
+    assert literal("postgres") == {"a": "1", "b": "'1'", "c": "null", "d": "true", "e": '$_H_${"x":[1,2.5]}$_H_$', "f": "0.0000000000000000015", "g": "'2024-03-05T06:07:08Z'", "h": "12345678901234567000", "i": "'[]'", "z": "null"} | {"e": literal("postgres")["e"]}
+    my = literal("mysql")
+    assert (my["a"], my["b"], my["d"], my["f"], my["g"], my["h"], my["z"]) == ("1", "'1'", "1", "1.5e-18", "'2024-03-05 06:07:08'", "1.2345678901234567e+19", "NULL")
