@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.quoting import SPARK_TYPES, kind_of
+from ..model import parse_object
+from ..session import remove, scratch
 from ..sources import snapshot
 from .evolution import migrate
 
@@ -31,22 +34,37 @@ def totals(files: DataFrame, table: str = "table", size: str = "size") -> DataFr
     return files.agg(F.countDistinct(table).alias("tables"), F.count(F.lit(1)).alias("files"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes"))
 
 
-def known_only(events: DataFrame, versions: DataFrame) -> DataFrame:
-    """The events, if all their tables are known; else an error with the names, before anything is written."""
-    unknown = sorted(r["table"] for r in snapshot.unknown_tables(events, versions).limit(100).collect())
+def known_only(tables: DataFrame, versions: DataFrame) -> None:
+    """An error with the names of the tables that no schema knows, before anything is written."""
+    unknown = sorted(r["table"] for r in snapshot.unknown_tables(tables, versions).limit(100).collect())
     if unknown:
         raise ValueError(f"no schema for the tables {unknown}")
-    return events
+
+
+#: Tables that are loaded side by side.
+AT_ONCE = 4
 
 
 def load(spark: SparkSession, database: str, lines: DataFrame, schemas: DataFrame, versions: DataFrame, only: list[str] | None = None) -> DataFrame:
     """Snapshot lines (after, file) into tables of the session's catalog: (table, version, rows).
 
-    ``schemas`` as in ``evolution``, ``versions``: (table, version), the latest. Each table is created anew, then written in one
-    job from its own rows; what is returned says which version a stream goes on from. Loops are over tables, which are metadata.
+    ``schemas`` as in ``evolution``, ``versions``: (table, version), the latest. The lines are read once, however many tables they are
+    of: one write deals them by table into a scratch folder, from which each table is loaded from its own part. Each table is created
+    anew; what is returned says which version a stream goes on from. Loops are over tables, which are metadata; ``AT_ONCE`` tables
+    are loaded at a time, each in a scheduler pool of its own, and errors of all of them are raised together.
     """
-    events = known_only(of_tables(snapshot.to_events(lines, versions), only), versions)
-    wanted = of_tables(versions, only)
+    place = scratch(spark, "import")
+    events = of_tables(snapshot.to_events(lines, versions), only)
+    events.select("table", "after").write.partitionBy("table").parquet(place)
+    dealt = spark.read.schema("after string, table string").parquet(place)
+    try:
+        known_only(dealt.select("table").distinct(), versions)
+        return _load_each(spark, database, dealt, schemas, of_tables(versions, only))
+    finally:
+        remove(spark, place)
+
+
+def _load_each(spark: SparkSession, database: str, dealt: DataFrame, schemas: DataFrame, wanted: DataFrame) -> DataFrame:
     latest = schemas.join(wanted, ["table", "version"], "left_semi")
     create = wanted.select("table", F.lit("create").alias("action"), F.array().cast("array<string>").alias("columns"))
     migrate(spark, database, latest, create, recreate=True)
@@ -54,11 +72,18 @@ def load(spark: SparkSession, database: str, lines: DataFrame, schemas: DataFram
     columns: dict[str, dict[str, str]] = {}
     for r in kinds:
         columns.setdefault(r["table"], {})[r["column"]] = SPARK_TYPES[r["kind"]]
-    done = []
-    for table in sorted(columns):
+
+    def one(table: str) -> tuple[str, int]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"import-{table}")
         target = f"`{database}`.`{table}`"
-        typed = snapshot.typed_rows(events.filter(F.col("table") == table), columns[table])
+        mine = dealt.filter(F.col("table") == table).withColumn("object", parse_object(F.col("after")))
+        typed = snapshot.typed_rows(mine, columns[table])
         typed.select(*[f"`{f.name}`" for f in spark.table(target).schema]).write.insertInto(target, overwrite=True)
-        done.append(spark.table(target).agg(F.lit(table).alias("table"), F.count(F.lit(1)).alias("rows")))
-    counts = reduce(DataFrame.unionByName, done) if done else spark.createDataFrame([], "table string, rows long")
+        return table, spark.table(target).count()
+
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        jobs = [pool.submit(inheritable_thread_target(spark)(one), t) for t in sorted(columns)]
+    if errors := [e for j in jobs if (e := j.exception())]:
+        raise ExceptionGroup("tables that could not be loaded", errors)
+    counts = spark.createDataFrame([j.result() for j in jobs], "table string, rows long")
     return wanted.join(counts, "table", "left").select("table", "version", F.coalesce("rows", F.lit(0)).alias("rows"))

@@ -339,3 +339,29 @@ def test_typed_images(spark):
     assert literal("postgres") == {"a": "1", "b": "'1'", "c": "null", "d": "true", "e": '$_H_${"x":[1,2.5]}$_H_$', "f": "0.0000000000000000015", "g": "'2024-03-05T06:07:08Z'", "h": "12345678901234567000", "i": "'[]'", "z": "null"} | {"e": literal("postgres")["e"]}
     my = literal("mysql")
     assert (my["a"], my["b"], my["d"], my["f"], my["g"], my["h"], my["z"]) == ("1", "'1'", "1", "1.5e-18", "'2024-03-05 06:07:08'", "1.2345678901234567e+19", "NULL")
+
+
+def test_an_import_reads_its_files_once(spark, tmp_path):
+    """However many tables there are: bytes of text that stages read are those of the files."""
+    import gzip
+
+    rows = [(f"t{i}", "v1", "id", "string", None, False, True, True, 1, False) for i in range(5)]
+    for i in range(5):
+        with gzip.open(tmp_path / f"202407242003015854988560000000000-s-1-2-0f-t{i}-1.ndjson.gz", "wt") as f:
+            f.writelines(json.dumps({"id": f"{i}-{k}", "x": "y" * 50}) + chr(10) for k in range(2000))
+    size = sum(f.stat().st_size for f in tmp_path.iterdir())
+    store, none = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jvm.java.util.ArrayList
+    quantiles = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0)
+    stages = lambda: {(s.stageId(), s.attemptId()): s for s in (lambda x: [x.apply(i) for i in range(x.size())])(store.stageList(none(), False, False, quantiles, none()))}
+    before = set(stages())
+    spark.sql("CREATE DATABASE IF NOT EXISTS once")
+    try:
+        versions = spark.createDataFrame([(f"t{i}", "v1") for i in range(5)], "table string, version string")
+        done = imports.load(spark, "once", snapshot.scan(spark, str(tmp_path)), spark.createDataFrame(rows, schemas.SCHEMA_DDL), versions)
+        assert {(r["table"], r["rows"]) for r in done.collect()} == {(f"t{i}", 2000) for i in range(5)}
+        read = [s.inputBytes() for k, s in stages().items() if k not in before and s.inputBytes() > size / 2]
+        assert len(read) == 1 and abs(read[0] - size) < size / 10
+        bad = spark.createDataFrame([*rows[:4], ("t4", "v1", "no column", "string", None, False, True, True, 1, False)], schemas.SCHEMA_DDL)
+        assert imports.load(spark, "once", snapshot.scan(spark, str(tmp_path)), bad, versions).count() == 5
+    finally:
+        spark.sql("DROP DATABASE once CASCADE")
