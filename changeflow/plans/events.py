@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import model
 from ..functions import hashing, naming
-from ..operators import batches, filters, flushes, imports, state
+from ..operators import batches, filters, imports, state
 from ..operators.validate import Rules
 from ..sinks import messages
 from .feeds import EVENTS_SQL, ORDERS_SQL, event_feed, order_feed, table
@@ -349,24 +349,6 @@ _TENANTS = "'k' || (event_id % 3) || '.' || CASE WHEN event_id % 2 = 0 THEN 'her
 HUB_ROWS_SQL = f"WITH {WIRE_SQL} SELECT event_id::VARCHAR AS message_id, 'application/json' AS content_type, 'dbchange.' || tbl || '.' || op || '.' || {_TENANTS} AS object_id, tbl || '.' || {_TENANTS} AS partition_key, {_TEXT} AS body FROM wire WHERE {_GOOD}"
 
 
-def flush_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flushes of each user's stream, by a clock that makes the events' hours seconds: at 6 events, idle after 8 s, old after 5 s."""
-    w = wire(spark, sf_dir).select("user_id", "event_id", F.floor(F.col("ms") / 50_000).alias("at"), (F.col("event_id") % 12).alias("waiting"))
-    return flushes.replay(w, "user_id", "event_id", "at", "waiting", limit=6, idle_ms=8_000, latency_ms=5_000).withColumnsRenamed({"first": "first_id", "last": "last_id"})
-
-
-FLUSH_PLAN_SQL = f"""
-WITH RECURSIVE {WIRE_SQL},
-e AS (SELECT user_id, event_id, ms // 50000 AS t, event_id % 12 AS b, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM wire),
-run AS (
-  SELECT user_id, event_id, rn, t, 0::BIGINT AS flush, 1 AS pending, t AS since, NULL::VARCHAR AS why FROM e WHERE rn = 1
-  UNION ALL
-  SELECT user_id, event_id, rn, t, flush, pending, since, CASE WHEN pending >= 6 THEN 'size' WHEN t - since >= 5000 AND NOT (b > 6 AND t - since < 10000) THEN 'latency' END AS why FROM (
-    SELECT n.user_id, n.event_id, n.rn, n.t, n.b, r.flush + (idle OR r.why IS NOT NULL)::INT AS flush, CASE WHEN idle OR r.why IS NOT NULL THEN 1 ELSE r.pending + 1 END AS pending, CASE WHEN idle OR r.why IS NOT NULL THEN n.t ELSE r.since END AS since
-    FROM (SELECT run.*, run.why IS NULL AND e.t > run.t AND e.t - run.since >= 8000 AS idle FROM run JOIN e ON e.user_id = run.user_id AND e.rn = run.rn + 1) r JOIN e n ON n.user_id = r.user_id AND n.rn = r.rn + 1)),
-ends AS (SELECT user_id, flush, min(event_id) AS first_id, max(event_id) AS last_id, count(*) AS n, arg_max_null(why, rn) AS why FROM run GROUP BY 1, 2)
-SELECT user_id, flush, first_id, last_id, n, coalesce(why, CASE WHEN flush < max(flush) OVER (PARTITION BY user_id) THEN 'idle' ELSE 'open' END) AS why FROM ends"""
-
 #: A rule with every kind of keyword that events of table ``event`` have to pass, and where they go.
 RULES = {"event": {"schema": "event.json", "path": "{{.table}}/{{.operation}}/{{ .id }}.json"}}
 DOCUMENTS = {
@@ -476,13 +458,13 @@ PREFIX_SQL = f"SELECT * FROM ({UPSERT_SQL}) WHERE NOT starts_with(key, 'registry
 QUERIES = {f.__name__: f for f in (
     decode_events, primary_key, omit_unknown_properties, batch_records, filter_export_watermark, filter_tenant, filter_time_offset, skip_trivial_updates, effective_diff, widen_diff, flush_batches, sequence_gaps,
     export_watermark, start_position, export_progress, import_counts, metric_histogram, running_average, seen_insert_guard, eventhub_batches, file_sink_paths, object_sink_keys, partition_key, kafka_messages,
-    kafka_partition, hash64, fnv_modulo, validated_path, mask_email, table_versions, state_upsert, state_delete_prefix, state_read, eventhub_messages, flush_plan, validate_events, export_filters, import_totals,
+    kafka_partition, hash64, fnv_modulo, validated_path, mask_email, table_versions, state_upsert, state_delete_prefix, state_read, eventhub_messages, validate_events, export_filters, import_totals,
 )}
 ORACLES = {
     "decode_events": DECODE_SQL, "primary_key": PRIMARY_KEY_SQL, "omit_unknown_properties": OMIT_SQL, "batch_records": BATCH_SQL, "filter_export_watermark": EXPORT_FILTER_SQL, "filter_tenant": TENANT_SQL, "filter_time_offset": OFFSET_SQL,
     "skip_trivial_updates": TRIVIAL_SQL, "effective_diff": EFFECTIVE_SQL, "widen_diff": WIDEN_SQL, "flush_batches": FLUSH_SQL, "sequence_gaps": GAPS_SQL, "export_watermark": WATERMARK_SQL, "start_position": START_SQL,
     "export_progress": PROGRESS_SQL, "import_counts": COUNTS_SQL, "metric_histogram": HISTOGRAM_SQL, "running_average": AVERAGE_SQL, "seen_insert_guard": SEEN_SQL, "eventhub_batches": HUB_SQL, "file_sink_paths": FILE_SQL,
     "object_sink_keys": OBJECT_SQL, "partition_key": PARTITION_KEY_SQL, "kafka_messages": KAFKA_SQL, "fnv_modulo": FNV_SQL, "validated_path": PATH_SQL, "mask_email": MASK_SQL, "table_versions": VERSIONS_SQL,
-    "state_upsert": UPSERT_SQL, "state_delete_prefix": PREFIX_SQL, "state_read": READ_SQL, "kafka_partition": PARTITION_SQL, "hash64": HASH_SQL, "eventhub_messages": HUB_ROWS_SQL, "flush_plan": FLUSH_PLAN_SQL, "validate_events": VALIDATE_SQL,
+    "state_upsert": UPSERT_SQL, "state_delete_prefix": PREFIX_SQL, "state_read": READ_SQL, "kafka_partition": PARTITION_SQL, "hash64": HASH_SQL, "eventhub_messages": HUB_ROWS_SQL, "validate_events": VALIDATE_SQL,
     "export_filters": EXPORTED_SQL, "import_totals": TOTALS_SQL,
 }

@@ -28,8 +28,6 @@ SCHEMA_ROWS = [
 ]
 NAMES = ["table", "version", "column", "type", "format", "nullable", "required", "is_pk", "pk_place", "enum"]
 SCHEMA_DDL = "table string, version string, column string, type string, format string, nullable boolean, required boolean, is_pk boolean, pk_place int, enum boolean"
-#: Destination columns that exist: labor is missing, order lacks createdDate and count.
-CATALOG_ROWS = [("order", "id", "TEXT"), ("order", "status", "TEXT"), ("order", "total", "FLOAT"), ("order", "meta", "JSON"), ("customer", "region", "TEXT"), ("customer", "id", "TEXT"), ("customer", "name", "TEXT"), ("customer", "active", "BOOLEAN"), ("customer", "tags", "JSON"), ("other", "x", "TEXT")]
 
 
 def _literal(x) -> str:
@@ -37,22 +35,56 @@ def _literal(x) -> str:
 
 
 SCHEMA_SQL = f"schemas(\"table\", version, \"column\", type, format, nullable, required, is_pk, pk_place, enum) AS (VALUES {', '.join('(' + ', '.join(map(_literal, r)) + ')' for r in SCHEMA_ROWS)})"
-CATALOG_SQL = f"catalog(\"table\", \"column\", type) AS (VALUES {', '.join('(' + ', '.join(map(_literal, r)) + ')' for r in CATALOG_ROWS)})"
 
 
 def schemas(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SCHEMA_ROWS, SCHEMA_DDL)
 
 
-def catalog(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CATALOG_ROWS, "table string, column string, type string")
+#: Columns of the tables that parts stand for, 20 a table: name, type, format, nullable, required, enum.
+_SPECS = [
+    ("id", "string", None, False, True, False), ("region", "string", None, False, True, False), ("name", "string", None, True, False, False), ("status", "array", None, False, True, True), ("total", "number", None, False, True, False),
+    ("createdDate", "string", "date-time", False, True, False), ("meta", "object", None, True, False, False), ("active", "boolean", None, False, True, False), ("tags", "array", None, False, False, False), ("count", "integer", None, True, False, False),
+    ("percent", "geo", None, True, False, False), ("select", "string", None, False, True, False), ("user", "string", None, True, True, False), ("type", "string", None, True, False, False), ("order_total", "number", None, True, False, False),
+    ("b c", "string", None, False, False, False), ("note", "string", "date-time", True, False, False), ("key", "string", None, False, True, False), ("Mixed", "array", None, True, False, True), ("json", "object", None, False, True, False),
+]
+_SPEC_KINDS = [("column", "string"), ("type", "string"), ("format", "string"), ("nullable", "boolean"), ("required", "boolean"), ("enum", "boolean")]
+_BASES = ["order", "Customer", "labor_", "user", "total"]
+
+
+def part_schemas(spark: SparkSession, sf_dir: str, latest: bool = False) -> DataFrame:
+    """Tables of 20 columns each, one column a part: 17 of them in version v1, all in v2, which every second table has."""
+    k = F.col("p_partkey")
+    rows = table(spark, sf_dir, "part").select(F.floor(k / 20).cast("string").alias("t"), (F.floor(k / 20) % 60).cast("int").alias("_m"), (k % 20).cast("int").alias("i"))
+    spec = F.element_at(F.array(*[F.struct(*[F.lit(x).cast(kind).alias(n) for x, (n, kind) in zip(r, _SPEC_KINDS, strict=True)]) for r in _SPECS]), F.col("i") + 1)
+    ends = F.when(F.col("_m") % 2 == 0, F.translate("t", "0123456789", "abcdefghij")).otherwise(F.col("t"))
+    key = ((F.col("i") == 0) & (F.col("_m") % 3 != 1)) | ((F.col("i") == 1) & (F.col("_m") % 3 == 0))
+    versions = F.filter(F.array(F.lit("v1"), F.lit("v2")), lambda v: F.when(v == "v1", F.col("i") < 17).otherwise(F.col("_m") % 2 == 0) & (F.lit(not latest) | (v == "v2") | (F.col("_m") % 2 == 1)))
+    rows = rows.select(F.concat(F.element_at(F.array(*map(F.lit, _BASES)), F.col("_m") % 5 + 1), ends).alias("table"), F.explode(versions).alias("version"), spec.alias("s"), key.alias("is_pk"), "i")
+    return rows.select("table", "version", F.col("s.column").alias("column"), "s.type", "s.format", "s.nullable", "s.required", "is_pk", F.when(F.col("is_pk"), F.col("i") + 1).alias("pk_place"), "s.enum")
+
+
+
+
+def part_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The destination lacks every fourth table, and a fifth of the columns of the others."""
+    there = part_schemas(spark, sf_dir, latest=True).filter((F.length("table") + F.ascii("table")) % 4 != 3)
+    return there.filter((F.length("column") + F.ascii("column")) % 5 != 2).select("table", "column", F.lit("TEXT").alias("type"))
 
 
-def _latest(df: DataFrame) -> DataFrame:
-    return df.filter("not (table = 'order' and version = 'v1')")
+def _spec_sql(r: tuple) -> str:
+    return "{" + ", ".join(f"'{n}': {_literal(x)}{'::VARCHAR' if k == 'string' else ''}" for x, (n, k) in zip(r, _SPEC_KINDS, strict=True)) + "}"
 
 
-LATEST_SQL = "latest AS (SELECT * FROM schemas WHERE NOT (\"table\" = 'order' AND version = 'v1'))"
+PARTS_SQL = f"""raw AS (SELECT p_partkey // 20 AS t, (p_partkey // 20) % 60 AS m, p_partkey % 20 AS i FROM part),
+specs AS (SELECT [{', '.join(map(_spec_sql, _SPECS))}] AS spec),
+versioned AS (SELECT *, unnest(['v1', 'v2']) AS version FROM raw),
+schemas AS (
+  SELECT {_BASES}[m % 5 + 1] || CASE WHEN m % 2 = 0 THEN translate(t::VARCHAR, '0123456789', 'abcdefghij') ELSE t::VARCHAR END AS "table", version, spec[i + 1]."column" AS "column", spec[i + 1].type AS type, spec[i + 1].format AS format,
+    spec[i + 1].nullable AS nullable, spec[i + 1].required AS required, (i = 0 AND m % 3 <> 1) OR (i = 1 AND m % 3 = 0) AS is_pk, CASE WHEN (i = 0 AND m % 3 <> 1) OR (i = 1 AND m % 3 = 0) THEN i + 1 END AS pk_place, spec[i + 1].enum AS enum, m
+  FROM versioned, specs WHERE CASE version WHEN 'v1' THEN i < 17 ELSE m % 2 = 0 END)"""
+LATEST_SQL = "latest AS (SELECT * FROM schemas WHERE version = 'v2' OR m % 2 = 1)"
+PART_CATALOG_SQL = """catalog AS (SELECT "table", "column", 'TEXT' AS type FROM latest WHERE (length("table") + ascii("table")) % 4 <> 3 AND (length("column") + ascii("column")) % 5 <> 2)"""
 
 
 def _out(df: DataFrame) -> DataFrame:
@@ -60,15 +92,15 @@ def _out(df: DataFrame) -> DataFrame:
 
 
 def schema_column_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _out(evolution.column_order(schemas(spark)).select("table", "version", "column", "place"))
+    return _out(evolution.column_order(part_schemas(spark, sf_dir)).select("table", "version", "column", "place"))
 
 
-ORDER_SQL = f"""WITH {SCHEMA_SQL}
+ORDER_SQL = f"""WITH {PARTS_SQL}
 SELECT "table" AS tbl, version, "column" AS col, row_number() OVER (PARTITION BY "table", version ORDER BY is_pk DESC, pk_place, "column")::INT AS place FROM schemas"""
 
 
 def type_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [evolution.with_types(schemas(spark), d).select("table", "version", "column", F.lit(d).alias("dialect"), "sql_type") for d in [*quoting.DIALECTS, "spark"]]
+    parts = [evolution.with_types(part_schemas(spark, sf_dir), d).select("table", "version", "column", F.lit(d).alias("dialect"), "sql_type") for d in [*quoting.DIALECTS, "spark"]]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -83,7 +115,7 @@ def _types_sql(dialect: str, pk: str = "is_pk") -> str:
     return f"CASE {_KIND.format(pk=pk)} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in types.items()) + " END"
 
 
-TYPES_SQL = f"WITH {SCHEMA_SQL} " + " UNION ALL ".join(f"SELECT \"table\" AS tbl, version, \"column\" AS col, '{d}' AS dialect, {_types_sql(d)} AS sql_type FROM schemas" for d in [*quoting.DIALECTS, "spark"])
+TYPES_SQL = f"WITH {PARTS_SQL} " + " UNION ALL ".join(f"SELECT \"table\" AS tbl, version, \"column\" AS col, '{d}' AS dialect, {_types_sql(d)} AS sql_type FROM schemas" for d in [*quoting.DIALECTS, "spark"])
 
 
 def _quote_sql(name: str, dialect: str, table_: bool = False) -> str:
@@ -96,7 +128,7 @@ def _quote_sql(name: str, dialect: str, table_: bool = False) -> str:
 
 
 def create_table_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [evolution.create_table(_latest(schemas(spark)), d).withColumn("dialect", F.lit(d)) for d in quoting.DIALECTS]
+    parts = [evolution.create_table(part_schemas(spark, sf_dir, latest=True), d).withColumn("dialect", F.lit(d)) for d in quoting.DIALECTS]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -113,27 +145,27 @@ def _create_sql(d: str) -> str:
   || coalesce(chr(9) || 'PRIMARY KEY (' || string_agg({col}, ', ' ORDER BY pk_place) FILTER (is_pk) || ')', {none}) || {end} AS ddl, '{d}' AS dialect FROM latest GROUP BY "table", version"""
 
 
-CREATE_SQL = f"WITH {SCHEMA_SQL}, {LATEST_SQL} " + " UNION ALL ".join(map(_create_sql, quoting.DIALECTS))
+CREATE_SQL = f"WITH {PARTS_SQL}, {LATEST_SQL} " + " UNION ALL ".join(map(_create_sql, quoting.DIALECTS))
 
 
 def missing_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _out(evolution.missing_tables(_latest(schemas(spark)), catalog(spark)))
+    return _out(evolution.missing_tables(part_schemas(spark, sf_dir, latest=True), part_catalog(spark, sf_dir)))
 
 
-MISSING_TABLES_SQL = f'WITH {SCHEMA_SQL}, {CATALOG_SQL}, {LATEST_SQL} SELECT DISTINCT "table" AS tbl FROM latest WHERE "table" NOT IN (SELECT "table" FROM catalog)'
+MISSING_TABLES_SQL = f'WITH {PARTS_SQL}, {LATEST_SQL}, {PART_CATALOG_SQL} SELECT DISTINCT "table" AS tbl FROM latest WHERE "table" NOT IN (SELECT "table" FROM catalog)'
 
 
 def missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _out(evolution.missing_columns(_latest(schemas(spark)), catalog(spark)))
+    return _out(evolution.missing_columns(part_schemas(spark, sf_dir, latest=True), part_catalog(spark, sf_dir)))
 
 
 _MISSING = 'SELECT "table", "column" FROM latest WHERE "table" IN (SELECT "table" FROM catalog) AND ("table", "column") NOT IN (SELECT ("table", "column") FROM catalog)'
-MISSING_COLUMNS_SQL = f'WITH {SCHEMA_SQL}, {CATALOG_SQL}, {LATEST_SQL} SELECT "table" AS tbl, "column" AS col FROM ({_MISSING})'
+MISSING_COLUMNS_SQL = f'WITH {PARTS_SQL}, {LATEST_SQL}, {PART_CATALOG_SQL} SELECT "table" AS tbl, "column" AS col FROM ({_MISSING})'
 
 
 def add_columns_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latest = _latest(schemas(spark))
-    missing = evolution.missing_columns(latest, catalog(spark))
+    latest = part_schemas(spark, sf_dir, latest=True)
+    missing = evolution.missing_columns(latest, part_catalog(spark, sf_dir))
     parts = [evolution.add_columns(latest, missing, d).withColumn("dialect", F.lit(d)) for d in quoting.DIALECTS]
     out = parts[0]
     for p in parts[1:]:
@@ -141,17 +173,17 @@ def add_columns_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(out)
 
 
-ADD_SQL = f"WITH {SCHEMA_SQL}, {CATALOG_SQL}, {LATEST_SQL}, missing AS ({_MISSING}), m AS (SELECT l.* FROM latest l JOIN missing USING (\"table\", \"column\")) " + " UNION ALL ".join(
+ADD_SQL = f"WITH {PARTS_SQL}, {LATEST_SQL}, {PART_CATALOG_SQL}, missing AS ({_MISSING}), m AS (SELECT l.* FROM latest l JOIN missing USING (\"table\", \"column\")) " + " UNION ALL ".join(
     f"""SELECT "table" AS tbl, "column" AS col, 'ALTER TABLE ' || {_quote_sql('"table"', d, True)} || '{' ADD ' if d == 'sqlserver' else ' ADD COLUMN '}' || {_quote_sql('"column"', d)} || ' ' || {_types_sql(d, 'false')} || ';' AS ddl, '{d}' AS dialect FROM m"""
     for d in quoting.DIALECTS
 )
 
 
 def reconcile_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _out(evolution.reconcile(_latest(schemas(spark)), catalog(spark)).withColumn("columns", F.array_join("columns", ",")))
+    return _out(evolution.reconcile(part_schemas(spark, sf_dir, latest=True), part_catalog(spark, sf_dir)).withColumn("columns", F.array_join("columns", ",")))
 
 
-RECONCILE_SQL = f"""WITH {SCHEMA_SQL}, {CATALOG_SQL}, {LATEST_SQL}
+RECONCILE_SQL = f"""WITH {PARTS_SQL}, {LATEST_SQL}, {PART_CATALOG_SQL}
 SELECT DISTINCT "table" AS tbl, 'create' AS action, '' AS columns FROM latest WHERE "table" NOT IN (SELECT "table" FROM catalog)
 UNION ALL SELECT "table", 'add_columns', string_agg("column", ',' ORDER BY "column") FROM ({_MISSING}) GROUP BY 1"""
 
@@ -367,17 +399,17 @@ IMAGE_SQL = " UNION ALL ".join(map(_image_sql, quoting.DIALECTS))
 def insert_function(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How values get into the warehouse's semi-structured columns."""
     items = F.when(F.col("enum"), "string").when(F.col("column") == "tags", "integer")
-    return _out(schemas(spark).select("table", "version", "column", quoting.insert_function(F.col("type"), F.coalesce(items, F.lit(""))).alias("function")))
+    return _out(part_schemas(spark, sf_dir).select("table", "version", "column", quoting.insert_function(F.col("type"), F.coalesce(items, F.lit(""))).alias("function")))
 
 
-INSERT_SQL = f"""WITH {SCHEMA_SQL} SELECT "table" AS tbl, version, "column" AS col, CASE WHEN type = 'object' OR (type = 'array' AND enum) THEN 'PARSE_JSON' WHEN type = 'array' THEN 'TO_VARIANT' ELSE '' END AS function FROM schemas"""
+INSERT_SQL = f"""WITH {PARTS_SQL} SELECT "table" AS tbl, version, "column" AS col, CASE WHEN type = 'object' OR (type = 'array' AND enum) THEN 'PARSE_JSON' WHEN type = 'array' THEN 'TO_VARIANT' ELSE '' END AS function FROM schemas"""
 
 
 def column_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _out(evolution.column_map(schemas(spark)).select("table", "version", F.to_json("columns").alias("columns")))
+    return _out(evolution.column_map(part_schemas(spark, sf_dir)).select("table", "version", F.to_json("columns").alias("columns")))
 
 
-COLUMN_MAP_SQL = f"""WITH {SCHEMA_SQL} SELECT "table" AS tbl, version, '{{' || string_agg('"' || "column" || '":"' || type || '"', ',' ORDER BY "column") || '}}' AS columns FROM schemas GROUP BY 1, 2"""
+COLUMN_MAP_SQL = f"""WITH {PARTS_SQL} SELECT "table" AS tbl, version, '{{' || string_agg('"' || "column" || '":"' || type || '"', ',' ORDER BY "column") || '}}' AS columns FROM schemas GROUP BY 1, 2"""
 
 QUERIES = {f.__name__: f for f in (
     schema_column_order, type_mapping, create_table_ddl, missing_tables, missing_columns, add_columns_ddl, reconcile_plan, migration_plan, join_schema, destination_schema,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from changeflow import model
 from changeflow.functions import hashing, masking, naming, quoting
-from changeflow.operators import apply, evolution, flushes, imports
+from changeflow.operators import apply, evolution, imports
 from changeflow.operators.validate import Rules
 from changeflow.plans import schemas
 from changeflow.sinks import destinations, objects
@@ -292,14 +292,6 @@ def test_imports(spark, tmp_path):
         spark.sql("DROP DATABASE IF EXISTS imp CASCADE")
 
 
-def test_flusher_by_hand():
-    f = flushes.Flusher(limit=3, idle_ms=2000, latency_ms=30_000)
-    take = [f.take(at, waiting) for at, waiting in ((0, 0), (100, 0), (200, 0), (300, 0), (2299, 0), (2300, 0), (2300, 0))]
-    assert take == [[], [], [("after", "size")], [], [], [("before", "idle")], []]
-    f = flushes.Flusher(limit=100, idle_ms=10**9, latency_ms=30_000)
-    assert [f.take(at, waiting) for at, waiting in ((0, 0), (30_000, 500), (59_999, 500), (60_000, 500), (60_001, 0), (90_001, 5))] == [[], [], [], [("after", "latency")], [], [("after", "latency")]]
-
-
 def test_strategies(spark):
     target = spark.createDataFrame([(1, "a", 5)], "pk int, v string, ts int")
     records = spark.createDataFrame([(1, "UPDATE", ["v"], 1, "b", 4)], "pk int, op string, diff array<string>, seq int, v string, ts int")
