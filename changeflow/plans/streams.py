@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..operators import apply
 from ..session import shared_dir
-from ..streaming import runner, seen
+from ..sources import changes as source
+from ..streaming import guard, runner, seen
 from . import changes, events
 from .feeds import COLUMNS, EVENTS_SQL, event_feed, user_target
 
@@ -112,5 +113,34 @@ def stream_seen_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SEEN_SQL = events.SEEN_SQL.replace("seq // 500 AS flush FROM feed", "seq * 4 // (max(seq) OVER () + 1) AS flush FROM feed")
 
-QUERIES = {f.__name__: f for f in (stream_apply_postgres, stream_apply_mysql, stream_migration, stream_two_sources, stream_seen_guard)}
-ORACLES = {"stream_apply_postgres": changes.APPLY_POSTGRES_SQL, "stream_apply_mysql": changes.APPLY_MYSQL_SQL, "stream_migration": STREAM_MIGRATION_SQL, "stream_two_sources": changes.APPLY_POSTGRES_SQL, "stream_seen_guard": SEEN_SQL}
+
+def change_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wire lines in files, half of them compressed, through the change source in batches of a third, over a restart.
+
+    What of the lines is good is logged; bad lines and events of the table ``user_event``, which has no schema, are set aside.
+    """
+    place = f"{shared_dir(spark).rstrip('/')}/changeflow-stream-{uuid.uuid4().hex}"
+    lines = events.wire_json(spark, sf_dir)
+    for kind, rest in (("none", 0), ("gzip", 1)):
+        lines.filter(F.col("event_id") % 2 == rest).select("value").coalesce(4).write.mode("append").option("compression", kind).text(f"{place}/in")
+    size = lines.agg(F.sum(F.octet_length("value"))).first()[0] or 1
+    schema = "operation string, id string, table string, pk string"
+    table = runner.LoggedTable(spark, f"{place}/table", "pk string", schema, lambda old, new: old, "pk", 2)
+    versions = spark.createDataFrame([("event", "v1")], "table string, version string")
+    for _ in range(2):
+        read = source.stream(spark, f"{place}/in", f"{place}/state/source.json", max_bytes=size // 3 + 1, split_bytes=1 << 20)
+        query = runner.begin(read, guard.sorting(runner.apply_batch(table), versions, f"{place}/aside"), f"{place}/checkpoint", every="0 seconds")
+        query.processAllAvailable()
+        query.stop()
+    good = table.changes().select(F.lit("good").alias("why"), "id", F.col("table").alias("tbl"), "pk")
+    aside = spark.read.parquet(f"{place}/aside/rows").select("why", "id", F.col("table").alias("tbl"), "pk")
+    return good.unionByName(aside)
+
+
+CHANGE_SOURCE_SQL = f"""
+WITH {events.WIRE_SQL}, read AS (SELECT *, event_id % 50 = 0 AS cut, event_id % 70 = 0 AS bare FROM wire)
+SELECT CASE WHEN cut THEN 'bad json' WHEN bare THEN 'no primary key' WHEN tbl = 'user_event' THEN 'unknown table' ELSE 'good' END AS why, CASE WHEN NOT cut THEN event_id::VARCHAR END AS id, CASE WHEN NOT cut THEN tbl END AS tbl,
+  CASE WHEN cut OR bare THEN '' ELSE pk END AS pk FROM read"""
+
+QUERIES = {f.__name__: f for f in (stream_apply_postgres, stream_apply_mysql, stream_migration, stream_two_sources, stream_seen_guard, change_source)}
+ORACLES = {"stream_apply_postgres": changes.APPLY_POSTGRES_SQL, "stream_apply_mysql": changes.APPLY_MYSQL_SQL, "stream_migration": STREAM_MIGRATION_SQL, "stream_two_sources": changes.APPLY_POSTGRES_SQL, "stream_seen_guard": SEEN_SQL, "change_source": CHANGE_SOURCE_SQL}
