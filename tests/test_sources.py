@@ -8,6 +8,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from changeflow.sinks import objects
 from changeflow.sources import changes
 from changeflow.streaming import guard, runner
 
@@ -99,3 +100,46 @@ def test_a_poison_event_is_set_aside_after_its_deliveries(spark, tmp_path):
     start()
     start()  # the first run of a source that has just been started may only learn that its last batch was done
     assert [s[1] for s in seen[1:]] == [[100, 101]]
+
+
+def batches_of(rows, cut=3):
+    import pyarrow as pa
+
+    return [pa.RecordBatch.from_pydict({"path": [p for p, _ in part], "value": [v for _, v in part]}) for part in (rows[i : i + cut] for i in range(0, len(rows), cut))]
+
+
+def there(folder):
+    return {str(f.relative_to(folder)): f.read_text() for f in folder.rglob("*") if f.is_file() and objects.HIDDEN not in f.parts}
+
+
+def test_a_killed_task_leaves_nothing_that_is_seen(spark, tmp_path):
+    store = objects.Store(str(tmp_path))
+    writer = objects.ObjectWriter(store, "run")
+
+    def killed():
+        yield from batches_of([("a/1.json", "lost")])
+        raise MemoryError
+
+    with pytest.raises(MemoryError):
+        writer.write(killed())
+    kept = [writer.write(iter(batches_of([(f"a/{i}.json", f"v{i}") for i in range(k, k + 4)]))) for k in (0, 4)]
+    assert there(tmp_path) == {}
+    writer.commit(kept)
+    assert there(tmp_path) == {} and objects.unpublished(store) == ["run"]
+    first = tmp_path / objects.HIDDEN / "run" / kept[0].attempt
+    (tmp_path / "a").mkdir()
+    (first / "0").rename(tmp_path / "a/0.json")  # a publication that was lost after its first object
+    assert objects.put(spark.createDataFrame([("b", "w"), ("a/2.json", "newer")], "path string, value string"), store) == 2
+    assert there(tmp_path) == {f"a/{i}.json": f"v{i}" for i in range(8)} | {"b": "w", "a/2.json": "newer"} and objects.unpublished(store) == []
+
+
+def test_errors_of_all_tasks_come_together(spark, tmp_path):
+    store = objects.Store(str(tmp_path))
+    (tmp_path / "keep").write_text("old")
+    rows = spark.createDataFrame([(f"ok/{i}", "x") for i in range(8)] + [("../out", "x"), ("/etc/y", "x"), ("keep", "new")], "path string, value string").repartition(4)
+    with pytest.raises(Exception, match="leads out") as e:
+        objects.put(rows, store)
+    assert "../out" in str(e.value) and "/etc/y" in str(e.value)
+    assert there(tmp_path) == {"keep": "old"} and objects.unpublished(store) == []
+    assert objects.put(rows.filter("path not like '%out' and path not like '/%'"), store) == 9 and there(tmp_path)["keep"] == "new"
+    assert objects.put(rows.limit(0), store) == 0
