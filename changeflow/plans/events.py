@@ -12,6 +12,7 @@ from ..functions import hashing, naming
 from ..operators import batches, filters, imports, state
 from ..operators.validate import Rules
 from ..sinks import messages
+from ..sources import generator
 from .feeds import EVENTS_SQL, ORDERS_SQL, event_feed, order_feed, table
 
 #: Events as wire JSON: tables user_event and event, keys [region, user], images with a property that no schema has.
@@ -349,6 +350,31 @@ _TENANTS = "'k' || (event_id % 3) || '.' || CASE WHEN event_id % 2 = 0 THEN 'her
 HUB_ROWS_SQL = f"WITH {WIRE_SQL} SELECT event_id::VARCHAR AS message_id, 'application/json' AS content_type, 'dbchange.' || tbl || '.' || op || '.' || {_TENANTS} AS object_id, tbl || '.' || {_TENANTS} AS partition_key, {_TEXT} AS body FROM wire WHERE {_GOOD}"
 
 
+GENERATED = {"seed": 7, "now": 1_720_000_000, "shift_days": -30}
+
+
+def generated_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One made-up change for each customer of the table, with dates a month back."""
+    made = generator.customer_updates(table(spark, sf_dir, "customer"), "c_custkey", **GENERATED)
+    image = F.from_json("after", "firstName string, email string, taxExempt boolean, orderCount long, discountPercent double, paymentTermId string, createdDate string, dotNumber string, lastTimeOrderWorked string, locationIds array<string>")
+    rows = made.withColumn("i", image)
+    return rows.select(F.element_at("key", 1).alias("pk"), "companyId", "timestamp", "mvccTimestamp", F.size("i.locationIds").cast("long").alias("locations"), *[f"i.{c}" for c in ("firstName", "email", "taxExempt", "orderCount", "discountPercent", "paymentTermId", "createdDate", "dotNumber", "lastTimeOrderWorked")])
+
+
+def _draw(field: str, below: int) -> str:
+    return f"(('0x' || substr(md5('{GENERATED['seed']}:' || c_custkey || ':{field}'), 1, 8))::BIGINT % {below})"
+
+
+_NOW = GENERATED["now"] + GENERATED["shift_days"] * 86_400
+_CREATED = f"({_NOW} - {_draw('createdDate', generator.YEAR)})"
+_ISO = "strftime(make_timestamp(({}) * 1000000), '%Y-%m-%dT%H:%M:%SZ')"
+GENERATED_SQL = f"""
+SELECT 'customer' || c_custkey AS pk, 'company' || {_draw('companyId', 4)} AS "companyId", {_NOW * 1000}::BIGINT AS timestamp, ({_NOW * 10**9} + c_custkey)::VARCHAR AS "mvccTimestamp", CASE WHEN {_draw('locationIds?', 100)} < 50 THEN 2 ELSE 1 END::BIGINT AS locations,
+  'FirstName' || {_draw('firstName', 1000)} AS "firstName", 'user' || {_draw('email', 10_000)} || '@example.com' AS email, {_draw('taxExempt?', 100)} < 20 AS "taxExempt", {_draw('orderCount', 100)} AS "orderCount", {_draw('discountPercent', 2500)} / 100 AS "discountPercent",
+  regexp_replace(md5('{GENERATED['seed']}:' || c_custkey || ':paymentTermId'), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})', '\\1-\\2-\\3-\\4-') AS "paymentTermId", {_ISO.format(_CREATED)} AS "createdDate",
+  CASE WHEN {_draw('customerType', 2)} = 1 THEN lpad({_draw('dotNumber', 1_000_000)}::VARCHAR, 6, '0') END AS "dotNumber",
+  CASE WHEN {_draw('lastTimeOrderWorked?', 100)} < 70 THEN {_ISO.format(f"{_CREATED} + floor({_draw('lastTimeOrderWorked', 10_000)} * ({_NOW} - {_CREATED}) / 10000)::BIGINT")} END AS "lastTimeOrderWorked" FROM customer"""
+
 #: A rule with every kind of keyword that events of table ``event`` have to pass, and where they go.
 RULES = {"event": {"schema": "event.json", "path": "{{.table}}/{{.operation}}/{{ .id }}.json"}}
 DOCUMENTS = {
@@ -458,13 +484,13 @@ PREFIX_SQL = f"SELECT * FROM ({UPSERT_SQL}) WHERE NOT starts_with(key, 'registry
 QUERIES = {f.__name__: f for f in (
     decode_events, primary_key, omit_unknown_properties, batch_records, filter_export_watermark, filter_tenant, filter_time_offset, skip_trivial_updates, effective_diff, widen_diff, flush_batches, sequence_gaps,
     export_watermark, start_position, export_progress, import_counts, metric_histogram, running_average, seen_insert_guard, eventhub_batches, file_sink_paths, object_sink_keys, partition_key, kafka_messages,
-    kafka_partition, hash64, fnv_modulo, validated_path, mask_email, table_versions, state_upsert, state_delete_prefix, state_read, eventhub_messages, validate_events, export_filters, import_totals,
+    kafka_partition, hash64, fnv_modulo, validated_path, mask_email, table_versions, state_upsert, state_delete_prefix, state_read, eventhub_messages, generated_events, validate_events, export_filters, import_totals,
 )}
 ORACLES = {
     "decode_events": DECODE_SQL, "primary_key": PRIMARY_KEY_SQL, "omit_unknown_properties": OMIT_SQL, "batch_records": BATCH_SQL, "filter_export_watermark": EXPORT_FILTER_SQL, "filter_tenant": TENANT_SQL, "filter_time_offset": OFFSET_SQL,
     "skip_trivial_updates": TRIVIAL_SQL, "effective_diff": EFFECTIVE_SQL, "widen_diff": WIDEN_SQL, "flush_batches": FLUSH_SQL, "sequence_gaps": GAPS_SQL, "export_watermark": WATERMARK_SQL, "start_position": START_SQL,
     "export_progress": PROGRESS_SQL, "import_counts": COUNTS_SQL, "metric_histogram": HISTOGRAM_SQL, "running_average": AVERAGE_SQL, "seen_insert_guard": SEEN_SQL, "eventhub_batches": HUB_SQL, "file_sink_paths": FILE_SQL,
     "object_sink_keys": OBJECT_SQL, "partition_key": PARTITION_KEY_SQL, "kafka_messages": KAFKA_SQL, "fnv_modulo": FNV_SQL, "validated_path": PATH_SQL, "mask_email": MASK_SQL, "table_versions": VERSIONS_SQL,
-    "state_upsert": UPSERT_SQL, "state_delete_prefix": PREFIX_SQL, "state_read": READ_SQL, "kafka_partition": PARTITION_SQL, "hash64": HASH_SQL, "eventhub_messages": HUB_ROWS_SQL, "validate_events": VALIDATE_SQL,
+    "state_upsert": UPSERT_SQL, "state_delete_prefix": PREFIX_SQL, "state_read": READ_SQL, "kafka_partition": PARTITION_SQL, "hash64": HASH_SQL, "eventhub_messages": HUB_ROWS_SQL, "generated_events": GENERATED_SQL, "validate_events": VALIDATE_SQL,
     "export_filters": EXPORTED_SQL, "import_totals": TOTALS_SQL,
 }

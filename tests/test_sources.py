@@ -8,8 +8,9 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from changeflow import model
 from changeflow.sinks import objects
-from changeflow.sources import changes
+from changeflow.sources import changes, generator
 from changeflow.streaming import guard, runner
 
 
@@ -143,3 +144,17 @@ def test_errors_of_all_tasks_come_together(spark, tmp_path):
     assert there(tmp_path) == {"keep": "old"} and objects.unpublished(store) == []
     assert objects.put(rows.filter("path not like '%out' and path not like '/%'"), store) == 9 and there(tmp_path)["keep"] == "new"
     assert objects.put(rows.limit(0), store) == 0
+
+
+def test_generated_events_don_t_depend_on_partitioning(spark):
+    made = lambda rows, **more: {r["key"][0]: tuple(r) for r in generator.customer_updates(rows, "id", 3, 1_700_000_000, **more).collect()}
+    whole = made(spark.range(200))
+    assert made(spark.range(200).repartition(7).orderBy(F.desc("id"))) == whole and len(whole) == 200
+    assert made(spark.range(50, 60)) == {k: v for k, v in whole.items() if 50 <= int(k[8:]) < 60}
+    assert made(spark.range(5)) != {r["key"][0]: tuple(r) for r in generator.generate(spark, 5, 4, 1_700_000_000).collect()}
+    later = generator.generate(spark, 200, 3, 1_700_000_000, shift_days=2, tenant=("c", "l"))
+    decoded = model.decode(later.select(model.event_json().alias("value")))
+    assert decoded.filter("error is not null").count() == 0 and {tuple(r) for r in decoded.select("companyId", "locationId", "timestamp").distinct().collect()} == {("c", "l", 1_700_172_800_000)}
+    images = [json.loads(r["after"]) for r in later.collect()]
+    assert 100 < sum("lastTimeOrderWorked" in i for i in images) < 180 and all(i["createdDate"] <= i.get("lastTimeOrderWorked", "9") <= "9" for i in images)
+    assert all(("dotNumber" in i) == (i["customerType"] == "Fleet") for i in images)
