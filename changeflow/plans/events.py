@@ -381,7 +381,8 @@ DOCUMENTS = {
     "base.json": {"type": "object", "properties": {"operation": {"enum": ["INSERT", "UPDATE"]}, "timestamp": {"type": "integer", "minimum": 1}}, "required": ["operation", "timestamp"]},
     "event.json": {
         "allOf": [{"$ref": "file:///base.json"}], "required": ["table", "after"],
-        "properties": {"table": {"const": "event"}, "after": {"type": "object", "required": ["id", "kind"], "properties": {"kind": {"type": "string", "enum": ["click", "view", "signup"]}, "extra": {"type": "string", "minLength": 3}}}},
+        "properties": {"table": {"const": "event"}, "after": {"type": "object", "required": ["id", "kind"], "properties": {"kind": {"type": "string", "enum": ["click", "view", "signup"]}, "extra": {"type": "string", "minLength": 3, "pattern": "[0-6]$"}, "id": True}, "additionalProperties": False}},
+        "oneOf": [{"properties": {"companyId": {"pattern": "^c[01]"}}}, {"properties": {"companyId": {"enum": ["c1", "c2"]}}}],
         "anyOf": [{"properties": {"operation": {"const": "INSERT"}}}, {"properties": {"locationId": {"type": "string", "minLength": 1}}, "required": ["locationId"]}],
     },
 }
@@ -394,7 +395,7 @@ def validate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 VALIDATE_SQL = f"""WITH {WIRE_SQL} SELECT event_id, 'event/' || op || '/' || event_id || '.json' AS path FROM wire
-WHERE {_GOOD} AND tbl = 'event' AND op IN ('INSERT', 'UPDATE') AND event_type IN ('click', 'view', 'signup') AND length(event_id::VARCHAR) >= 3 AND (op = 'INSERT' OR location IS NOT NULL)"""
+WHERE {_GOOD} AND tbl = 'event' AND op IN ('INSERT', 'UPDATE') AND event_type IN ('click', 'view', 'signup') AND length(event_id::VARCHAR) >= 3 AND (op = 'INSERT' OR location IS NOT NULL) AND event_id % 10 <= 6 AND company IN ('c0', 'c2')"""
 
 
 def export_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

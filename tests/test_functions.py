@@ -106,8 +106,27 @@ def test_validation(spark, rules):
     df = spark.createDataFrame(rows, "operation string, id string, table string, key array<string>, locationId string, before string, after string, diff array<string>")
     df = df.select("*", *[F.lit(None).cast("string").alias(c) for c in ("modelVersion", "companyId", "userId")], F.lit(1).cast("long").alias("timestamp"), F.lit("123456789").alias("mvccTimestamp"))
     assert [(r["id"], r["validated_path"]) for r in rules.validate(df).collect()] == [("999", "labor/received/labor_123456789_999.json")]
-    with pytest.raises(ValueError, match="not supported"):
-        rules.check({"pattern": "x"}, F.lit(None))
+    for unknown in ("unevaluatedProperties", "nope", "check"):
+        with pytest.raises(ValueError, match="not supported"):
+            rules.check({unknown: False}, F.lit(None))
+
+
+@pytest.mark.parametrize(("schema", "good", "bad"), [
+    ({"pattern": "b+c"}, ['"abbcd"', "5", "null"], ['"ac"', '"BC"']), ({"maxLength": 2}, ['"éé"', "[1,2,3]"], ['"abc"']), ({"multipleOf": 0.1}, ["0.3", "7", '"x"'], ["0.25"]),
+    ({"exclusiveMinimum": 1, "exclusiveMaximum": 3}, ["2", "1.5", '"0"'], ["1", "3", "4"]), ({"type": "integer"}, ["1", "2.0", "-3"], ["2.5", '"1"', "true"]), ({"type": ["null", "array"]}, ["null", "[]"], ["{}", "0"]),
+    ({"minItems": 1, "maxItems": 2}, ["[1]", "[1,[2,3]]", "{}"], ["[]", "[1,2,3]"]), ({"uniqueItems": True}, ['[1,"1",true]', "[]"], ["[1,2,1]", '[{"a":1},{"a":1}]']), ({"items": {"type": "string"}}, ['["a"]', "[]", "3"], ['["a",1]']),
+    ({"prefixItems": [{"const": 1}, {"type": "string"}], "items": {"type": "boolean"}}, ["[1]", '[1,"a",true]', "[]"], ["[2]", "[1,1]", '[1,"a",3]']), ({"contains": {"minimum": 5}}, ["[1,6]"], ["[1]", "[]"]),
+    ({"properties": {"a": {"type": "string"}}, "additionalProperties": False}, ['{"a":"x"}', "{}", "[1]"], ['{"b":1}', '{"a":"x","c":null}', '{"a":1}']),
+    ({"properties": {"a": True}, "patternProperties": {"^x-": {"type": "integer"}}, "additionalProperties": {"type": "string"}}, ['{"a":[],"x-1":5,"z":"t"}'], ['{"x-1":"5"}', '{"z":1}']),
+    ({"propertyNames": {"pattern": "^[a-z]+$", "maxLength": 3}}, ['{"abc":1}', "1"], ['{"A":1}', '{"abcd":1}']), ({"minProperties": 1, "maxProperties": 2}, ['{"a":1}', "[]"], ["{}", '{"a":1,"b":2,"c":3}']),
+    ({"dependentRequired": {"a": ["b", "odd name"]}}, ['{"b":1}', '{"a":1,"b":2,"odd name":3}'], ['{"a":1,"b":2}']), ({"required": ["a"]}, ['{"a":null}', "7"], ['{"b":1}']),
+    ({"oneOf": [{"minimum": 5}, {"multipleOf": 2}]}, ["4", "7"], ["3", "8"]), ({"not": {"enum": [1, "a", None, {"k": [1]}]}}, ["2", '"b"', "{}"], ["1", '"a"', "null", '{"k":[1]}']),
+    ({"if": {"properties": {"k": {"const": 1}}, "required": ["k"]}, "then": {"required": ["a"]}, "else": {"required": ["b"]}}, ['{"k":1,"a":2}', '{"k":2,"b":2}', '{"b":1}'], ['{"k":1,"b":2}', '{"k":2,"a":2}']),
+    ({"anyOf": [{"type": "string"}, {"minimum": 3}]}, ['"x"', "3"], ["2"]), (True, ["1"], []), ({"allOf": [False]}, [], ["1"]),
+])
+def test_schema_keywords(spark, schema, good, bad):
+    df = spark.createDataFrame([(t,) for t in good + bad], "t string").withColumn("v", F.parse_json("t"))
+    assert {r["t"]: r["ok"] for r in df.select("t", Rules(rules={}).check(schema, F.col("v")).alias("ok")).collect()} == dict.fromkeys(good, True) | dict.fromkeys(bad, False)
 
 
 def test_destinations(spark):
