@@ -12,9 +12,11 @@ least ``LEAST_WORDS`` words are returned, and pairs whose alignment scores as mu
 an edit, however long the item is: an excerpt of a long item is a leak although most of the item is missing. Items of fewer
 than ``LEAST_WORDS`` words are found by their whole sequence of words, without an edit.
 
-The join is of a stated query set, the benchmark, against all rows: items are sent to the tasks in blocks of at most
-``BLOCK_BYTES`` of text, with two passes for each block, so what is broadcast has a bound however large the benchmark is.
-No document leaves its task, and no task needs more than its own rows.
+The join is of a stated query set, the benchmark, against all rows. A benchmark of at most ``BLOCK_BYTES`` of text is sent to the tasks:
+two readings of the corpus, and no document leaves its task. A larger one is joined by shuffle (``SeedJoin``), in three readings
+however large it is: seeds of documents and items meet by their hash, counted first, then those that are rare; what has hits enough is
+aligned where the document's words meet the item's. Bloom filters of fixed size keep documents' other seeds from the shuffle; they never
+decide. Both ways give the same rows.
 
 Edge cases: null or empty texts and items, and items without letters and digits, match nothing; all texts of an item_id are
 searched, also those of items without one, and the best match of an id (null is one too) is reported for each document;
@@ -26,15 +28,16 @@ are all shorter than ``LEAST_WORDS`` words: so short a sequence is in many texts
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import checkpointed, row_key, without
+from .common import checkpointed, drop_stored, row_key, stored, without
+from .jaccard_join import _bloom
 from .words import NOT_ALNUM, blocks, grams, words
 
 SEED_WORDS = 3
@@ -197,23 +200,12 @@ def _matches(items: Items, text: np.ndarray, places: np.ndarray, seeds: np.ndarr
             yield items.ids[it], best[0] / (MATCH * len(own)), best[3], best[1], best[2], best[2] - best[1]
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
-    items = benchmark.filter("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n = -(-int(size) // (BLOCK_BYTES // 2)) or 1
-    for k in range(n):
-        part = items if n == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield [(r["item_id"], r["text"]) for r in part.orderBy("item_id", "text").collect()]
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.filter("text is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
 
 
-def _best_of_ids(found: DataFrame) -> DataFrame:
-    """Of the matches of a document with several texts of one item_id, in different blocks, the best; repeated rows each."""
-    names = [x.split()[0] for x in SCHEMA.split(", ")]
-    key, rest = ["doc_id", "th", "item_id"], [n for n in names if n not in ("doc_id", "item_id")]
-    each = found.groupBy(*key, "block").agg(F.count(F.lit(1)).alias("copies"), F.max(F.struct(*rest)).alias("m"))
-    best = each.groupBy(*key).agg(F.max(F.struct("m", "block", "copies")).alias("b"))
-    rows = best.select(*key, "b.m.*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("b.copies"))))
-    return rows.select(*names, "th")
+def _is_small(benchmark: DataFrame) -> bool:
+    return int(benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]) <= BLOCK_BYTES
 
 
 def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -221,44 +213,213 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataF
     names = [x.split()[0] for x in SCHEMA.split(", ")]
     kinds = pa.schema(list(zip([*names, "th"], [pa.int64(), pa.int64(), pa.float64(), *[pa.int32()] * 4, pa.int64()], strict=True)))
     doc_id, th = row_key()
-    texts, parts = docs.select(doc_id, "text", th), []
-    for rows in _blocks(benchmark):
-        items = Items(rows)
-        sent = spark.sparkContext.broadcast(items)
+    texts = docs.select(doc_id, F.col("text").cast("string").alias("text"), th)
+    if not _is_small(benchmark):
+        return SeedJoin(spark, texts, _items(benchmark)).matches()
+    items = Items([(r["item_id"], r["text"]) for r in _items(benchmark).orderBy("item_id", "text").collect()])
+    sent = spark.sparkContext.broadcast(items)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items, total = sent.value, np.zeros(len(sent.value.seeds), np.int64)
+        for batch in batches:
+            for _, _, _, seeds, _ in _documents(items, batch.column(0)):
+                total[np.unique(seeds)] += 1
+        held = np.flatnonzero(total)
+        if len(held):
+            yield pa.RecordBatch.from_arrays([pa.array(items.seeds[held].view(np.int64)), pa.array(total[held])], ["seed", "n"])
+
+    # two numbers for each seed of the benchmark, at most
+    counted = texts.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).toPandas()
+    seen = counted["seed"].to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(seen)
+    items.keep_rare(seen[order], counted["n"].to_numpy(dtype=np.int64)[order])
+    sent.unpersist()
+    rare = spark.sparkContext.broadcast(items)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for r, text, *hits in _documents(rare.value, batch.column(1)):
+                doc_id, th = batch.column(0)[r].as_py(), batch.column(2)[r].as_py()
+                best: dict[int | None, tuple] = {}
+                for m in _matches(rare.value, text, *hits):
+                    best[m[0]] = max(best.get(m[0], m), m, key=lambda x: x[1:])
+                found += [(doc_id, *m, th) for m in best.values()]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds.types, strict=True)], schema=kinds)
+
+    return texts.mapInArrow(find, SCHEMA + ", th long")
+
+
+def _rows(rows: list[tuple], ddl: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "binary": pa.binary()}
+    fields = [f.split(" ") for f in ddl.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*rows, strict=True), fields, strict=True)], [n for n, _ in fields])
+
+
+def _worded(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, word hashes) of texts."""
+    for first_row, rows, raw, at in blocks(pc.utf8_lower(column.cast(pa.large_string()).fill_null(""))):
+        hashes, _, _, first = words(raw, at, NOT_ALNUM)
+        for r in range(rows):
+            yield first_row + r, hashes[first[r] : first[r + 1]]
+
+
+def _runs_of(own: np.ndarray, k: int) -> np.ndarray:
+    return grams(own, np.asarray([0, len(own)]), k)[0]
+
+
+def _of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(it, item_id, n, words) and the seeds of items, or the hash of a short one's whole sequence, as a list of longs."""
+    for batch in batches:
+        out = []
+        for r, own in _worded(batch.column(2)):
+            if len(own):
+                seeds = _runs_of(own, SEED_WORDS if len(own) >= LEAST_WORDS else len(own))
+                out.append((batch.column(0)[r].as_py(), batch.column(1)[r].as_py(), len(own), own.tobytes(), seeds.tobytes()))
+        if out:
+            yield _rows(out, ITEMS)
+
+
+ITEMS = "it long, item_id long, n long, words binary, seeds binary"
+SEEDS = "it long, n long, place long, seed long"
+HITS = "doc_id long, th long, seed long, at long"
+WINDOWS = "doc_id long, th long, it long, begin long, end long, hits long"
+
+
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for it, n, seeds in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            found = np.frombuffer(seeds, np.int64)
+            for a in range(0, len(found), 10_000):
+                part = found[a : a + 10_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), it)), pa.array(np.full(len(part), n)), pa.array(np.arange(a, a + len(part))), pa.array(part)], ["it", "n", "place", "seed"])
 
-        def count(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            items, total = sent.value, np.zeros(len(sent.value.seeds), np.int64)
+
+class SeedJoin:
+    """Seeds of documents (doc_id, text, th) and of a benchmark of any size (item_id, text) meet in shuffles."""
+
+    def __init__(self, spark: SparkSession, texts: DataFrame, items: DataFrame):
+        self.spark, self.texts, self.kept = spark, texts, []
+        numbered = items.select(F.monotonically_increasing_id().alias("it"), "item_id", "text")
+        self.items = stored(spark, numbered.mapInArrow(_of_items, ITEMS), "items", self.kept)
+        self.seeds = self.items.select("it", "n", "seeds").mapInArrow(_exploded, SEEDS)
+        self.short = [r["n"] for r in self.items.filter(F.col("n") < LEAST_WORDS).select("n").distinct().collect()]  # lengths below LEAST_WORDS
+
+    def hits(self, wanted: DataFrame, placed: bool) -> DataFrame:
+        """Seeds of documents that may be ``wanted`` (seed): each place, or each document's distinct ones without their place."""
+        bloom, sizes = _bloom(self.spark, wanted.select(F.col("seed").alias("d1"))), [SEED_WORDS, *self.short]
+
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                row, seed, place = [], [], []
+                for r, own in _worded(batch.column(1)):
+                    for k in sizes if placed else sizes[:1]:
+                        found = _runs_of(own, k)
+                        found = found if placed else np.unique(found)
+                        at = np.flatnonzero(bloom.value.holds(found)) if len(found) else np.zeros(0, np.int64)
+                        row.append(np.full(len(at), r))
+                        seed.append(found[at].view(np.int64))
+                        place.append(at)
+                if row and len(rows := np.concatenate(row)):
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), batch.column(2).take(pa.array(rows)), pa.array(np.concatenate(seed)), pa.array(np.concatenate(place))], ["doc_id", "th", "seed", "at"])
+
+        return self.texts.mapInArrow(task, HITS)
+
+    def rare(self) -> DataFrame:
+        """What ``Items.keep_rare`` keeps, and all of short items: (it, n, place, seed)."""
+        long_ = self.seeds.filter(F.col("n") >= LEAST_WORDS)
+        numbers = self.hits(long_, False).groupBy("seed").agg(F.count(F.lit(1)).alias("df"))
+        known = long_.join(checkpointed(self.spark, numbers), "seed", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+        item = W.partitionBy("it")
+        ranked = known.withColumns({"rank": F.row_number().over(item.orderBy("df", "place")) - 1, "m": F.count(F.lit(1)).over(item)})
+        ranked = ranked.withColumn("middle", F.max(F.when(F.col("rank") == F.floor(F.col("m") / 2), F.col("df"))).over(item))
+        ranked = ranked.withColumn("near", F.row_number().over(W.partitionBy("it", F.floor(F.col("place") / STRETCH)).orderBy("rank")))
+        keep = (F.col("rank") < F.greatest(F.floor(F.col("m") / 2), F.lit(LEAST_SEEDS))) | (F.col("df") <= 2 * F.col("middle") + 8) | (F.col("near") <= LEAST_HITS)
+        short = self.seeds.filter(F.col("n") < LEAST_WORDS)
+        return checkpointed(self.spark, ranked.filter(keep).select("it", "n", "place", "seed").unionByName(short))
+
+    def windows(self) -> DataFrame:
+        """Parts of documents that may hold a copy of an item: from ``begin`` to ``end``, in words; short items as they are."""
+        rare = self.rare()
+        met = self.hits(rare, True).distinct().join(rare, "seed").select("doc_id", "th", "it", "n", "at", "place")
+
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[pa.RecordBatch] = []
             for batch in batches:
-                for _, _, _, seeds, _ in _documents(items, batch.column(0)):
-                    total[np.unique(seeds)] += 1
-            held = np.flatnonzero(total)
-            if len(held):
-                yield pa.RecordBatch.from_arrays([pa.array(items.seeds[held].view(np.int64)), pa.array(total[held])], ["seed", "n"])
-
-        # two numbers for each seed of the block, at most
-        counted = texts.select("text").mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).toPandas()
-        seen = counted["seed"].to_numpy(dtype=np.int64).view(np.uint64)
-        order = np.argsort(seen)
-        items.keep_rare(seen[order], counted["n"].to_numpy(dtype=np.int64)[order])
-        sent.unpersist()
-        rare = spark.sparkContext.broadcast(items)
-
-        def find(batches: Iterator[pa.RecordBatch], rare=rare) -> Iterator[pa.RecordBatch]:
+                if not batch.num_rows:
+                    continue
+                held.append(batch)
+                key = [np.concatenate([b.column(i).fill_null(-(1 << 62)).to_numpy() for b in held]) for i in range(3)]
+                new = np.flatnonzero((np.diff(key[0]) != 0) | (np.diff(key[1]) != 0) | (np.diff(key[2]) != 0)) + 1
+                if len(new):  # all pairs but the last one are whole
+                    table = pa.Table.from_batches(held).combine_chunks()
+                    yield from windowed(table, np.concatenate([[0], new]))
+                    held = table.slice(int(new[-1])).to_batches()
+            if held:
+                table = pa.Table.from_batches(held).combine_chunks()
+                yield from windowed(table, np.asarray([0, len(table)]))
+
+        def windowed(table: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            out, at, place = [], table["at"].to_numpy(), table["place"].to_numpy()
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                doc_id, th, it, n = (table[c][a].as_py() for c in ("doc_id", "th", "it", "n"))
+                if n < LEAST_WORDS:
+                    out.append((doc_id, th, it, int(at[a]), int(at[a]) + n, b - a))
+                    continue
+                for run in np.split(np.arange(a, b), np.flatnonzero(np.diff(at[a:b]) > n) + 1):
+                    if len(run) >= LEAST_HITS and len(np.unique(place[run])) >= LEAST_HITS:
+                        first, slack = at[run] - place[run], n // 4 + 8
+                        out.append((doc_id, th, it, max(0, int(first.min()) - slack), int(first.max()) + n + slack, len(run)))
+            if out:
+                yield _rows(out, WINDOWS)
+
+        return met.repartition("doc_id", "th", "it").sortWithinPartitions("doc_id", "th", "it", "at", "place").mapInArrow(task, WINDOWS)
+
+    def passages(self, windows: DataFrame) -> DataFrame:
+        """The words of the documents that have windows, once for each text."""
+        bloom = _bloom(self.spark, windows.select(F.col("th").alias("d1")))
+
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = []
-                for r, text, *hits in _documents(rare.value, batch.column(1)):
-                    doc_id, th = batch.column(0)[r].as_py(), batch.column(2)[r].as_py()
-                    best: dict[int | None, tuple] = {}
-                    for m in _matches(rare.value, text, *hits):
-                        best[m[0]] = max(best.get(m[0], m), m, key=lambda x: x[1:])
-                    found += [(doc_id, *m, th) for m in best.values()]
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), kinds.types, strict=True)], schema=kinds)
-
-        parts.append(texts.mapInArrow(find, SCHEMA + ", th long"))
-    if len(parts) == 1:
-        return parts[0]
-    return _best_of_ids(reduce(DataFrame.unionByName, [p.withColumn("block", F.lit(k)) for k, p in enumerate(parts)]))
+                pick = np.flatnonzero(bloom.value.holds(batch.column(1).to_numpy().view(np.uint64)))
+                chosen = batch.take(pa.array(pick))
+                out = [(chosen.column(1)[r].as_py(), own.tobytes()) for r, own in _worded(chosen.column(0))]
+                if out:
+                    yield _rows(out, "th long, text binary")
+
+        return self.texts.select("text", "th").mapInArrow(task, "th long, text binary").groupBy("th").agg(F.first("text").alias("text"))
+
+    def matches(self) -> DataFrame:
+        windows = stored(self.spark, self.windows(), "windows", self.kept)
+        items = self.items.select("it", "item_id", "n", "words")
+        pairs = windows.join(self.passages(windows), "th").join(items, "it").select("doc_id", "th", "it", "item_id", "begin", "hits", "words", F.substring("text", F.col("begin").cast("int") * 8 + 1, (F.col("end") - F.col("begin")).cast("int") * 8).alias("passage"))
+        scored = stored(self.spark, pairs.mapInArrow(_aligned, ALIGNED), "scored")
+        drop_stored(self.spark, self.kept)
+        # of an item's windows the best one, the first of equal ones, then of an item_id's texts the best, as in ``find``
+        one = F.max_by(F.struct("item_id", "n", "raw", "hits", "begin", "end"), F.struct("raw", -F.col("begin")))
+        each = scored.groupBy("doc_id", "th", "it").agg(one.alias("m")).select("doc_id", "th", "m.*")
+        short, words_ = F.col("n") < LEAST_WORDS, F.col("end") - F.col("begin")
+        enough = (F.col("raw") >= MATCH * F.least(THRESHOLD * F.col("n"), F.lit(EXCERPT_WORDS))) & (words_ >= LEAST_WORDS)
+        values = {"score": F.when(short, 1.0).otherwise(F.col("raw") / (MATCH * F.col("n"))), "n_hits": F.col("hits"), "begin_word": F.col("begin"), "end_word": F.col("end"), "aligned_words": words_}
+        kinds = dict(x.split() for x in SCHEMA.split(", "))
+        best = each.filter(short | enough).groupBy("doc_id", "th", "item_id").agg(F.max(F.struct(*[c.cast(kinds[n]).alias(n) for n, c in values.items()])).alias("m"))
+        keys = self.texts.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"))  # repeated rows each
+        return best.join(keys, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th"))).select("doc_id", "item_id", "m.*", "th")
+
+
+ALIGNED = "doc_id long, th long, it long, item_id long, n long, raw long, hits long, begin long, end long"
+
+
+def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            own, first = np.frombuffer(r["words"], np.uint64), r["begin"]
+            raw, a, b = (MATCH * len(own), 0, len(own)) if len(own) < LEAST_WORDS else align(own, np.frombuffer(r["passage"], np.uint64))
+            out.append((r["doc_id"], r["th"], r["it"], r["item_id"], len(own), raw, r["hits"], first + a, first + b))
+        if out:
+            yield _rows(out, ALIGNED)
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -249,6 +249,20 @@ def test_all_texts_of_an_item_id_are_searched(spark, make, prose, block, monkeyp
     assert [x["doc_id"] for x in decontamination.keep_clean(spark, make(rows), items).collect()] == [21]
 
 
+def test_both_ways_of_the_join_agree(spark, make, prose, monkeypatch):
+    """Sent to the tasks or joined by shuffle: the same rows, with the same places and numbers of hits."""
+    r = random.Random(9)
+    items = [(i % 15, prose(6000 + i, r.choice([2, 5, 9, 30, 80]))) for i in range(30)] + [(None, prose(6500, 20)), (7, ""), (8, None)]
+    rows = [(i, " ".join([prose(i, r.randint(0, 40)), *(" ".join(t.split()[r.randint(0, 3) :]) + " " + prose(300 + i, 9) for _, t in r.sample(items[:31], 3) if r.random() > 0.3)])) for i in range(60)]
+    rows += [rows[3], rows[3], (None, rows[4][1]), (3, rows[5][1]), (61, (items[4][1] + " ") * 40)] + EDGES
+    leaks = spark.createDataFrame(items, "item_id long, text string")
+    found = []
+    for block in (1 << 24, 1):
+        monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)
+        found.append(sorted((tuple(x) for x in decontamination.contaminated(spark, make(rows), leaks).collect()), key=repr))
+    assert found[0] == found[1] and len(found[0]) > 50
+
+
 def test_alignment():
     def brute(x, y):
         h = np.zeros((len(x) + 1, len(y) + 1), int)
