@@ -329,7 +329,7 @@ SNOW_SQL = f"""WITH {CASES_SQL} SELECT c_custkey, {_SNOW.format(o="'''{}'''", a=
 _DOUBLES = [0.5, 1e6, 1234567.25, 123456.0, 0.00001, -2e7, 0.0, -0.25, 1.5e-18, 1e22, 5e-324, 1.7976931348623157e308, -2.2250738585072014e-308, 2.0**-44, 8.41e21, 0.1, 1 / 3, 123456789012345680.0, float("nan"), float("inf"), float("-inf")]
 
 
-def _texts(x: float) -> tuple[str, str]:
+def _double_texts(x: float) -> tuple[str, str]:
     """A double's texts: plain, and with an exponent of two digits where that is the custom."""
     if math.isnan(x) or math.isinf(x):
         return ({"nan": "NaN", "inf": "+Inf", "-inf": "-Inf"}[repr(x)],) * 2
@@ -341,7 +341,7 @@ def _texts(x: float) -> tuple[str, str]:
     return plain, f"{'-' * sign}{mantissa}e{'-' if power < 0 else '+'}{abs(power):02}"
 
 
-_NUMBERS = [(x, *_texts(x)) for x in _DOUBLES]
+_NUMBERS = [(x, *_double_texts(x)) for x in _DOUBLES]
 
 
 def quote_typed(spark: SparkSession, sf_dir: str) -> DataFrame:

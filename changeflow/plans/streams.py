@@ -81,7 +81,7 @@ FROM tail GROUP BY pk"""
 
 
 def stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Even and odd events as two streams, each with batches from 0 on, into one table that is settled after each.
+    """Events of even and odd users as two streams, each with batches from 0 on, into one table that is settled after each.
 
     The last batch of the first stream comes once more at the end and adds nothing.
     """
@@ -91,7 +91,7 @@ def stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = runner.LoggedTable(spark, f"{place}/table", ddl, feed.schema, lambda old, new: apply.changed_columns_upsert(old, new, "pk", COLUMNS, "seq"), "pk", BUCKETS)
     table.begin(target)
     for part in (0, 1):
-        runner.start(feed.filter(F.col("seq") % 2 == part), table, f"{place}/checkpoint-{part}").awaitTermination()
+        runner.start(feed.filter(F.col("pk") % 2 == part), table, f"{place}/checkpoint-{part}").awaitTermination()
         table.settle()
     (again, batch), *_ = table.ledger.last().items()
     runner.apply_batch(table, stream=again)(event_feed(spark, sf_dir).limit(3), batch)

@@ -4,7 +4,8 @@ A micro-batch is one flush. ``foreachBatch`` writes its changes as they are into
 attempt before has left there, then enters it in the ledger: a batch that is replayed after a failure writes the same rows to the
 same place, and streams with checkpoints of their own don't take each other's batches for theirs. The table is the fold of the
 entered changes over a target in buckets, worked out when it is read; ``settle`` folds them into the buckets that they touch. A
-micro-batch costs what its own rows cost, however large the table is. No watermark: late events are ordered by the fold, never dropped.
+micro-batch costs what its own rows cost, however large the table is. No watermark: late events are never dropped, and are ordered by the
+fold with all that isn't settled yet; an event that is older than a settled one of its key is applied after that.
 
 Reading side: ``maxFilesPerTrigger`` and ``trigger`` are the flush limits, stopping the query is a pause, starting it with the
 same checkpoint resumes.

@@ -334,13 +334,13 @@ def test_literals_of_any_double(spark):
     import random
     import struct
 
-    from changeflow.plans.schemas import _DOUBLES, _texts
+    from changeflow.plans.schemas import _DOUBLES, _double_texts
 
     r = random.Random(7)
     some = [struct.unpack("d", r.randbytes(8))[0] for _ in range(6000)] + [float(f"{r.randint(1, 99)}e{r.randint(-320, 308)}") for _ in range(1500)] + [r.randint(0, 10**9) / 1000 for _ in range(500)] + _DOUBLES + [-0.0, 2e23, 2e-3]
     df = spark.createDataFrame([(x,) for x in some], "x double").select("x", quoting.number_text(F.col("x")).alias("plain"), quoting.exponent_text(F.col("x")).alias("short"))
     for r_ in df.collect():
-        assert (r_["plain"], r_["short"]) == _texts(r_["x"]), r_["x"]
+        assert (r_["plain"], r_["short"]) == _double_texts(r_["x"]), r_["x"]
 
 
 def test_typed_images(spark):
