@@ -94,7 +94,7 @@ def test_stages_on_empty_and_odd_tables(spark, make):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got = queries.QUERIES[name](spark, SF)
     columns = sorted(got.columns)
