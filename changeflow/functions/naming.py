@@ -74,3 +74,21 @@ def mask_email(c: Column) -> Column:
     name, domain = F.split_part(c, F.lit("@"), F.lit(1)), F.split_part(c, F.lit("@"), F.lit(2))
     first = F.split_part(domain, F.lit("."), F.lit(1))
     return F.when(c.contains("@"), F.concat(mask(name), F.lit("@"), mask(first), F.expr("'.'"), F.substring(domain, F.char_length(first) + 2, F.char_length(domain)))).otherwise(c)
+
+
+def mask_url(c: Column) -> Column:
+    """User, password, path and query values masked, a repeated parameter as one, parameters by name; the fragment goes.
+
+    The host stays; texts that are no URLs stay as they are.
+    """
+    url = r"^(\w+)://(?:([^/?#]*)@)?([^/?#@]*)([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
+    part = lambda n: F.regexp_extract(c, url, n)
+    user, colon = F.split_part(part(2), F.lit(":"), F.lit(1)), F.locate(":", part(2))
+    password = F.when(colon > 0, F.concat(F.lit(":"), mask(F.substring(part(2), colon + 1, F.char_length(part(2)))))).otherwise("")
+    login = F.when(part(2) != "", F.concat(mask(user), password, F.lit("@"))).otherwise("")
+    path = F.when(F.char_length(part(4)) > 1, F.concat(F.lit("/"), mask(F.substring(part(4), F.lit(2), F.char_length(part(4)))))).otherwise("")
+    plain = lambda x: F.coalesce(F.try_url_decode(x), x)
+    pairs = F.transform(F.filter(F.split(part(5), "&"), lambda p: p != ""), lambda p: F.struct(plain(F.split_part(p, F.lit("="), F.lit(1))).alias("k"), plain(F.substring(p, F.char_length(F.split_part(p, F.lit("="), F.lit(1))) + 2, F.char_length(p))).alias("v")))
+    shown = F.transform(F.array_distinct(pairs["k"]), lambda k: F.concat(k, F.lit("="), mask(F.array_join(F.filter(pairs, lambda p: p["k"] == k)["v"], ","))))
+    query = F.when(F.size(pairs) > 0, F.concat(F.lit("?"), F.array_join(F.array_sort(shown), "&"))).otherwise("")
+    return F.when(c.rlike(url), F.concat(F.lower(part(1)), F.lit("://"), login, part(3), path, query)).otherwise(c)

@@ -125,16 +125,16 @@ SELECT pk, value, props, ts FROM fold QUALIFY there AND k = max(k) OVER (PARTITI
 
 
 def delete_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both readings of a two-part key ['1', pk]: by the first part and by the last."""
+    """Both readings of a two-part key [half of pk, pk]: by the first part and by the last."""
     target = user_target(spark, sf_dir).select("pk")
-    deletes = event_feed(spark, sf_dir).select("op", F.array(F.lit("2"), F.col("pk").cast("string")).alias("key"))
+    deletes = event_feed(spark, sf_dir).select("op", F.array(F.floor(F.col("pk") / 2).cast("string"), F.col("pk").cast("string")).alias("key"))
     parts = [apply.delete_by_key(target, deletes, "pk", "key", which).select(F.lit(which).alias("which"), "pk") for which in ("first", "last")]
     return parts[0].unionByName(parts[1])
 
 
 DELETE_SQL = f"""
 WITH {EVENTS_SQL}, {TARGET_SQL}
-SELECT 'first' AS which, pk FROM target WHERE pk <> 2 OR NOT EXISTS (SELECT 1 FROM feed WHERE op = 'DELETE')
+SELECT 'first' AS which, pk FROM target WHERE pk NOT IN (SELECT pk // 2 FROM feed WHERE op = 'DELETE')
 UNION ALL SELECT 'last' AS which, pk FROM target WHERE pk NOT IN (SELECT pk FROM feed WHERE op = 'DELETE')"""
 
 

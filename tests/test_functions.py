@@ -376,3 +376,12 @@ def test_an_import_reads_its_files_once(spark, tmp_path):
         assert imports.load(spark, "once", snapshot.scan(spark, str(tmp_path)), bad, versions).count() == 5
     finally:
         spark.sql("DROP DATABASE once CASCADE")
+
+
+def test_mask_url_column(spark):
+    """The column form and the driver's give the same."""
+    urls = [
+        "https://bob:hunter22@db.internal.test:5433/sales/eu?ssl=on&a=1&a=22", "kafka://only-host.test", "mysql://u@h/", "mysql://u@h/x", "HTTP://h/p#top", "s3://b/k?x=&&y", "ftp://a:b:c@d@h/%20é?q=%C3%A9+z&q=2#f?g", "http://u:@h?k=v",
+    ]
+    rows = spark.createDataFrame([(u,) for u in [*urls, "no url", "", None]], "u string").select("u", naming.mask_url(F.col("u")).alias("m")).collect()
+    assert {r["u"]: r["m"] for r in rows} == {u: masking.mask_url(u) for u in urls} | {"no url": "no url", "": "", None: None}
