@@ -10,7 +10,8 @@ the other. Values in [N, a*b) are walked on until they fall below N. ``plan_feis
 a*b - N is small; a walk can't be longer than that, so the number of steps is proven, not hoped for.
 
 Edge cases: null text counts as 1 byte of size with crc 0; null doc_id sorts first; repeated rows are separate rows
-and interchangeable; an empty table gives no rows; other columns of the input are ignored.
+and interchangeable; an empty text has a size of 1; very long texts are read once, for their size and crc, and never moved; an empty
+table gives no rows; other columns of the input, whatever their names, are ignored.
 """
 
 from __future__ import annotations

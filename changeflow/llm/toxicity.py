@@ -216,18 +216,26 @@ def _fit(sample: DataFrame) -> Model:
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Table(tokens, scores)
         for batch in batches:
-            got = [(n, [s for _, _, s in found]) for _, n, found in passages(table, batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([n for n, _ in got], pa.int64()), pa.array([s for _, s in got], pa.list_(pa.float64()))], ["doc_id", "label", "n", "s"])
+            got = [(n, max((s for _, _, s in found), default=0.0)) for _, n, found in passages(table, batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([n for n, _ in got], pa.int64()), pa.array([s for _, s in got], pa.float64())], ["doc_id", "label", "n", "s"])
 
-    seen = sample.mapInArrow(best, "doc_id long, label int, n long, s array<double>").collect()  # at most ``TRAIN_ROWS`` rows of numbers
+    # two passes over the sample, each of at most ``TRAIN_ROWS`` rows of a few numbers, however long the texts are
+    seen = sample.mapInArrow(best, "doc_id long, label int, n long, s double").collect()
     seen.sort(key=lambda r: r["doc_id"])  # sums of floats depend on their order
-    null = np.asarray([max(r["s"], default=0.0) for r in seen if r["label"] == 0])
+    null = np.asarray([r["s"] for r in seen if r["label"] == 0])
     length = np.asarray([np.log(max(r["n"], 1)) for r in seen if r["label"] == 0])
     scale = max(float(np.std(null)) * np.sqrt(6) / np.pi, 0.25)
     location = float(np.mean(null - scale * length)) - 0.5772156649 * scale
     raw = Model(tokens, scores, scale, location, (0.0, 0.0, 0.0))
-    facts = np.asarray([evidence(raw, r["n"], r["s"]) for r in seen])
-    x = np.column_stack([np.ones(len(seen)), np.log1p(facts)])
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = Table(tokens, scores)
+        for batch in batches:
+            got = [evidence(raw, n, [s for _, _, s in found]) for _, n, found in passages(table, batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([g[i] for g in got], pa.float64()) for i in (0, 1))], ["doc_id", "evidence", "best"])
+
+    facts = sorted(sample.mapInArrow(weigh, "doc_id long, evidence double, best double").collect(), key=lambda r: r["doc_id"])
+    x = np.column_stack([np.ones(len(seen)), np.log1p(np.asarray([(r["evidence"], r["best"]) for r in facts]))])
     return Model(tokens, scores, scale, location, tuple(logistic(x, np.asarray([r["label"] for r in seen], float))))
 
 
