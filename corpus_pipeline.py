@@ -3,7 +3,10 @@ blanked, the rest is encoded.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of ``docs``. ``run``
 writes each stage's rows as Parquet into the shared folder and reads them back for the next one, so that lineage ends there.
-Null texts pass all filters and encode to nothing; an empty table passes through.
+Null and empty texts pass all filters and encode to nothing; an empty table passes through. Very long texts are scored, joined,
+aligned, searched and encoded whole. Repeated rows are near copies of each other, of which the smallest doc_id stays; of rows that tie
+in doc_id too, see ``jaccard_join.keep_one``. Other columns, also those named like one that an operator makes, come through as they are
+until the last stage, which returns its own.
 """
 
 from __future__ import annotations
