@@ -51,7 +51,7 @@ UNKNOWN_SQL = "SELECT DISTINCT 't' || (user_id % 50) AS tbl FROM events WHERE us
 
 
 def schema_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Schemas of the tables that parts stand for as one JSON document a table and version, in files, read back by the latest version."""
+    """Schemas of the tables that parts stand for as JSON documents, one a table and version, some hundred a file, read back by the latest version."""
     rows = schemas.part_schemas(spark, sf_dir)
     items = F.when(F.col("enum"), F.struct(F.lit("string").alias("type"), F.array(F.lit("a"), F.lit("b")).alias("enum")))
     field = F.struct("column", F.struct("type", "format", "nullable", items.alias("items")))
@@ -59,7 +59,10 @@ def schema_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = rows.groupBy("table", "version").agg(F.collect_list(F.when(F.col("required"), F.col("column"))).alias("required"), keys.alias("primaryKeys"), F.map_from_entries(F.collect_list(field)).alias("properties"))
     text = F.to_json(F.struct("table", F.col("version").alias("modelVersion"), "required", "primaryKeys", "properties"))
     place = scratch(spark, "registry")
-    docs.select(F.col("table").alias("t"), F.col("version").alias("v"), text.alias("value")).write.partitionBy("t", "v").text(place)
+    files = rows.select("table", "version").distinct().count() // 100 + 1
+    part = F.pmod(F.xxhash64("table", "version"), F.lit(files)).alias("part")
+    listed = docs.groupBy(part).agg(F.concat(F.lit("["), F.array_join(F.collect_list(text), ","), F.lit("]")).alias("value"))
+    listed.write.partitionBy("part").text(place)
     read = registry.read(spark, place)
     versions = read.groupBy("table").agg(F.max("version").alias("version"))
     return registry.latest(read, versions).select(F.col("table").alias("tbl"), "version", F.col("column").alias("col"), "type", "format", "nullable", "required", "is_pk", "pk_place", "enum")

@@ -12,7 +12,7 @@ DOCUMENT = f"table string, modelVersion string, required array<string>, primaryK
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows (table, version, column, type, format, nullable, required, is_pk, pk_place, enum) of all documents in a folder."""
+    """Rows (table, version, column, type, format, nullable, required, is_pk, pk_place, enum) of all documents in a folder; a file is one document or an array of them."""
     docs = spark.read.schema(DOCUMENT).option("multiLine", "true").option("recursiveFileLookup", "true").json(folder)
     rows = docs.select("table", F.col("modelVersion").alias("version"), "required", "primaryKeys", F.explode("properties").alias("column", "p"))
     place = F.array_position("primaryKeys", F.col("column"))
