@@ -6,10 +6,11 @@ so that all places of such a string meet in one shard:
 1. Runs. In each string of ``length`` bytes the smallest of its ``ANCHOR``-byte hashes is its anchor. Neighbouring strings
    with the same anchor form a run, a window of less than two lengths (a longer run, in text that repeats itself, is cut). Equal
    strings have equal anchors, so a string can repeat only among windows of equal anchor hash; that different strings may share
-   one costs time only. One row a run is kept: place, anchor hash, and two 61-bit prints of the window.
-2. Windows whose anchor occurs once are done. Windows of equal prints count as one with its number; if an anchor has one window
-   only, all of it repeats. The prints are polynomials modulo the prime 2**61 - 1 with two random bases: two different windows
-   agree in both about once in 2**104 pairs, whatever their bytes are.
+   one costs time only. One row a run is kept: place, anchor hash, two 61-bit prints of the window, and whether the anchor comes
+   once more inside it: without that no string begins twice in one window.
+2. Windows whose anchor occurs once, in themselves too, are done. Windows of equal prints count as one with its number; if an anchor has one window
+   only, all of it repeats. The prints are polynomials modulo the prime 2**61 - 1 with two bases that each run draws anew: two
+   different windows agree in both about once in 2**104 pairs, whatever their bytes are; no text can be made to fit the bases.
 3. Other windows are fetched (from one document each) and dealt by anchor into shards of about ``SHARD_BYTES``. A shard's
    suffix array comes from induced sorting, its permuted common prefixes tell which strings begin twice, byte by byte.
 4. Anchors with more than ``CROWD`` different windows (the borders of a passage that very many documents share) don't go to
@@ -27,6 +28,7 @@ empty table gives no rows; other columns, whatever their names, are ignored.
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,7 +59,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 PRIME = U((1 << 61) - 1)
-#: Bases of the prints: numbers below the prime, drawn at random once.
+#: Bases of the prints where none are given: numbers below the prime, drawn at random once.
 PRINT_BASES = (0x0B7E151628AED2A6, 0x1243F6A8885A308D)
 _LOW = U((1 << 31) - 1)
 _prints: dict[int, np.ndarray] = {}
@@ -78,6 +80,8 @@ def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _prime_powers(base: int, n: int) -> np.ndarray:
     have = _prints.get(base)
     if have is None or len(have) < n:
+        if have is None and len(_prints) >= 4:  # those of an earlier run: a base and its inverse, twice
+            _prints.clear()
         have, step = np.ones(1, U), base
         while len(have) < n:
             have, step = np.concatenate([have, times(have, np.full(len(have), step, U))]), step * step % int(PRIME)
@@ -88,10 +92,10 @@ def _prime_powers(base: int, n: int) -> np.ndarray:
 class Prints:
     """Two prints of any range of a block, from exact sums of letters times powers of a base."""
 
-    def __init__(self, raw: np.ndarray):
-        self.n = len(raw)
+    def __init__(self, raw: np.ndarray, bases: tuple[int, int] = PRINT_BASES):
+        self.n, self.bases = len(raw), bases
         letters, self.sums = raw.astype(U) + U(1), []
-        for base in PRINT_BASES:
+        for base in bases:
             power = _prime_powers(base, self.n + 1)[: self.n]
             parts = []
             for half in (power & _LOW, power >> U(31)):  # sums stay below 2**60 for blocks of 2**20 bytes
@@ -102,7 +106,7 @@ class Prints:
 
     def of(self, begin: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
         out = []
-        for base, (low, high) in zip(PRINT_BASES, self.sums, strict=True):
+        for base, (low, high) in zip(self.bases, self.sums, strict=True):
             total = _fold(_fold(low[end] - low[begin]) + times(_fold(high[end] - high[begin]), np.full(len(begin), 1 << 31, U)))
             shifted = times(total, _prime_powers(pow(base, -1, int(PRIME)), self.n + 1)[begin])  # as if the block began here
             out.append((shifted ^ ((end - begin).astype(U) << U(48))).view(np.int64))
@@ -118,12 +122,16 @@ def _smallest(key: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(key[: len(key) - (width - span)], key[width - span :]) if span < width else key
 
 
-def runs(raw: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """For all texts of a block: text number, first start in the block, starts, anchor hash and both prints of each run."""
+def runs(raw: np.ndarray, at: np.ndarray, length: int, bases: tuple[int, int] = PRINT_BASES) -> tuple[np.ndarray, ...]:
+    """For all texts of a block: text number, first start in the block, starts, anchor hash, both prints of each run, and if its anchor comes again.
+
+    A string that begins at two starts of a run has the run's anchor at both; of the places of the anchor in the run, the last
+    one then isn't in the strings of all starts, so it comes in with a start that isn't the first.
+    """
     none = np.zeros(0, np.int64)
     n = len(raw) - length + 1
     if n <= 0:
-        return (none,) * 6
+        return (none,) * 7
     anchor = min(ANCHOR, length)
     width = length - anchor + 1
     sums = np.zeros(len(raw) + 1, U)
@@ -133,7 +141,7 @@ def runs(raw: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, ...]
     doc = np.searchsorted(at, np.arange(n), "right") - 1
     starts = np.flatnonzero(np.arange(n) + length <= at[doc + 1])
     if not len(starts):
-        return (none,) * 6
+        return (none,) * 7
     least, doc = least[starts], doc[starts]
     new = np.ones(len(starts), bool)
     new[1:] = (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
@@ -142,11 +150,14 @@ def runs(raw: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, ...]
     first = np.flatnonzero(since % width == 0)
     count = np.diff(np.append(first, len(starts)))
     begin = starts[first]
-    return doc[first], begin, count, least[first].view(np.int64), *Prints(raw).of(begin, begin + count + length - 1)
+    comes = key[starts + width - 1] == least
+    comes[first] = False
+    again = np.logical_or.reduceat(comes, first)
+    return doc[first], begin, count, least[first].view(np.int64), *Prints(raw, bases).of(begin, begin + count + length - 1), again
 
 
-def _runs(length: int):
-    names = ["doc_id", "th", "begin", "n", "anchor", "win", "win2"]
+def _runs(length: int, bases: tuple[int, int]):
+    names = ["doc_id", "th", "begin", "n", "anchor", "win", "win2", "again"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,13 +165,13 @@ def _runs(length: int):
             for first_row, rows, raw, at in blocks(batch.column(2), BLOCK // 4):
                 for lo in range(0, max(len(raw), 1), BLOCK) if rows == 1 else [0]:
                     part = raw[lo : lo + BLOCK + length - 1] if rows == 1 else raw
-                    doc, begin, count, anchor, win, win2 = runs(part, at if rows > 1 else np.asarray([0, len(part)]), length)
+                    doc, begin, count, anchor, win, win2, again = runs(part, at if rows > 1 else np.asarray([0, len(part)]), length, bases)
                     if len(doc):
                         row = pa.array(doc + first_row)
-                        facts = [begin + lo - at[doc], count.astype(np.int32), anchor, win, win2]
+                        facts = [begin + lo - at[doc], count.astype(np.int32), anchor, win, win2, again]
                         yield pa.RecordBatch.from_arrays([ids.take(row), hashes.take(row), *map(pa.array, facts)], names)
 
-    return task, "doc_id long, th long, begin long, n int, anchor long, win long, win2 long"
+    return task, "doc_id long, th long, begin long, n int, anchor long, win long, win2 long, again boolean"
 
 
 def _likely(bloom):
@@ -226,7 +237,7 @@ def _shard(length: int):
     return task, "anchor long, win long, win2 long, ranges array<struct<a:int,b:int>>"
 
 
-def _strings(length: int):
+def _strings(length: int, bases: tuple[int, int]):
     """One row for each start of a window: both prints of its string."""
     names = ["h1", "h2", "anchor", "win", "win2", "off", "copies"]
 
@@ -234,7 +245,7 @@ def _strings(length: int):
         for batch in batches:
             for anchor, win, win2, copies, n, data in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                 off = np.arange(n)
-                one, two = Prints(np.frombuffer(data, np.uint8)).of(off, off + length)
+                one, two = Prints(np.frombuffer(data, np.uint8), bases).of(off, off + length)
                 yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), *(pa.array(np.full(n, x)) for x in (anchor, win, win2)), pa.array(off.astype(np.int32)), pa.array(np.full(n, copies))], names)
 
     return task, "h1 long, h2 long, anchor long, win long, win2 long, off int, copies long"
@@ -294,12 +305,15 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_spans(spark: SparkSession, texts: DataFrame, length: int, kept: list[str]) -> DataFrame:
     """(doc_id, th, begin, end): byte ranges covered by repeated strings; they may overlap. Reads the tables listed in ``kept``."""
-    rows = stored(spark, texts.mapInArrow(*_runs(length)), "runs", kept)
+    bases = (secrets.randbelow(int(PRIME) - 2) + 2, secrets.randbelow(int(PRIME) - 2) + 2)
+    rows = stored(spark, texts.mapInArrow(*_runs(length, bases)), "runs", kept)
     differ = (F.min("win") != F.max("win")) | (F.min("win2") != F.max("win2"))
-    anchors = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("k"), differ.alias("several")).filter("k > 1")
+    k = F.count(F.lit(1))
+    # a window that is alone goes on if a string may begin twice in it
+    anchors = rows.groupBy("anchor").agg(k.alias("k"), (differ | (k == 1)).alias("several"), F.max("again").alias("again")).filter("k > 1 or again")
     # written first: then the join's sides are plain shuffles, and a part that is full of one anchor can be split
     anchors = stored(spark, anchors.select("anchor", "several"), "anchors", kept)
-    places = stored(spark, rows.join(anchors, "anchor"), "places", kept)
+    places = stored(spark, rows.drop("again").join(anchors, "anchor"), "places", kept)
     # different windows of anchors that have several, one place each
     window = ["anchor", "win", "win2"]
     wins = places.filter("several").groupBy(*window).agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "th", "begin", "n")).alias("p"))
@@ -315,7 +329,7 @@ def repeated_spans(spark: SparkSession, texts: DataFrame, length: int, kept: lis
     data = stored(spark, likely.join(listed, same).select("text", "wins").mapInArrow(*_cut(length)), "data", kept)
     cols = [*window, "copies", "n", "data"]
     small = data.filter("not crowd").select(cols).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(*_shard(length))
-    strings = data.filter("crowd").select(cols).mapInArrow(*_strings(length))
+    strings = data.filter("crowd").select(cols).mapInArrow(*_strings(length, bases))
     twice = strings.groupBy("h1", "h2").agg(F.sum("copies").alias("k")).filter("k > 1").select("h1", "h2")
     crowded = strings.join(twice, ["h1", "h2"]).groupBy(*window).agg(F.collect_list(F.struct(F.col("off").alias("a"), (F.col("off") + 1).alias("b"))).alias("ranges"))
     # written, so that what follows is dealt by window and not by the anchor that the shards were dealt by

@@ -95,6 +95,22 @@ def test_repeats_of_texts_that_weak_hashes_mix_up(spark, make, prose):
     assert got == {i: w for (i, _), w in zip(rows, want, strict=True)}
 
 
+def test_repeats_inside_one_window(spark, make, prose):
+    """Strings that begin twice in a short stretch of one text, and nowhere else."""
+    rows = [(p, prose(p, 20) + (prose(500 + p, p)[:p] * 400)[: 200 + p + extra] + prose(50 + p, 20)) for p in (1, 2, 7, 8, 30, 90, 136) for extra in (0, 1, 20)]
+    rows += [(200, prose(60, 9) + "\0" * 201), (201, "é" * 150), (202, "z" * 200)]
+    want = brute_repeats([t.encode() for _, t in rows], 200)
+    got = suffix_dedup.remove_repeats(spark, make(rows), 200).collect()
+    assert sorted(map(tuple, got)) == sorted((i, *w) for (i, _), w in zip(rows, want, strict=True))
+    assert sum(w[1] > 0 for w in want) == len(rows) - 1
+
+
+def test_prints_of_other_bases():
+    raw = np.frombuffer(b"other bases", np.uint8)
+    got = suffix_dedup.Prints(raw, (3, 5)).of(np.asarray([2]), np.asarray([9]))
+    assert [int(x[0]) for x in got] == [sum((int(raw[i]) + 1) * b ** (i - 2) for i in range(2, 9)) % ((1 << 61) - 1) ^ 7 << 48 for b in (3, 5)]
+
+
 def test_prints_are_the_polynomials_they_say():
     r = random.Random(2)
     raw, prime = np.asarray([r.randrange(256) for _ in range(3000)], np.uint8), (1 << 61) - 1
