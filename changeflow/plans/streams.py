@@ -99,19 +99,20 @@ def stream_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_seen_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """INSERTs of the feed, in four micro-batches of a query that is stopped and started again twice, that an earlier one has written within a day."""
+    """INSERTs of the feed, in eight micro-batches of a query that is stopped and started again twice, that an earlier one has written within a day."""
     place = f"{shared_dir(spark).rstrip('/')}/changeflow-stream-{uuid.uuid4().hex}"
     feed = event_feed(spark, sf_dir).select(F.lit("u").alias("table"), F.col("pk").alias("id"), "op", "seq", "ts")
     top = feed.agg(F.max("seq")).first()[0] or 0
-    for b in range(4):
-        feed.filter(F.floor(F.col("seq") * 4 / (top + 1)) == b).coalesce(1).write.mode("append").parquet(f"{place}/in")
-        if b:  # twice one batch, the first time two
+    cuts = [-(-b * (top + 1) // 8) for b in range(9)]
+    for b in range(8):
+        feed.filter((F.col("seq") >= cuts[b]) & (F.col("seq") < cuts[b + 1])).repartition(1).write.mode("append").parquet(f"{place}/in")
+        if b in (3, 5, 7):  # four batches, then two, then two
             stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(f"{place}/in")
             seen.start(seen.with_seen(stream, "ts"), f"{place}/out", f"{place}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{place}/out").filter("op = 'INSERT'").select("id", "seq", "seen")
 
 
-SEEN_SQL = events.SEEN_SQL.replace("seq // 500 AS flush FROM feed", "seq * 4 // (max(seq) OVER () + 1) AS flush FROM feed")
+SEEN_SQL = events.SEEN_SQL.replace("seq // 500 AS flush FROM feed", "seq * 8 // (max(seq) OVER () + 1) AS flush FROM feed")
 
 
 def change_source(spark: SparkSession, sf_dir: str) -> DataFrame:

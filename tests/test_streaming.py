@@ -141,6 +141,12 @@ def test_seen_inserts_of_a_stream(spark, tmp_path):
     assert 0 < state[-1].numRowsTotal <= 12 and "rocksdbPutCount" in state[-1].customMetrics
 
 
+def test_seen_guard_runs_in_eight_batches():
+    from changeflow.plans import streams
+
+    assert "seq * 8 //" in streams.ORACLES["stream_seen_guard"]
+
+
 def test_cuts_at_migrations(spark):
     changes = spark.createDataFrame(feed(2, 50), SCHEMA)
     plan = spark.createDataFrame([("t", "v2", 20, "add_columns", ["x"]), ("u", "v1", 35, "create", [])], "table string, version string, first_seq long, action string, columns array<string>")
