@@ -141,6 +141,22 @@ def test_seen_inserts_of_a_stream(spark, tmp_path):
     assert 0 < state[-1].numRowsTotal <= 12 and "rocksdbPutCount" in state[-1].customMetrics
 
 
+def test_seen_inserts_share_state_by_buckets(spark, tmp_path):
+    """Many keys take few rows of state; large ids and null ones stay what they are."""
+    r = random.Random(4)
+    ids = [None, *[(1 << 60) + i for i in range(300)]]
+    events = [("t", r.choice(ids), r.choices(["INSERT", "UPDATE", "DELETE"], [5, 3, 1])[0], i, f"2024-01-0{1 + i // 1000} 0{i // 500 % 2}:{i % 60:02d}:00") for i in range(4000)]
+    df = spark.createDataFrame(events, "table string, id long, op string, seq long, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    for flush in range(4):
+        df.filter(f"seq >= {1000 * flush} and seq < {1000 * flush + 1000}").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        query = seen.start(seen.with_seen(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), "ts", buckets=16), str(tmp_path / "out"), str(tmp_path / "c"))
+        assert query.awaitTermination(120)
+    want = batches.seen_insert_guard(df.withColumn("flush", (F.col("seq") / 1000).cast("int")), "flush", "ts").drop("flush")
+    got = spark.read.parquet(str(tmp_path / "out")).select(want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.filter("seen").count() > 100
+    assert 0 < [p.stateOperators[0] for p in query.recentProgress if p.stateOperators][-1].numRowsTotal <= 17
+
+
 def test_seen_guard_runs_in_eight_batches():
     from changeflow.plans import streams
 
