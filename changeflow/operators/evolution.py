@@ -1,7 +1,7 @@
 """Schemas as rows, add-only evolution, and DDL text.
 
 A schema is a set of rows (table, version, column, type, format, nullable, required, is_pk, pk_place, enum). Destination
-catalogs are rows (table, column, type). Both are small dimensions; plans over them stay DataFrames all the same.
+catalogs are rows (table, column, type). Both are small dimensions as a rule; larger ones are joined by shuffle.
 """
 
 from __future__ import annotations
@@ -50,13 +50,13 @@ def add_columns(schema: DataFrame, missing: DataFrame, dialect: str) -> DataFram
 
 
 def missing_tables(schema: DataFrame, destination: DataFrame) -> DataFrame:
-    return schema.select("table").distinct().join(destination.select("table").distinct(), "table", "left_anti")
+    return schema.select("table").distinct().join(small(destination.select("table").distinct()), "table", "left_anti")
 
 
 def missing_columns(schema: DataFrame, destination: DataFrame) -> DataFrame:
     """Columns that the destination's table lacks; tables that it lacks altogether aren't listed."""
-    there = schema.join(destination.select("table").distinct(), "table", "left_semi")
-    return there.select("table", "column").distinct().join(destination.select("table", "column"), ["table", "column"], "left_anti")
+    there = schema.join(small(destination.select("table").distinct()), "table", "left_semi")
+    return there.select("table", "column").distinct().join(small(destination.select("table", "column")), ["table", "column"], "left_anti")
 
 
 def reconcile(schema: DataFrame, destination: DataFrame) -> DataFrame:

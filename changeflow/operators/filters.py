@@ -13,8 +13,11 @@ SMALL_ROWS = 100_000
 
 
 def small(df: DataFrame) -> DataFrame:
-    """A dimension that may be sent to all tasks, if its counted rows allow it; a shuffle join serves the rest."""
-    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
+    """A dimension that may be sent to all tasks, if its counted rows allow it; a shuffle join serves the rest.
+
+    The rest is marked for a sort-merge join: sizes that Spark estimates from files would have it sent to all tasks whatever its rows.
+    """
+    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df.hint("merge")
 
 
 def after_export(events: DataFrame, watermarks: DataFrame, table: str = "table", stamp: str = "ts") -> DataFrame:

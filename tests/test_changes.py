@@ -246,3 +246,18 @@ def test_the_standard_strategy_is_one_plan_of_the_jvm(spark):
     target, changes = frames(spark, 1)
     plan = apply.update_or_merge(target, collapse.collapse(changes, ["pk"], "seq", COLS).withColumnRenamed("last_seq", "seq"), "pk", COLS, "seq", "ts")._jdf.queryExecution().toString()
     assert "MapInArrow" not in plan and "Python" not in plan
+
+
+def test_large_catalogs_are_not_sent_to_all_tasks(spark, monkeypatch):
+    from changeflow.operators import evolution, filters
+
+    monkeypatch.setattr(filters, "SMALL_ROWS", 10)
+    have = spark.range(300).select(F.concat(F.lit("t"), F.floor(F.col("id") / 3).cast("string")).alias("table"), F.concat(F.lit("c"), (F.col("id") % 3).cast("string")).alias("column"))
+    schema = have.select("table", F.lit("v1").alias("version"), "column", F.lit("string").alias("type"), F.lit(None).cast("string").alias("format"), F.lit(False).alias("enum"))
+    there = have.filter("table != 't5' and not (table = 't7' and column = 'c1')")
+    missing = evolution.missing_columns(schema, there)
+    out = evolution.add_columns(schema, missing, "postgres")
+    for df, want in ((missing, [("t7", "c1")]), (evolution.missing_tables(schema, there), [("t5",)]), (out.select("table", "column"), [("t7", "c1")])):
+        assert [tuple(r) for r in df.collect()] == want
+    for df in (missing, evolution.missing_tables(schema, there)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
